@@ -20,7 +20,7 @@ from shoal.streaming.jobs import ProfileStream, StreamPaths
 from shoal.streaming.sinks import TableWriter, read_table
 
 INPUT_FILES = 8
-INPUT_FILES_PER_TRIGGER = 3  # several stage-1 micro-batches per run
+INPUT_FILES_PER_TRIGGER = 8  # one stage-1 batch per arrival (the catch-up check has two)
 # The replayed month is spread over ~720 hours; salting by two keeps a hot hour split
 # while bounding the files each hour gets per batch.
 LAYOUT, FILES_PER_HOUR = "salted", 2

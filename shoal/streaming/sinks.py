@@ -129,7 +129,19 @@ class TableWriter:
             )
 
 
+_INFER_PARTITION_TYPES = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
 def read_table(spark: SparkSession, table_path: str, drop_batch: bool = True) -> DataFrame:
-    """The stage-2 table straight from its files (all batches, all columns)."""
-    df = spark.read.option("mergeSchema", "true").parquet(table_path)
+    """The stage-2 table straight from its files (all batches, all columns).
+
+    Partition values stay text (``0123`` must not become 123): type inference is off
+    while the relation is resolved, and only then."""
+    old = spark.conf.get(_INFER_PARTITION_TYPES, "true")
+    spark.conf.set(_INFER_PARTITION_TYPES, "false")
+    try:
+        df = spark.read.option("mergeSchema", "true").parquet(table_path)
+        df.schema  # resolve now, under the setting above
+    finally:
+        spark.conf.set(_INFER_PARTITION_TYPES, old)
     return df.drop(BATCH_COLUMN) if drop_batch else df
