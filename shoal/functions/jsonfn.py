@@ -125,26 +125,52 @@ def _rebuild(doc: Column, depth: int, on_object, on_value) -> Column:
     return F.map_from_entries(F.transform(F.map_entries(doc), entry))
 
 
-def json_replace(
-    doc: Column | str, key: str, value: Column | str, depth: int = DEFAULT_DEPTH
-) -> Column:
-    """Every non-object entry named ``key`` (any depth) gets ``value``; nothing is added."""
-    v = (value if isinstance(value, Column) else F.lit(value)).cast("string").cast("variant")
-    return _rebuild(
-        _col(doc),
-        depth,
-        on_object=lambda k: k,
-        on_value=lambda k, old: (k, F.when(k == key, v).otherwise(old)),
-    )
+# Fixed values of the key clean-up: Java's white space class plus ``.`` become ``_``,
+# ``@`` is removed, ``-`` becomes ``_`` for keys of non-object values.
+_SPACE_AND_DOT = " \t\n\x0b\f\r."
+_AT = "@"
 
 
 def clean_key(key: Column, scalar: bool, strict: bool = False) -> Column:
     """Key clean-up: drop ``@``; white space and ``.`` → ``_``; ``-`` → ``_`` only for
-    keys of non-object values unless ``strict``."""
-    out = F.regexp_replace(F.replace(key, F.lit("@"), F.lit("")), r"[\s.]", "_")
-    if scalar or strict:
-        out = F.replace(out, F.lit("-"), F.lit("_"))
-    return out
+    keys of non-object values unless ``strict``.  One ``translate`` (no regex)."""
+    to_underscore = _SPACE_AND_DOT + ("-" if scalar or strict else "")
+    return F.translate(key, to_underscore + _AT, "_" * len(to_underscore))
+
+
+def json_rewrite(
+    doc: Column | str,
+    depth: int = DEFAULT_DEPTH,
+    clean_keys: bool = True,
+    strict: bool = False,
+    replace: Mapping[str, Column | str] | None = None,
+) -> Column:
+    """J4 + J5 in one pass over the document: clean every key (``clean_keys``) and give
+    every non-object entry whose (cleaned) key is in ``replace`` the new value.  Two
+    keys that become equal keep the later entry (``mapKeyDedupPolicy=LAST_WIN``)."""
+    values = {
+        k: (v if isinstance(v, Column) else F.lit(v)).cast("string").cast("variant")
+        for k, v in (replace or {}).items()
+    }
+
+    def on_object(k: Column) -> Column:
+        return clean_key(k, scalar=False, strict=strict) if clean_keys else k
+
+    def on_value(k: Column, old: Column):
+        new_key = clean_key(k, scalar=True, strict=strict) if clean_keys else k
+        new_value = old
+        for name, v in values.items():
+            new_value = F.when(new_key == name, v).otherwise(new_value)
+        return new_key, new_value
+
+    return _rebuild(_col(doc), depth, on_object, on_value)
+
+
+def json_replace(
+    doc: Column | str, key: str, value: Column | str, depth: int = DEFAULT_DEPTH
+) -> Column:
+    """Every non-object entry named ``key`` (any depth) gets ``value``; nothing is added."""
+    return json_rewrite(doc, depth, clean_keys=False, replace={key: value})
 
 
 def json_sanitize_keys(
@@ -152,12 +178,7 @@ def json_sanitize_keys(
 ) -> Column:
     """Make every key at every depth a legal column name (see :func:`clean_key`).
     Two keys that become equal keep the later entry (``mapKeyDedupPolicy=LAST_WIN``)."""
-    return _rebuild(
-        _col(doc),
-        depth,
-        on_object=lambda k: clean_key(k, scalar=False, strict=strict),
-        on_value=lambda k, old: (clean_key(k, scalar=True, strict=strict), old),
-    )
+    return json_rewrite(doc, depth, clean_keys=True, strict=strict)
 
 
 def _drop_scalar_key(doc: Column, key: str, depth: int) -> Column:

@@ -1,7 +1,7 @@
 """Stage-2 column operators: payload discovery and flattening, then refinement.
 
-Flattening reads the payload object as ``MAP<STRING,VARIANT>`` and turns each key into
-a column with ``payload[key]`` — a map lookup per key, no re-parse and no schema
+Flattening keeps the payload object as ``VARIANT`` and turns each key into a column with
+``try_variant_get`` (binary search in the sorted fields) — no re-parse and no schema
 inference pass over the data.  The key list is the only thing collected to the driver.
 """
 
@@ -29,16 +29,31 @@ def _q(name: str) -> Column:
 
 
 def prepare(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
-    """Parse once; keep the payload map and the root side fields (as text)."""
+    """Parse once; keep the payload (``VARIANT``) and the root side fields (as text)."""
     doc = J.parse_doc(text)
     side = [doc[s].cast("string").alias(s.lower()) for s in p.side_fields]
-    return df.select(doc[p.payload].try_cast(J.DOC_TYPE).alias(PAYLOAD), *side)
+    return df.select(doc[p.payload].alias(PAYLOAD), *side)
+
+
+def _payload_map() -> Column:
+    return F.col(PAYLOAD).try_cast(J.DOC_TYPE)  # null unless the payload is an object
+
+
+def payload_field(key: str) -> Column:
+    """One payload value as text.  ``VARIANT`` objects keep their fields sorted, so
+    ``try_variant_get`` finds a key by binary search — O(log n) per column, where a map
+    lookup would scan every entry for every column of a wide payload."""
+    if "'" not in key:
+        return F.try_variant_get(F.col(PAYLOAD), f"$['{key}']", "string")
+    if '"' not in key:
+        return F.try_variant_get(F.col(PAYLOAD), f'$["{key}"]', "string")
+    return _payload_map()[key].cast("string")
 
 
 def discover_keys(prepared: DataFrame, limit: int | None = None) -> list[str]:
     """Distinct payload keys of the batch, sorted.  Map-side partial aggregation keeps
     the shuffle to one row per key and task."""
-    keys = prepared.select(F.explode(F.map_keys(PAYLOAD)).alias("k")).distinct()
+    keys = prepared.select(F.explode(F.map_keys(_payload_map())).alias("k")).distinct()
     if limit is not None:
         keys = keys.orderBy("k").limit(limit)
     return sorted(r["k"] for r in keys.collect())
@@ -60,11 +75,11 @@ def flatten(prepared: DataFrame, p: Profile, keys: Sequence[str], max_columns: i
     cols: list[Column] = []
     kept = names[:max_columns]
     for name in kept:
-        variants = [F.col(PAYLOAD)[k].cast("string") for k in groups[name]]
+        variants = [payload_field(k) for k in groups[name]]
         cols.append((variants[0] if len(variants) == 1 else F.coalesce(*variants)).alias(name))
     if len(names) > max_columns:
         flat_keys = [k for n in kept for k in groups[n]]
-        rest = F.map_filter(PAYLOAD, lambda k, v: ~k.isin(flat_keys))
+        rest = F.map_filter(_payload_map(), lambda k, v: ~k.isin(flat_keys))
         cols.append(F.when(F.size(rest) > 0, F.to_json(rest)).alias(REST))
     return prepared.select(*cols, *[_q(s.lower()) for s in p.side_fields])
 

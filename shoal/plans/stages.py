@@ -53,14 +53,15 @@ def stage1_row(text: Column, p: Profile) -> Column:
                 required = F.lit(True)
                 for key in p.require_keys:
                     required = required & J.json_has(s, key, depth)
-                out = F.struct(
-                    J.doc_to_json(J.json_replace(s, STAMP_KEY, p.hw_stamp, depth)).alias("value"),
-                    date.alias("date"),
-                    hour.alias("hour"),
-                )
+                out = F.struct(J.doc_to_json(s).alias("value"), date.alias("date"), hour.alias("hour"))
                 return F.when(required, out)
 
-            return F.when(T.valid_epoch(t), _let(J.json_sanitize_keys(written, depth), on_clean))
+            # P3 + P4 in one rebuild: clean keys, and stamp every (cleaned) hw_type
+            clean = J.json_rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: p.hw_stamp})
+            if not p.require_keys:
+                return F.when(T.valid_epoch(t), F.struct(
+                    J.doc_to_json(clean).alias("value"), date.alias("date"), hour.alias("hour")))
+            return F.when(T.valid_epoch(t), _let(clean, on_clean))
 
         has_device = J.json_has(d, list(p.device_keys), depth)
         return F.when(has_device, _let(J.json_find(d, p.time_field, depth), on_epoch))
