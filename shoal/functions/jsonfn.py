@@ -47,6 +47,23 @@ def parse_doc(text: Column | str) -> Column:
     return F.try_parse_json(_col(text)).try_cast(DOC_TYPE)
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and refer to it any number of times in ``body(value)``
+    (a one-element ``transform``: the lambda variable is the binding)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def bind_once(df, columns):
+    """Add ``columns`` (name → Column) as plain attributes computed exactly once per row.
+
+    They leave through ``inline`` of a one-element array, i.e. a ``Generate`` node.
+    A filter on a derived column is otherwise pushed below its projection by Catalyst,
+    which copies the expression (a JSON parse, say) into every predicate; a filter on
+    a generated column cannot be pushed below the generator, so the work is done once."""
+    row = columns if isinstance(columns, Column) else F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def doc_to_json(doc: Column | str) -> Column:
     """Serialise a document back to JSON text (one pass, at the end)."""
     return F.to_json(_col(doc))

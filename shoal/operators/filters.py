@@ -23,8 +23,10 @@ INLINE_ALLOW_LIST_MAX = 10_000
 
 
 def with_doc(df: DataFrame, text: str = "value", doc: str = "doc") -> DataFrame:
-    """Parse the JSON text once; malformed rows carry a null ``doc``."""
-    return df.withColumn(doc, J.parse_doc(text))
+    """Parse the JSON text once; malformed rows carry a null ``doc``.  The parsed
+    column is bound once (see :func:`shoal.functions.jsonfn.bind_once`), so later
+    filters and projections on ``doc`` never re-parse."""
+    return J.bind_once(df, {doc: J.parse_doc(text)})
 
 
 def device_predicate(doc: Column | str = "doc", keys: Iterable[str] = DEVICE_KEYS) -> Column:

@@ -174,11 +174,12 @@ def _text_roundtrip(table: str, id_cols: tuple[str, ...], text_col: str) -> Quer
             *[F.col(c).alias(f"@{c}") for c in id_cols],
             F.struct(F.col(text_col).alias("body text"), F.lit("x").alias("mac")).alias("pay.load"),
         )
-        doc = J.json_sanitize_keys(J.parse_doc(F.to_json(body)))
-        return src.select(
+        clean = J.bind_once(src.select(*id_cols, F.to_json(body).alias("_json")),
+                            {"doc": J.json_sanitize_keys(J.parse_doc("_json"))})
+        return clean.select(
             *id_cols,
-            J.json_find(doc, "body_text").alias(text_col),
-            J.json_has(doc, "mac").alias("has_device"),
+            J.json_find("doc", "body_text").alias(text_col),
+            J.json_has("doc", "mac").alias("has_device"),
         )
 
     return run

@@ -34,9 +34,7 @@ STAMP_KEY = "hw_type"
 HOUR_KEY = "hour"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and refer to it any number of times in ``body``."""
-    return F.get(F.transform(F.array(value), body), 0)
+_let = J.let
 
 
 def stage1_row(text: Column, p: Profile) -> Column:

@@ -9,9 +9,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the expressions depend on.
+# Runtime settings the expressions depend on (nothing else is touched; per-write
+# options such as dynamic partition overwrite are passed on the write itself).
 #  * duplicate keys in one JSON object: the last one wins instead of a null document;
 #  * map building (key clean-up can make two keys equal): the last entry wins;
 #  * column names resolve case-insensitively, like the Hive tables we feed.
@@ -19,10 +20,6 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.caseSensitive": "false",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -49,7 +46,8 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.streaming.schemaInference", "true")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -58,6 +56,19 @@ def build_session(
     return configure(spark)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure CPU-heavy per-row work gets every core.
+
+    A scan yields one task per file split; an unsplittable input (one row group, one
+    compressed file) gives a single task however many cores there are.  When the scan
+    has fewer partitions than the cluster's parallelism the rows are dealt round-robin
+    over that many partitions; otherwise — the normal case at scale — nothing changes
+    and no shuffle is added.  Looks at the plan only; runs no job."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 

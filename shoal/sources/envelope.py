@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoal.session import spread
+
 # Fixed values of the fixture (mirrored in the oracle SQL).
 FUTURE_SHIFT_MS = 30_000_000_000_000  # about 950 years
 PAST_SHIFT_MS = 500_000_000_000  # about 16 years back, into 2008
@@ -35,7 +37,8 @@ TIME_KEYS = {"events": "event_time", "metrics": "epoch_time"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table, spread over the cores when its files give fewer tasks."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _sub_type(event_type: Column) -> Column:
@@ -46,8 +49,9 @@ def _sub_type(event_type: Column) -> Column:
     return mapped
 
 
-def envelope(events: DataFrame, family: str = "events") -> DataFrame:
-    """``events`` rows → one ``value`` column of device JSON text (plus ``event_id``)."""
+def envelope(events: DataFrame, family: str = "events", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``events`` rows → one ``value`` column of device JSON text (plus ``event_id`` and
+    any ``keep`` columns of ``events``)."""
     time_key = TIME_KEYS[family]
     cls = F.col("event_id") % 10
     ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
@@ -89,10 +93,10 @@ def envelope(events: DataFrame, family: str = "events") -> DataFrame:
     return (
         events.select("event_id", "ts", "user_id", "event_type", "value", "props")
         .withColumn("_json", F.to_json(root))
-        .select("event_id", F.when(cls == 5, cut).otherwise(F.col("_json")).alias("value"))
+        .select("event_id", F.when(cls == 5, cut).otherwise(F.col("_json")).alias("value"), *keep)
     )
 
 
-def device_messages(spark: SparkSession, sf_dir: str, family: str = "events") -> DataFrame:
+def device_messages(spark: SparkSession, sf_dir: str, family: str = "events", keep: tuple[str, ...] = ()) -> DataFrame:
     """The envelope of the whole ``events`` table of ``sf_dir``."""
-    return envelope(read_table(spark, sf_dir, "events"), family)
+    return envelope(read_table(spark, sf_dir, "events"), family, keep)

@@ -33,10 +33,9 @@ def _fresh_root(spark: SparkSession, tag: str) -> str:
 
 
 def _write_input(spark: SparkSession, sf_dir: str, family: str, path: str, where=None) -> None:
-    msgs = device_messages(spark, sf_dir, family)
+    msgs = device_messages(spark, sf_dir, family, keep=("ts",))
     if where is not None:
-        events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts")
-        msgs = msgs.join(events.filter(where), "event_id", "left_semi")
+        msgs = msgs.filter(where)
     msgs.select("value").repartition(INPUT_FILES).write.mode("append").text(path)
 
 

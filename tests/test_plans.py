@@ -15,7 +15,10 @@ def test_stage1_has_no_python_and_parses_once(spark):
     text = plan_text(S.stage1(device_messages(spark, SF_SMALL, p.family), p))
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert text.count("parseJson(value") == 1
-    assert "Exchange" not in text  # stage 1 is a narrow transformation
+    # stage 1 is narrow: the only exchange allowed is the round-robin spread of a
+    # single-file input over the cores (no hash shuffle on any key)
+    assert "hashpartitioning" not in text
+    assert text.count("Exchange") == text.count("RoundRobinPartitioning")
 
 
 def test_envelope_scan_is_pruned(spark):
@@ -34,4 +37,5 @@ def test_stage2_only_shuffles_key_names(spark):
         __import__("pyspark.sql.functions", fromlist=["F"]).map_keys(R._payload_map())).alias("k")).distinct())
     assert "HashAggregate" in keys_plan  # partial aggregation before the exchange
     table_plan = plan_text(R.refine(R.flatten(prepared, p, R.discover_keys(prepared)), p))
-    assert "Exchange" not in table_plan
+    assert "hashpartitioning" not in table_plan
+    assert table_plan.count("parseJson(value") == 2  # stage 1 once, stage 2 once
