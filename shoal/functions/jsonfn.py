@@ -134,10 +134,9 @@ def _rebuild(doc: Column, depth: int, on_object, on_value) -> Column:
         else:
             obj_value = e["value"]  # below the depth limit: untouched
         new_key, new_value = on_value(e["key"], e["value"])
-        return F.struct(
-            F.when(sub.isNotNull(), on_object(e["key"])).otherwise(new_key).alias("k"),
-            F.when(sub.isNotNull(), obj_value).otherwise(new_value).alias("v"),
-        )
+        as_object = F.struct(on_object(e["key"]).alias("k"), obj_value.alias("v"))
+        as_value = F.struct(new_key.alias("k"), new_value.alias("v"))
+        return F.when(sub.isNotNull(), as_object).otherwise(as_value)
 
     return F.map_from_entries(F.transform(F.map_entries(doc), entry))
 
@@ -220,9 +219,11 @@ def json_copy(doc: Column | str, source: str, target: str, depth: int = DEFAULT_
     otherwise every scalar ``target`` is removed and ``target`` is set at the root to
     the value of ``source`` (found at any depth; null when absent)."""
     doc = _col(doc)
-    cleaned = _drop_scalar_key(doc, target, depth)
-    found = json_find(cleaned, source, depth)
-    return F.when(json_has(doc, target, depth), doc).otherwise(json_put(cleaned, {target: found}))
+
+    def fill(cleaned: Column) -> Column:
+        return json_put(cleaned, {target: json_find(cleaned, source, depth)})
+
+    return F.when(json_has(doc, target, depth), doc).otherwise(let(_drop_scalar_key(doc, target, depth), fill))
 
 
 # --------------------------------------------------------------------------- depth guard

@@ -22,6 +22,35 @@ BATCH_COLUMN = "ingest_batch"
 # included); tolerate six failed batches, fail on the seventh.
 REPAIR_EVERY = 80
 MAX_FAILED_BATCHES = 6
+# Stage-2 Parquet files hold up to this many rows; more rows in one output directory
+# of one batch are split over several writers.
+ROWS_PER_FILE = 1_000_000
+
+
+def spread_by_partition(df: DataFrame, parts: list[str], counts: list[dict], rows_per_file: int) -> DataFrame:
+    """Shuffle a batch so each output directory gets ``ceil(rows / rows_per_file)``
+    writers: a hot date or type is split over several tasks, a cold one gets a single
+    file instead of one tiny file from every input task.  ``counts`` holds one row per
+    directory (partition values + ``count``); the salt is a hash of the row's content,
+    so a retried task sends every row to the same writer again."""
+    if not counts:
+        return df
+    sep = "\u001f"
+    key_of = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in parts])
+    buckets = {
+        sep.join("\u0000" if c[k] is None else str(c[k]) for k in parts): max(1, -(-int(c["count"]) // rows_per_file))
+        for c in counts
+    }
+    total = sum(buckets.values())
+    hot = {k: n for k, n in buckets.items() if n > 1}
+    if hot:
+        n_for_row = F.coalesce(
+            F.create_map(*[x for k, n in hot.items() for x in (F.lit(k), F.lit(n))])[key_of], F.lit(1)
+        )
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), n_for_row)
+    else:
+        salt = F.lit(0)
+    return df.repartition(total, *[F.col(c) for c in parts], salt)
 
 
 def layout_for_sink(df: DataFrame, layout: str = "source", files_per_hour: int = 8) -> DataFrame:
@@ -80,6 +109,7 @@ class TableWriter:
     repair_every: int = REPAIR_EVERY
     max_failures: int = MAX_FAILED_BATCHES
     max_columns: int = R.MAX_COLUMNS
+    rows_per_file: int = ROWS_PER_FILE
     calls: int = 0
     failures: int = 0
     errors: list = field(default_factory=list)
@@ -95,8 +125,11 @@ class TableWriter:
             table = R.refine(R.flatten(prepared, p, keys, self.max_columns), p)
             table = table.withColumn(BATCH_COLUMN, F.lit(self.batch_tag(batch_id)))
             parts = [c.lower() for c in p.partitions] + [BATCH_COLUMN]
+            # rows per output directory: one row per directory, never per record
+            counts = [r.asDict() for r in table.groupBy(*parts).count().collect()]
             (
-                table.write.mode("overwrite")
+                spread_by_partition(table, parts, counts, self.rows_per_file)
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*parts)
                 .parquet(self.table_path)
@@ -104,8 +137,7 @@ class TableWriter:
             if self.table_name:
                 spark = batch.sparkSession
                 C.ensure_table(spark, self.table_name, self.table_path, table.columns, parts)
-                # the partitions this batch wrote: one row per directory, not per record
-                specs = [r.asDict() for r in table.select(*parts).distinct().collect()]
+                specs = [{k: v for k, v in c.items() if k != "count"} for c in counts]
                 registered = C.add_partitions(spark, self.table_name, specs)
                 if not registered or self.calls % self.repair_every == 0:
                     C.repair_table(spark, self.table_name)
