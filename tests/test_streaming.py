@@ -144,3 +144,21 @@ def test_failed_batch_is_quarantined(spark):
     assert spark.read.parquet(f"{root}/q").count() == 1
     with pytest.raises(RuntimeError):
         w(b, 1)
+
+
+def test_hot_partition_is_split_and_cold_ones_get_one_file(spark):
+    import glob
+
+    from shoal.streaming.sinks import TableWriter, read_table
+
+    root = tempfile.mkdtemp()
+    hot = [f'{{"metrics":{{"i":"{i}"}},"thedate":"2024-01-01"}}' for i in range(900)]
+    cold = [f'{{"metrics":{{"i":"{i}"}},"thedate":"2024-01-0{2 + i % 3}"}}' for i in range(30)]
+    batch = spark.createDataFrame([(v,) for v in hot + cold], "value string").repartition(6)
+    TableWriter(PROFILES["m7"], f"{root}/table", rows_per_file=200)(batch, 0)
+    files = lambda d: glob.glob(f"{root}/table/thedate={d}/*/*.parquet")
+    # ceil(900 / 200) = 5 salt groups for the hot date; hash placement may put two in
+    # one task, but the date is split over several writers either way
+    assert 3 <= len(files("2024-01-01")) <= 5
+    assert all(len(files(f"2024-01-0{d}")) == 1 for d in (2, 3, 4))
+    assert read_table(spark, f"{root}/table").count() == 930
