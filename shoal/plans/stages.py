@@ -37,9 +37,18 @@ HOUR_KEY = "hour"
 _let = J.let
 
 
+# Why a raw row left stage 1 (fixed values, reported by ``observe``).
+KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY = "kept", "malformed", "no_device", "bad_time", "missing_key"
+STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
+
+
 def stage1_row(text: Column, p: Profile) -> Column:
-    """``struct<value, date, hour>`` for a kept row, null for a dropped one."""
+    """``struct<value, date, hour, status>``: the clean row, or the reason it is dropped."""
     depth = p.depth
+    null = F.lit(None).cast("string")
+
+    def dropped(reason: str) -> Column:
+        return F.struct(null.alias("value"), null.alias("date"), null.alias("hour"), F.lit(reason).alias("status"))
 
     def on_doc(d: Column) -> Column:
         def on_epoch(t: Column) -> Column:
@@ -47,30 +56,49 @@ def stage1_row(text: Column, p: Profile) -> Column:
             date, hour = T.epoch_date(ms, p.tz), T.epoch_hour(ms, p.tz)
             written = J.json_put(d, {p.date_key: date, HOUR_KEY: hour})
 
+            def kept(s: Column) -> Column:
+                return F.struct(J.doc_to_json(s).alias("value"), date.alias("date"), hour.alias("hour"),
+                                F.lit(KEPT).alias("status"))
+
             def on_clean(s: Column) -> Column:
                 required = F.lit(True)
                 for key in p.require_keys:
                     required = required & J.json_has(s, key, depth)
-                out = F.struct(J.doc_to_json(s).alias("value"), date.alias("date"), hour.alias("hour"))
-                return F.when(required, out)
+                return F.when(required, kept(s)).otherwise(dropped(MISSING_KEY))
 
             # P3 + P4 in one rebuild: clean keys, and stamp every (cleaned) hw_type
             clean = J.json_rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: p.hw_stamp})
-            if not p.require_keys:
-                return F.when(T.valid_epoch(t), F.struct(
-                    J.doc_to_json(clean).alias("value"), date.alias("date"), hour.alias("hour")))
-            return F.when(T.valid_epoch(t), _let(clean, on_clean))
+            good = kept(clean) if not p.require_keys else _let(clean, on_clean)
+            return F.when(T.valid_epoch(t), good).otherwise(dropped(BAD_TIME))
 
         has_device = J.json_has(d, list(p.device_keys), depth)
-        return F.when(has_device, _let(J.json_find(d, p.time_field, depth), on_epoch))
+        return (
+            F.when(d.isNull(), dropped(MALFORMED))
+            .when(~has_device, dropped(NO_DEVICE))
+            .otherwise(_let(J.json_find(d, p.time_field, depth), on_epoch))
+        )
 
     return _let(J.parse_doc(text), on_doc)
 
 
-def stage1(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
-    """Raw JSON text → ``value`` (clean JSON), ``date``, ``hour`` of the kept rows."""
-    row = stage1_row(F.col(text), p)
-    return df.select(F.inline(F.filter(F.array(row), lambda r: r.isNotNull())))
+def stage1_counts() -> list[Column]:
+    """Row counts per outcome, for ``DataFrame.observe`` (batch or stream)."""
+    return [F.count(F.lit(1)).alias("rows_in")] + [
+        F.count_if(F.col("status") == s).alias(s) for s in STATUSES
+    ]
+
+
+def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None) -> DataFrame:
+    """Raw JSON text → ``value`` (clean JSON), ``date``, ``hour`` of the kept rows.
+
+    ``observe`` (a name, or a :class:`pyspark.sql.Observation`) reports how many rows
+    came in and why each dropped row left (malformed, no device, bad time, missing
+    key) — in a stream as the query progress's observed metrics.  The filter on the
+    generated ``status`` stays above the generator, so nothing is evaluated twice."""
+    rows = df.select(F.inline(F.array(stage1_row(F.col(text), p))))
+    if observe is not None:
+        rows = rows.observe(observe, *stage1_counts())
+    return rows.filter(F.col("status") == KEPT).drop("status")
 
 
 def stage1_steps(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:

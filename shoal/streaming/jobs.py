@@ -139,6 +139,16 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryTerminated(self, event):  # noqa: N802
         log.info("query %s terminated", event.id)
 
+    def observed(self, name: str) -> dict[str, int]:
+        """Sum of the observed metrics (e.g. stage-1 drop reasons) over kept events."""
+        total: dict[str, int] = {}
+        with self._lock:
+            for prog in (e for q in self.events.values() for e in q):
+                for metric in (prog.get("observedMetrics") or {}).get(name, {}).items():
+                    if isinstance(metric[1], (int, float)):
+                        total[metric[0]] = total.get(metric[0], 0) + int(metric[1])
+        return total
+
     def rows(self, name: str) -> int:
         with self._lock:
             return sum(int(p.get("numInputRows", 0)) for p in self.events.get(name, ()))
@@ -169,7 +179,8 @@ class ProfileStream:
 
     def start_stage1(self, trigger: dict):
         raw = read_stream(self.spark, self.source)
-        clean = layout_for_sink(stage1(raw, self.profile), self.layout, self.files_per_hour)
+        clean = stage1(raw, self.profile, observe=self._name("stage1_rows"))
+        clean = layout_for_sink(clean, self.layout, self.files_per_hour)
         return start_text_sink(clean, self.paths.raw, self.paths.checkpoint("stage1"), trigger, self._name("stage1"))
 
     def start_stage2(self, trigger: dict):

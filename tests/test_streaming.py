@@ -162,3 +162,16 @@ def test_hot_partition_is_split_and_cold_ones_get_one_file(spark):
     assert 3 <= len(files("2024-01-01")) <= 5
     assert all(len(files(f"2024-01-0{d}")) == 1 for d in (2, 3, 4))
     assert read_table(spark, f"{root}/table").count() == 930
+
+
+def test_stage1_counts_why_rows_drop(spark):
+    from pyspark.sql import Observation
+
+    p = PROFILES["e7"]
+    obs = Observation("stage1")
+    kept = S.stage1(device_messages(spark, SF_SMALL, p.family), p, observe=obs).count()
+    got = obs.get
+    # events classes (event_id % 10): 0 no device, 5 malformed, 1/3/4 bad time,
+    # 9 has no event_type (required by this profile)
+    assert got["rows_in"] == 1000 and got["kept"] == kept == 400
+    assert (got["malformed"], got["no_device"], got["bad_time"], got["missing_key"]) == (100, 100, 300, 100)
