@@ -26,6 +26,7 @@ class SourceOptions:
     max_files_per_trigger: int | None = None  # file sources
     fail_on_data_loss: bool = False  # carry on when offsets expired / files vanished
     options: Mapping[str, str] = field(default_factory=dict)  # pass-through
+    schema: str | None = None  # file sources: fixed schema (incl. partition columns)
 
 
 def kafka_options(o: SourceOptions) -> dict[str, str]:
@@ -57,14 +58,19 @@ def file_options(o: SourceOptions) -> dict[str, str]:
 
 
 def read_stream(spark: SparkSession, o: SourceOptions) -> DataFrame:
-    """The raw stream as ``value STRING``."""
+    """The raw stream (``value STRING``, plus partition columns of a file
+    source whose ``schema`` names them)."""
     if o.format == "kafka":
         reader = spark.readStream.format("kafka").options(**kafka_options(o))
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if not o.path:
         raise ValueError(f"a {o.format} source needs a path")
     reader = spark.readStream.format("text").options(**file_options(o))
-    return reader.load(o.path).select("value")
+    if o.schema:
+        # fixed up front: a directory that is still empty must not freeze the schema
+        # without the partition columns that later files bring
+        reader = reader.schema(o.schema)
+    return reader.load(o.path)
 
 
 def read_raw_batch(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:

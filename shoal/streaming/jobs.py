@@ -33,6 +33,8 @@ log = logging.getLogger(__name__)
 CATCH_UP_LAG = 5
 MAX_LAG = 10
 FILES_PER_BATCH = 1000
+# Stage-1 text as stage 2 reads it: the line and the two partition columns.
+RAW_SCHEMA = "value STRING, date STRING, hour STRING"
 
 
 class LagError(RuntimeError):
@@ -184,7 +186,10 @@ class ProfileStream:
         return start_text_sink(clean, self.paths.raw, self.paths.checkpoint("stage1"), trigger, self._name("stage1"))
 
     def start_stage2(self, trigger: dict):
-        src = SourceOptions(format="text", path=self.paths.raw, max_files_per_trigger=self.max_files_per_trigger)
+        fs, raw_dir = _fs(self.spark, self.paths.raw)
+        fs.mkdirs(raw_dir)  # stage 2 may start before stage 1 wrote anything
+        src = SourceOptions(format="text", path=self.paths.raw, max_files_per_trigger=self.max_files_per_trigger,
+                            schema=RAW_SCHEMA)
         raw = read_stream(self.spark, src)
         return (
             raw.writeStream.foreachBatch(self.writer)

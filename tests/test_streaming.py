@@ -175,3 +175,39 @@ def test_stage1_counts_why_rows_drop(spark):
     # 9 has no event_type (required by this profile)
     assert got["rows_in"] == 1000 and got["kept"] == kept == 400
     assert (got["malformed"], got["no_device"], got["bad_time"], got["missing_key"]) == (100, 100, 300, 100)
+
+
+def test_run_forever_processing_time(spark):
+    """Both queries on a processing-time trigger (the production path), stopped from
+    outside once the table holds every row; the listener saw the drop reasons."""
+    import threading
+    import time
+
+    from shoal.streaming import checks as SC
+    from shoal.streaming.jobs import ProgressRecorder
+
+    root = SC._fresh_root(spark, "forever")
+    SC._write_input(spark, SF_SMALL, "events", f"{root}/input")
+    job = SC._stream(spark, root, "e6")
+    recorder = ProgressRecorder()
+
+    def stop_when_done():
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            time.sleep(1)
+            try:
+                if SC.read_table(spark, f"{root}/table").count() >= 200:
+                    break
+            except Exception:  # noqa: BLE001 — table not written yet
+                pass
+        time.sleep(2)  # let the listener receive the last progress events
+        for q in spark.streams.active:
+            q.stop()
+
+    stopper = threading.Thread(target=stop_when_done)
+    stopper.start()
+    job.run_forever(trigger_seconds=1, recorder=recorder, poll=1.0)
+    stopper.join()
+    assert SC.read_table(spark, f"{root}/table").count() == 200  # classes 2 and 6
+    seen = recorder.observed(f"{job.profile.name}_stage1_rows_g0")
+    assert seen.get("rows_in") == 1000 and seen.get("kept") == 500
