@@ -42,13 +42,17 @@ KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY = "kept", "malformed", "no_dev
 STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
 
 
-def stage1_row(text: Column, p: Profile) -> Column:
-    """``struct<value, date, hour, status>``: the clean row, or the reason it is dropped."""
+def stage1_row(text: Column, p: Profile, track_depth: bool = False) -> Column:
+    """``struct<value, date, hour, status, too_deep>``: the clean row, or the reason it
+    is dropped.  ``too_deep`` (only computed with ``track_depth``) flags documents with
+    objects below the walk depth, which the walkers leave untouched."""
     depth = p.depth
     null = F.lit(None).cast("string")
+    no = F.lit(False)
 
     def dropped(reason: str) -> Column:
-        return F.struct(null.alias("value"), null.alias("date"), null.alias("hour"), F.lit(reason).alias("status"))
+        return F.struct(null.alias("value"), null.alias("date"), null.alias("hour"), F.lit(reason).alias("status"),
+                        no.alias("too_deep"))
 
     def on_doc(d: Column) -> Column:
         def on_epoch(t: Column) -> Column:
@@ -57,8 +61,9 @@ def stage1_row(text: Column, p: Profile) -> Column:
             written = J.json_put(d, {p.date_key: date, HOUR_KEY: hour})
 
             def kept(s: Column) -> Column:
+                deep = J.json_depth_exceeds(d, depth) if track_depth else no
                 return F.struct(J.doc_to_json(s).alias("value"), date.alias("date"), hour.alias("hour"),
-                                F.lit(KEPT).alias("status"))
+                                F.lit(KEPT).alias("status"), deep.alias("too_deep"))
 
             def on_clean(s: Column) -> Column:
                 required = F.lit(True)
@@ -85,20 +90,20 @@ def stage1_counts() -> list[Column]:
     """Row counts per outcome, for ``DataFrame.observe`` (batch or stream)."""
     return [F.count(F.lit(1)).alias("rows_in")] + [
         F.count_if(F.col("status") == s).alias(s) for s in STATUSES
-    ]
+    ] + [F.count_if(F.col("too_deep")).alias("too_deep")]
 
 
-def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None) -> DataFrame:
+def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None, track_depth: bool = False) -> DataFrame:
     """Raw JSON text → ``value`` (clean JSON), ``date``, ``hour`` of the kept rows.
 
     ``observe`` (a name, or a :class:`pyspark.sql.Observation`) reports how many rows
     came in and why each dropped row left (malformed, no device, bad time, missing
     key) — in a stream as the query progress's observed metrics.  The filter on the
     generated ``status`` stays above the generator, so nothing is evaluated twice."""
-    rows = df.select(F.inline(F.array(stage1_row(F.col(text), p))))
+    rows = df.select(F.inline(F.array(stage1_row(F.col(text), p, track_depth))))
     if observe is not None:
         rows = rows.observe(observe, *stage1_counts())
-    return rows.filter(F.col("status") == KEPT).drop("status")
+    return rows.filter(F.col("status") == KEPT).drop("status", "too_deep")
 
 
 def stage1_steps(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:

@@ -169,6 +169,7 @@ class ProfileStream:
     files_per_hour: int = 8
     max_files_per_trigger: int = FILES_PER_BATCH
     max_lag: int = MAX_LAG
+    track_depth: bool = False  # count kept rows with objects below the walk depth
 
     def __post_init__(self):
         configure(self.spark)
@@ -181,7 +182,7 @@ class ProfileStream:
 
     def start_stage1(self, trigger: dict):
         raw = read_stream(self.spark, self.source)
-        clean = stage1(raw, self.profile, observe=self._name("stage1_rows"))
+        clean = stage1(raw, self.profile, observe=self._name("stage1_rows"), track_depth=self.track_depth)
         clean = layout_for_sink(clean, self.layout, self.files_per_hour)
         return start_text_sink(clean, self.paths.raw, self.paths.checkpoint("stage1"), trigger, self._name("stage1"))
 

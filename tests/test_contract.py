@@ -139,3 +139,43 @@ def test_case_twins(spark):
     flat = R.flatten(prepared, p, R.discover_keys(prepared))
     assert flat.columns == ["a", "thedate"]
     assert [r["a"] for r in flat.collect()] == ["1", "1"]
+
+
+def test_stage1_counts_too_deep_documents(spark):
+    from pyspark.sql import Observation
+
+    from shoal.plans import stages as S
+    from shoal.plans.profiles import PROFILES
+
+    p = PROFILES["m7"].with_options(depth=3)
+    ok = '{"metrics":{"mac":"m","epoch_time":"1634909251","o":{"x":1}}}'
+    deep = '{"metrics":{"mac":"m","epoch_time":"1634909251","o":{"p":{"q-r":1}}}}'
+    df = spark.createDataFrame([(ok,), (deep,)], "value string")
+    obs = Observation("depth")
+    rows = S.stage1(df, p, observe=obs, track_depth=True).collect()
+    assert len(rows) == 2 and obs.get["too_deep"] == 1
+    # the subtree below the limit is left as it was
+    assert '"q-r":1' in [r["value"] for r in rows if '"p"' in r["value"]][0]
+
+
+def test_flatten_odd_keys(spark):
+    from shoal.operators import refine as R
+    from shoal.plans.profiles import PROFILES
+
+    p = PROFILES["m7"]
+    odd = {"it's": "1", 'say "hi"': "2", "both'\"": "3"}  # quote kinds: ', ", and both
+    text = json.dumps({"metrics": odd, "thedate": "d"})
+    prepared = R.prepare(spark.createDataFrame([(text,)], "value string"), p)
+    row = R.flatten(prepared, p, R.discover_keys(prepared)).collect()[0].asDict()
+    assert row == {**odd, "thedate": "d"}
+
+
+def test_read_raw_batch_reads_committed_text(spark):
+    import tempfile
+
+    from shoal.sources.stream import read_raw_batch
+
+    d = tempfile.mkdtemp() + "/raw"
+    spark.createDataFrame([("a", "2024-01-01", "01")], "value string, date string, hour string") \
+        .write.partitionBy("date", "hour").text(d)
+    assert [r["value"] for r in read_raw_batch(spark, d).collect()] == ["a"]
