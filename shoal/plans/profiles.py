@@ -5,7 +5,7 @@ One pipeline (``shoal.plans.stages``) runs every profile; a profile is plain dat
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Event names the V5 and V5c event streams let through (95 names, in
 # their original order).

@@ -18,7 +18,7 @@ row exactly once.  ``stage1_steps`` is the same logic as a chain of DataFrame op
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
