@@ -64,8 +64,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     has fewer partitions than the cluster's parallelism the rows are dealt round-robin
     over that many partitions; otherwise — the normal case at scale — nothing changes
     and no shuffle is added.  Looks at the plan only; runs no job."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — no RDD view (e.g. a Connect session): leave as is
+        return df
     return df.repartition(want) if have < want else df
 
 
