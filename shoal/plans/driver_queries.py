@@ -231,7 +231,12 @@ _PROPS = "CAST(json(props) AS VARCHAR)"
 _KEPT = "cls IN (2, 6, 7, 8, 9)"  # rows stage 1 keeps (device, digits, plausible time)
 
 
-def _profile_sql(p: Profile) -> str:
+def profile_sql_with(p: Profile, wrap: dict[str, str]) -> str:
+    """The profile's SQL with some payload columns wrapped (``{}`` is the column)."""
+    return _profile_sql(p, wrap)
+
+
+def _profile_sql(p: Profile, wrap: dict[str, str] | None = None) -> str:
     s = p.hw_stamp
     time_col = p.time_field
     cols: dict[str, str] = {
@@ -248,6 +253,8 @@ def _profile_sql(p: Profile) -> str:
         "sub_type": _SUB_TYPE,
         "viewing_duration": _DURATION,
     }
+    for name, template in (wrap or {}).items():
+        cols[name] = template.format(cols[name])
     if p.family == "events":
         cols.update({
             "event_date": _DATE,

@@ -49,9 +49,11 @@ def _sub_type(event_type: Column) -> Column:
     return mapped
 
 
-def envelope(events: DataFrame, family: str = "events", keep: tuple[str, ...] = ()) -> DataFrame:
+def envelope(events: DataFrame, family: str = "events", keep: tuple[str, ...] = (),
+             without: tuple[str, ...] = ()) -> DataFrame:
     """``events`` rows → one ``value`` column of device JSON text (plus ``event_id`` and
-    any ``keep`` columns of ``events``)."""
+    any ``keep`` columns of ``events``).  Payload fields named in ``without`` are left
+    out, as older devices would send them."""
     time_key = TIME_KEYS[family]
     cls = F.col("event_id") % 10
     ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
@@ -83,6 +85,8 @@ def envelope(events: DataFrame, family: str = "events", keep: tuple[str, ...] =
         F.when(extra, F.lit("s")).alias("e f"),
         F.when(extra, F.lit(True)).alias("@g"),
     )
+    if without:
+        payload = payload.dropFields(*without)
     root = F.struct(
         F.col("event_id").alias("@id"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("logstash.processed-at"),
@@ -97,6 +101,7 @@ def envelope(events: DataFrame, family: str = "events", keep: tuple[str, ...] =
     )
 
 
-def device_messages(spark: SparkSession, sf_dir: str, family: str = "events", keep: tuple[str, ...] = ()) -> DataFrame:
+def device_messages(spark: SparkSession, sf_dir: str, family: str = "events", keep: tuple[str, ...] = (),
+                    without: tuple[str, ...] = ()) -> DataFrame:
     """The envelope of the whole ``events`` table of ``sf_dir``."""
-    return envelope(read_table(spark, sf_dir, "events"), family, keep)
+    return envelope(read_table(spark, sf_dir, "events"), family, keep, without)

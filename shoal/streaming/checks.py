@@ -32,8 +32,8 @@ def _fresh_root(spark: SparkSession, tag: str) -> str:
     return f"{scratch_root(spark)}/shoal-check-{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def _write_input(spark: SparkSession, sf_dir: str, family: str, path: str, where=None) -> None:
-    msgs = device_messages(spark, sf_dir, family, keep=("ts",))
+def _write_input(spark: SparkSession, sf_dir: str, family: str, path: str, where=None, without=()) -> None:
+    msgs = device_messages(spark, sf_dir, family, keep=("ts",), without=without)
     if where is not None:
         msgs = msgs.filter(where)
     msgs.select("value").repartition(INPUT_FILES).write.mode("append").text(path)
@@ -79,6 +79,19 @@ def q_stream_repair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop("ingest_batch")
 
 
+def q_stream_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table gains a column between two arrivals (older devices did not send
+    ``viewing_duration``); the merged read holds every row under the union of columns."""
+    configure(spark)
+    root = _fresh_root(spark, "e7s")
+    cut = F.lit(SECOND_ARRIVAL).cast("timestamp_ntz")
+    _write_input(spark, sf_dir, "events", f"{root}/input", F.col("ts") < cut, without=("viewing_duration",))
+    _stream(spark, root, "e7").run_available_now()
+    _write_input(spark, sf_dir, "events", f"{root}/input", F.col("ts") >= cut)
+    _stream(spark, root, "e7").run_available_now()
+    return read_table(spark, f"{root}/table")
+
+
 class _CrashOnce(TableWriter):
     """Fails right after the data of one batch is written (before the commit)."""
 
@@ -111,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_catch_up": q_stream_catch_up,
     "stream_repair_table": q_stream_repair_table,
     "stream_restart": q_stream_restart,
+    "stream_schema_evolution": q_stream_schema_evolution,
 }
 
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
@@ -119,4 +133,8 @@ _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
 
 def oracles() -> dict[str, str]:
     base = DQ.oracles()
-    return {name: base[profile] for name, profile in _SAME_AS.items()}
+    out = {name: base[profile] for name, profile in _SAME_AS.items()}
+    # before the second arrival the devices sent no viewing_duration
+    out["stream_schema_evolution"] = DQ.profile_sql_with(
+        PROFILES["e7"], {"viewing_duration": f"CASE WHEN ts >= TIMESTAMP '{SECOND_ARRIVAL}' THEN {{}} END"})
+    return out

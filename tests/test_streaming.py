@@ -26,7 +26,8 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", ["stream_two_stage", "stream_catch_up", "stream_repair_table", "stream_restart"])
+@pytest.mark.parametrize("name", ["stream_two_stage", "stream_catch_up", "stream_repair_table", "stream_restart",
+                                  "stream_schema_evolution"])
 def test_stream_equals_batch(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
