@@ -179,3 +179,15 @@ def test_read_raw_batch_reads_committed_text(spark):
     spark.createDataFrame([("a", "2024-01-01", "01")], "value string, date string, hour string") \
         .write.partitionBy("date", "hour").text(d)
     assert [r["value"] for r in read_raw_batch(spark, d).collect()] == ["a"]
+
+
+def test_has_column_and_drop_duplicate_columns(spark):
+    from shoal.operators.refine import drop_duplicate_columns, has_column
+
+    a = spark.createDataFrame([(1, "x", (2,))], "id int, v string, s struct<n:int>")
+    b = spark.createDataFrame([(1, "y")], "id int, v string")
+    assert has_column(a, "s.n") and has_column(a, "V") and not has_column(a, "s.m") and not has_column(a, "v.n")
+    joined = a.join(b, a["id"] == b["id"])
+    out = drop_duplicate_columns(joined, b)
+    assert out.columns == ["id", "v", "s"]
+    assert out.collect()[0]["v"] == "x"  # the other frame's copy is the one dropped
