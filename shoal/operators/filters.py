@@ -108,9 +108,10 @@ def allow_list_filter(
             cond = [df[f"`{c}`"].eqNullSafe(hit[f"`{c}`"]) for c in cols]
             return df.join(hit, cond, "left_semi")
         keyed = df.withColumn("_tok", F.col(column))
-        kept = keyed.join(names, F.col("_tok") == F.col("_allowed"), "left_semi")
-        passed = keyed.filter(F.col("_tok").isNull() | (F.col("_tok") == ALWAYS_ALLOWED))
-        return kept.unionByName(passed).drop("_tok")
+        always = F.col("_tok").isNull() | (F.col("_tok") == ALWAYS_ALLOWED)
+        # the two branches are disjoint, so no row comes out twice
+        kept = keyed.filter(~always).join(names, F.col("_tok") == F.col("_allowed"), "left_semi")
+        return kept.unionByName(keyed.filter(always)).drop("_tok")
     lit_set = F.array(*[F.lit(n) for n in names + [ALWAYS_ALLOWED]])
     if scope == "any_column":
         return df.filter(F.arrays_overlap(row_tokens(df), lit_set))

@@ -78,6 +78,8 @@ def test_allow_list_dataframe_paths(spark):
     FL.INLINE_ALLOW_LIST_MAX = 0  # force the join path
     try:
         assert sorted(r["o"] for r in FL.allow_list_filter(df, allowed).collect()) == ["a", "c", "d"]
+        with_app = spark.createDataFrame([("HUB",), ("APP",)], "name string")
+        assert sorted(r["o"] for r in FL.allow_list_filter(df, with_app).collect()) == ["a", "c", "d"]
         assert sorted(r["o"] for r in FL.allow_list_filter(df, allowed, scope="any_column").collect()) == ["HUB", "a", "d"]
     finally:
         FL.INLINE_ALLOW_LIST_MAX = old
