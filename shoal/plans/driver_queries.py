@@ -204,6 +204,7 @@ QUERIES: dict[str, Query] = {
     **{f"profile_{k}": _profile_query(k) for k in PROFILES},
     "text_roundtrip_conversations": _text_roundtrip("conversations", ("conv_id", "turn", "role"), "text"),
     "text_roundtrip_documents": _text_roundtrip("documents", ("doc_id", "lang", "source"), "text"),
+    "text_roundtrip_pages": _text_roundtrip("pages", ("page_id", "url"), "html"),
 }
 
 
@@ -336,6 +337,7 @@ _ORACLES: dict[str, str] = {
     **{f"profile_{k}": _profile_sql(p) for k, p in PROFILES.items()},
     "text_roundtrip_conversations": "SELECT conv_id, turn, role, text, true AS has_device FROM conversations",
     "text_roundtrip_documents": "SELECT doc_id, lang, source, text, true AS has_device FROM documents",
+    "text_roundtrip_pages": "SELECT page_id, url, html, true AS has_device FROM pages",
 }
 
 
