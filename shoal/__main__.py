@@ -5,6 +5,7 @@
         --max-offsets 5000000 --kafka-option kafka.bootstrap.servers=host:9092
     python -m shoal run m5 --source-format text --source-path /data/in --available-now
     python -m shoal repair events_v7,metrics_v5
+    python -m shoal compact e7 --root s3://bucket/shoal/e7 --table-name events_v7
 
 Every setting of the eight stream entry points is a named option here (start offsets,
 checkpoint/data root, table name, rate limits, poll time, trigger, clean start); the
@@ -22,6 +23,7 @@ from shoal.plans.profiles import PROFILES
 from shoal.session import configure
 from shoal.sources.stream import SourceOptions
 from shoal.streaming.catalog import repair_tables
+from shoal.streaming.compaction import compact
 from shoal.streaming.jobs import ProfileStream, StreamPaths
 
 
@@ -61,6 +63,12 @@ def parser() -> argparse.ArgumentParser:
 
     rep = sub.add_parser("repair", help="register the partitions of tables (comma separated)")
     rep.add_argument("tables")
+
+    com = sub.add_parser("compact", help="merge committed batch directories of a profile's table")
+    com.add_argument("profile", choices=sorted(PROFILES))
+    com.add_argument("--root", help="the root the stream runs under")
+    com.add_argument("--table-name")
+    com.add_argument("--min-batches", type=int, default=2)
     return ap
 
 
@@ -91,6 +99,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name in repair_tables(spark, args.tables):
             print(f"repaired {name}")
         return 0
+    if args.command == "compact":
+        paths = StreamPaths.open(spark, args.root)
+        for d in compact(spark, paths, PROFILES[args.profile], args.min_batches, table_name=args.table_name):
+            print(f"compacted {d}")
+        return 0
     spark.sparkContext.setLogLevel(args.log_level)
     job = build_job(spark, args)
     if args.available_now:

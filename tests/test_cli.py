@@ -32,3 +32,22 @@ def test_available_now_run_and_repair(spark, capsys):
     assert main(["repair", "shoal_cli_m7"], spark=spark) == 0
     assert "repaired shoal_cli_m7" in capsys.readouterr().out
     assert spark.table("shoal_cli_m7").count() == 500
+
+
+def test_compact_command(spark, capsys):
+    import os
+
+    from shoal.plans.profiles import PROFILES
+    from shoal.streaming.jobs import StreamPaths
+    from shoal.streaming.sinks import TableWriter
+
+    root = tempfile.mkdtemp()
+    paths = StreamPaths(root)
+    w = TableWriter(PROFILES["m7"], paths.table)
+    for b in range(2):
+        w(spark.createDataFrame([(f'{{"metrics":{{"i":"{b}"}},"thedate":"2024-01-01"}}',)], "value string"), b)
+    os.makedirs(f"{paths.checkpoint('stage2')}/commits")
+    open(f"{paths.checkpoint('stage2')}/commits/1", "w").close()
+    assert main(["compact", "m7", "--root", root], spark=spark) == 0
+    assert "compacted" in capsys.readouterr().out
+    assert read_table(spark, paths.table).count() == 2

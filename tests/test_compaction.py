@@ -1,0 +1,71 @@
+"""Compaction merges committed batch directories and never changes the rows."""
+
+import glob
+import os
+import tempfile
+
+from shoal.plans.profiles import PROFILES
+from shoal.streaming.compaction import compact, committed_batch
+from shoal.streaming.jobs import StreamPaths
+from shoal.streaming.sinks import TableWriter, read_table
+
+
+def _batch(spark, start, n):
+    rows = [(f'{{"metrics":{{"i":"{i}","mac":"m"}},"thedate":"2024-01-0{1 + i % 2}"}}',) for i in range(start, start + n)]
+    return spark.createDataFrame(rows, "value string")
+
+
+def _commit(paths, batch_id):
+    d = os.path.join(paths.checkpoint("stage2"), "commits")
+    os.makedirs(d, exist_ok=True)
+    open(os.path.join(d, str(batch_id)), "w").close()
+
+
+def _rows(spark, paths):
+    return sorted((r["i"], r["thedate"]) for r in read_table(spark, paths.table).collect())
+
+
+def test_compaction_keeps_rows_and_spares_open_batches(spark):
+    paths = StreamPaths(tempfile.mkdtemp())
+    p = PROFILES["m7"]
+    w = TableWriter(p, paths.table, table_name="shoal_compact_t")
+    for b in range(3):
+        w(_batch(spark, b * 10, 10), b)
+    _commit(paths, 0)
+    _commit(paths, 1)
+    assert committed_batch(spark, paths.checkpoint("stage2")) == 1
+    before = _rows(spark, paths)
+
+    written = compact(spark, paths, p, table_name="shoal_compact_t")
+    assert len(written) == 2  # one per date
+    dirs = sorted(os.path.basename(d) for d in glob.glob(f"{paths.table}/thedate=2024-01-01/*"))
+    assert dirs == ["ingest_batch=0000-000000000001-c", "ingest_batch=0000-000000000002"]  # batch 2 is open
+    assert _rows(spark, paths) == before
+    assert spark.table("shoal_compact_t").count() == 30
+
+    w(_batch(spark, 20, 10), 2)  # a replay of the open batch still replaces only itself
+    assert _rows(spark, paths) == before
+
+    _commit(paths, 2)
+    compact(spark, paths, p, table_name="shoal_compact_t")
+    dirs = sorted(os.path.basename(d) for d in glob.glob(f"{paths.table}/thedate=2024-01-01/*"))
+    assert dirs == ["ingest_batch=0000-000000000002-c"]
+    assert _rows(spark, paths) == before
+    assert compact(spark, paths, p) == []  # nothing left to merge
+    assert spark.table("shoal_compact_t").count() == 30
+
+
+def test_interrupted_compaction_is_finished_by_the_next_run(spark):
+    paths = StreamPaths(tempfile.mkdtemp())
+    p = PROFILES["m7"]
+    w = TableWriter(p, paths.table)
+    for b in range(2):
+        w(_batch(spark, b * 10, 10), b)
+    _commit(paths, 1)
+    before = _rows(spark, paths)
+    compact(spark, paths, p)
+    # simulate a crash after the rename: the merged sources come back
+    for b in range(2):
+        w(_batch(spark, b * 10, 10), b)
+    compact(spark, paths, p)
+    assert _rows(spark, paths) == before
