@@ -9,11 +9,12 @@ Stage 2 (clean JSON text → flat, all-string table):
           → F7 hygiene → F5/F6 allow-list → P9 decimals → P11 strings → P12 lower case
 
 Stage 1 is one projection: the parsed document and the found epoch are bound once with
-a single-element ``transform`` (a ``let``), and rows leave through ``inline`` of a zero-
-or one-element array.  A plain ``filter`` on a derived column would be pushed below the
-projection by Catalyst and re-parse the JSON for every predicate; this form parses each
-row exactly once.  ``stage1_steps`` is the same logic as a chain of DataFrame operators
-(clearer, a little slower) and serves as the cross-check in the tests.
+a single-element ``transform`` (a ``let``), and every row leaves through ``inline`` of a
+one-element array carrying the clean row or the reason it was dropped; the filter on
+that generated ``status`` stays above the generator.  A plain ``filter`` on a derived
+column would be pushed below the projection by Catalyst and re-parse the JSON for every
+predicate; this form parses each row exactly once.  ``stage1_steps`` is the same logic
+as a chain of DataFrame operators and serves as the cross-check in the tests.
 """
 
 from __future__ import annotations
