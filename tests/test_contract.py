@@ -191,3 +191,37 @@ def test_has_column_and_drop_duplicate_columns(spark):
     out = drop_duplicate_columns(joined, b)
     assert out.columns == ["id", "v", "s"]
     assert out.collect()[0]["v"] == "x"  # the other frame's copy is the one dropped
+
+
+def test_epoch_functions_match_python(spark):
+    import random
+    from datetime import datetime, timezone
+
+    rng = random.Random(7)
+    now = int(datetime.now(timezone.utc).timestamp())
+    texts = []
+    for _ in range(400):
+        s = rng.randint(1_000_000_000, now + 10 ** 9)
+        kind = rng.random()
+        texts.append(str(s) if kind < 0.4 else str(s * 1000 + rng.randint(0, 999)) if kind < 0.8 else
+                     rng.choice(["", "12a", "-5", "1e9", " 1634909251", "0", str(10 ** 20)]))
+    texts += ["1262304000", "1262303999", "1262304000000", "1262303999999", str(now)]
+
+    def expect(t):
+        if not t.isdigit() or not t.isascii():
+            return (False, None, None)
+        ms = int(t) * 1000 if len(t) < 13 else int(t)
+        if ms >= 2 ** 63:
+            return (False, None, None)
+        ok = 1262304000 <= ms // 1000 <= now
+        ts = datetime.fromtimestamp(ms // 1000, timezone.utc)
+        return (ok, ts.strftime("%Y-%m-%d"), ts.strftime("%H"))
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    ms = T.epoch_millis("t")
+    got = df.select("t", T.valid_epoch("t").alias("ok"), T.epoch_date(ms).alias("d"), T.epoch_hour(ms).alias("h")).collect()
+    for r in got:
+        ok, d, h = expect(r["t"])
+        assert r["ok"] == ok, r["t"]
+        if ok:
+            assert (r["d"], r["h"]) == (d, h), r["t"]
