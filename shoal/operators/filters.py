@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from shoal.functions import jsonfn as J
 from shoal.functions import timefn as T
 
+# The keys that name a device, and the token that passes the allow-list
+# filter whatever the list holds.
 DEVICE_KEYS = ("mac", "mac_address")
-# Token that passes the allow-list filter whatever the list holds (fixed value).
 ALWAYS_ALLOWED = "APP"
 # Above this many names an allow-list is joined instead of inlined as a literal set.
 INLINE_ALLOW_LIST_MAX = 10_000

@@ -107,7 +107,8 @@ DEFAULT_ALLOWED_EVENTS = (
     "VQE-CONFIG-ERROR",
 )
 
-# Payload columns the V7 event table stores as DECIMAL(18,0).
+# Payload columns the V7 event table stores as DECIMAL(18,0), in their
+# original order (event_time is listed twice there; casting it twice is the same).
 V7_DECIMAL_COLUMNS = (
     "scan_start_time",
     "event_time",
@@ -116,6 +117,7 @@ V7_DECIMAL_COLUMNS = (
     "viewing_duration",
     "program_duration",
     "time_position",
+    "event_time",
     "app_duration",
 )
 
@@ -164,6 +166,8 @@ _EVENTS = dict(
     partitions=("event_date", "event_type"),
 )
 
+# Fixed values of the eight streams: names, hardware stamps, partition columns, dropped
+# columns and column copies, as the device generations and families define them.
 PROFILES: dict[str, Profile] = {
     "m5": Profile(
         name="kafka_to_hive_v5_metrics", hw_stamp="v5", **_METRICS,

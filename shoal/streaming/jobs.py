@@ -28,9 +28,9 @@ from shoal.streaming.sinks import TableWriter, layout_for_sink, start_text_sink
 
 log = logging.getLogger(__name__)
 
-# Fixed value of the contract: more than 10 batches of lag stops the job.  (A restart
-# always drains stage 2's backlog first — see ``run_forever(catch_up=…)`` — so no lag
-# threshold is needed to decide whether to catch up.)
+# Fixed values of the contract: more than 10 batches of lag stops the job; stage 2
+# takes at most 1,000 files per batch.  (A restart always drains stage 2's backlog
+# first — see ``run_forever(catch_up=…)`` — so no lag threshold decides a catch-up.)
 MAX_LAG = 10
 FILES_PER_BATCH = 1000
 # Stage-1 text as stage 2 reads it: the line and the two partition columns.
