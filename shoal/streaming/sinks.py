@@ -95,10 +95,13 @@ class TableWriter:
     Each micro-batch is flattened with its own key set and written with dynamic
     partition overwrite into ``<partitions>/ingest_batch=<generation>-<batch>``: a
     batch that is replayed after a crash replaces exactly the files it wrote before,
-    so the table holds every row once.  The catalog table is widened with new columns
-    and its partitions repaired every ``repair_every`` batches.  A failing batch is
-    written whole to ``quarantine`` with the error; after ``max_failures`` the query
-    fails (the checkpoint keeps the batch open for a restart).
+    so the table holds every row once.  Rows are shuffled first so that each output
+    directory gets files of about ``rows_per_file`` rows (hot directories split over
+    several writers).  The catalog table is widened with new columns, the batch's own
+    partitions are registered, and a full repair runs every ``repair_every`` batches.
+    A failing batch is written whole to ``quarantine`` with the error; after
+    ``max_failures`` the query fails (the checkpoint keeps the batch open for a
+    restart).
     """
 
     profile: Profile
