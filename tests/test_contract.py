@@ -225,3 +225,16 @@ def test_epoch_functions_match_python(spark):
         assert r["ok"] == ok, r["t"]
         if ok:
             assert (r["d"], r["h"]) == (d, h), r["t"]
+
+
+def test_keys_beyond_the_column_limit_are_kept_in_rest(spark):
+    from shoal.operators import refine as R
+    from shoal.plans.profiles import PROFILES
+
+    p = PROFILES["m7"]
+    rows = [('{"metrics":{"a":"1","b":"2","c":"3"},"thedate":"d"}',), ('{"metrics":{"a":"4"},"thedate":"d"}',)]
+    prepared = R.prepare(spark.createDataFrame(rows, "value string"), p)
+    flat = R.flatten(prepared, p, R.discover_keys(prepared), max_columns=2)
+    assert flat.columns == ["a", "b", "_rest", "thedate"]
+    got = sorted((r["a"], r["b"], r["_rest"]) for r in flat.collect())
+    assert got == [("1", "2", '{"c":"3"}'), ("4", None, None)]
