@@ -13,6 +13,10 @@ Semantics, shared by all walkers:
   * below ``depth`` levels a subtree is left exactly as it is.
 
 Set the session with :func:`shoal.session.configure` (duplicate keys, last wins).
+
+Given a column *name*, every function hands Spark one SQL expression built as text
+(:mod:`shoal.functions.jsonsql`), which costs milliseconds to build; given a Column
+object it composes the same expression through the Column API, node by node.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shoal.functions import jsonsql as Q
+
 DOC_TYPE = "map<string,variant>"
 DEFAULT_DEPTH = 8
 
@@ -44,7 +50,9 @@ def _as_object(v: Column) -> Column:
 
 def parse_doc(text: Column | str) -> Column:
     """JSON text → ``MAP<STRING,VARIANT>``; malformed text or a non-object root → null."""
-    return F.try_parse_json(_col(text)).try_cast(DOC_TYPE)
+    if isinstance(text, str):
+        return F.expr(Q.parse_doc(Q.ident(text)))
+    return F.try_parse_json(text).try_cast(DOC_TYPE)
 
 
 def let(value: Column, body) -> Column:
@@ -97,11 +105,16 @@ def json_find(doc: Column | str, key: str | Iterable[str], depth: int = DEFAULT_
     null is no match and the search goes on.  Arrays are returned whole as JSON text.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return _find(_col(doc), keys, depth)
+    if isinstance(doc, str):
+        return F.expr(Q.find(Q.ident(doc), keys, depth))
+    return _find(doc, keys, depth)
 
 
 def json_has(doc: Column | str, key: str | Iterable[str], depth: int = DEFAULT_DEPTH) -> Column:
     """the key (or any of the keys) carries a non-null value somewhere."""
+    if isinstance(doc, str):
+        keys = [key] if isinstance(key, str) else list(key)
+        return F.expr(Q.has(Q.ident(doc), keys, depth))
     return F.coalesce(json_find(doc, key, depth).isNotNull(), F.lit(False))
 
 
@@ -110,6 +123,9 @@ def json_has(doc: Column | str, key: str | Iterable[str], depth: int = DEFAULT_D
 
 def json_put(doc: Column | str, values: Mapping[str, Column | str | None]) -> Column:
     """Add or overwrite root keys; values are stored as JSON strings (or null)."""
+    if isinstance(doc, str) and not any(isinstance(v, Column) for v in values.values()):
+        texts = {k: (Q.NULL_STR if v is None else Q.lit(v)) for k, v in values.items()}
+        return F.expr(Q.put(Q.ident(doc), texts))
     doc = _col(doc)
     names = list(values)
     kept = F.map_filter(doc, lambda k, v: ~k.isin(names))
@@ -164,6 +180,9 @@ def json_rewrite(
     """J4 + J5 in one pass over the document: clean every key (``clean_keys``) and give
     every non-object entry whose (cleaned) key is in ``replace`` the new value.  Two
     keys that become equal keep the later entry (``mapKeyDedupPolicy=LAST_WIN``)."""
+    if isinstance(doc, str) and not any(isinstance(v, Column) for v in (replace or {}).values()):
+        texts = {k: Q.lit(v) for k, v in (replace or {}).items()}
+        return F.expr(Q.rewrite(Q.ident(doc), depth, clean_keys, strict, texts))
     values = {
         k: (v if isinstance(v, Column) else F.lit(v)).cast("string").cast("variant")
         for k, v in (replace or {}).items()
@@ -218,6 +237,8 @@ def json_copy(doc: Column | str, source: str, target: str, depth: int = DEFAULT_
     """If ``target`` already has a value anywhere the document is unchanged;
     otherwise every scalar ``target`` is removed and ``target`` is set at the root to
     the value of ``source`` (found at any depth; null when absent)."""
+    if isinstance(doc, str):
+        return F.expr(Q.copy(Q.ident(doc), source, target, depth))
     doc = _col(doc)
 
     def fill(cleaned: Column) -> Column:
@@ -232,6 +253,8 @@ def json_copy(doc: Column | str, source: str, target: str, depth: int = DEFAULT_
 def json_depth_exceeds(doc: Column | str, depth: int = DEFAULT_DEPTH) -> Column:
     """True when an object sits deeper than ``depth`` levels: the walkers left that
     subtree untouched, so callers count such rows rather than let them pass unseen."""
+    if isinstance(doc, str):
+        return F.expr(Q.depth_exceeds(Q.ident(doc), depth))
 
     def level(m: Column, d: int) -> Column:
         def step(acc: Column, e: Column) -> Column:

@@ -94,3 +94,36 @@ def epoch_hour(millis: Column | str, tz: str = "UTC") -> Column:
 def epoch_datetime(millis: Column | str, tz: str = "UTC") -> Column:
     """``yyyy-MM-dd HH:mm:ss`` of an epoch in milliseconds."""
     return F.date_format(local_time(millis, tz), f"{DATE_FORMAT} HH:mm:ss")
+
+
+# --------------------------------------------------------------------------- as SQL text
+# The same functions as SQL expression text, for expressions built in one piece
+# (see shoal.functions.jsonsql).
+
+
+def epoch_millis_sql(text: str) -> str:
+    n = f"try_cast({text} AS BIGINT)"
+    return f"CASE WHEN length({text}) <= {SECONDS_MAX_LENGTH} THEN {n} * 1000 ELSE {n} END"
+
+
+def valid_epoch_sql(text: str) -> str:
+    seconds = f"CAST(floor(({epoch_millis_sql(text)}) / 1000) AS BIGINT)"
+    plausible = f"coalesce({seconds} BETWEEN {EARLIEST_EPOCH_SECONDS} AND unix_seconds(current_timestamp()), false)"
+    return f"(coalesce({text} RLIKE '^[0-9]+$', false) AND {plausible})"
+
+
+def _local_sql(millis: str, tz: str) -> str:
+    ntz = f"timestampadd(MILLISECOND, {millis}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+    return ntz if _is_utc(tz) else f"convert_timezone('UTC', '{tz}', {ntz})"
+
+
+def epoch_date_sql(millis: str, tz: str = "UTC") -> str:
+    if _is_utc(tz):
+        return f"CAST(date_from_unix_date(CAST(floor(({millis}) / {MS_PER_DAY}) AS INT)) AS STRING)"
+    return f"date_format({_local_sql(millis, tz)}, '{DATE_FORMAT}')"
+
+
+def epoch_hour_sql(millis: str, tz: str = "UTC") -> str:
+    if _is_utc(tz):
+        return f"lpad(CAST(floor(pmod({millis}, {MS_PER_DAY}) / {MS_PER_HOUR}) AS STRING), 2, '0')"
+    return f"date_format({_local_sql(millis, tz)}, '{HOUR_FORMAT}')"

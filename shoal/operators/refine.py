@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoal.functions import jsonfn as J
+from shoal.functions import jsonsql as Q
 from shoal.functions import timefn as T
 from shoal.operators import filters as FL
 from shoal.plans.profiles import Profile
@@ -33,11 +34,12 @@ def prepare(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
     The parse is bound once per row, so the flattened columns and the refine filters
     built on top read attributes instead of re-parsing."""
 
-    def fields(doc: Column) -> Column:
-        side = [doc[s].cast("string").alias(s.lower()) for s in p.side_fields]
-        return F.struct(doc[p.payload].alias(PAYLOAD), *side)
+    def fields(d: str) -> str:
+        side = "".join(f", {Q.lit(s.lower())}, CAST({d}[{Q.lit(s)}] AS STRING)" for s in p.side_fields)
+        return f"named_struct({Q.lit(PAYLOAD)}, {d}[{Q.lit(p.payload)}]{side})"
 
-    return J.bind_once(df.select(text), J.let(J.parse_doc(text), fields)).drop(text)
+    row = F.expr(Q.let(Q.parse_doc(Q.ident(text)), fields))
+    return J.bind_once(df.select(text), row).drop(text)
 
 
 def _payload_map() -> Column:

@@ -59,7 +59,7 @@ def q_epoch_normalised(spark, sf_dir):
 
 
 def q_json_find(spark, sf_dir):
-    doc = F.col("doc")
+    doc = "doc"
     return _messages(spark, sf_dir).select(
         "event_id",
         J.json_find(doc, "mac_address").alias("mac_address"),

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoal.functions import jsonfn as J
+from shoal.functions import jsonsql as Q
 from shoal.functions import timefn as T
 from shoal.operators import bucket as B
 from shoal.operators import filters as FL
@@ -43,48 +44,45 @@ KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY = "kept", "malformed", "no_dev
 STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
 
 
-def stage1_row(text: Column, p: Profile, track_depth: bool = False) -> Column:
-    """``struct<value, date, hour, status, too_deep>``: the clean row, or the reason it
-    is dropped.  ``too_deep`` (only computed with ``track_depth``) flags documents with
-    objects below the walk depth, which the walkers leave untouched."""
+def stage1_row(text: str, p: Profile, track_depth: bool = False) -> Column:
+    """``struct<value, date, hour, status, too_deep>`` for the text column ``text``: the
+    clean row, or the reason it is dropped.  ``too_deep`` (only computed with
+    ``track_depth``) flags documents with objects below the walk depth, which the
+    walkers leave untouched.  Built as one SQL expression (see ``jsonsql``)."""
     depth = p.depth
-    null = F.lit(None).cast("string")
-    no = F.lit(False)
-
-    def dropped(reason: str) -> Column:
-        return F.struct(null.alias("value"), null.alias("date"), null.alias("hour"), F.lit(reason).alias("status"),
-                        no.alias("too_deep"))
-
-    def on_doc(d: Column) -> Column:
-        def on_epoch(t: Column) -> Column:
-            ms = T.epoch_millis(t)
-            date, hour = T.epoch_date(ms, p.tz), T.epoch_hour(ms, p.tz)
-            written = J.json_put(d, {p.date_key: date, HOUR_KEY: hour})
-
-            def kept(s: Column) -> Column:
-                deep = J.json_depth_exceeds(d, depth) if track_depth else no
-                return F.struct(J.doc_to_json(s).alias("value"), date.alias("date"), hour.alias("hour"),
-                                F.lit(KEPT).alias("status"), deep.alias("too_deep"))
-
-            def on_clean(s: Column) -> Column:
-                required = F.lit(True)
-                for key in p.require_keys:
-                    required = required & J.json_has(s, key, depth)
-                return F.when(required, kept(s)).otherwise(dropped(MISSING_KEY))
+    null = Q.NULL_STR
 
+    def row(value: str, date: str, hour: str, status: str, deep: str = "false") -> str:
+        return (f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, "
+                f"'status', {Q.lit(status)}, 'too_deep', {deep})")
+
+    def dropped(reason: str) -> str:
+        return row(null, null, null, reason)
+
+    def on_doc(d: str) -> str:
+        def on_epoch(t: str) -> str:
+            ms = T.epoch_millis_sql(t)
+            date, hour = T.epoch_date_sql(ms, p.tz), T.epoch_hour_sql(ms, p.tz)
+            written = Q.put(d, {p.date_key: date, HOUR_KEY: hour})
+            deep = Q.depth_exceeds(d, depth) if track_depth else "false"
             # P3 + P4 in one rebuild: clean keys, and stamp every (cleaned) hw_type
-            clean = J.json_rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: p.hw_stamp})
-            good = kept(clean) if not p.require_keys else _let(clean, on_clean)
-            return F.when(T.valid_epoch(t), good).otherwise(dropped(BAD_TIME))
+            clean = Q.rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: Q.lit(p.hw_stamp)})
+
+            def on_clean(s: str) -> str:
+                kept = row(f"to_json({s})", date, hour, KEPT, deep)
+                if not p.require_keys:
+                    return kept
+                required = " AND ".join(Q.has(s, [k], depth) for k in p.require_keys)
+                return f"CASE WHEN {required} THEN {kept} ELSE {dropped(MISSING_KEY)} END"
+
+            return f"CASE WHEN {T.valid_epoch_sql(t)} THEN {Q.let(clean, on_clean)} ELSE {dropped(BAD_TIME)} END"
 
-        has_device = J.json_has(d, list(p.device_keys), depth)
-        return (
-            F.when(d.isNull(), dropped(MALFORMED))
-            .when(~has_device, dropped(NO_DEVICE))
-            .otherwise(_let(J.json_find(d, p.time_field, depth), on_epoch))
-        )
+        device = Q.has(d, p.device_keys, depth)
+        return (f"CASE WHEN {d} IS NULL THEN {dropped(MALFORMED)} "
+                f"WHEN NOT {device} THEN {dropped(NO_DEVICE)} "
+                f"ELSE {Q.let(Q.find(d, [p.time_field], depth), on_epoch)} END")
 
-    return _let(J.parse_doc(text), on_doc)
+    return F.expr(Q.let(Q.parse_doc(Q.ident(text)), on_doc))
 
 
 def stage1_counts() -> list[Column]:
@@ -101,7 +99,7 @@ def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None, track_d
     came in and why each dropped row left (malformed, no device, bad time, missing
     key) — in a stream as the query progress's observed metrics.  The filter on the
     generated ``status`` stays above the generator, so nothing is evaluated twice."""
-    rows = df.select(F.inline(F.array(stage1_row(F.col(text), p, track_depth))))
+    rows = df.select(F.inline(F.array(stage1_row(text, p, track_depth))))
     if observe is not None:
         rows = rows.observe(observe, *stage1_counts())
     return rows.filter(F.col("status") == KEPT).drop("status", "too_deep")

@@ -110,10 +110,15 @@ def docs():
     return [rand_doc(rng) for _ in range(300)]
 
 
+@pytest.mark.parametrize("mode", ["sql", "column"])
 @pytest.mark.parametrize("depth", [2, 3, 8])
-def test_walkers_match_reference(spark, docs, depth):
-    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string")
-    doc = J.parse_doc("value")
+def test_walkers_match_reference(spark, docs, depth, mode):
+    """Both ways of building the walkers: SQL text (a column name is given) and the
+    Column API (a Column is given)."""
+    from shoal.operators.filters import with_doc
+
+    df = with_doc(spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string"))
+    doc = "doc" if mode == "sql" else F.col("doc")
     out = df.select(
         "i",
         J.json_find(doc, "mac", depth).alias("find"),
@@ -131,9 +136,15 @@ def test_walkers_match_reference(spark, docs, depth):
 
 
 def test_put_matches_reference(spark, docs):
-    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string")
-    out = df.select("i", J.doc_to_json(J.json_put(J.parse_doc("value"), {"x": F.lit("1"), "hour": F.lit(None)})).alias("j"))
+    from shoal.operators.filters import with_doc
+
+    df = with_doc(spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string"))
+    out = df.select(
+        "i",
+        J.doc_to_json(J.json_put("doc", {"x": F.lit("1"), "hour": F.lit(None)})).alias("j"),  # Column values
+        J.doc_to_json(J.json_put("doc", {"x": "1", "hour": None})).alias("k"),  # literal values: SQL text
+    )
     for row in out.collect():
         expect = dict(docs[row["i"]])
         expect.update({"x": "1", "hour": None})
-        assert json.loads(row["j"]) == expect
+        assert json.loads(row["j"]) == expect and json.loads(row["k"]) == expect
