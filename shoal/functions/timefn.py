@@ -114,7 +114,8 @@ def valid_epoch_sql(text: str) -> str:
 
 def _local_sql(millis: str, tz: str) -> str:
     ntz = f"timestampadd(MILLISECOND, {millis}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
-    return ntz if _is_utc(tz) else f"convert_timezone('UTC', '{tz}', {ntz})"
+    zone = "'" + tz.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ntz if _is_utc(tz) else f"convert_timezone('UTC', {zone}, {ntz})"
 
 
 def epoch_date_sql(millis: str, tz: str = "UTC") -> str:

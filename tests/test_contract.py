@@ -238,3 +238,14 @@ def test_keys_beyond_the_column_limit_are_kept_in_rest(spark):
     assert flat.columns == ["a", "b", "_rest", "thedate"]
     got = sorted((r["a"], r["b"], r["_rest"]) for r in flat.collect())
     assert got == [("1", "2", '{"c":"3"}'), ("4", None, None)]
+
+
+def test_sql_built_stage1_other_zone_and_odd_keys(spark):
+    from shoal.plans import stages as S
+    from shoal.plans.profiles import PROFILES
+
+    p = PROFILES["m7"].with_options(tz="Asia/Kolkata", time_field="it's time")
+    text = json.dumps({"metrics": {"mac": "m", "it's time": "1634909251444"}})
+    row = S.stage1(spark.createDataFrame([(text,)], "value string"), p).collect()[0]
+    assert (row["date"], row["hour"]) == ("2021-10-22", "18")  # 13:27 UTC is 18:57 in Kolkata
+    assert json.loads(row["value"])["hour"] == "18"
