@@ -45,4 +45,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM g
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op2_quality_rules": OP2}
+OP6 = r"""
+WITH l AS (SELECT doc_id, i AS line_no, x FROM (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i
+           FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+s AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY line_no))::BIGINT - 1 AS pos FROM l
+      WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+w AS (SELECT a.doc_id, a.pos, first_value(a.doc_id) OVER g AS fd, first_value(a.pos) OVER g AS fp
+      FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WINDOW g AS (PARTITION BY a.x, b.x ORDER BY a.doc_id, a.pos)),
+late AS (SELECT * FROM w WHERE (doc_id, pos) <> (fd, fp)),
+gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM late),
+start AS (SELECT a.* FROM late a ANTI JOIN late b ON a.doc_id = b.doc_id AND a.pos = b.pos + 1 AND a.fd = b.fd AND a.fp = b.fp + 1),
+lens AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+lcp AS (SELECT t.doc_id, t.pos, min(a.pos - t.pos) FILTER (WHERE b.x IS NULL OR a.x <> b.x) AS cut, max(a.pos - t.pos) + 1 AS whole
+        FROM start t JOIN s a ON a.doc_id = t.doc_id AND a.pos >= t.pos
+        LEFT JOIN s b ON b.doc_id = t.fd AND b.pos = t.fp + a.pos - t.pos GROUP BY t.doc_id, t.pos),
+run AS (SELECT doc_id, max(coalesce(cut, whole)) AS longest_run FROM lcp GROUP BY doc_id),
+f AS (SELECT l.doc_id, count(s.pos) AS n_lines, count(gone.pos) AS n_deleted,
+             string_agg(l.x, chr(10) ORDER BY l.line_no) FILTER (WHERE gone.pos IS NULL) AS kept
+      FROM l LEFT JOIN s USING (doc_id, line_no) LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.pos = s.pos GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(f.kept, '') END AS text, coalesce(n_lines, 0)::BIGINT AS n_lines,
+       coalesce(n_deleted, 0)::BIGINT AS n_deleted, coalesce(longest_run, 0)::BIGINT AS longest_run
+FROM documents d LEFT JOIN f USING (doc_id) LEFT JOIN run USING (doc_id)
+"""
+
+ORACLES = {"op1_decontaminate": OP1, "op2_quality_rules": OP2, "op6_line_dedup": OP6}

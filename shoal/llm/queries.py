@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontam, rules, secrets, tokens
+from shoal.llm import classify, decontam, lines, pieces, rules, secrets, tokens
 from shoal.llm.common import Scratch
 
 TOKENIZERS = "/opt/tokenizers"
@@ -54,6 +54,17 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(f).alias("spans"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classify.fit(docs, load(spark, sf_dir, "labels"))
+    return classify.score(docs, model, "verdict").select("doc_id", "verdict.junk", "verdict.toxic", "verdict.kept")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.LineRuns(docs).cleaned(marks=True)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     folder = Scratch(spark, "tokens").path("files")
@@ -61,4 +72,15 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(spark, manifest, folder, docs.schema["doc_id"].dataType.simpleString())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op4_secret_scan, op9_token_files)}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs, model), model)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.translate("text", pieces.SPACE, " ")).alias("round_trip"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_quality_rules, op4_secret_scan, op5_quality_classifier, op6_line_dedup,
+    op9_token_files, op10_sentencepiece)}

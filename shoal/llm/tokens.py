@@ -43,10 +43,10 @@ class WordEncoder:
 
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*|]*)")
 
-    def __init__(self, path: str):
+    def __init__(self, model: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library = Tokenizer.from_str(model)
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         self.runs: dict[str, bytes] = {"": b""}
@@ -90,13 +90,16 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
     """Write the token files of ``docs`` under ``folder``; returns the manifest
     (part, name, bits, n_docs, n_ids), written beside them as Parquet."""
 
+    with open(tokenizer, encoding="utf-8") as f:  # a vocabulary file of fixed size
+        model = docs.sparkSession.sparkContext.broadcast(f.read())
+
     def run(batches):
         ctx = TaskContext.get()
         part = ctx.partitionId()
         name = f"{part:06d}-{ctx.taskAttemptId()}"
         fs, path = _fs(folder)
         fs.create_dir(path, recursive=True)
-        enc = WordEncoder(tokenizer)
+        enc = WordEncoder(model.value)
         end = np.array([end_id], enc.kind).tobytes()
         width, lengths, keys = len(end), [], []
         with fs.open_output_stream(f"{path}/{name}.ids") as out:
