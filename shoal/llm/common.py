@@ -115,6 +115,9 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+WORD_HASH = WordHash()  # a worker keeps it from task to task
+
+
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 

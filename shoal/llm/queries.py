@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import classify, decontam, lines, pieces, rules, secrets, tokens
+from shoal.llm import classify, decontam, lines, pieces, rules, secrets, setjoin, tokens
 from shoal.llm.common import Scratch
 
 TOKENIZERS = "/opt/tokenizers"
@@ -65,6 +65,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.LineRuns(docs).cleaned(marks=True)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.join(load(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     folder = Scratch(spark, "tokens").path("files")
@@ -82,5 +86,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_quality_rules, op4_secret_scan, op5_quality_classifier, op6_line_dedup,
+    op1_decontaminate, op2_quality_rules, op4_secret_scan, op5_quality_classifier, op6_line_dedup, op7_jaccard_join,
     op9_token_files, op10_sentencepiece)}
