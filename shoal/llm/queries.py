@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import classify, decontam, lines, pieces, rules, secrets, setjoin, tokens
+from shoal.llm import classify, decontam, lines, passages, pieces, private, rules, secrets, setjoin, tokens
 from shoal.llm.common import Scratch
 
+SURROGATE_KEY = b"replace this key in production"
 TOKENIZERS = "/opt/tokenizers"
 
 
@@ -40,6 +41,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.cascade(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    out = private.replace(docs, SURROGATE_KEY, with_spans=True)
+    return out.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "entities", "text")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     scratch = Scratch(spark, "secrets")
@@ -69,6 +76,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.join(load(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.per_document(load(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     folder = Scratch(spark, "tokens").path("files")
@@ -86,5 +97,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_quality_rules, op4_secret_scan, op5_quality_classifier, op6_line_dedup, op7_jaccard_join,
-    op9_token_files, op10_sentencepiece)}
+    op1_decontaminate, op2_quality_rules, op3_private_data, op4_secret_scan, op5_quality_classifier, op6_line_dedup, op7_jaccard_join,
+    op8_substring_dedup,     op9_token_files, op10_sentencepiece)}
