@@ -32,6 +32,9 @@ from shoal.llm import common as C
 CACHE = 600_000  # chunks and runs a task remembers
 
 
+_ENCODERS: dict[int, WordEncoder] = {}
+
+
 class WordEncoder:
     """Ids of a text by the tokenizers library, one white-space chunk at a time.
 
@@ -39,7 +42,9 @@ class WordEncoder:
     splitting looks across it, so a text's ids are its chunks' ids in order.  A chunk of
     plain letters and then plain marks is split once more, at the border where the
     tokenizer splits it anyway.  Chunks and runs already seen are looked up; every other
-    string goes through the library."""
+    string goes through the library: plain runs, which its normaliser only lower-cases,
+    through its BPE model, all else through the whole of it.  A worker keeps its encoder
+    from task to task."""
 
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*|]*)")
 
@@ -51,6 +56,18 @@ class WordEncoder:
         self.kind = "<u4" if self.wide else "<u2"
         self.runs: dict[str, bytes] = {"": b""}
         self.chunks: dict[bytes, bytes] = {}
+        # the byte-level alphabet: printable bytes stand for themselves, the others for 256 and on
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [c for c in range(256) if c not in set(own)]
+        self.alphabet = {c: c for c in own} | {c: 256 + k for k, c in enumerate(rest)}
+
+    @classmethod
+    def of(cls, model: str) -> WordEncoder:
+        key = hash(model)
+        if key not in _ENCODERS:
+            _ENCODERS.clear()
+            _ENCODERS[key] = cls(model)
+        return _ENCODERS[key]
 
     def ids(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -60,7 +77,8 @@ class WordEncoder:
         if got is None:
             if len(self.runs) >= CACHE:
                 self.runs = {"": b""}
-            got = self.runs[text] = self.ids(text)
+            units = text.encode().decode("latin-1").translate(self.alphabet)
+            got = self.runs[text] = np.array([t.id for t in self.library.model.tokenize(units)], self.kind).tobytes()
         return got
 
     def chunk(self, raw: bytes) -> bytes:
@@ -99,7 +117,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
         name = f"{part:06d}-{ctx.taskAttemptId()}"
         fs, path = _fs(folder)
         fs.create_dir(path, recursive=True)
-        enc = WordEncoder(model.value)
+        enc = WordEncoder.of(model.value)
         end = np.array([end_id], enc.kind).tobytes()
         width, lengths, keys = len(end), [], []
         with fs.open_output_stream(f"{path}/{name}.ids") as out:
