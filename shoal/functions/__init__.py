@@ -2,18 +2,15 @@
 
 from shoal.functions.jsonfn import (
     bind_once,
-    clean_key,
     doc_keys,
     doc_to_json,
     json_copy,
-    json_depth_exceeds,
     json_find,
     json_has,
     json_put,
     json_replace,
     json_rewrite,
     json_sanitize_keys,
-    let,
     parse_doc,
 )
 from shoal.functions.timefn import (
@@ -28,8 +25,8 @@ from shoal.functions.timefn import (
 )
 
 __all__ = [
-    "bind_once", "clean_key", "doc_keys", "doc_to_json", "json_copy", "json_depth_exceeds",
+    "bind_once", "doc_keys", "doc_to_json", "json_copy", 
     "json_find", "json_has", "json_put", "json_replace", "json_rewrite", "json_sanitize_keys",
-    "let", "parse_doc", "epoch_date", "epoch_datetime", "epoch_hour", "epoch_is_digits",
+    "parse_doc", "epoch_date", "epoch_datetime", "epoch_hour", "epoch_is_digits",
     "epoch_millis", "normalize_epoch", "plausible_epoch", "valid_epoch",
 ]

@@ -1,22 +1,19 @@
 """JSON document functions as native Column expressions.
 
 A document is parsed once into ``MAP<STRING, VARIANT>`` (the JSON object's root) and
-every operator below works on that map.  Nested objects are reached by casting a
-``VARIANT`` value to ``MAP<STRING, VARIANT>``; the walkers are unrolled to a fixed
-depth (``DEFAULT_DEPTH``) with ``transform`` / ``aggregate`` / ``map_from_entries``,
-so Catalyst sees ordinary higher-order functions and no Python runs per row.
+every operator below works on that map's column, given by name.  Nested objects are
+reached by casting a ``VARIANT`` value to ``MAP<STRING, VARIANT>``; the walkers are
+higher-order functions (``transform`` / ``aggregate`` / ``map_from_entries``), built as SQL
+text by :mod:`shoal.functions.jsonsql`, so Catalyst sees ordinary expressions and no
+Python runs per row.
 
 Semantics, shared by all walkers:
   * arrays are opaque: a walker never descends into a list, a list is a value;
-  * an object value is descended into, never matched as a value;
-  * entries are visited in the ``VARIANT`` order (keys sorted), depth first;
-  * below ``depth`` levels a subtree is left exactly as it is.
+  * an object value is descended into, never matched as a value, at any depth;
+  * entries are visited in the ``VARIANT`` order (keys sorted), depth first.
 
+``depth`` is how many levels are unrolled for speed; deeper objects are walked too.
 Set the session with :func:`shoal.session.configure` (duplicate keys, last wins).
-
-Given a column *name*, every function hands Spark one SQL expression built as text
-(:mod:`shoal.functions.jsonsql`), which costs milliseconds to build; given a Column
-object it composes the same expression through the Column API, node by node.
 """
 
 from __future__ import annotations
@@ -29,36 +26,16 @@ from pyspark.sql import functions as F
 from shoal.functions import jsonsql as Q
 
 DOC_TYPE = "map<string,variant>"
-DEFAULT_DEPTH = 8
-
-
-def _null_str() -> Column:
-    return F.lit(None).cast("string")
+DEFAULT_DEPTH = 8  # unrolled levels
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _as_object(v: Column) -> Column:
-    """Object value → map; any other value (and null) → null."""
-    return v.try_cast(DOC_TYPE)
-
-
-# --------------------------------------------------------------------------- parse
-
-
-def parse_doc(text: Column | str) -> Column:
-    """JSON text → ``MAP<STRING,VARIANT>``; malformed text or a non-object root → null."""
-    if isinstance(text, str):
-        return F.expr(Q.parse_doc(Q.ident(text)))
-    return F.try_parse_json(text).try_cast(DOC_TYPE)
-
-
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and refer to it any number of times in ``body(value)``
-    (a one-element ``transform``: the lambda variable is the binding)."""
-    return F.get(F.transform(F.array(value), body), 0)
+def parse_doc(text: str) -> Column:
+    """JSON text column → ``MAP<STRING,VARIANT>``; malformed text or a non-object root → null."""
+    return F.expr(Q.parse_doc(Q.ident(text)))
 
 
 def bind_once(df, columns):
@@ -82,186 +59,53 @@ def doc_keys(doc: Column | str) -> Column:
     return F.array_join(F.array_sort(F.map_keys(_col(doc))), ",")
 
 
-# --------------------------------------------------------------------------- J1 find
-
-
-def _find(doc: Column, keys: list[str], depth: int) -> Column:
-    def step(acc: Column, e: Column) -> Column:
-        sub = _as_object(e["value"])
-        deeper = _find(sub, keys, depth - 1) if depth > 1 else _null_str()
-        hit = F.when(sub.isNotNull(), deeper).when(
-            e["key"].isin(keys), e["value"].cast("string")
-        )
-        # coalesce stops at the first non-null: the walk ends at the first match
-        return F.coalesce(acc, hit)
-
-    return F.aggregate(F.map_entries(doc), _null_str(), step)
-
-
-def json_find(doc: Column | str, key: str | Iterable[str], depth: int = DEFAULT_DEPTH) -> Column:
-    """Value (as text) of the first non-object entry named ``key`` at any depth.
+def json_find(doc: str, key: str | Iterable[str], depth: int = DEFAULT_DEPTH) -> Column:
+    """Value (as text) of the first non-object entry named ``key`` at any depth.
 
     ``key`` may be several names: the first entry carrying any of them wins.  A JSON
     null is no match and the search goes on.  Arrays are returned whole as JSON text.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    if isinstance(doc, str):
-        return F.expr(Q.find(Q.ident(doc), keys, depth))
-    return _find(doc, keys, depth)
+    return F.expr(Q.find(Q.ident(doc), [key] if isinstance(key, str) else list(key), depth))
 
 
-def json_has(doc: Column | str, key: str | Iterable[str], depth: int = DEFAULT_DEPTH) -> Column:
+def json_has(doc: str, key: str | Iterable[str], depth: int = DEFAULT_DEPTH) -> Column:
     """the key (or any of the keys) carries a non-null value somewhere."""
-    if isinstance(doc, str):
-        keys = [key] if isinstance(key, str) else list(key)
-        return F.expr(Q.has(Q.ident(doc), keys, depth))
-    return F.coalesce(json_find(doc, key, depth).isNotNull(), F.lit(False))
-
-
-# --------------------------------------------------------------------------- J3 put
-
-
-def json_put(doc: Column | str, values: Mapping[str, Column | str | None]) -> Column:
-    """Add or overwrite root keys; values are stored as JSON strings (or null)."""
-    if isinstance(doc, str) and not any(isinstance(v, Column) for v in values.values()):
-        texts = {k: (Q.NULL_STR if v is None else Q.lit(v)) for k, v in values.items()}
-        return F.expr(Q.put(Q.ident(doc), texts))
-    doc = _col(doc)
-    names = list(values)
-    kept = F.map_filter(doc, lambda k, v: ~k.isin(names))
-    pairs: list[Column] = []
-    for name, value in values.items():
-        v = value if isinstance(value, Column) else F.lit(value)
-        pairs += [F.lit(name), v.cast("string").cast("variant")]
-    return F.when(doc.isNotNull(), F.map_concat(kept, F.create_map(*pairs)))
-
-
-# --------------------------------------------------------------------------- rebuilders
-
+    return F.expr(Q.has(Q.ident(doc), [key] if isinstance(key, str) else list(key), depth))
 
-def _rebuild(doc: Column, depth: int, on_object, on_value) -> Column:
-    """Rebuild every level: ``on_object(key)`` renames an object entry,
-    ``on_value(key, value)`` returns ``(new_key, new_value)`` for other entries."""
 
-    def entry(e: Column) -> Column:
-        sub = _as_object(e["value"])
-        if depth > 1:
-            obj_value = F.to_variant_object(_rebuild(sub, depth - 1, on_object, on_value))
-        else:
-            obj_value = e["value"]  # below the depth limit: untouched
-        new_key, new_value = on_value(e["key"], e["value"])
-        as_object = F.struct(on_object(e["key"]).alias("k"), obj_value.alias("v"))
-        as_value = F.struct(new_key.alias("k"), new_value.alias("v"))
-        return F.when(sub.isNotNull(), as_object).otherwise(as_value)
+def json_put(doc: str, values: Mapping[str, str | None] | None = None, columns: Mapping[str, str] | None = None) -> Column:
+    """Add or overwrite root keys with texts (``values``) or with columns' values
+    (``columns``: key → column name), stored as JSON strings (or null)."""
+    texts = {k: (Q.NULL_STR if v is None else Q.lit(v)) for k, v in (values or {}).items()}
+    texts |= {k: Q.ident(c) for k, c in (columns or {}).items()}
+    return F.expr(Q.put(Q.ident(doc), texts))
 
-    return F.map_from_entries(F.transform(F.map_entries(doc), entry))
-
-
-# Fixed values of the key clean-up: Java's white space class plus ``.`` become ``_``,
-# ``@`` is removed, ``-`` becomes ``_`` for keys of non-object values.
-_SPACE_AND_DOT = " \t\n\x0b\f\r."
-_AT = "@"
 
+def json_rewrite(doc: str, depth: int = DEFAULT_DEPTH, clean_keys: bool = True, strict: bool = False,
+                 replace: Mapping[str, str] | None = None) -> Column:
+    """J4 + J5 in one pass over the document: clean every key (``clean_keys``) and give
+    every non-object entry whose (cleaned) key is in ``replace`` the new value.  Two
+    keys that become equal keep the later entry (``mapKeyDedupPolicy=LAST_WIN``).
 
-def clean_key(key: Column, scalar: bool, strict: bool = False) -> Column:
-    """Key clean-up: drop ``@``; white space and ``.`` → ``_``; ``-`` → ``_`` only for
-    keys of non-object values unless ``strict``.  One ``translate`` (no regex)."""
-    to_underscore = _SPACE_AND_DOT + ("-" if scalar or strict else "")
-    return F.translate(key, to_underscore + _AT, "_" * len(to_underscore))
+    Key clean-up: drop ``@``; white space and ``.`` → ``_``; ``-`` → ``_`` only for keys of
+    non-object values unless ``strict``.  One ``translate`` (no regex)."""
+    texts = {k: Q.lit(v) for k, v in (replace or {}).items()}
+    return F.expr(Q.rewrite(Q.ident(doc), depth, clean_keys, strict, texts))
 
 
-def json_rewrite(
-    doc: Column | str,
-    depth: int = DEFAULT_DEPTH,
-    clean_keys: bool = True,
-    strict: bool = False,
-    replace: Mapping[str, Column | str] | None = None,
-) -> Column:
-    """J4 + J5 in one pass over the document: clean every key (``clean_keys``) and give
-    every non-object entry whose (cleaned) key is in ``replace`` the new value.  Two
-    keys that become equal keep the later entry (``mapKeyDedupPolicy=LAST_WIN``)."""
-    if isinstance(doc, str) and not any(isinstance(v, Column) for v in (replace or {}).values()):
-        texts = {k: Q.lit(v) for k, v in (replace or {}).items()}
-        return F.expr(Q.rewrite(Q.ident(doc), depth, clean_keys, strict, texts))
-    values = {
-        k: (v if isinstance(v, Column) else F.lit(v)).cast("string").cast("variant")
-        for k, v in (replace or {}).items()
-    }
-
-    def on_object(k: Column) -> Column:
-        return clean_key(k, scalar=False, strict=strict) if clean_keys else k
-
-    def on_value(k: Column, old: Column):
-        new_key = clean_key(k, scalar=True, strict=strict) if clean_keys else k
-        new_value = old
-        for name, v in values.items():
-            new_value = F.when(new_key == name, v).otherwise(new_value)
-        return new_key, new_value
-
-    return _rebuild(_col(doc), depth, on_object, on_value)
-
-
-def json_replace(
-    doc: Column | str, key: str, value: Column | str, depth: int = DEFAULT_DEPTH
-) -> Column:
+def json_replace(doc: str, key: str, value: str, depth: int = DEFAULT_DEPTH) -> Column:
     """Every non-object entry named ``key`` (any depth) gets ``value``; nothing is added."""
     return json_rewrite(doc, depth, clean_keys=False, replace={key: value})
 
 
-def json_sanitize_keys(
-    doc: Column | str, depth: int = DEFAULT_DEPTH, strict: bool = False
-) -> Column:
-    """Make every key at every depth a legal column name (see :func:`clean_key`).
-    Two keys that become equal keep the later entry (``mapKeyDedupPolicy=LAST_WIN``)."""
+def json_sanitize_keys(doc: str, depth: int = DEFAULT_DEPTH, strict: bool = False) -> Column:
+    """Make every key at every depth a legal column name (see :func:`json_rewrite`)."""
     return json_rewrite(doc, depth, clean_keys=True, strict=strict)
 
 
-def _drop_scalar_key(doc: Column, key: str, depth: int) -> Column:
-    """Remove every non-object entry named ``key`` at every depth."""
-
-    def level(m: Column, d: int) -> Column:
-        def entry(e: Column) -> Column:
-            sub = _as_object(e["value"])
-            inner = F.to_variant_object(level(sub, d - 1)) if d > 1 else e["value"]
-            return F.struct(e["key"].alias("k"), F.when(sub.isNotNull(), inner).otherwise(e["value"]).alias("v"))
-
-        kept = F.filter(
-            F.map_entries(m), lambda e: _as_object(e["value"]).isNotNull() | (e["key"] != key)
-        )
-        return F.map_from_entries(F.transform(kept, entry))
-
-    return level(doc, depth)
-
-
-def json_copy(doc: Column | str, source: str, target: str, depth: int = DEFAULT_DEPTH) -> Column:
+def json_copy(doc: str, source: str, target: str, depth: int = DEFAULT_DEPTH) -> Column:
     """If ``target`` already has a value anywhere the document is unchanged;
     otherwise every scalar ``target`` is removed and ``target`` is set at the root to
-    the value of ``source`` (found at any depth; null when absent)."""
-    if isinstance(doc, str):
-        return F.expr(Q.copy(Q.ident(doc), source, target, depth))
-    doc = _col(doc)
-
-    def fill(cleaned: Column) -> Column:
-        return json_put(cleaned, {target: json_find(cleaned, source, depth)})
-
-    return F.when(json_has(doc, target, depth), doc).otherwise(let(_drop_scalar_key(doc, target, depth), fill))
-
-
-# --------------------------------------------------------------------------- depth guard
-
-
-def json_depth_exceeds(doc: Column | str, depth: int = DEFAULT_DEPTH) -> Column:
-    """True when an object sits deeper than ``depth`` levels: the walkers left that
-    subtree untouched, so callers count such rows rather than let them pass unseen."""
-    if isinstance(doc, str):
-        return F.expr(Q.depth_exceeds(Q.ident(doc), depth))
-
-    def level(m: Column, d: int) -> Column:
-        def step(acc: Column, e: Column) -> Column:
-            sub = _as_object(e["value"])
-            below = level(sub, d - 1) if d > 1 else sub.isNotNull()
-            return acc | F.coalesce(F.when(sub.isNotNull(), below), F.lit(False))
-
-        return F.aggregate(F.map_entries(m), F.lit(False), step)
-
-    return F.coalesce(level(_col(doc), depth), F.lit(False))
+    the value of ``source`` (found at any depth; null when absent).  One walk finds both;
+    the document is rebuilt only if it has a null ``target`` to remove."""
+    return F.expr(Q.copy(Q.ident(doc), source, target, depth))

@@ -1,11 +1,14 @@
 """The JSON walkers as Spark SQL expression text.
 
-Same semantics as :mod:`shoal.functions.jsonfn` (which documents them); the difference is
-only how the expression is handed to Spark.  A depth-8 walker unrolls into thousands of
-expression nodes; built through the Python Column API every node is a round trip to the
-JVM (seconds per query), while as SQL text it is one ``F.expr`` call that Spark parses
-in milliseconds.  All builders take and return SQL text; lambda variables get fresh
-names so nested walkers never capture each other's.
+:mod:`shoal.functions.jsonfn` documents the semantics and hands the text to Spark in one
+``F.expr`` call, which Spark parses in milliseconds; built through the Column API every
+node would be a round trip to the JVM.  All builders take and return SQL text; lambda
+variables get fresh names so nested walkers never capture each other's.
+
+A walker is unrolled for ``depth`` levels, each a nested higher-order function.  An object
+below them is walked by one ``aggregate`` over a work list (``find_below``,
+``rebuild_below``): slower for that object, but of any depth, and with the same
+result.  ``depth`` is thus only a matter of speed.
 """
 
 from __future__ import annotations
@@ -50,16 +53,61 @@ def to_variant_text(value: str) -> str:
     return f"CAST(CAST({value} AS STRING) AS VARIANT)"
 
 
+ENTRY = "STRUCT<key: STRING, value: VARIANT>"
+
+
+def _names(keys: Iterable[str]) -> str:
+    return ", ".join(lit(k) for k in keys)
+
+
+def _steps(doc: str) -> str:
+    """More work-list steps than the object can need: every entry takes up to three, and at
+    least as many characters of its JSON text."""
+    return f"sequence(1, 2 + length(to_json({doc})))"
+
+
+def find_below(doc: str, keys: Iterable[str]) -> str:
+    """The walk of ``find`` through an object of any depth: the work list holds the entries
+    still to visit, in order; an object's entries take its place."""
+    s, i, v, f = fresh("s"), fresh("i"), fresh("x"), fresh("f")
+    sub = as_object(f"{v}.value")
+    rest = f"slice({s}.todo, 2, size({s}.todo))"
+    visit = (f"named_struct('todo', CASE WHEN {sub} IS NOT NULL THEN concat(map_entries({sub}), {rest}) ELSE {rest} END, "
+             f"'hit', CASE WHEN {sub} IS NULL AND {v}.key IN ({_names(keys)}) THEN CAST({v}.value AS STRING) END)")
+    first = f"get(transform(slice({s}.todo, 1, 1), {v} -> {visit}), 0)"
+    step = f"CASE WHEN {s}.hit IS NOT NULL OR size({s}.todo) = 0 THEN {s} ELSE {first} END"
+    zero = f"named_struct('todo', CAST(map_entries({doc}) AS ARRAY<{ENTRY}>), 'hit', {NULL_STR})"
+    return f"aggregate({_steps(doc)}, {zero}, ({s}, {i}) -> {step}, {f} -> {f}.hit)"
+
+
 def find(doc: str, keys: Iterable[str], depth: int) -> str:
     keys = list(keys)
     a, e = fresh("a"), fresh("e")
     sub = as_object(f"{e}.value")
-    deeper = find(sub, keys, depth - 1) if depth > 1 else NULL_STR
-    names = ", ".join(lit(k) for k in keys)
-    hit = f"CASE WHEN {sub} IS NOT NULL THEN {deeper} WHEN {e}.key IN ({names}) THEN CAST({e}.value AS STRING) END"
+    deeper = find(sub, keys, depth - 1) if depth > 1 else find_below(sub, keys)
+    hit = f"CASE WHEN {sub} IS NOT NULL THEN {deeper} WHEN {e}.key IN ({_names(keys)}) THEN CAST({e}.value AS STRING) END"
     return f"aggregate(map_entries({doc}), {NULL_STR}, ({a}, {e}) -> coalesce({a}, {hit}))"
 
 
+def find_two(doc: str, one: str, two: str, depth: int) -> str:
+    """STRUCT<one, two, seen>: the first value of either key, and whether a non-object entry
+    of the first was met at all (with a null, if ``one`` is null), in one walk."""
+    a, e = fresh("a"), fresh("e")
+    sub = as_object(f"{e}.value")
+    if depth > 1:
+        deeper = find_two(sub, one, two, depth - 1)
+    else:
+        # a null entry of the first key may hide below: it is dropped as if seen
+        deeper = f"named_struct('one', {find_below(sub, [one])}, 'two', {find_below(sub, [two])}, 'seen', true)"
+    own = (f"named_struct('one', CASE WHEN {e}.key = {lit(one)} THEN CAST({e}.value AS STRING) END, "
+           f"'two', CASE WHEN {e}.key = {lit(two)} THEN CAST({e}.value AS STRING) END, 'seen', {e}.key = {lit(one)})")
+    here = f"CASE WHEN {sub} IS NOT NULL THEN {deeper} ELSE {own} END"
+    x = fresh("x")
+    merged = let(here, lambda h: f"named_struct('one', coalesce({a}.one, {h}.one), 'two', coalesce({a}.two, {h}.two), 'seen', {a}.seen OR {h}.seen)")
+    zero = f"named_struct('one', {NULL_STR}, 'two', {NULL_STR}, 'seen', false)"
+    return f"aggregate(map_entries({doc}), {zero}, ({a}, {e}) -> {merged}, {x} -> {x})"
+
+
 def has(doc: str, keys: Iterable[str], depth: int) -> str:
     return f"coalesce({find(doc, keys, depth)} IS NOT NULL, false)"
 
@@ -85,14 +133,47 @@ def clean_key(key: str, scalar: bool, strict: bool = False) -> str:
     return f"translate({key}, '{_SPACE_AND_DOT}{dash}@', '{'_' * n}')"
 
 
-def rebuild(doc: str, depth: int, on_object, on_value) -> str:
-    e = fresh("e")
+def rebuild_below(doc: str, on_object, on_value, dropped) -> str:
+    """``rebuild`` of an object of any depth, as VARIANT: the work list holds entries still to
+    write and pieces of JSON text between them; clashing keys meet again when parsed."""
+    s, i, v, f, e, k = (fresh(p) for p in "sivfek")
+    sub = as_object(f"{v}.value")
+    new_key, new_value = on_value(f"{v}.key", f"{v}.value")
+    piece = lambda text, key="NULL", value="NULL": (
+        f"named_struct('text', {text}, 'key', CAST({key} AS STRING), 'value', CAST({value} AS VARIANT))")
+
+    def items(entries: str) -> str:
+        kept = f"filter({entries}, {e} -> NOT ({dropped(f'{e}.key', f'{e}.value')}))" if dropped else entries
+        comma = f"CASE WHEN {k} > 0 THEN ',' ELSE '' END"
+        return f"flatten(transform({kept}, ({e}, {k}) -> array({piece(comma)}, {piece(NULL_STR, f'{e}.key', f'{e}.value')})))"
+
+    name = lambda x: f"to_json(CAST({x} AS VARIANT))"
+    rest = f"slice({s}.todo, 2, size({s}.todo))"
+    open_object = f"named_struct('todo', concat({items(f'map_entries({sub})')}, array({piece(lit('}'))}), {rest}), 'out', concat({s}.out, {name(on_object(f'{v}.key'))}, ':{{'))"
+    scalar = f"named_struct('todo', {rest}, 'out', concat({s}.out, {name(new_key)}, ':', coalesce(to_json({new_value}), 'null')))"
+    plain = f"named_struct('todo', {rest}, 'out', concat({s}.out, {v}.text))"
+    visit = f"CASE WHEN {v}.text IS NOT NULL THEN {plain} WHEN {sub} IS NOT NULL THEN {open_object} ELSE {scalar} END"
+    step = f"CASE WHEN size({s}.todo) = 0 THEN {s} ELSE get(transform(slice({s}.todo, 1, 1), {v} -> {visit}), 0) END"
+    zero = f"named_struct('todo', {items(f'map_entries({doc})')}, 'out', '{{')"
+    return f"try_parse_json(aggregate({_steps(doc)}, {zero}, ({s}, {i}) -> {step}, {f} -> concat({f}.out, '}}')))"
+
+
+def rebuild(doc: str, depth: int, on_object, on_value, dropped=None) -> str:
+    """Every entry anew: ``on_object(key)`` names an object's entry, ``on_value(key, value)``
+    gives (key, value) of any other; ``dropped(key, value)`` leaves entries out."""
+    e, f = fresh("e"), fresh("f")
     sub = as_object(f"{e}.value")
-    obj_value = f"to_variant_object({rebuild(sub, depth - 1, on_object, on_value)})" if depth > 1 else f"{e}.value"
+    if depth > 1:
+        obj_value = f"to_variant_object({rebuild(sub, depth - 1, on_object, on_value, dropped)})"
+    else:
+        obj_value = rebuild_below(sub, on_object, on_value, dropped)
     new_key, new_value = on_value(f"{e}.key", f"{e}.value")
     as_obj = f"named_struct('k', {on_object(f'{e}.key')}, 'v', {obj_value})"
     as_val = f"named_struct('k', {new_key}, 'v', {new_value})"
-    return f"map_from_entries(transform(map_entries({doc}), {e} -> CASE WHEN {sub} IS NOT NULL THEN {as_obj} ELSE {as_val} END))"
+    entries = f"map_entries({doc})"
+    if dropped:
+        entries = f"filter({entries}, {f} -> NOT ({dropped(f'{f}.key', f'{f}.value')}))"
+    return f"map_from_entries(transform({entries}, {e} -> CASE WHEN {sub} IS NOT NULL THEN {as_obj} ELSE {as_val} END))"
 
 
 def rewrite(doc: str, depth: int, clean_keys: bool = True, strict: bool = False,
@@ -114,22 +195,17 @@ def rewrite(doc: str, depth: int, clean_keys: bool = True, strict: bool = False,
 
 
 def drop_scalar_key(doc: str, key: str, depth: int) -> str:
-    e, f = fresh("e"), fresh("f")
-    sub = as_object(f"{e}.value")
-    inner = f"to_variant_object({drop_scalar_key(sub, key, depth - 1)})" if depth > 1 else f"{e}.value"
-    kept = f"filter(map_entries({doc}), {f} -> {as_object(f'{f}.value')} IS NOT NULL OR {f}.key != {lit(key)})"
-    entry = f"named_struct('k', {e}.key, 'v', CASE WHEN {sub} IS NOT NULL THEN {inner} ELSE {e}.value END)"
-    return f"map_from_entries(transform({kept}, {e} -> {entry}))"
+    """Every non-object entry named ``key`` left out, at every depth."""
+    return rebuild(doc, depth, lambda k: k, lambda k, v: (k, v), lambda k, v: f"{k} = {lit(key)} AND {as_object(v)} IS NULL")
 
 
 def copy(doc: str, source: str, target: str, depth: int) -> str:
-    filled = let(drop_scalar_key(doc, target, depth), lambda c: put(c, {target: find(c, [source], depth)}))
-    return f"CASE WHEN {has(doc, [target], depth)} THEN {doc} ELSE {filled} END"
-
-
-def depth_exceeds(doc: str, depth: int) -> str:
-    a, e = fresh("a"), fresh("e")
-    sub = as_object(f"{e}.value")
-    below = depth_exceeds(sub, depth - 1) if depth > 1 else f"{sub} IS NOT NULL"
-    step = f"{a} OR coalesce(CASE WHEN {sub} IS NOT NULL THEN {below} END, false)"
-    return f"coalesce(aggregate(map_entries({doc}), false, ({a}, {e}) -> {step}), false)"
+    def filled(f: str) -> str:
+        value = {target: f"{f}.two"}
+        without = let(drop_scalar_key(doc, target, depth), lambda c: put(c, value))
+        return f"CASE WHEN {f}.one IS NOT NULL THEN {doc} WHEN {f}.seen THEN {without} ELSE {put(doc, value)} END"
+
+    if source == target:  # dropped first, so never found
+        none = let(drop_scalar_key(doc, target, depth), lambda c: put(c, {target: NULL_STR}))
+        return f"CASE WHEN {has(doc, [target], depth)} THEN {doc} ELSE {none} END"
+    return let(find_two(doc, target, source, depth), filled)

@@ -36,25 +36,19 @@ STAMP_KEY = "hw_type"
 HOUR_KEY = "hour"
 
 
-_let = J.let
-
-
 # Why a raw row left stage 1 (fixed values, reported by ``observe``).
 KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY = "kept", "malformed", "no_device", "bad_time", "missing_key"
 STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
 
 
-def stage1_row(text: str, p: Profile, track_depth: bool = False) -> Column:
-    """``struct<value, date, hour, status, too_deep>`` for the text column ``text``: the
-    clean row, or the reason it is dropped.  ``too_deep`` (only computed with
-    ``track_depth``) flags documents with objects below the walk depth, which the
-    walkers leave untouched.  Built as one SQL expression (see ``jsonsql``)."""
+def stage1_row(text: str, p: Profile) -> Column:
+    """``struct<value, date, hour, status>`` for the text column ``text``: the clean row, or
+    the reason it is dropped.  Built as one SQL expression (see ``jsonsql``)."""
     depth = p.depth
     null = Q.NULL_STR
 
-    def row(value: str, date: str, hour: str, status: str, deep: str = "false") -> str:
-        return (f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, "
-                f"'status', {Q.lit(status)}, 'too_deep', {deep})")
+    def row(value: str, date: str, hour: str, status: str) -> str:
+        return f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, 'status', {Q.lit(status)})"
 
     def dropped(reason: str) -> str:
         return row(null, null, null, reason)
@@ -64,18 +58,17 @@ def stage1_row(text: str, p: Profile, track_depth: bool = False) -> Column:
             ms = T.epoch_millis_sql(t)
             date, hour = T.epoch_date_sql(ms, p.tz), T.epoch_hour_sql(ms, p.tz)
             written = Q.put(d, {p.date_key: date, HOUR_KEY: hour})
-            deep = Q.depth_exceeds(d, depth) if track_depth else "false"
             # P3 + P4 in one rebuild: clean keys, and stamp every (cleaned) hw_type
             clean = Q.rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: Q.lit(p.hw_stamp)})
 
             def on_clean(s: str) -> str:
-                kept = row(f"to_json({s})", date, hour, KEPT, deep)
+                kept = row(f"to_json({s})", date, hour, KEPT)
                 if not p.require_keys:
                     return kept
                 required = " AND ".join(Q.has(s, [k], depth) for k in p.require_keys)
                 return f"CASE WHEN {required} THEN {kept} ELSE {dropped(MISSING_KEY)} END"
 
-            return f"CASE WHEN {T.valid_epoch_sql(t)} THEN {Q.let(clean, on_clean)} ELSE {dropped(BAD_TIME)} END"
+            return f"CASE WHEN {T.valid_epoch_sql(t, p.tz)} THEN {Q.let(clean, on_clean)} ELSE {dropped(BAD_TIME)} END"
 
         device = Q.has(d, p.device_keys, depth)
         return (f"CASE WHEN {d} IS NULL THEN {dropped(MALFORMED)} "
@@ -89,27 +82,27 @@ def stage1_counts() -> list[Column]:
     """Row counts per outcome, for ``DataFrame.observe`` (batch or stream)."""
     return [F.count(F.lit(1)).alias("rows_in")] + [
         F.count_if(F.col("status") == s).alias(s) for s in STATUSES
-    ] + [F.count_if(F.col("too_deep")).alias("too_deep")]
+    ]
 
 
-def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None, track_depth: bool = False) -> DataFrame:
+def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None) -> DataFrame:
     """Raw JSON text → ``value`` (clean JSON), ``date``, ``hour`` of the kept rows.
 
     ``observe`` (a name, or a :class:`pyspark.sql.Observation`) reports how many rows
     came in and why each dropped row left (malformed, no device, bad time, missing
     key) — in a stream as the query progress's observed metrics.  The filter on the
     generated ``status`` stays above the generator, so nothing is evaluated twice."""
-    rows = df.select(F.inline(F.array(stage1_row(text, p, track_depth))))
+    rows = df.select(F.inline(F.array(stage1_row(text, p))))
     if observe is not None:
         rows = rows.observe(observe, *stage1_counts())
-    return rows.filter(F.col("status") == KEPT).drop("status", "too_deep")
+    return rows.filter(F.col("status") == KEPT).drop("status")
 
 
 def stage1_steps(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
     """The same as :func:`stage1`, written as a chain of DataFrame operators."""
     out = FL.with_doc(df.select(text), text)
     out = FL.filter_on_device(out, keys=p.device_keys)
-    out = FL.filter_on_time(out, p.time_field)
+    out = FL.filter_on_time(out, p.time_field, tz=p.tz)
     out = B.add_date_and_hour(out, p.time_field, tz=p.tz)
     out = B.put_date_and_hour(out, p.date_key)
     out = B.sanitize_keys(out)
@@ -119,25 +112,35 @@ def stage1_steps(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
     return B.to_text(out).select("value", "date", "hour")
 
 
-def stage2(
-    df: DataFrame,
-    p: Profile,
-    keys: Sequence[str] | None = None,
-    text: str = "value",
-    max_columns: int = R.MAX_COLUMNS,
-) -> DataFrame:
+def stage2(df: DataFrame, p: Profile, keys: Sequence[str] | None = None, text: str = "value") -> DataFrame:
     """Clean JSON text → the profile's flat table (all strings, lower-case names).
 
-    ``keys`` are the payload keys to flatten; when omitted they are discovered from
-    ``df`` (one small distinct-aggregate job; only key names reach the driver).
-    """
+    ``keys`` are the payload keys to flatten; when neither they nor ``p.columns`` are given
+    they are discovered from ``df`` (one small distinct-aggregate job)."""
     prepared = R.prepare(df, p, text)
-    if keys is None:
-        keys = R.discover_keys(prepared)
-    flat = R.flatten(prepared, p, keys, max_columns)
-    return R.refine(flat, p)
+    return R.refine(R.flatten(prepared, p, keys), p)
+
+
+def payload_keys(df: DataFrame, p: Profile, text: str = "value") -> list[str]:
+    """The payload keys of the rows that stage 1 keeps, cleaned, from a narrow pass: filters
+    and key clean-up of the payload's own level, without rewriting or serialising."""
+    null = Q.NULL_STR
+
+    def on_doc(d: str) -> str:
+        payload = Q.as_object(f"{d}[{Q.lit(p.payload)}]")
+        e = Q.fresh("e")
+        names = (f"transform(map_entries({payload}), {e} -> CASE WHEN {Q.as_object(f'{e}.value')} IS NOT NULL "
+                 f"THEN {Q.clean_key(f'{e}.key', False)} ELSE {Q.clean_key(f'{e}.key', True)} END)")
+        kept = [Q.has(d, p.device_keys, p.depth), Q.let(Q.find(d, [p.time_field], p.depth), lambda t: T.valid_epoch_sql(t, p.tz))]
+        kept += [Q.has(Q.rewrite(d, p.depth), [k], p.depth) for k in p.require_keys]
+        return f"CASE WHEN {' AND '.join(kept)} THEN {names} END"
+
+    keys = df.select(F.explode(F.expr(Q.let(Q.parse_doc(Q.ident(text)), on_doc))).alias("k")).distinct()
+    return sorted(r["k"] for r in keys.collect())
 
 
 def run_batch(df: DataFrame, p: Profile, text: str = "value", keys: Sequence[str] | None = None) -> DataFrame:
     """Both stages over a batch DataFrame of raw JSON text (no files in between)."""
+    if keys is None and p.columns is None:
+        keys = payload_keys(df, p, text)
     return stage2(stage1(df, p, text), p, keys)

@@ -11,7 +11,7 @@ from shoal.functions import timefn as T
 
 def one(spark, text, expr):
     df = spark.createDataFrame([(text,)], "value string").select(J.parse_doc("value").alias("doc"))
-    return df.select(expr(F.col("doc")).alias("r")).collect()[0]["r"]
+    return df.select(expr("doc").alias("r")).collect()[0]["r"]
 
 
 @pytest.mark.parametrize(
@@ -34,7 +34,7 @@ def test_find(spark, doc, key, expected):
 
 def test_find_null_document(spark):
     df = spark.createDataFrame([(None,)], "value string")
-    r = df.select(J.json_has(J.parse_doc("value"), "mac").alias("r")).collect()[0]["r"]
+    r = df.select(J.parse_doc("value").alias("doc")).select(J.json_has("doc", "mac").alias("r")).collect()[0]["r"]
     assert r is False
 
 
@@ -43,7 +43,7 @@ def test_duplicate_keys_last_wins(spark):
 
 
 def test_put_overwrites(spark):
-    out = one(spark, '{"hour":"01"}', lambda d: J.doc_to_json(J.json_put(d, {"hour": F.lit("07")})))
+    out = one(spark, '{"hour":"01"}', lambda d: J.doc_to_json(J.json_put(d, {"hour": "07"})))
     assert json.loads(out) == {"hour": "07"}
 
 
@@ -78,46 +78,55 @@ def test_copy(spark):
     assert json.loads(nested) == {"o": {"s": "5"}, "d": "5"}
 
 
-def test_depth_limit(spark):
-    deep = '{"k-1":1}'
-    for i in range(9):
-        deep = '{"l%d":%s}' % (i, deep)
-    out = json.loads(one(spark, deep, lambda d: J.doc_to_json(J.json_sanitize_keys(d, depth=8))))
-    node = out
-    for i in reversed(range(9)):
-        node = node["l%d" % i]
-    assert node == {"k-1": 1}  # level 10 lies below the limit: untouched
-    assert one(spark, deep, lambda d: J.json_depth_exceeds(d, 8)) is True
-    assert one(spark, deep, lambda d: J.json_depth_exceeds(d, 10)) is False
-    shallow = '{"a":{"k-1":1}}'
-    assert json.loads(one(spark, shallow, lambda d: J.doc_to_json(J.json_sanitize_keys(d, depth=8)))) == {"a": {"k_1": 1}}
+@pytest.mark.parametrize("depth", [1, 3, 8])
+def test_any_depth(spark, depth):
+    """Objects below the unrolled levels are walked like the others."""
+    deep = '{"k-1":1.50,"mac":"m","hw_type":null,"a":[{"x-y":1}],"":"e\\"q"}'
+    for i in range(40):
+        deep = '{"l%d":%s,"z-%d":%d}' % (i, deep, i, i)
+
+    def at_bottom(text):
+        node = json.loads(text)
+        for i in reversed(range(40)):
+            assert "z_%d" % i in node or "z-%d" % i in node
+            node = node["l%d" % i]
+        return node
+
+    assert one(spark, deep, lambda d: J.json_find(d, "mac", depth)) == "m"
+    assert one(spark, deep, lambda d: J.json_find(d, ["nope", "k-1"], depth)) == "1.5"
+    assert one(spark, deep, lambda d: J.json_has(d, "nope", depth)) is False
+    clean = at_bottom(one(spark, deep, lambda d: J.doc_to_json(J.json_sanitize_keys(d, depth))))
+    assert clean == {"k_1": 1.5, "mac": "m", "hw_type": None, "a": [{"x-y": 1}], "": 'e"q'}
+    assert at_bottom(one(spark, deep, lambda d: J.doc_to_json(J.json_replace(d, "hw_type", "v7", depth))))["hw_type"] == "v7"
+    filled = one(spark, deep, lambda d: J.doc_to_json(J.json_copy(d, "mac", "hw_type", depth)))
+    assert json.loads(filled)["hw_type"] == "m" and "hw_type" not in at_bottom(filled)
 
 
 def times(spark, texts, expr):
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    return [r["r"] for r in df.select(expr(F.col("t")).alias("r")).collect()]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("ms", T.epoch_millis("t"))
+    return [r["r"] for r in df.select(expr.alias("r")).collect()]
 
 
 def test_seconds_and_millis(spark):
-    ms = lambda t: T.epoch_millis(t)
-    assert times(spark, ["1634909251", "1634909251444"], lambda t: T.epoch_date(ms(t))) == ["2021-10-22"] * 2
-    assert times(spark, ["1634909251", "1634909251444"], lambda t: T.epoch_hour(ms(t))) == ["13"] * 2
-    assert times(spark, ["1634909251"], T.normalize_epoch) == ["1634909251000"]
-    assert times(spark, ["1634909251"], lambda t: T.epoch_datetime(ms(t))) == ["2021-10-22 13:27:31"]
+    assert times(spark, ["1634909251", "1634909251444"], T.epoch_date("ms")) == ["2021-10-22"] * 2
+    assert times(spark, ["1634909251", "1634909251444"], T.epoch_hour("ms")) == ["13"] * 2
+    assert times(spark, ["1634909251"], T.normalize_epoch("t")) == ["1634909251000"]
+    assert times(spark, ["1634909251"], T.epoch_datetime("ms")) == ["2021-10-22 13:27:31"]
 
 
 def test_other_zone(spark):
-    ms = lambda t: T.epoch_millis(t)
-    assert times(spark, ["1634909251444"], lambda t: T.epoch_hour(ms(t), "Asia/Kolkata")) == ["18"]
+    assert times(spark, ["1634909251444"], T.epoch_hour("ms", "Asia/Kolkata")) == ["18"]
+    # the earliest plausible time is midnight there, too
+    assert times(spark, ["1262284200", "1262284199"], T.valid_epoch("t", "Asia/Kolkata")) == [True, False]
 
 
 @pytest.mark.parametrize("text", ["", "-1", "1634909251.5", "9223372036854775807", "1" * 30, None, "12x"])
 def test_invalid_epochs(spark, text):
-    assert times(spark, [text], T.valid_epoch) == [False]
+    assert times(spark, [text], T.valid_epoch("t")) == [False]
 
 
 def test_lower_bound(spark):
-    assert times(spark, ["1262304000", "1262303999"], T.valid_epoch) == [True, False]
+    assert times(spark, ["1262304000", "1262303999"], T.valid_epoch("t")) == [True, False]
 
 
 def test_decimals(spark):
@@ -141,23 +150,6 @@ def test_case_twins(spark):
     assert [r["a"] for r in flat.collect()] == ["1", "1"]
 
 
-def test_stage1_counts_too_deep_documents(spark):
-    from pyspark.sql import Observation
-
-    from shoal.plans import stages as S
-    from shoal.plans.profiles import PROFILES
-
-    p = PROFILES["m7"].with_options(depth=3)
-    ok = '{"metrics":{"mac":"m","epoch_time":"1634909251","o":{"x":1}}}'
-    deep = '{"metrics":{"mac":"m","epoch_time":"1634909251","o":{"p":{"q-r":1}}}}'
-    df = spark.createDataFrame([(ok,), (deep,)], "value string")
-    obs = Observation("depth")
-    rows = S.stage1(df, p, observe=obs, track_depth=True).collect()
-    assert len(rows) == 2 and obs.get["too_deep"] == 1
-    # the subtree below the limit is left as it was
-    assert '"q-r":1' in [r["value"] for r in rows if '"p"' in r["value"]][0]
-
-
 def test_flatten_odd_keys(spark):
     from shoal.operators import refine as R
     from shoal.plans.profiles import PROFILES
@@ -217,9 +209,8 @@ def test_epoch_functions_match_python(spark):
         ts = datetime.fromtimestamp(ms // 1000, timezone.utc)
         return (ok, ts.strftime("%Y-%m-%d"), ts.strftime("%H"))
 
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    ms = T.epoch_millis("t")
-    got = df.select("t", T.valid_epoch("t").alias("ok"), T.epoch_date(ms).alias("d"), T.epoch_hour(ms).alias("h")).collect()
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("ms", T.epoch_millis("t"))
+    got = df.select("t", T.valid_epoch("t").alias("ok"), T.epoch_date("ms").alias("d"), T.epoch_hour("ms").alias("h")).collect()
     for r in got:
         ok, d, h = expect(r["t"])
         assert r["ok"] == ok, r["t"]
@@ -227,17 +218,25 @@ def test_epoch_functions_match_python(spark):
             assert (r["d"], r["h"]) == (d, h), r["t"]
 
 
-def test_keys_beyond_the_column_limit_are_kept_in_rest(spark):
+def test_named_columns_and_the_rest(spark):
     from shoal.operators import refine as R
     from shoal.plans.profiles import PROFILES
 
-    p = PROFILES["m7"]
-    rows = [('{"metrics":{"a":"1","b":"2","c":"3"},"thedate":"d"}',), ('{"metrics":{"a":"4"},"thedate":"d"}',)]
-    prepared = R.prepare(spark.createDataFrame(rows, "value string"), p)
-    flat = R.flatten(prepared, p, R.discover_keys(prepared), max_columns=2)
-    assert flat.columns == ["a", "b", "_rest", "thedate"]
-    got = sorted((r["a"], r["b"], r["_rest"]) for r in flat.collect())
-    assert got == [("1", "2", '{"c":"3"}'), ("4", None, None)]
+    p = PROFILES["m7"].with_options(columns=("b", "A"), rest_column="others")
+    rows = [('{"metrics":{"a":"1","b":"2","c":"3","@d":{"x":1}},"thedate":"d"}',), ('{"metrics":{"A":"4"},"thedate":"d"}',), ('{"metrics":7}',)]
+    flat = R.flatten(R.prepare(spark.createDataFrame(rows, "value string"), p), p)
+    assert flat.columns == ["a", "b", "others", "thedate"]
+    got = sorted(((r["a"], r["b"], r["others"]) for r in flat.collect()), key=str)
+    assert got == [("1", "2", '{"@d":{"x":1},"c":"3"}'), ("4", None, None), (None, None, None)]
+
+
+def test_every_key_is_a_column(spark):
+    from shoal.plans import stages as S
+    from shoal.plans.profiles import PROFILES
+
+    wide = {f"k{i}": str(i) for i in range(6000)}
+    row = S.stage2(spark.createDataFrame([(json.dumps({"metrics": wide, "thedate": "d"}),)], "value string"), PROFILES["m7"])
+    assert len(row.columns) == 6002 and "_rest" not in row.columns  # the keys, the date, the copied mac
 
 
 def test_sql_built_stage1_other_zone_and_odd_keys(spark):
