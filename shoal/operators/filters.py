@@ -19,8 +19,7 @@ from shoal.functions import timefn as T
 # filter whatever the list holds.
 DEVICE_KEYS = ("mac", "mac_address")
 ALWAYS_ALLOWED = "APP"
-# Above this many names an allow-list is joined instead of inlined as a literal set.
-INLINE_ALLOW_LIST_MAX = 10_000
+EPOCH = "_epoch"  # the found epoch text, bound once
 
 
 def with_doc(df: DataFrame, text: str = "value", doc: str = "doc") -> DataFrame:
@@ -39,13 +38,18 @@ def filter_on_device(df: DataFrame, doc: str = "doc", keys: Iterable[str] = DEVI
     return df.filter(device_predicate(doc, keys))
 
 
-def time_predicate(doc: Column | str, time_field: str) -> Column:
-    """the time key holds a digits-only epoch between 2010-01-01 and now."""
-    return T.valid_epoch(J.json_find(doc, time_field))
+def with_epoch(df: DataFrame, time_field: str, doc: str = "doc", epoch: str = EPOCH) -> DataFrame:
+    """The document's time value as the column ``epoch``: found once for the filter, date,
+    hour and output alike."""
+    return J.bind_once(df, {epoch: J.json_find(doc, time_field)})
 
 
-def filter_on_time(df: DataFrame, time_field: str, doc: str = "doc") -> DataFrame:
-    return df.filter(time_predicate(doc, time_field))
+def filter_on_time(df: DataFrame, time_field: str, doc: str = "doc", tz: str = "UTC", epoch: str = EPOCH) -> DataFrame:
+    """the time key holds a digits-only epoch between 2010-01-01 and now.  Leaves the
+    found text in ``epoch`` (which may already be there, see :func:`with_epoch`)."""
+    if epoch not in df.columns:
+        df = with_epoch(df, time_field, doc, epoch)
+    return df.filter(T.valid_epoch(epoch, tz))
 
 
 def require_keys(df: DataFrame, keys: Iterable[str], doc: str = "doc") -> DataFrame:
@@ -66,23 +70,11 @@ def type_hygiene(df: DataFrame, column: str = "event_type") -> DataFrame:
     return df.filter(type_hygiene_predicate(column))
 
 
-def _allowed_names(allowed: Iterable[str] | DataFrame) -> list[str] | DataFrame:
-    if isinstance(allowed, DataFrame):
-        # size-checked: small lists become a literal set, large ones stay a join side
-        head = allowed.limit(INLINE_ALLOW_LIST_MAX + 1).collect()
-        if len(head) > INLINE_ALLOW_LIST_MAX:
-            return allowed.select(F.col(allowed.columns[0]).alias("_allowed")).distinct()
-        return [r[0] for r in head if r[0] is not None]
-    names = list(allowed)
-    if not names:
-        raise ValueError("allow-list is empty")
-    return names
-
-
-def row_tokens(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
-    """Tokens of the whole row: every value as text, split at commas, ``]`` removed."""
+def row_tokens_text(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
+    """The row's values as text, comma-joined, ``]`` removed: its tokens are the parts
+    between commas."""
     cols = [F.col(f"`{c}`").cast("string") for c in (columns or df.columns)]
-    return F.split(F.replace(F.concat_ws(",", *cols), F.lit("]"), F.lit("")), ",")
+    return F.replace(F.concat_ws(",", *cols), F.lit("]"), F.lit(""))
 
 
 def allow_list_filter(
@@ -96,25 +88,27 @@ def allow_list_filter(
     ``scope="event_type"`` tests one column (a null there passes, as an absent list
     of events does); ``scope="any_column"`` tests every comma-separated token of the
     whole row, the rule of the row-wide filter.
+
+    Names in Python (a profile's fixed list) are tested in the row; names in a DataFrame,
+    of any number, are joined.  The verdict depends only on the tested text, so the
+    distinct texts are joined and the rows kept by their text: copies of rows are never
+    shuffled, columns of every type pass, and both ways keep the same rows.
     """
-    names = _allowed_names(allowed)
-    if isinstance(names, DataFrame):
-        if scope == "any_column":
-            # exact for any list size: match tokens by join, then take back the
-            # matching rows by a null-safe semi join on the whole row
-            cols = df.columns
-            tokens = df.select(*[F.col(f"`{c}`") for c in cols], F.explode(F.array_distinct(row_tokens(df))).alias("_tok"))
-            hit = tokens.join(names, F.col("_tok") == F.col("_allowed"), "left_semi")
-            hit = hit.unionByName(tokens.filter(F.col("_tok") == ALWAYS_ALLOWED)).drop("_tok").distinct()
-            cond = [df[f"`{c}`"].eqNullSafe(hit[f"`{c}`"]) for c in cols]
-            return df.join(hit, cond, "left_semi")
-        keyed = df.withColumn("_tok", F.col(column))
-        always = F.col("_tok").isNull() | (F.col("_tok") == ALWAYS_ALLOWED)
-        # the two branches are disjoint, so no row comes out twice
-        kept = keyed.filter(~always).join(names, F.col("_tok") == F.col("_allowed"), "left_semi")
-        return kept.unionByName(keyed.filter(always)).drop("_tok")
-    lit_set = F.array(*[F.lit(n) for n in names + [ALWAYS_ALLOWED]])
     if scope == "any_column":
-        return df.filter(F.arrays_overlap(row_tokens(df), lit_set))
-    c = F.col(column)
-    return df.filter(c.isNull() | c.isin(names + [ALWAYS_ALLOWED]))
+        tested, tokens = row_tokens_text(df), lambda t: F.split(t, ",")
+    else:
+        tested, tokens = F.col(column).cast("string"), F.array
+    if not isinstance(allowed, DataFrame):
+        names = [n for n in allowed if n is not None]
+        if not names:
+            raise ValueError("allow-list is empty")
+        ok = F.arrays_overlap(tokens(tested), F.array(*[F.lit(n) for n in [*names, ALWAYS_ALLOWED]]))
+        return df.filter(tested.isNull() | ok)
+    names = allowed.select(F.col(f"`{allowed.columns[0]}`").cast("string").alias("_name")).where("_name IS NOT NULL")
+    names = names.union(df.sparkSession.createDataFrame([(ALWAYS_ALLOWED,)], "_name string")).distinct()
+    keyed = J.bind_once(df, {"_tested": tested})
+    texts = keyed.select(F.col("_tested").alias("_text")).where("_text IS NOT NULL").distinct()
+    passed = texts.select("_text", F.explode(F.array_distinct(tokens(F.col("_text")))).alias("_token")) \
+        .join(names, F.col("_token") == F.col("_name"), "left_semi").select("_text").distinct()
+    kept = keyed.join(passed, F.col("_tested") == F.col("_text"), "left").where("_text IS NOT NULL OR _tested IS NULL")
+    return kept.drop("_text", "_tested")

@@ -19,9 +19,6 @@ from shoal.operators import filters as FL
 from shoal.plans.profiles import Profile
 
 PAYLOAD = "_payload"
-REST = "_rest"
-# Widest table we flatten; keys beyond it are kept, as JSON, in one `_rest` column.
-MAX_COLUMNS = 5_000
 DECIMAL_TYPE = "decimal(18,0)"
 
 
@@ -57,12 +54,12 @@ def payload_field(key: str) -> Column:
     return _payload_map()[key].cast("string")
 
 
-def discover_keys(prepared: DataFrame, limit: int | None = None) -> list[str]:
-    """Distinct payload keys of the batch, sorted.  Map-side partial aggregation keeps
-    the shuffle to one row per key and task."""
+def discover_keys(prepared: DataFrame) -> list[str]:
+    """Distinct payload keys of the batch, sorted: the columns of a table that has one for
+    every key.  Map-side partial aggregation keeps the shuffle to one row per key and task.
+    Where devices choose keys freely (ids as keys), the profile names its columns instead
+    (``Profile.columns``), and nothing is discovered or collected."""
     keys = prepared.select(F.explode(F.map_keys(_payload_map())).alias("k")).distinct()
-    if limit is not None:
-        keys = keys.orderBy("k").limit(limit)
     return sorted(r["k"] for r in keys.collect())
 
 
@@ -73,21 +70,28 @@ def _lower_groups(keys: Iterable[str]) -> dict[str, list[str]]:
     return groups
 
 
-def flatten(prepared: DataFrame, p: Profile, keys: Sequence[str], max_columns: int = MAX_COLUMNS) -> DataFrame:
+def flatten(prepared: DataFrame, p: Profile, keys: Sequence[str] | None = None) -> DataFrame:
     """One string column per payload key (lower-case; case twins coalesced in key
-    order), then the side fields, which win over a payload key of the same name."""
+    order), then the side fields, which win over a payload key of the same name.
+
+    ``keys`` are the payload's keys; a profile with ``columns`` has just these, and all
+    other keys, as one JSON object, in the column ``rest_column`` names: the same shape
+    whatever a batch holds."""
     side = {s.lower() for s in p.side_fields}
-    groups = _lower_groups(keys)
-    names = [n for n in sorted(groups) if n not in side]
-    cols: list[Column] = []
-    kept = names[:max_columns]
-    for name in kept:
+    if p.columns is not None:
+        wanted = {c.lower() for c in p.columns}
+        names = [c for c in sorted(wanted) if c not in side]
+        fields = F.transform_keys(_payload_map(), lambda k, v: F.lower(k))  # the last of case twins, as in sorted order
+        cols = [fields[c].cast("string").alias(c) for c in names]
+        if p.rest_column:
+            rest = F.map_filter(_payload_map(), lambda k, v: ~F.lower(k).isin(sorted(wanted | side)))
+            cols.append(F.when(F.size(rest) > 0, F.to_json(rest)).alias(p.rest_column.lower()))
+        return prepared.select(*cols, *[_q(s.lower()) for s in p.side_fields])
+    groups = _lower_groups(keys if keys is not None else discover_keys(prepared))
+    cols = []
+    for name in (n for n in sorted(groups) if n not in side):
         variants = [payload_field(k) for k in groups[name]]
         cols.append((variants[0] if len(variants) == 1 else F.coalesce(*variants)).alias(name))
-    if len(names) > max_columns:
-        flat_keys = [k for n in kept for k in groups[n]]
-        rest = F.map_filter(_payload_map(), lambda k, v: ~k.isin(flat_keys))
-        cols.append(F.when(F.size(rest) > 0, F.to_json(rest)).alias(REST))
     return prepared.select(*cols, *[_q(s.lower()) for s in p.side_fields])
 
 
@@ -156,7 +160,7 @@ def refine(flat: DataFrame, p: Profile) -> DataFrame:
     present = {c.lower() for c in flat.columns}
     df = flat
     if p.time_field.lower() in present:
-        df = df.withColumn(p.time_field.lower(), T.normalize_epoch(_q(p.time_field.lower())))
+        df = df.withColumn(p.time_field.lower(), T.normalize_epoch(p.time_field.lower()))
     df = drop_present(df, p.drops)
     df = copy_columns(df, p.copies)
     if p.type_hygiene:

@@ -45,7 +45,7 @@ def q_device_filter(spark, sf_dir):
 
 
 def q_time_filter(spark, sf_dir):
-    return _kept_time(spark, sf_dir).select("event_id", J.json_find("doc", "event_time").alias("epoch"))
+    return _kept_time(spark, sf_dir).select("event_id", F.col(FL.EPOCH).alias("epoch"))
 
 
 def q_epoch_buckets(spark, sf_dir):
@@ -55,7 +55,7 @@ def q_epoch_buckets(spark, sf_dir):
 
 def q_epoch_normalised(spark, sf_dir):
     df = _kept_time(spark, sf_dir)
-    return df.select("event_id", T.normalize_epoch(J.json_find("doc", "event_time")).alias("epoch_ms"))
+    return df.select("event_id", T.normalize_epoch(FL.EPOCH).alias("epoch_ms"))
 
 
 def q_json_find(spark, sf_dir):
@@ -174,8 +174,8 @@ def _text_roundtrip(table: str, id_cols: tuple[str, ...], text_col: str) -> Quer
             *[F.col(c).alias(f"@{c}") for c in id_cols],
             F.struct(F.col(text_col).alias("body text"), F.lit("x").alias("mac")).alias("pay.load"),
         )
-        clean = J.bind_once(src.select(*id_cols, F.to_json(body).alias("_json")),
-                            {"doc": J.json_sanitize_keys(J.parse_doc("_json"))})
+        parsed = FL.with_doc(src.select(*id_cols, F.to_json(body).alias("_json")), "_json", "_doc")
+        clean = J.bind_once(parsed, {"doc": J.json_sanitize_keys("_doc")})
         return clean.select(
             *id_cols,
             J.json_find("doc", "body_text").alias(text_col),

@@ -7,9 +7,10 @@ is called by every entry point.  ``build_session`` is for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings the expressions depend on (nothing else is touched; per-write
 # options such as dynamic partition overwrite are passed on the write itself).
@@ -56,32 +57,20 @@ def build_session(
     return configure(spark)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure CPU-heavy per-row work gets every core.
-
-    A scan yields one task per file split; an unsplittable input (one row group, one
-    compressed file) gives a single task however many cores there are.  When the scan
-    has fewer partitions than the cluster's parallelism the rows are dealt round-robin
-    over that many partitions; otherwise — the normal case at scale — nothing changes
-    and no shuffle is added.  Looks at the plan only; runs no job."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — no RDD view (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system the cluster
-    names); only when the session has none — local tests — do we make our own.
+    This is ``spark.checkpoint.dir``, a shared file system the cluster names.  A session on
+    one machine (tests, the bench) that has none gets a folder of its own; on a cluster a
+    machine's own folder would scatter the data, so its absence is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {master} it must name a shared folder")
         root = tempfile.mkdtemp(prefix="shoal-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
