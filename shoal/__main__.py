@@ -3,9 +3,9 @@
     python -m shoal run e7 --topic device-events --root s3://bucket/shoal/e7 \\
         --table-name events_v7 --trigger-seconds 60 --starting-offsets latest \\
         --max-offsets 5000000 --kafka-option kafka.bootstrap.servers=host:9092
-    python -m shoal run m5 --source-format text --source-path /data/in --available-now
+    python -m shoal run m5 --root hdfs:///shoal/m5 --source-format text --source-path /data/in --available-now
     python -m shoal repair events_v7,metrics_v5
-    python -m shoal compact e7 --root s3://bucket/shoal/e7 --table-name events_v7
+    python -m shoal replay e7 --root s3://bucket/shoal/e7 --table-name events_v7
 
 Every setting of the eight stream entry points is a named option here (start offsets,
 checkpoint/data root, table name, rate limits, poll time, trigger, clean start); the
@@ -21,10 +21,10 @@ from pyspark.sql import SparkSession
 
 from shoal.plans.profiles import PROFILES
 from shoal.session import configure
-from shoal.sources.stream import SourceOptions
+from shoal.sources.stream import SourceOptions, read_allow_list
 from shoal.streaming.catalog import repair_tables
-from shoal.streaming.compaction import compact
 from shoal.streaming.jobs import ProfileStream, StreamPaths
+from shoal.streaming.sinks import TableWriter
 
 
 def _key_values(items: list[str]) -> dict[str, str]:
@@ -43,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
 
     run = sub.add_parser("run", help="run a profile's stage-1 and stage-2 queries")
     run.add_argument("profile", choices=sorted(PROFILES))
-    run.add_argument("--root", help="data and checkpoint root (default: spark.checkpoint.dir/shoal)")
+    run.add_argument("--root", required=True, help="data and checkpoint root, on storage that the whole cluster shares")
     run.add_argument("--table-name", help="catalog table kept in step with the Parquet files")
     run.add_argument("--source-format", default="kafka", help="kafka (default) or text")
     run.add_argument("--topic")
@@ -59,16 +59,17 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     run.add_argument("--clean-start", action="store_true", help="new checkpoint generation")
     run.add_argument("--layout", default="source", choices=["source", "salted"])
+    run.add_argument("--files-per-hour", type=int, help="writers of an hour in the salted layout (default: the cluster's parallelism)")
+    run.add_argument("--allow-list", help="CSV file whose first line lists the allowed names")
     run.add_argument("--log-level", default="WARN")
 
     rep = sub.add_parser("repair", help="register the partitions of tables (comma separated)")
     rep.add_argument("tables")
 
-    com = sub.add_parser("compact", help="merge committed batch directories of a profile's table")
-    com.add_argument("profile", choices=sorted(PROFILES))
-    com.add_argument("--root", help="the root the stream runs under")
-    com.add_argument("--table-name")
-    com.add_argument("--min-batches", type=int, default=2)
+    rpl = sub.add_parser("replay", help="load quarantined batches of a profile into its table")
+    rpl.add_argument("profile", choices=sorted(PROFILES))
+    rpl.add_argument("--root", required=True, help="the root the stream runs under")
+    rpl.add_argument("--table-name")
     return ap
 
 
@@ -88,7 +89,11 @@ def build_job(spark: SparkSession, args: argparse.Namespace) -> ProfileStream:
         options=options,
     )
     paths = StreamPaths.open(spark, args.root, clean_start=args.clean_start)
-    return ProfileStream(spark, PROFILES[args.profile], source, paths, table_name=args.table_name, layout=args.layout)
+    p = PROFILES[args.profile]
+    if args.allow_list:
+        p = p.with_options(allow_list=tuple(r["name"] for r in read_allow_list(spark, args.allow_list).collect()))
+    return ProfileStream(spark, p, source, paths, table_name=args.table_name, layout=args.layout,
+                         files_per_hour=args.files_per_hour)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -99,10 +104,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name in repair_tables(spark, args.tables):
             print(f"repaired {name}")
         return 0
-    if args.command == "compact":
+    if args.command == "replay":
         paths = StreamPaths.open(spark, args.root)
-        for d in compact(spark, paths, PROFILES[args.profile], args.min_batches, table_name=args.table_name):
-            print(f"compacted {d}")
+        writer = TableWriter(PROFILES[args.profile], paths.table, paths.generation, args.table_name, paths.quarantine)
+        for tag in writer.replay(spark):
+            print(f"replayed {tag}")
         return 0
     spark.sparkContext.setLogLevel(args.log_level)
     job = build_job(spark, args)

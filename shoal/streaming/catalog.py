@@ -35,21 +35,18 @@ def ensure_table(
     return new
 
 
-def _lit(v: str) -> str:
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _lit(v: str | None) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def add_partitions(spark: SparkSession, name: str, specs: Sequence[dict]) -> bool:
+def add_partitions(spark: SparkSession, name: str, specs: Sequence[dict]) -> None:
     """Register the partitions one batch wrote (cost: that batch's partitions, not the
-    table's).  Returns False when a spec holds a null value; the caller then repairs."""
-    if any(v is None for spec in specs for v in spec.values()):
-        return False
+    table's).  A null value is registered as the null partition."""
     if specs:
         parts = " ".join(
             "PARTITION (" + ", ".join(f"{_q(k)} = {_lit(v)}" for k, v in spec.items()) + ")" for spec in specs
         )
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
-    return True
 
 
 def repair_table(spark: SparkSession, name: str) -> None:

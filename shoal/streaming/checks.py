@@ -17,7 +17,7 @@ from shoal.session import configure, scratch_root
 from shoal.sources.envelope import device_messages
 from shoal.sources.stream import SourceOptions
 from shoal.streaming.jobs import ProfileStream, StreamPaths
-from shoal.streaming.sinks import TableWriter, read_table
+from shoal.streaming.sinks import BATCH_COLUMN, TableWriter, read_table
 
 INPUT_FILES = 8
 INPUT_FILES_PER_TRIGGER = 8  # one stage-1 batch per arrival (the catch-up check has two)
@@ -76,7 +76,7 @@ def q_stream_repair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "shoal_check_" + root.rsplit("-", 1)[-1]
     _write_input(spark, sf_dir, "metrics", f"{root}/input")
     _stream(spark, root, "m5", table_name=name).run_available_now()
-    return spark.table(name).drop("ingest_batch")
+    return spark.table(name).drop(BATCH_COLUMN)
 
 
 def q_stream_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,15 +93,17 @@ def q_stream_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class _CrashOnce(TableWriter):
-    """Fails right after the data of one batch is written (before the commit)."""
+    """Fails right after the data of one batch is written (before the commit): the write's
+    own tolerance is off, as a lost driver has none."""
 
     crash_batch = 0
+    crashed = False
 
-    def __call__(self, batch, batch_id):
-        self.write(batch, batch_id)
-        if batch_id == self.crash_batch and not getattr(self, "crashed", False):
+    def register(self, spark, columns, specs):
+        super().register(spark, columns, specs)
+        if self.calls == self.crash_batch and not self.crashed:
             self.crashed = True
-            raise RuntimeError("simulated executor loss after the write")
+            raise RuntimeError("simulated loss after the write")
 
 
 def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,22 +115,71 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     job.writer = _CrashOnce(job.profile, job.paths.table, job.paths.generation)
     try:
         job.run_available_now()
-    except Exception:  # noqa: BLE001 — the simulated crash
-        pass
+    except Exception as exc:  # noqa: BLE001
+        if "simulated loss" not in str(exc):
+            raise
+    if not job.writer.crashed:
+        raise AssertionError("the crash was not simulated")
     _stream(spark, root, "e7").run_available_now()
     return read_table(spark, f"{root}/table")
 
 
+class _FailOnce(TableWriter):
+    """The first write fails half-way: some files are there, the batch is not."""
+
+    failed = False
+
+    def write(self, batch, tag):
+        out = super().write(batch, tag)
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError("simulated failure of a write")
+        return out
+
+
+def q_stream_quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch fails, goes to quarantine and leaves no files; replayed, the table is whole
+    (T8)."""
+    configure(spark)
+    root = _fresh_root(spark, "e6q")
+    _write_input(spark, sf_dir, "events", f"{root}/input")
+    job = _stream(spark, root, "e6")
+    job.writer = _FailOnce(job.profile, job.paths.table, job.paths.generation, quarantine_path=job.paths.quarantine)
+    job.run_available_now()
+    if job.writer.replay(spark) != [job.writer.batch_tag(0)] or job.writer.replay(spark):
+        raise AssertionError("one quarantined batch was expected")
+    return read_table(spark, f"{root}/table")
+
+
+def q_stream_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without an event type are registered in the null partition by their batch; only
+    the first batch repairs the whole table."""
+    configure(spark)
+    root = _fresh_root(spark, "e5")
+    name = "shoal_check_" + root.rsplit("-", 1)[-1]
+    job = _stream(spark, root, "e5", table_name=name)
+    cut = F.lit(SECOND_ARRIVAL).cast("timestamp_ntz")
+    for arrived in (F.col("ts") < cut, F.col("ts") >= cut):
+        _write_input(spark, sf_dir, "events", f"{root}/input", arrived)
+        job.run_available_now()
+    if job.writer.calls < 2 or job.writer.repairs != 1 or job.writer.repair_due:
+        raise AssertionError(f"{job.writer.repairs} repairs in {job.writer.calls} batches")
+    return spark.table(name).drop(BATCH_COLUMN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_two_stage": q_stream_two_stage,
     "stream_catch_up": q_stream_catch_up,
     "stream_repair_table": q_stream_repair_table,
     "stream_restart": q_stream_restart,
     "stream_schema_evolution": q_stream_schema_evolution,
+    "stream_quarantine_replay": q_stream_quarantine_replay,
+    "stream_null_partition": q_stream_null_partition,
 }
 
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
-            "stream_repair_table": "profile_m5", "stream_restart": "profile_e7"}
+            "stream_repair_table": "profile_m5", "stream_restart": "profile_e7",
+            "stream_quarantine_replay": "profile_e6", "stream_null_partition": "profile_e5"}
 
 
 def oracles() -> dict[str, str]:

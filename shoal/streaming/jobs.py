@@ -24,13 +24,14 @@ from shoal.plans.profiles import Profile
 from shoal.plans.stages import stage1
 from shoal.session import configure, scratch_root
 from shoal.sources.stream import SourceOptions, read_stream
-from shoal.streaming.sinks import TableWriter, layout_for_sink, start_text_sink
+from shoal.streaming.sinks import TableWriter, file_system, layout_for_sink, start_text_sink
 
 log = logging.getLogger(__name__)
 
-# Fixed values of the contract: more than 10 batches of lag stops the job; stage 2
-# takes at most 1,000 files per batch.  (A restart always drains stage 2's backlog
-# first — see ``run_forever(catch_up=…)`` — so no lag threshold decides a catch-up.)
+# Fixed values of the contract: more than 5 batches of lag call for a catch-up, more than
+# 10 stop the job; stage 2 takes at most 1,000 files per batch.  (A restart always drains
+# stage 2's backlog, see ``run_forever``.)
+CATCH_UP_LAG = 5
 MAX_LAG = 10
 FILES_PER_BATCH = 1000
 # Stage-1 text as stage 2 reads it: the line and the two partition columns.
@@ -41,14 +42,8 @@ class LagError(RuntimeError):
     """Stage 2 fell too far behind its source."""
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def list_generations(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
+    fs, p = file_system(spark, root)
     if not fs.exists(p):
         return []
     gens = []
@@ -92,48 +87,44 @@ class StreamPaths:
         return f"{self.root}/checkpoints/gen={self.generation:04d}/{stage}"
 
 
-def offsets_behind(progress: dict) -> int:
-    """Batches (file source) or records (Kafka) between what the last micro-batch read
-    and what was available; 0 when unknown."""
-    total = 0
-    for src in progress.get("sources", []):
-        end, latest = src.get("endOffset"), src.get("latestOffset")
-        if isinstance(end, str):
-            end = json.loads(end) if end.startswith("{") else None
-        if isinstance(latest, str):
-            latest = json.loads(latest) if latest.startswith("{") else None
-        if not isinstance(end, dict) or not isinstance(latest, dict):
-            continue
-        if "logOffset" in end and "logOffset" in latest:
-            total += max(0, int(latest["logOffset"]) - int(end["logOffset"]))
-            continue
-        for topic, parts in latest.items():
-            if isinstance(parts, dict):
-                for part, off in parts.items():
-                    done = end.get(topic, {}).get(part, off)
-                    total += max(0, int(off) - int(done))
-    return total
-
-
 class ProgressRecorder(StreamingQueryListener):
-    """K4: keeps the last progress events per query and flags excessive lag.
-    Listener callbacks run on the listener thread; the job loop acts on the flag."""
-
-    def __init__(self, max_lag: int = MAX_LAG, keep: int = 100):
-        self.max_lag = max_lag
-        self.events: dict[str, deque] = {}
-        self.lagging: set[str] = set()
+    """K4: running totals of every query's rows, batches and observed metrics, and the lag of
+    stage 2 behind stage 1 (T6).
+
+    The lag is counted in stage-1 batches: those whose last kept row stage 2 hasn't read.
+    Both totals start with the live queries, as the backlog is loaded by the catch-up; the
+    batches not read yet are kept, one number each.  Callbacks run on the listener
+    thread; the job loop reads ``lag``."""
+
+    def __init__(self, kept_metric: str | None = None, stage1: str | None = None, stage2: str | None = None):
+        self.kept_metric, self.stage1, self.stage2 = kept_metric, stage1, stage2
+        self.totals: dict[str, dict[str, int]] = {}
+        self.metrics: dict[str, dict[str, int]] = {}
+        self.waiting: deque[int] = deque()  # stage 1's kept rows in sum, after each unread batch
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event):  # noqa: N802
         log.info("query %s started", event.id)
 
     def onQueryProgress(self, event):  # noqa: N802
-        prog = json.loads(event.progress.json)
+        self.add(json.loads(event.progress.json))
+
+    def add(self, progress: dict) -> None:
+        name = progress.get("name") or progress["id"]
         with self._lock:
-            self.events.setdefault(prog.get("name") or prog["id"], deque(maxlen=100)).append(prog)
-            if offsets_behind(prog) > self.max_lag:
-                self.lagging.add(prog.get("name") or prog["id"])
+            own = self.totals.setdefault(name, {"rows": 0, "batches": 0})
+            own["rows"] += int(progress.get("numInputRows", 0))
+            own["batches"] += 1
+            for metric, values in (progress.get("observedMetrics") or {}).items():
+                total = self.metrics.setdefault(metric, {})
+                for k, v in values.items():
+                    if isinstance(v, (int, float)):
+                        total[k] = total.get(k, 0) + int(v)
+            if name == self.stage1 and (progress.get("observedMetrics") or {}).get(self.kept_metric, {}).get("kept"):
+                self.waiting.append(self.metrics[self.kept_metric]["kept"])
+            read = self.totals.get(self.stage2, {}).get("rows", 0)
+            while self.waiting and self.waiting[0] <= read:
+                self.waiting.popleft()
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -141,19 +132,31 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryTerminated(self, event):  # noqa: N802
         log.info("query %s terminated", event.id)
 
+    @property
+    def lag(self) -> int:
+        """Stage-1 batches with rows that stage 2 hasn't read."""
+        with self._lock:
+            return len(self.waiting)
+
     def observed(self, name: str) -> dict[str, int]:
-        """Sum of the observed metrics (e.g. stage-1 drop reasons) over kept events."""
-        total: dict[str, int] = {}
+        """Totals of the observed metrics (e.g. stage-1 drop reasons)."""
         with self._lock:
-            for prog in (e for q in self.events.values() for e in q):
-                for metric in (prog.get("observedMetrics") or {}).get(name, {}).items():
-                    if isinstance(metric[1], (int, float)):
-                        total[metric[0]] = total.get(metric[0], 0) + int(metric[1])
-        return total
+            return dict(self.metrics.get(name, {}))
 
     def rows(self, name: str) -> int:
         with self._lock:
-            return sum(int(p.get("numInputRows", 0)) for p in self.events.get(name, ()))
+            return self.totals.get(name, {}).get("rows", 0)
+
+
+def finished(query, timeout: float | None) -> None:
+    """Wait for an ``availableNow`` query; an error or a timeout stops it and is raised, so
+    that nothing goes on from half of its output."""
+    done = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    if timeout is not None and not done:
+        query.stop()
+        raise TimeoutError(f"{query.name} did not finish in {timeout} s")
 
 
 @dataclass
@@ -166,10 +169,9 @@ class ProfileStream:
     paths: StreamPaths
     table_name: str | None = None
     layout: str = "source"
-    files_per_hour: int = 8
+    files_per_hour: int | None = None  # of the salted layout; None: the cluster's parallelism
     max_files_per_trigger: int = FILES_PER_BATCH
     max_lag: int = MAX_LAG
-    track_depth: bool = False  # count kept rows with objects below the walk depth
 
     def __post_init__(self):
         configure(self.spark)
@@ -182,12 +184,12 @@ class ProfileStream:
 
     def start_stage1(self, trigger: dict):
         raw = read_stream(self.spark, self.source)
-        clean = stage1(raw, self.profile, observe=self._name("stage1_rows"), track_depth=self.track_depth)
+        clean = stage1(raw, self.profile, observe=self._name("stage1_rows"))
         clean = layout_for_sink(clean, self.layout, self.files_per_hour)
         return start_text_sink(clean, self.paths.raw, self.paths.checkpoint("stage1"), trigger, self._name("stage1"))
 
-    def start_stage2(self, trigger: dict):
-        fs, raw_dir = _fs(self.spark, self.paths.raw)
+    def start_stage2(self, trigger: dict, stage: str = "stage2"):
+        fs, raw_dir = file_system(self.spark, self.paths.raw)
         fs.mkdirs(raw_dir)  # stage 2 may start before stage 1 wrote anything
         src = SourceOptions(format="text", path=self.paths.raw, max_files_per_trigger=self.max_files_per_trigger,
                             schema=RAW_SCHEMA)
@@ -195,50 +197,55 @@ class ProfileStream:
         return (
             raw.writeStream.foreachBatch(self.writer)
             .option("checkpointLocation", self.paths.checkpoint("stage2"))
-            .queryName(self._name("stage2"))
+            .queryName(self._name(stage))
             .trigger(**trigger)
             .start()
         )
 
     def run_available_now(self, timeout: float | None = None) -> None:
         """Process everything available through both stages, then stop (jobs, tests)."""
-        q1 = self.start_stage1({"availableNow": True})
-        q1.awaitTermination(timeout)
-        if q1.exception():
-            raise q1.exception()
-        q2 = self.start_stage2({"availableNow": True})
-        q2.awaitTermination(timeout)
-        if q2.exception():
-            raise q2.exception()
+        finished(self.start_stage1({"availableNow": True}), timeout)
+        finished(self.start_stage2({"availableNow": True}), timeout)
 
     def catch_up(self, timeout: float | None = None) -> None:
         """T5: load what stage 1 already wrote and stage 2 has not (no-op if nothing)."""
-        q2 = self.start_stage2({"availableNow": True})
-        q2.awaitTermination(timeout)
-        if q2.exception():
-            raise q2.exception()
+        finished(self.start_stage2({"availableNow": True}, "catch_up"), timeout)
+
+    def recorder(self) -> ProgressRecorder:
+        return ProgressRecorder(self._name("stage1_rows"), self._name("stage1"), self._name("stage2"))
 
     def run_forever(self, trigger_seconds: int, recorder: ProgressRecorder | None = None, poll: float = 10.0,
                     catch_up: bool = True):
         """Both queries on a processing-time trigger until one ends; stops both
-        and raises ``LagError`` when stage 2 lags more than ``max_lag``.  With
-        ``catch_up`` the backlog of stage 2 is loaded first (T5)."""
-        if catch_up:
-            self.catch_up()
-        recorder = recorder or ProgressRecorder(self.max_lag)
+        and raises ``LagError`` when stage 2 lags more than ``max_lag`` stage-1 batches.
+        Stage 1 reads its source from the start, while the backlog of stage 2 is loaded
+        first (T5): the catch-up takes what is there when it begins."""
+        recorder = recorder or self.recorder()
         self.spark.streams.addListener(recorder)
         trigger = {"processingTime": f"{trigger_seconds} seconds"}
-        q1, q2 = self.start_stage1(trigger), self.start_stage2(trigger)
+        queries = []
         try:
+            # under a name of its own: its rows are no part of the live totals
+            backlog = self.start_stage2({"availableNow": True}, "catch_up") if catch_up else None
+            if backlog is not None:
+                queries.append(backlog)
+            q1 = self.start_stage1(trigger)
+            queries.append(q1)
+            if backlog is not None:
+                finished(backlog, None)
+            q2 = self.start_stage2(trigger)
+            queries.append(q2)
             while q1.isActive and q2.isActive:
                 q2.awaitTermination(poll)
-                if self._name("stage2") in recorder.lagging:
-                    raise LagError(f"{self._name('stage2')} is more than {self.max_lag} behind")
+                if recorder.lag > self.max_lag:
+                    raise LagError(f"{self._name('stage2')} is {recorder.lag} batches behind")
+                if recorder.lag > CATCH_UP_LAG:
+                    log.warning("%s is %s batches behind", self._name("stage2"), recorder.lag)
             for q in (q1, q2):
                 if q.exception():
                     raise q.exception()
         finally:
-            for q in (q1, q2):
+            for q in queries:
                 if q.isActive:
                     q.stop()
             self.spark.streams.removeListener(recorder)

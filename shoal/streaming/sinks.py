@@ -4,11 +4,12 @@ writer run by ``foreachBatch`` (K2, K5, T8, T9).
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.operators import refine as R
@@ -17,55 +18,30 @@ from shoal.streaming import catalog as C
 
 log = logging.getLogger(__name__)
 
-BATCH_COLUMN = "ingest_batch"
+# A name no payload key can take: key clean-up removes every ``@``.
+BATCH_COLUMN = "ingest@batch"
 # Fixed values of the contract: repair the catalog every 80th batch (the first
 # included); tolerate six failed batches, fail on the seventh.
 REPAIR_EVERY = 80
 MAX_FAILED_BATCHES = 6
-# Stage-2 Parquet files hold up to this many rows; more rows in one output directory
-# of one batch are split over several writers.
-ROWS_PER_FILE = 1_000_000
-
-
-def spread_by_partition(df: DataFrame, parts: list[str], counts: list[dict], rows_per_file: int) -> DataFrame:
-    """Shuffle a batch so each output directory gets ``ceil(rows / rows_per_file)``
-    writers: a hot date or type is split over several tasks, a cold one gets a single
-    file instead of one tiny file from every input task.  ``counts`` holds one row per
-    directory (partition values + ``count``); the salt is a hash of the row's content,
-    so a retried task sends every row to the same writer again."""
-    if not counts:
-        return df
-    sep = "\u001f"
-    key_of = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in parts])
-    buckets = {
-        sep.join("\u0000" if c[k] is None else str(c[k]) for k in parts): max(1, -(-int(c["count"]) // rows_per_file))
-        for c in counts
-    }
-    total = sum(buckets.values())
-    hot = {k: n for k, n in buckets.items() if n > 1}
-    if hot:
-        n_for_row = F.coalesce(
-            F.create_map(*[x for k, n in hot.items() for x in (F.lit(k), F.lit(n))])[key_of], F.lit(1)
-        )
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), n_for_row)
-    else:
-        salt = F.lit(0)
-    return df.repartition(total, *[F.col(c) for c in parts], salt)
-
-
-def layout_for_sink(df: DataFrame, layout: str = "source", files_per_hour: int = 8) -> DataFrame:
+
+
+def layout_for_sink(df: DataFrame, layout: str = "source", files_per_hour: int | None = None) -> DataFrame:
     """Distribution of stage-1 rows before the text sink.
 
     ``source``: no shuffle; every source task writes its own rows (files per batch are
     bounded by tasks × hours present).  ``salted``: one shuffle keyed on date, hour and
-    a hash salt, so a hot hour is spread over ``files_per_hour`` writers instead of
-    one.  A single-writer layout is deliberately not offered: it cannot scale.
+    a salt, so a hot hour is spread over ``files_per_hour`` writers (by default the
+    cluster's parallelism: a live stream's batch lies almost wholly in one hour).  The
+    salt is drawn with a fixed seed along the source's order, not from the content, so a
+    flood of equal messages is spread too and a retried task deals alike.  A single-writer
+    layout is deliberately not offered.
     """
     if layout == "source":
         return df
     if layout == "salted":
-        salt = F.pmod(F.xxhash64("value"), F.lit(files_per_hour))
-        return df.repartition("date", "hour", salt)
+        n = files_per_hour or df.sparkSession.sparkContext.defaultParallelism
+        return df.withColumn("_salt", F.floor(F.rand(7) * n)).repartition("date", "hour", "_salt").drop("_salt")
     raise ValueError(f"unknown layout {layout!r}")
 
 
@@ -92,16 +68,20 @@ def start_text_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict, na
 class TableWriter:
     """``foreachBatch`` body of stage 2.
 
-    Each micro-batch is flattened with its own key set and written with dynamic
-    partition overwrite into ``<partitions>/ingest_batch=<generation>-<batch>``: a
-    batch that is replayed after a crash replaces exactly the files it wrote before,
-    so the table holds every row once.  Rows are shuffled first so that each output
-    directory gets files of about ``rows_per_file`` rows (hot directories split over
-    several writers).  The catalog table is widened with new columns, the batch's own
-    partitions are registered, and a full repair runs every ``repair_every`` batches.
-    A failing batch is written whole to ``quarantine`` with the error; after
-    ``max_failures`` the query fails (the checkpoint keeps the batch open for a
-    restart).
+    Each micro-batch is flattened with its own key set (or the profile's columns) and
+    written with dynamic partition overwrite into
+    ``<partitions>/ingest@batch=<generation>-<batch>``: a batch that is replayed after a
+    crash replaces exactly the files it wrote before, so the table holds every row once.
+    A rebalance on the partition columns lets adaptive execution size the files by bytes:
+    a hot directory is split over several writers, a cold one gets one file.
+
+    The catalog comes after the write and never undoes it: a catalog step that fails is
+    logged and made up for by a repair at the next batch.  The batch's own partitions are
+    observed while it is written; a full repair runs every ``repair_every`` batches.
+
+    A batch whose write fails leaves no files, and is written whole to ``quarantine`` with
+    the error; after ``max_failures`` the query fails (the checkpoint keeps the batch open
+    for a restart).  ``replay`` loads quarantined batches into the table.
     """
 
     profile: Profile
@@ -111,57 +91,102 @@ class TableWriter:
     quarantine_path: str | None = None
     repair_every: int = REPAIR_EVERY
     max_failures: int = MAX_FAILED_BATCHES
-    max_columns: int = R.MAX_COLUMNS
-    rows_per_file: int = ROWS_PER_FILE
     calls: int = 0
     failures: int = 0
+    repairs: int = 0
+    repair_due: bool = False
     errors: list = field(default_factory=list)
 
     def batch_tag(self, batch_id: int) -> str:
         return f"{self.generation:04d}-{batch_id:012d}"
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        p = self.profile
-        prepared = R.prepare(batch, p).persist(StorageLevel.MEMORY_AND_DISK)
+    @property
+    def partitions(self) -> list[str]:
+        return [*(c.lower() for c in self.profile.partitions), BATCH_COLUMN]
+
+    def write(self, batch: DataFrame, tag: str) -> tuple[list[str], list[dict]]:
+        """Write a batch's files; returns the table's columns and the partitions written."""
+        p, parts = self.profile, self.partitions
+        prepared = R.prepare(batch, p)
+        if p.columns is None:
+            prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)  # read for the keys, then the rows
         try:
-            keys = R.discover_keys(prepared)
-            table = R.refine(R.flatten(prepared, p, keys, self.max_columns), p)
-            table = table.withColumn(BATCH_COLUMN, F.lit(self.batch_tag(batch_id)))
-            parts = [c.lower() for c in p.partitions] + [BATCH_COLUMN]
-            # rows per output directory: one row per directory, never per record
-            counts = [r.asDict() for r in table.groupBy(*parts).count().collect()]
+            table = R.refine(R.flatten(prepared, p), p).withColumn(BATCH_COLUMN, F.lit(tag))
+            seen = Observation()
+            spec = F.to_json(F.struct(*[F.col(f"`{c}`") for c in parts]), {"ignoreNullFields": "false"})
             (
-                spread_by_partition(table, parts, counts, self.rows_per_file)
+                table.observe(seen, F.to_json(F.collect_set(spec)).alias("partitions"))  # one entry a directory
+                .hint("rebalance", *[F.col(f"`{c}`") for c in parts])
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*parts)
                 .parquet(self.table_path)
             )
-            if self.table_name:
-                spark = batch.sparkSession
-                C.ensure_table(spark, self.table_name, self.table_path, table.columns, parts)
-                specs = [{k: v for k, v in c.items() if k != "count"} for c in counts]
-                registered = C.add_partitions(spark, self.table_name, specs)
-                if not registered or self.calls % self.repair_every == 0:
-                    C.repair_table(spark, self.table_name)
+            return table.columns, [json.loads(x) for x in json.loads(seen.get["partitions"] or "[]")]
         finally:
-            prepared.unpersist()
-        self.calls += 1
+            if p.columns is None:
+                prepared.unpersist()
+
+    def register(self, spark: SparkSession, columns: list[str], specs: list[dict]) -> None:
+        """The catalog's part of a batch whose files are written."""
+        if not self.table_name:
+            return
+        try:
+            C.ensure_table(spark, self.table_name, self.table_path, columns, self.partitions)
+            C.add_partitions(spark, self.table_name, specs)
+            if self.repair_due or self.calls % self.repair_every == 0:
+                C.repair_table(spark, self.table_name)
+                self.repairs += 1
+            self.repair_due = False
+        except Exception as exc:  # noqa: BLE001 — the rows are in the table; only the catalog lags
+            self.repair_due = True
+            log.warning("catalog step failed, made up for at the next batch: %r", exc)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        tag = self.batch_tag(batch_id)
         try:
-            self.write(batch, batch_id)
+            columns, specs = self.write(batch, tag)
         except Exception as exc:  # noqa: BLE001 — T8: tolerate a few failed batches
             self.failures += 1
             self.errors.append((batch_id, repr(exc)))
             log.warning("stage-2 batch %s failed (%s/%s): %r", batch_id, self.failures, self.max_failures, exc)
             if self.failures > self.max_failures or not self.quarantine_path:
                 raise
+            self.remove(batch.sparkSession, tag)
             (
                 batch.select("value", F.lit(repr(exc)[:2000]).alias("error"))
                 .write.mode("overwrite")
-                .parquet(f"{self.quarantine_path}/{BATCH_COLUMN}={self.batch_tag(batch_id)}")
+                .parquet(f"{self.quarantine_path}/{tag}")
             )
+            return
+        self.register(batch.sparkSession, columns, specs)
+        self.calls += 1
+
+    def remove(self, spark: SparkSession, tag: str) -> None:
+        """Delete what a failed write of the batch may have left in the table."""
+        fs, path = file_system(spark, f"{self.table_path}/{'*/' * len(self.profile.partitions)}{BATCH_COLUMN}={tag}")
+        for found in fs.globStatus(path) or []:
+            fs.delete(found.getPath(), True)
+
+    def replay(self, spark: SparkSession) -> list[str]:
+        """Load every quarantined batch into the table, under its own tag; returns the tags.
+        The quarantined copy is deleted only after its rows are written, and a batch
+        replayed twice replaces its own files."""
+        fs, path = file_system(spark, f"{self.quarantine_path}/*")
+        done = []
+        for tag in sorted(s.getPath().getName() for s in fs.globStatus(path) or [] if s.isDirectory()):
+            held = f"{self.quarantine_path}/{tag}"
+            columns, specs = self.write(spark.read.parquet(held).select("value"), tag)
+            self.register(spark, columns, specs)
+            fs.delete(file_system(spark, held)[1], True)
+            done.append(tag)
+        return done
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Path) of a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
 _INFER_PARTITION_TYPES = "spark.sql.sources.partitionColumnTypeInference.enabled"

@@ -34,20 +34,30 @@ def test_available_now_run_and_repair(spark, capsys):
     assert spark.table("shoal_cli_m7").count() == 500
 
 
-def test_compact_command(spark, capsys):
-    import os
-
+def test_replay_command(spark, capsys):
     from shoal.plans.profiles import PROFILES
     from shoal.streaming.jobs import StreamPaths
     from shoal.streaming.sinks import TableWriter
 
     root = tempfile.mkdtemp()
     paths = StreamPaths(root)
-    w = TableWriter(PROFILES["m7"], paths.table)
-    for b in range(2):
-        w(spark.createDataFrame([(f'{{"metrics":{{"i":"{b}"}},"thedate":"2024-01-01"}}',)], "value string"), b)
-    os.makedirs(f"{paths.checkpoint('stage2')}/commits")
-    open(f"{paths.checkpoint('stage2')}/commits/1", "w").close()
-    assert main(["compact", "m7", "--root", root], spark=spark) == 0
-    assert "compacted" in capsys.readouterr().out
-    assert read_table(spark, paths.table).count() == 2
+    w = TableWriter(PROFILES["m7"], paths.table, quarantine_path=paths.quarantine)
+    good = w.write
+    w.write = lambda *a: (_ for _ in ()).throw(RuntimeError("disk full"))
+    w(spark.createDataFrame([('{"metrics":{"i":"1"},"thedate":"2024-01-01"}',)], "value string"), 0)
+    w.write = good
+    assert main(["replay", "m7", "--root", root], spark=spark) == 0
+    assert "replayed 0000-000000000000" in capsys.readouterr().out
+    assert read_table(spark, paths.table).count() == 1
+
+
+def test_allow_list_option(spark):
+    import os
+
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "allowed.csv"), "w") as f:
+        f.write("HUB,MENU\n")
+    args = parser().parse_args(["run", "e5", "--topic", "t", "--root", d, "--allow-list", os.path.join(d, "allowed.csv"),
+                                "--layout", "salted", "--files-per-hour", "3"])
+    job = build_job(spark, args)
+    assert job.profile.allow_list == ("HUB", "MENU") and job.files_per_hour == 3
