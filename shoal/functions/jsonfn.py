@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shoal.functions import jsonsql as Q
 
 DOC_TYPE = "map<string,variant>"
-DEFAULT_DEPTH = 8  # unrolled levels
+DEFAULT_DEPTH = 4  # unrolled levels
 
 
 def _col(c: Column | str) -> Column:

@@ -9,6 +9,7 @@ processing, so a match checks the operators and not a re-implementation of them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,12 @@ from shoal.functions import jsonfn as J
 from shoal.functions import timefn as T
 from shoal.operators import bucket as B
 from shoal.operators import filters as FL
+from shoal.operators import refine as R
 from shoal.plans import stages as S
 from shoal.plans.profiles import PROFILES, Profile
-from shoal.session import configure
+from shoal.session import configure, scratch_root
 from shoal.sources.envelope import TYPE_NAMES, device_messages, read_table
+from shoal.sources.stream import read_allow_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,8 +143,6 @@ def _flatten_only(spark, sf_dir, key):
     p = PROFILES[key]
     configure(spark)
     s1 = S.stage1(device_messages(spark, sf_dir, p.family), p)
-    from shoal.operators import refine as R
-
     prepared = R.prepare(s1, p)
     return R.flatten(prepared, p, R.discover_keys(prepared))
 
@@ -185,7 +186,96 @@ def _text_roundtrip(table: str, id_cols: tuple[str, ...], text_col: str) -> Quer
     return run
 
 
+def q_epoch_datetime(spark, sf_dir):
+    """D1 on every message whose time stage 1 accepts."""
+    df = _kept_time(spark, sf_dir).withColumn("ms", T.epoch_millis(FL.EPOCH))
+    return df.select("event_id", T.epoch_datetime("ms").alias("at"))
+
+
+def _nested(spark, sf_dir) -> DataFrame:
+    """Messages whose fields lie 1 to 40 objects deep."""
+    events = read_table(spark, sf_dir, "events")
+    level = (F.col("event_id") % 40 + 1).cast("int")
+    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")).cast("string")
+    inner = F.to_json(F.struct(
+        F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("mac"), ms.alias("event_time"), F.lit("raw").alias("hw_type"),
+        F.col("event_type").alias("odd key-1"), F.array(F.struct(F.lit("x").alias("mac"))).alias("@list")))
+    text = F.concat(F.repeat(F.lit('{"a.b":1,"n-o":'), level), inner, F.repeat(F.lit("}"), level))
+    return FL.with_doc(events.select("event_id", text.alias("value")))
+
+
+def q_deep_documents(spark, sf_dir):
+    configure(spark)
+    df = FL.filter_on_time(FL.filter_on_device(_nested(spark, sf_dir)), "event_time")
+    df = B.copy_key(B.stamp(B.sanitize_keys(df), "v7"), "odd_key_1", "kind")
+
+    text = B.to_text(df)
+    depth = F.length("value") - F.length(F.replace("value", F.lit('"n-o":{'), F.lit('"n-o":')))
+    return text.select("event_id", F.get_json_object("value", "$.kind").alias("kind"), F.col(FL.EPOCH).alias("epoch"),
+                       depth.cast("long").alias("levels"), F.regexp_extract("value", '"mac":"(m[0-9]+)"', 1).alias("mac"),
+                       F.regexp_extract("value", '"hw_type":"([a-z0-9]+)"', 1).alias("hw_type"))
+
+
+def q_case_twins(spark, sf_dir):
+    """Payload keys that differ in case only become one column, in key order."""
+    configure(spark)
+    events = read_table(spark, sf_dir, "events")
+    id_text = F.col("event_id").cast("string")
+    odd = F.col("event_id") % 3
+    payload = F.struct(F.when(odd != 1, F.concat(F.lit("upper"), id_text)).alias("Kind"),
+                       F.when(odd != 2, F.concat(F.lit("lower"), id_text)).alias("kind"), id_text.alias("Event_ID"))
+    body = F.to_json(F.struct(payload.alias("metrics"), F.date_format("ts", "yyyy-MM-dd").alias("thedate")))
+    prepared = R.prepare(events.select(body.alias("value")), PROFILES["m7"])
+    return R.all_strings_lower(R.flatten(prepared, PROFILES["m7"]))
+
+
+def q_drop_duplicate_columns(spark, sf_dir):
+    """The joined side's copy of a column goes, its other columns stay."""
+    events = read_table(spark, sf_dir, "events")
+    left = events.select("event_id", "user_id")
+    right = events.select("event_id", "event_type")
+    return R.drop_duplicate_columns(left.join(right, left["event_id"] == right["event_id"]), right)
+
+
+def q_wide_payload(spark, sf_dir):
+    """Thousands of payload keys under a profile that names its columns."""
+    configure(spark)
+    p = PROFILES["m7"].with_options(columns=("event_type", "K7"), rest_column="others")
+    events = read_table(spark, sf_dir, "events")
+    key = F.concat(F.lit("k"), (F.col("event_id") % 7000).cast("string"))
+    payload = F.concat(F.lit('{"'), key, F.lit('":"'), F.col("event_id").cast("string"), F.lit('","event_type":"'), F.col("event_type"), F.lit('"}'))
+    body = F.concat(F.lit('{"metrics":'), payload, F.lit(',"thedate":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"}'))
+    return R.flatten(R.prepare(events.select(body.alias("value")), p), p)
+
+
+def q_allow_list_table(spark, sf_dir):
+    """F5/F6 with the list as a table (every allowed name and the even users), row-wide, on
+    rows that hold a VARIANT column."""
+    df = _typed(spark, sf_dir).select("event_id", "event_type", F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("u"),
+                                      F.col("doc")["events"].alias("payload"))
+    users = read_table(spark, sf_dir, "events").where("event_id % 2 = 0").select(F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("name"))
+    names = spark.createDataFrame([("VOD-VIEW",)], "name string").union(users)
+    return FL.allow_list_filter(df, names, scope="any_column").select("event_id", "event_type")
+
+
+def q_allow_list_csv(spark, sf_dir):
+    """The V5 events profile with its list read from a CSV file's first line."""
+    configure(spark)
+    path = f"{scratch_root(spark)}/shoal-list-{uuid.uuid4().hex[:12]}"
+    spark.createDataFrame([("VOD-VIEW,SYSTEM-ERROR, HOTKEY",)], "value string").coalesce(1).write.text(path)
+    names = tuple(r["name"] for r in read_allow_list(spark, path).collect())
+    p = PROFILES["e5"].with_options(allow_list=names)
+    return S.run_batch(device_messages(spark, sf_dir, p.family), p)
+
+
 QUERIES: dict[str, Query] = {
+    "epoch_datetime": q_epoch_datetime,
+    "deep_documents": q_deep_documents,
+    "case_twins": q_case_twins,
+    "drop_duplicate_columns": q_drop_duplicate_columns,
+    "wide_payload": q_wide_payload,
+    "allow_list_table": q_allow_list_table,
+    "allow_list_csv": q_allow_list_csv,
     "device_filter": q_device_filter,
     "time_filter": q_time_filter,
     "epoch_buckets": q_epoch_buckets,
@@ -232,20 +322,40 @@ _PROPS = "CAST(json(props) AS VARCHAR)"
 _KEPT = "cls IN (2, 6, 7, 8, 9)"  # rows stage 1 keeps (device, digits, plausible time)
 
 
-def profile_sql_with(p: Profile, wrap: dict[str, str]) -> str:
+# What each stream is expected to do, written out here for the SQL alone: the time key, the
+# hardware stamp, the payload columns that go, the copies (target, source), the rows kept
+# by the event type, and the columns read as whole numbers.
+_ALLOWED = "('VOD-VIEW', 'HOTKEY', 'SYSTEM-ERROR')"  # of the names the fixture sends
+_CLEAN_TYPE = "cls NOT IN (7, 8, 9)"
+_EXPECTED: dict[str, dict] = {
+    "m5": {"time": "epoch_time", "stamp": "v5", "gone": ["hw_type"], "copies": [("mac", "mac_address")]},
+    "m5c": {"time": "epoch_time", "stamp": "v5c", "gone": ["http_type", "hw_type"], "copies": [("mac", "mac_address")]},
+    "m6": {"time": "epoch_time", "stamp": "V6", "gone": [], "copies": [("mac", "mac_address")]},
+    "m7": {"time": "epoch_time", "stamp": "v7", "gone": [], "copies": [("mac", "mac_address")]},
+    "e5": {"time": "event_time", "stamp": "v5", "gone": [], "where": f"event_type_out IN {_ALLOWED}",
+           "copies": [("mac", "mac_address"), ("event_type", "sub_type"), ("event_epoch_time", "event_time")]},
+    "e5c": {"time": "event_time", "stamp": "v5c", "gone": [], "where": f"event_type_out IN {_ALLOWED}",
+            "copies": [("mac", "mac_address"), ("event_type", "sub_type"), ("event_epoch_time", "event_time")]},
+    "e6": {"time": "event_time", "stamp": "v6", "gone": ["http_type"], "where": _CLEAN_TYPE,
+           "copies": [("mac", "mac_address"), ("event_type", "sub_type"), ("logstash_date", "event_date"), ("event_epoch_time", "event_time")]},
+    "e7": {"time": "event_time", "stamp": "v7", "gone": ["http_type"], "where": "cls <> 9",
+           "copies": [("mac", "mac_address")], "whole": ["event_time", "viewing_duration"]},
+}
+
+
+def profile_sql_with(key: str, wrap: dict[str, str]) -> str:
     """The profile's SQL with some payload columns wrapped (``{}`` is the column)."""
-    return _profile_sql(p, wrap)
+    return _profile_sql(_EXPECTED[key], wrap)
 
 
-def _profile_sql(p: Profile, wrap: dict[str, str] | None = None) -> str:
-    s = p.hw_stamp
-    time_col = p.time_field
+def _profile_sql(x: dict, wrap: dict[str, str] | None = None) -> str:
+    s, events = x["stamp"], x["time"] == "event_time"
     cols: dict[str, str] = {
         "a_b": "CASE WHEN cls = 6 THEN '1' END",
         "c-d": f"""CASE WHEN cls = 6 THEN '{{"hw_type":"{s}","x_y":2}}' END""",
         "e_f": "CASE WHEN cls = 6 THEN 's' END",
         "g": "CASE WHEN cls = 6 THEN 'true' END",
-        time_col: _EPOCH_MS,
+        x["time"]: _EPOCH_MS,
         "event_type": "CASE WHEN cls <> 9 THEN event_type END",
         "http_type": "'https'",
         "hw_type": f"CASE WHEN cls <> 9 THEN '{s}' END",
@@ -256,44 +366,42 @@ def _profile_sql(p: Profile, wrap: dict[str, str] | None = None) -> str:
     }
     for name, template in (wrap or {}).items():
         cols[name] = template.format(cols[name])
-    if p.family == "events":
-        cols.update({
-            "event_date": _DATE,
-            "logstash_processed_at": "strftime(ts, '%Y-%m-%d %H:%M:%S')",
-            "logstash_processed_at_date": _DATE,
-        })
+    if events:
+        cols |= {"event_date": _DATE, "logstash_processed_at": "strftime(ts, '%Y-%m-%d %H:%M:%S')", "logstash_processed_at_date": _DATE}
     else:
         cols["thedate"] = _DATE
-    for name in p.drops:
-        cols.pop(name.lower(), None)
-    for target, source in p.copies:
-        cols[target.lower()] = cols.get(source.lower(), "NULL")
-    where = [_KEPT]
-    if p.require_keys:
-        where.append("cls <> 9")  # the only rows without event_type
-    if p.type_hygiene:
-        where.append(f"({cols['event_type']}) IS NOT NULL AND cls NOT IN (7, 8)")
-    if p.allow_list is not None:
-        allowed = ", ".join(f"'{n}'" for n in (*p.allow_list, FL.ALWAYS_ALLOWED))
-        # only the event type can hold an allowed token in these rows
-        where.append(f"({cols['event_type']}) IN ({allowed})")
-    for name in p.decimal_columns:
-        if name in cols:
-            cols[name] = f"CAST(TRY_CAST({cols[name]} AS DECIMAL(18,0)) AS VARCHAR)"
+    for name in x["gone"]:
+        del cols[name]
+    for target, source in x["copies"]:
+        cols[target] = cols[source]
+    where = x.get("where", "true").replace("event_type_out", f"({cols['event_type']})")
+    for name in x.get("whole", []):
+        cols[name] = f"CAST(TRY_CAST({cols[name]} AS DECIMAL(18,0)) AS VARCHAR)"
     select = ",\n  ".join(f'{expr} AS "{name}"' for name, expr in sorted(cols.items()))
-    return f"{_BASE}\nSELECT\n  {select}\nFROM b WHERE {' AND '.join(where)}"
+    return f"{_BASE}\nSELECT\n  {select}\nFROM b WHERE {_KEPT} AND {where}"
 
 
-def _flatten_sql(p: Profile) -> str:
+def _flatten_sql(key: str) -> str:
     """Columns of the flattened payload before refinement (no copies, drops, casts)."""
-    bare = p.with_options(drops=(), copies=(), decimal_columns=(),
-                          type_hygiene=False, allow_list=None)
-    sql = _profile_sql(bare)
+    x = _EXPECTED[key]
+    sql = _profile_sql({"time": x["time"], "stamp": x["stamp"], "gone": [], "copies": [], "where": x.get("where", "true")})
     # before refinement the epoch column still holds the text as found
-    return sql.replace(f'{_EPOCH_MS} AS "{p.time_field}"', f'{_EPOCH_TEXT} AS "{p.time_field}"')
+    return sql.replace(f'{_EPOCH_MS} AS "{x["time"]}"', f'{_EPOCH_TEXT} AS "{x["time"]}"')
 
 
 _ORACLES: dict[str, str] = {
+    "epoch_datetime": f"{_BASE} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM b WHERE {_KEPT}",
+    "deep_documents": """SELECT event_id, event_type AS kind, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS epoch, event_id % 40 + 1 AS levels,
+        'm' || user_id AS mac, 'v7' AS hw_type FROM events""",
+    "case_twins": """SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d') AS thedate,
+        CASE WHEN event_id % 3 <> 1 THEN 'upper' || event_id ELSE 'lower' || event_id END AS kind FROM events""",
+    "drop_duplicate_columns": "SELECT event_id, user_id, event_type FROM events",
+    "wide_payload": """SELECT event_type, CASE WHEN event_id % 7000 = 7 THEN CAST(event_id AS VARCHAR) END AS k7,
+        CASE WHEN event_id % 7000 <> 7 THEN '{"k' || (event_id % 7000) || '":"' || event_id || '"}' END AS others,
+        strftime(ts, '%Y-%m-%d') AS thedate FROM events""",
+    "allow_list_table": f"""{_BASE} SELECT event_id, {_SUB_TYPE} AS event_type FROM b
+      WHERE cls NOT IN (0, 5) AND (event_id % 2 = 0 OR ({_SUB_TYPE}) = 'VOD-VIEW')""",
+    "allow_list_csv": _profile_sql(_EXPECTED["e5"]),
     "device_filter": f"{_BASE} SELECT event_id, 'm' || user_id AS mac FROM b WHERE cls NOT IN (0, 5)",
     "time_filter": f"{_BASE} SELECT event_id, {_EPOCH_TEXT} AS epoch FROM b WHERE {_KEPT}",
     "epoch_buckets": f"{_BASE} SELECT event_id, {_DATE} AS date, {_HOUR} AS hour FROM b WHERE {_KEPT}",
@@ -326,15 +434,15 @@ _ORACLES: dict[str, str] = {
         CASE WHEN cls NOT IN (5, 9) THEN {_SUB_TYPE} END AS kind
       FROM b""",
     "allow_list": f"""{_BASE} SELECT event_id, {_SUB_TYPE} AS event_type FROM b
-      WHERE cls NOT IN (0, 5) AND (cls = 9 OR ({_SUB_TYPE}) IN ({", ".join(f"'{n}'" for n in (*PROFILES['e5'].allow_list, FL.ALWAYS_ALLOWED))}))""",
+      WHERE cls NOT IN (0, 5) AND (cls = 9 OR ({_SUB_TYPE}) IN {_ALLOWED})""",
     "type_hygiene": f"{_BASE} SELECT event_id, {_SUB_TYPE} AS event_type FROM b WHERE cls NOT IN (0, 5, 7, 8, 9)",
     "require_key": f"{_BASE} SELECT event_id FROM b WHERE cls NOT IN (0, 5, 9)",
     "decimal_refine": f"""{_BASE} SELECT event_id,
         CAST(TRY_CAST({_DURATION} AS DECIMAL(18,0)) AS VARCHAR) AS viewing_duration
       FROM b WHERE cls NOT IN (0, 5)""",
-    "flatten_metrics": _flatten_sql(PROFILES["m7"]),
-    "flatten_events": _flatten_sql(PROFILES["e7"]),
-    **{f"profile_{k}": _profile_sql(p) for k, p in PROFILES.items()},
+    "flatten_metrics": _flatten_sql("m7"),
+    "flatten_events": _flatten_sql("e7"),
+    **{f"profile_{k}": _profile_sql(x) for k, x in _EXPECTED.items()},
     "text_roundtrip_conversations": "SELECT conv_id, turn, role, text, true AS has_device FROM conversations",
     "text_roundtrip_documents": "SELECT doc_id, lang, source, text, true AS has_device FROM documents",
     "text_roundtrip_pages": "SELECT page_id, url, html, true AS has_device FROM pages",

@@ -143,7 +143,7 @@ class Profile:
     require_keys: tuple[str, ...] = ()  # F8: stage-1 keys that must be present
     device_keys: tuple[str, ...] = ("mac", "mac_address")
     tz: str = "UTC"
-    depth: int = 8  # levels the JSON walkers unroll (speed only)
+    depth: int = 4  # levels the JSON walkers unroll (speed only)
     columns: tuple[str, ...] | None = None  # stage-2 columns; None: one for every payload key
     rest_column: str | None = None  # with ``columns``: where the other keys go, as JSON
 

@@ -5,6 +5,7 @@ stage-2 table and must equal the batch answer of its profile (same oracle SQL).
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -16,7 +17,7 @@ from shoal.plans.profiles import PROFILES
 from shoal.session import configure, scratch_root
 from shoal.sources.envelope import device_messages
 from shoal.sources.stream import SourceOptions
-from shoal.streaming.jobs import ProfileStream, StreamPaths
+from shoal.streaming.jobs import ProfileStream, StreamPaths, finished
 from shoal.streaming.sinks import BATCH_COLUMN, TableWriter, read_table
 
 INPUT_FILES = 8
@@ -167,6 +168,28 @@ def q_stream_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop(BATCH_COLUMN)
 
 
+def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: rows in, and why rows drop, summed over more than 100 batches of stage 1 (one file
+    each)."""
+    configure(spark)
+    root = _fresh_root(spark, "drops")
+    device_messages(spark, sf_dir, "events").select("value").repartition(104).write.text(f"{root}/input")
+    job = _stream(spark, root, "e7")
+    job.source = SourceOptions(format="text", path=f"{root}/input", max_files_per_trigger=1)
+    job.layout = "source"
+    recorder = job.recorder()
+    spark.streams.addListener(recorder)
+    try:
+        finished(job.start_stage1({"availableNow": True}), None)
+        name, until = job._name("stage1"), time.time() + 60
+        while recorder.totals.get(name, {}).get("batches", 0) < 104 and time.time() < until:
+            time.sleep(0.2)  # the last events are still on their way
+    finally:
+        spark.streams.removeListener(recorder)
+    counts = recorder.observed(job._name("stage1_rows"))
+    return spark.createDataFrame(sorted(counts.items()), "outcome string, n long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_two_stage": q_stream_two_stage,
     "stream_catch_up": q_stream_catch_up,
@@ -175,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_schema_evolution": q_stream_schema_evolution,
     "stream_quarantine_replay": q_stream_quarantine_replay,
     "stream_null_partition": q_stream_null_partition,
+    "stream_drop_counts": q_stream_drop_counts,
 }
 
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
@@ -187,5 +211,9 @@ def oracles() -> dict[str, str]:
     out = {name: base[profile] for name, profile in _SAME_AS.items()}
     # before the second arrival the devices sent no viewing_duration
     out["stream_schema_evolution"] = DQ.profile_sql_with(
-        PROFILES["e7"], {"viewing_duration": f"CASE WHEN ts >= TIMESTAMP '{SECOND_ARRIVAL}' THEN {{}} END"})
+        "e7", {"viewing_duration": f"CASE WHEN ts >= TIMESTAMP '{SECOND_ARRIVAL}' THEN {{}} END"})
+    counted = {"rows_in": "true", "kept": "c IN (2, 6, 7, 8)", "malformed": "c = 5", "no_device": "c = 0",
+               "bad_time": "c IN (1, 3, 4)", "missing_key": "c = 9"}
+    out["stream_drop_counts"] = " UNION ALL ".join(
+        f"SELECT '{k}' AS outcome, count(*) FILTER (WHERE {w}) AS n FROM (SELECT event_id % 10 AS c FROM events)" for k, w in counted.items())
     return out
