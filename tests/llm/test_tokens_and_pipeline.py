@@ -153,8 +153,8 @@ def test_pipeline_stages(spark, tmp_path):
     assert docs.columns == [*columns, "ids"] and set(text) >= {r["doc_id"] for r in docs.select("doc_id").collect()}
 
 
-def test_pipeline_runs_as_a_query(spark):
+def test_pipeline_is_a_query():
     import __spark_entry__ as E
 
-    assert E.queries()["pipeline"](spark, SF).count() > 0
-    assert "pipeline" not in E.oracle_sql() and E.CP.ORACLE_SQL is None
+    assert E.queries()["pipeline"] is E.CP.run and "pipeline" not in E.oracle_sql()
+    assert [n for n in E.queries() if n.startswith("op")] == list(queries.QUERIES) and len(queries.QUERIES) == 10
