@@ -108,8 +108,9 @@ class LineRuns:
         win = self.windows(min_lines)
         if win is None:
             return self.levels[0].select(*KEY, F.lit(0).alias("n"), F.struct(*KEY).alias("first")).where(F.lit(False))
-        first = win.groupBy("a", "b").agg(F.min(F.struct(*KEY)).alias("first")) \
-            .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first")
+        # a table of its own, so that the join below is one that hot windows are split in
+        first = self.scratch.table(win.groupBy("a", "b").agg(F.min(F.struct(*KEY)).alias("first"))
+                                   .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first"), "first")
         late = self.scratch.table(
             win.join(first, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb")))
             .where(~F.struct(*KEY).eqNullSafe(F.col("first"))).select(*KEY, "first"), "late")

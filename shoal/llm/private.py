@@ -215,11 +215,12 @@ def assign(ents: DataFrame, key: bytes, scratch: C.Scratch, draw: Callable = sur
 
 def replace(docs: DataFrame, key: bytes, text_col: str = "text", with_spans: bool = False) -> DataFrame:
     """``docs`` with every entity replaced in ``text_col``; with ``with_spans`` also the
-    column ``entities``: (kind, start, end) in the original and the stand-in written there."""
+    column ``entities`` (its name free of clashes): (kind, start, end) in the original and
+    the stand-in written there."""
     spark = docs.sparkSession
     scratch = C.Scratch(spark, "private")
     table = assign(entities(docs, text_col), key, scratch)
-    raw, spans, row = C.fresh(docs, "raw_text", "spans", "row")
+    raw, spans, row, news_col, marks_col = C.fresh(docs, "raw_text", "spans", "row", "news", "entities")
     n = len(docs.columns)
 
     def pick(with_entities: bool):
@@ -237,8 +238,8 @@ def replace(docs: DataFrame, key: bytes, text_col: str = "text", with_spans: boo
     each = hit.select(F.col(row).alias("r"), F.explode(spans).alias("e")).select("r", "e.*")
     t = table.select(F.col("kind").alias("k"), F.col("value").alias("v"), "surrogate")
     news = each.join(t, (F.col("kind") == F.col("k")) & (F.col("value") == F.col("v"))) \
-        .groupBy("r").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "shown", "surrogate"))).alias("news"))
-    hit_names, out_kind = docs.columns, T.StructType([*docs.schema.fields, *spark.createDataFrame([], "entities array<struct<kind:string,start:int,end:int,stand_in:string>>").schema.fields])
+        .groupBy(F.col("r").alias("news_row")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "shown", "surrogate"))).alias(news_col))
+    hit_names, out_kind = docs.columns, T.StructType([*docs.schema.fields, *spark.createDataFrame([], f"{marks_col} array<struct<kind:string,start:int,end:int,stand_in:string>>").schema.fields])
     at = hit_names.index(text_col)
     entity = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("stand_in", pa.string())]))
 
@@ -255,9 +256,10 @@ def replace(docs: DataFrame, key: bytes, text_col: str = "text", with_spans: boo
                 texts.append("".join([*out, text[last:]]))
                 marks.append(mine)
             cols = [pa.array(texts, b.column(i).type) if i == at else b.column(i) for i in range(n)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(marks, entity)], [*hit_names, "entities"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(marks, entity)], [*hit_names, marks_col])
 
-    changed = C.map_batches(hit.join(news, F.col(row) == F.col("r")).select(*hit_names, "news"), rewrite, out_kind)
-    same = pick(False).select(*hit_names, F.array().cast(out_kind["entities"].dataType).alias("entities"))
+    (by,) = C.fresh(hit, "news_row")
+    changed = C.map_batches(hit.join(news.withColumnRenamed("news_row", by), F.col(row) == F.col(by)).select(*hit_names, news_col), rewrite, out_kind)
+    same = pick(False).select(*hit_names, F.array().cast(out_kind[marks_col].dataType).alias(marks_col))
     both = same.union(changed)
     return both if with_spans else both.select(*hit_names)

@@ -5,6 +5,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shoal.llm import common as C
 from shoal.llm import lines, oracles, passages, queries, setjoin
@@ -67,11 +68,12 @@ def test_jaccard_join_on_documents(spark):
     assert {tuple(r) for r in queries.op7_jaccard_join(spark, SF).collect()} == brute_components(sf_texts())
 
 
-def test_jaccard_join_in_blocks_with_frequent_tokens(spark, monkeypatch):
-    # every token is frequent, buckets are split into many blocks, no cheap links help
-    monkeypatch.setattr(setjoin, "GLOBAL", 2)
-    monkeypatch.setattr(setjoin, "LOCAL", 1)
+def test_jaccard_join_in_blocks_without_cheap_links(spark, monkeypatch):
+    # tokens' nodes are split into many blocks, and the trees have to find every link
     monkeypatch.setattr(setjoin, "BLOCK", 3)
+    monkeypatch.setattr(setjoin, "FAN", 2)
+    real = setjoin.sets_of
+    monkeypatch.setattr(setjoin, "sets_of", lambda *a: real(*a).withColumn("low", F.array().cast("array<long>")))
     rows = near_copies(9, groups=4, most=30, words=30)
     got = setjoin.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {tuple(r) for r in got} == brute_components(rows)
@@ -93,6 +95,26 @@ def test_jaccard_join_cases(spark):
     assert setjoin.join(df.limit(0)).count() == 0
 
 
+def test_linked_sets_post_enough_common_tokens(spark):
+    rng = np.random.default_rng(6)
+    worst = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 120))
+        x = np.unique(rng.integers(1, 1 << 40, n))
+        miss = int(rng.integers(0, max(1, len(x) // 5 + 1)))
+        y = np.sort(np.concatenate([rng.permutation(x)[miss:], rng.integers(1, 1 << 40, int(rng.integers(0, len(x) // 4 + 1)))]))
+        x, y = np.sort(x), np.unique(y)
+        both = len(np.intersect1d(x, y))
+        if both and 100 * both >= 80 * (len(x) + len(y) - both):
+            c = len(np.intersect1d(x[:setjoin.posted(len(x), (80, 100))], y[:setjoin.posted(len(y), (80, 100))]))
+            for s in (x, y):
+                assert c >= 20 * -(-len(s) * 80 // 100) // 200 + 1
+            worst += 1
+    assert worst > 100
+    got = spark.range(1, 300).select("id", setjoin.least_common(F.col("id"), (80, 100)).alias("k")).collect()
+    assert all(r["k"] == 20 * -(-r["id"] * 80 // 100) // 200 + 1 for r in got)
+
+
 def test_signature_tree_traversal_is_complete():
     rng = np.random.default_rng(2)
     for m in (1, 7, 8, 9, 70):
@@ -109,7 +131,7 @@ def test_signature_tree_traversal_is_complete():
                 if 100 * both >= 80 * (len(sets[x]) + len(sets[y]) - both):
                     assert (x, y) in found
         assert all(x < y for x, y in found)
-    same = setjoin.Tree(np.array([5, 5]), np.ones((2, 16), np.uint64), np.array([1, 1]))
+    same = setjoin.Tree(np.array([5, 5]), np.ones((2, setjoin.WORDS), np.uint64), np.array([1, 1]))
     assert not list(setjoin.dual(same, same, (80, 100)))
 
 
