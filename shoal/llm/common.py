@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from xxhash import xxh3_64_intdigest
+
 from shoal.session import scratch_root
 
 BATCH_ROWS = 1000  # rows of an Arrow batch that carries texts (a batch is one task's unit of memory)
@@ -98,38 +100,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHash(dict):
-    """word -> 64-bit hash (blake2b), remembered up to a bound."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        from hashlib import blake2b
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-WORD_HASH = WordHash()  # a worker keeps it from task to task
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 _ODD = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hash of every ``n`` consecutive ids (all of them if there are fewer)."""
+    """64-bit hash of every ``n`` consecutive word hashes (all of them if there are fewer)."""
     if not len(ids):
         return np.empty(0, np.uint64)
     n = min(n, len(ids))
     m = len(ids) - n + 1
     out = np.full(m, np.uint64(n), np.uint64)
-    for j in range(n):
-        out += mix(ids[j:j + m] ^ _ODD[j]) * _ODD[j]
+    for j in range(n):  # the ids are mixed well already
+        out += ids[j:j + m] * _ODD[j]
     return mix(out)
 
 
