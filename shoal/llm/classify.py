@@ -23,7 +23,7 @@ the documents are returned as they are.
 from __future__ import annotations
 
 import math
-import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -41,38 +41,36 @@ BITS = 18
 STEMS = (4, 5, 6)  # bytes of a word's beginning
 LEVELS = 10
 TASKS = ("junk", "toxic")
-SYMBOLS = re.compile(rb"[#*$%&|<>]")
-UPPER = re.compile(rb"[A-Z]")
-LETTER = re.compile(rb"[A-Za-z]")
+_NOT = {name: bytes(c for c in range(256) if chr(c) not in chars) for name, chars in (
+    ("symbols", "#*$%&|<>"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))}
 BAD, GOOD, NONE = "b", "g", "-"
 
 
 class Shape:
     """Shares that describe a text's form, from 0 to 1."""
 
-    NAMES = ("symbols", "marks", "upper", "repeats", "stutter", "common")
+    NAMES = ("symbols", "marks", "upper", "repeats", "stutter")
+    BOUNDS = ((0.05, 0.15), (0.05, 0.3), (0.2, 0.6), (0.1, 0.4), (0.05, 0.3))  # good below, bad above
 
     def __init__(self, raw: bytes):
         w = raw.split()
         n = max(len(w), 1)
         four = len(w) - 3
-        letters = len(LETTER.findall(raw))
+        count = lambda name: len(raw.translate(None, _NOT[name]))
         self.n = len(w)
         self.shares = (
-            min(1.0, len(SYMBOLS.findall(raw)) / n / 2),
-            sum(x.endswith(b"!!") for x in w) / n,
-            len(UPPER.findall(raw)) / letters if letters else 0.0,
+            min(1.0, count("symbols") / n / 2),
+            sum(x.endswith(b"!!") for x in w) / n if b"!!" in raw else 0.0,
+            count("upper") / max(count("letters"), 1),
             1 - len(set(zip(w, w[1:], w[2:], w[3:], strict=False))) / four if four > 0 else 0.0,
             sum(map(bytes.__eq__, w, w[1:])) / n,
-            max(Counter(w).values()) / n if len(w) >= 20 else 0.0,
         )
 
     def votes(self) -> str:
         """One vote a heuristic; shares in between get none."""
         if not self.n:
             return NONE * len(self.NAMES)
-        bounds = ((0.05, 0.15), (0.05, 0.3), (0.2, 0.6), (0.1, 0.4), (0.05, 0.3), (0.25, 0.5))
-        return "".join(GOOD if s < lo else BAD if s > hi else NONE for s, (lo, hi) in zip(self.shares, bounds, strict=True))
+        return "".join(GOOD if s < lo else BAD if s > hi else NONE for s, (lo, hi) in zip(self.shares, self.BOUNDS, strict=True))
 
     def features(self) -> list[int]:
         """Every level that a share reaches."""
@@ -88,18 +86,46 @@ def stems(word: bytes) -> list[bytes]:
     return [word[:k] for k in STEMS if len(word) > k]
 
 
+class Kept(dict):
+    """What ``make`` says of a word, remembered up to a bound."""
+
+    LIMIT = 250_000
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: bytes):
+        if len(self) >= self.LIMIT:
+            self.clear()
+        v = self[word] = self.make(word)
+        return v
+
+
+_CACHES: dict = {}
+
+
+def kept(name: str, version, make) -> Kept:
+    """A worker's cache of that name, from task to task; a new version drops all others."""
+    if version != _CACHES.get("version"):
+        _CACHES.clear()
+        _CACHES["version"] = version
+    if name not in _CACHES:
+        _CACHES[name] = Kept(make)
+    return _CACHES[name]
+
+
+def slots(word: bytes) -> tuple[int, ...]:
+    """The hashed features of a word."""
+    return (_slot(word), *(_slot(b"\1" + s) for s in stems(word)))
+
+
 @dataclass
 class Lexicon:
     words: frozenset = frozenset()
     beginnings: frozenset = frozenset()
 
     def marks(self, word: bytes) -> tuple[bool, bool]:
-        return word in self.words, any(s in self.beginnings for s in stems(word))
-
-    def counts(self, words: set[bytes]) -> tuple[int, int]:
-        """How many of the words, and how many words with such beginnings, it has."""
-        marks = [self.marks(w) for w in words]
-        return sum(m[0] for m in marks), sum(m[1] for m in marks)
+        return word in self.words, not self.beginnings.isdisjoint(stems(word))
 
     @staticmethod
     def votes(counts: tuple[int, int]) -> str:
@@ -110,29 +136,9 @@ class Lexicon:
         return [_slot(b"\2%d %d" % (k, i)) for k, n in enumerate(counts) for i in range(1, 1 + min(n, 5))]
 
 
-class Slots(dict):
-    """word -> its hashed features, remembered up to a bound."""
-
-    def __missing__(self, word: bytes):
-        if len(self) >= 300_000:
-            self.clear()
-        v = self[word] = (_slot(word), *(_slot(b"\1" + s) for s in stems(word)))
-        return v
-
-
-class Sums(dict):
-    """word -> the sum of its features' weights, one a task, and its marks in the lexicon."""
-
-    def __init__(self, weights: np.ndarray, lex: Lexicon):
-        self.weights = [w.tolist() for w in weights]
-        self.lex = lex
-
-    def __missing__(self, word: bytes):
-        if len(self) >= 300_000:
-            self.clear()
-        slots = (_slot(word), *(_slot(b"\1" + s) for s in stems(word)))
-        v = self[word] = (*(sum(w[s] for s in slots) for w in self.weights), *self.lex.marks(word))
-        return v
+def total(rows: list[tuple], width: int) -> tuple:
+    """Column sums."""
+    return tuple(map(sum, zip(*rows, strict=True))) if rows else (0,) * width
 
 
 @dataclass
@@ -160,7 +166,7 @@ def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows:
     few = votes.orderBy(F.xxhash64("doc"), "doc").limit(rows)  # proven bound: safe to broadcast
 
     def read(batches):
-        slots = Slots()
+        cache = kept("slots", 0, slots)
         for b in batches:
             made = []
             for raw in b.column(2).to_pylist():
@@ -168,7 +174,7 @@ def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows:
                 shape = Shape(raw)
                 ids = shape.features()
                 for w in words:
-                    ids.extend(slots[w])
+                    ids.extend(cache[w])
                 made.append((shape.votes(), np.unique(np.array(ids, "<i4")).tobytes(), b" ".join(words)))
             v, f, w = zip(*made, strict=True) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(v, pa.string()), pa.array(f, pa.binary()), pa.array(w, pa.binary())],
@@ -231,7 +237,7 @@ def em(patterns: dict[str, int], labellers: int, rounds: int = 60) -> tuple[dict
     return dict(zip(keys, post.tolist(), strict=True)), right
 
 
-def train(features: list[np.ndarray], target: np.ndarray, support: float = 5.0, steps: int = 400) -> tuple[np.ndarray, float]:
+def train(features: list[np.ndarray], target: np.ndarray, support: float = 5.0, steps: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on 0/1 features with weights of 0 or more under an L1 term, by
     accelerated projected gradient steps.  Both classes weigh the same in sum; a feature
     gets a weight only if more than about ``support`` bad rows speak for it."""
@@ -272,12 +278,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     votes = label_votes(labels)
     rows = sample(docs, votes, id_col, text_col, sample_rows)
     lex = lexicon(rows)
+    version = uuid.uuid4().hex
 
     def vote(batches):
+        marks = kept("marks", version, lex.marks)
         for b in batches:
             out = []
             for raw in b.column(1).to_pylist():
-                out.append((Shape(raw).votes(), lex.votes(lex.counts(set(C.alnum_words(raw))))))
+                words = set(C.alnum_words(raw))
+                out.append((Shape(raw).votes(), lex.votes(total([marks[w] for w in words], 2)) if words else NONE * 2))
             s, t = zip(*out, strict=True) if out else ((), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.string()), pa.array(t, pa.string())], ["d", "shape", "lex"])
 
@@ -295,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         post, right = em(counts, len(labellers))
         posts.append(post)
         accuracy.update({(task, name): r for name, r in zip(labellers, right, strict=True)})
-    counts = [lex.counts(set(bytes(r.words).split())) for r in rows]
+    counts = [total([lex.marks(w) for w in set(bytes(r.words).split())], 2) for r in rows]
     features = [np.unique(np.append(np.frombuffer(bytes(r.features), "<i4"), lex.features(c)).astype(np.int64)) for r, c in zip(rows, counts, strict=True)]
     weights, bias = [], []
     for task, post in enumerate(posts):
@@ -314,14 +323,26 @@ def score(docs: DataFrame, model: Model, state: str, text_col: str = "text") ->
     kind = T.StructType([T.StructField("junk", T.DoubleType()), T.StructField("toxic", T.DoubleType()), T.StructField("kept", T.BooleanType())])
     arrow = pa.struct([("junk", pa.float64()), ("toxic", pa.float64()), ("kept", pa.bool_())])
 
+    version = uuid.uuid4().hex
+
     def run(batches):
         weights, bias, lex = cast.value
-        sums = Sums(weights, lex)
+        strong = set(np.flatnonzero(weights.any(0)).tolist())
+        begins = kept("begins", version, lambda s: s in lex.beginnings or _slot(b"\1" + s) in strong)
+        zero = (0.0, 0.0, False, False)
+
+        def say(word: bytes) -> tuple:
+            """The word's weights, one a task, and its marks; nearly all words have none."""
+            a, b, c = STEMS
+            if not (begins[word[:a]] or begins[word[:b]] or begins[word[:c]] or _slot(word) in strong or word in lex.words):
+                return zero
+            return (*(sum(float(w[i]) for i in slots(word)) for w in weights), *lex.marks(word))
+
+        sums = kept("sums", version, say)
         for b in batches:
             made = []
             for raw in b.column(b.num_columns - 1).to_pylist():
-                found = [sums[w] for w in set(C.alnum_words(raw))]
-                junk, toxic, known, begun = map(sum, zip(*found, strict=True)) if found else (0.0, 0.0, 0, 0)
+                junk, toxic, known, begun = total([sums[w] for w in set(C.alnum_words(raw))], 4)
                 s = [bias[0] + junk, bias[1] + toxic]
                 for f in Shape(raw).features() + lex.features((known, begun)):
                     s = [v + float(w[f]) for v, w in zip(s, weights, strict=True)]
