@@ -37,7 +37,8 @@ from shoal.llm import common as C
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the file format
 UNIGRAM, BPE = 1, 2
-WORDS = 500_000  # words a task remembers
+WORDS = 400_000  # words a worker remembers
+PAIRS = 1_000_000  # and pairs of pieces
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -136,7 +137,7 @@ class Transducer:
         if got is None:
             p, q = self.pieces[a] if a >= 0 else "", self.pieces[b]
             got = self.merged(p + q) == ([p, q] if a >= 0 else [q])
-            if len(self.follows) >= 4_000_000:
+            if len(self.follows) >= PAIRS:
                 self.follows.clear()
             self.follows[a, b] = got
         return got
@@ -231,6 +232,18 @@ class Transducer:
         return text[1:] if self.prefix and ids and text[:1] == b" " else text
 
 
+_COMPILED: dict[int, Transducer] = {}
+
+
+def transducer(model: bytes) -> Transducer:
+    """The model's transducer; a worker keeps it, with the words met, from task to task."""
+    key = hash(model)
+    if key not in _COMPILED:
+        _COMPILED.clear()
+        _COMPILED[key] = Transducer(model)
+    return _COMPILED[key]
+
+
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -246,7 +259,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: st
     (raw,) = C.fresh(docs, "raw_text")
 
     def run(batches):
-        t = Transducer(model.value)
+        t = transducer(model.value)
         for b in batches:
             coded = [None if x is None else t.encode(x) for x in b.column(b.num_columns - 1).to_pylist()]
             sizes = np.array([0, *(len(x) // 4 if x else 0 for x in coded)], np.int64)
@@ -264,7 +277,7 @@ def decode(coded: DataFrame, model_file: str, ids_col: str = "ids", text_col: st
     model = coded.sparkSession.sparkContext.broadcast(compiled(model_file))
 
     def run(batches):
-        t = Transducer(model.value)
+        t = transducer(model.value)
         for b in batches:
             col = b.column(b.schema.get_field_index(ids_col))
             texts = [None if x is None else t.decode(x).decode("utf-8", "replace") for x in col.to_pylist()]
