@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,13 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: they are deleted once the driver's JVM has
+    collected the plans that wrote them, which on a quiet driver may be long after."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` in batches small enough for very long texts."""
     conf = df.sparkSession.conf

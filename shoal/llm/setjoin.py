@@ -6,9 +6,13 @@ documents form components.  No link between different sets is lost:
 1. Equal sets are one node (the smallest document id).
 2. Cheap links first: nodes that agree in one of eight min-hashes are compared with the
    smallest node there, exactly.  Groups of near copies join up through a few links.
-3. Every other link joins two different components.  Two linked sets share a token among
-   the first ``n - ceil(share n) + 1`` of each in any fixed order of tokens, so nodes meet
-   under the tokens of their prefixes; the order puts tokens that many documents have last.
+3. Every other link joins two different components.  Tokens are ordered by their hash, and
+   nodes post the first ``1.5 (1 - share) n`` of theirs.  What two linked sets don't have in
+   common leaves them ``k = (1 - share) share n / 2`` posted tokens at least that they do
+   (``least_common``): a node with fewer posted tokens that any other node posts has no
+   further links, and the others may leave out their ``k - 1`` most frequent of these and
+   still meet under one.  So passages and headings that many documents share don't bring
+   them together.
    Under each token whose nodes belong to several components stands a signature tree:
    leaves have a bitmap of their set's tokens and their size, inner nodes the OR of the
    bitmaps, the range of sizes and the component if it is one.  A dual traversal
@@ -17,8 +21,7 @@ documents form components.  No link between different sets is lost:
 4. Components of all links.
 
 A token under which very many nodes stand is dealt in blocks; every pair of blocks is
-traversed by a task of its own.  Token order affects only the time: its list of frequent
-tokens has a fixed largest size.
+traversed by a task of its own.
 
 Cases: a document without words (or text) has an empty set, links with nothing and is its
 own component; fewer words than a shingle has are one shingle; repeated rows link; rows
@@ -33,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shoal.llm import common as C
 from shoal.llm import stars
@@ -41,20 +45,17 @@ SHINGLE = 5
 SHARE = (80, 100)
 BINS = 8  # min-hashes of the cheap links
 WORDS = 16  # 64-bit words of a bitmap
-FREQUENT = 200_000  # longest list of frequent tokens
-FLUSH = 4_000_000  # tokens counted at a time in a task
-LOCAL, GLOBAL = 4, 16  # a token met so often in one count, and in sum, is frequent
 FAN = 8
 BLOCK = 1024
 
 
 class Shingles:
     def __init__(self, n: int = SHINGLE):
-        self.n, self.words = n, C.WORD_HASH
+        self.n = n
 
     def __call__(self, raw: bytes) -> np.ndarray:
         """Sorted distinct shingle hashes of a text."""
-        return np.unique(C.window_hashes(self.words.of(C.lower_words(raw)), self.n))
+        return np.unique(C.window_hashes(C.word_hashes(C.lower_words(raw)), self.n))
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
@@ -63,43 +64,27 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
-def frequent_tokens(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens (sorted) that many documents have, with their counts: every task counts all
-    its tokens and reports those it met ``LOCAL`` times; reports are summed."""
+def posted(n: int, share: tuple[int, int]) -> int:
+    """How many of its tokens a set of n posts."""
+    num, den = share
+    return min(n, 3 * (den - num) * n // (2 * den) + 1)
 
-    def count(batches):
-        shingles = Shingles(n)
 
-        def report(held):
-            t, k = np.unique(np.concatenate(held), return_counts=True)
-            often = k >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(t[often].view(np.int64)), pa.array(k[often])], ["token", "n"])
+def least_common(n, share: tuple[int, int]):
+    """At least so many posted tokens a set of n has in common with any set it links with.
 
-        held, size = [], 0
-        for b in batches:
-            for raw in b.column(0).to_pylist():
-                held.append(shingles(raw))
-                size += len(held[-1])
-                if size >= FLUSH:
-                    yield report(held)
-                    held, size = [], 0
-        if held:
-            yield report(held)
-
-    seen = C.map_batches(rows.select("text"), count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")) \
-        .where(F.col("n") >= GLOBAL).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
-    token, times = seen["token"].to_numpy(np.int64).view(np.uint64), seen["n"].to_numpy(np.int64)
-    order = np.argsort(token)
-    return token[order], times[order]
-
-
-def sets_of(rows: DataFrame, n: int, share: tuple[int, int], frequent) -> DataFrame:
-    """One row a document: its set's size, 128-bit hash, min-hashes, bitmap and prefix."""
-    cast = rows.sparkSession.sparkContext.broadcast(frequent)
+    Up to the smaller of the two last posted hashes, one of the sets, of m tokens, posts all
+    of its tokens there, ``posted(m)``.  It misses the other set in at most (1 - share) m
+    tokens, so over (1 - share) m / 2 posted ones are common; and m is share n or more."""
     num, den = share
+    return F.floor((den - num) * F.ceil(n * num / den) / (2 * den)) + 1
+
+
+def sets_of(rows: DataFrame, n: int, share: tuple[int, int]) -> DataFrame:
+    """One row a document: its set's size, 128-bit hash, min-hashes, bitmap and posted tokens."""
 
     def run(batches):
-        shingles, (token, times) = Shingles(n), cast.value
+        shingles = Shingles(n)
         edges = (np.arange(BINS, dtype=np.uint64) << np.uint64(61))
         for b in batches:
             size, h1, h2, low, bits, prefix = [], [], [], [], [], []
@@ -112,12 +97,7 @@ def sets_of(rows: DataFrame, n: int, share: tuple[int, int], frequent) -> DataFr
                 firsts = s[at[at < len(s)]]
                 low.append(np.unique(firsts).view(np.int64))
                 bits.append(signature(s).tobytes())
-                rank = np.zeros(len(s), np.int64)
-                if len(token):
-                    where = np.minimum(np.searchsorted(token, s), len(token) - 1)
-                    rank = np.where(token[where] == s, times[where], 0)
-                need = len(s) + (-num * len(s)) // den + 1  # n - ceil(share n) + 1
-                prefix.append(s[np.lexsort((s, rank))[:need]].view(np.int64) if len(s) else s.view(np.int64))
+                prefix.append(s[:posted(len(s), share)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(size, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                  _lists(low), pa.array(bits, pa.binary()), _lists(prefix)],
@@ -171,22 +151,28 @@ class Tree:
         return self.levels[min(level, len(self.levels) - 1)]
 
 
+def _may_link(one, two, share: tuple[int, int]) -> np.ndarray:
+    """Whether sets below two nodes (least size, greatest size, bitmap, slack) may link: common
+    bits and the tokens that share a bit bound the overlap."""
+    num, den = share
+    (lo1, hi1, bits1, slack1), (lo2, hi2, bits2, slack2) = one, two
+    most = np.bitwise_count(bits1 & bits2).sum(1, dtype=np.int64) + np.minimum(slack1, slack2)
+    most = np.minimum(most, np.minimum(hi1, hi2))
+    return (den * hi1 >= num * lo2) & (den * hi2 >= num * lo1) & ((num + den) * most >= num * (lo1 + lo2))
+
+
 def dual(a: Tree, b: Tree, share: tuple[int, int], chunk: int = 32_768):
     """(leaf of a, leaf of b) arrays that may link and don't have one label; each unordered
     pair once if a is b."""
-    num, den = share
     todo = [(max(len(a.levels), len(b.levels)) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while todo:
         level, i, j = todo.pop()
         if len(i) > chunk:
             todo += [(level, i[k:k + chunk], j[k:k + chunk]) for k in range(0, len(i), chunk)]
             continue
-        lo1, hi1, bits1, slack1, label1 = (x[i] for x in a.at(level))
-        lo2, hi2, bits2, slack2, label2 = (x[j] for x in b.at(level))
-        most = np.bitwise_count(bits1 & bits2).sum(1, dtype=np.int64) + np.minimum(slack1, slack2)
-        most = np.minimum(most, np.minimum(hi1, hi2))
-        ok = (den * hi1 >= num * lo2) & (den * hi2 >= num * lo1) & ((num + den) * most >= num * (lo1 + lo2))
-        ok &= (label1 < 0) | (label1 != label2)
+        *one, label1 = (x[i] for x in a.at(level))
+        *two, label2 = (x[j] for x in b.at(level))
+        ok = _may_link(one, two, share) & ((label1 < 0) | (label1 != label2))
         i, j = i[ok], j[ok]
         if not len(i):
             continue
@@ -211,6 +197,59 @@ def _down(own: np.ndarray, other: np.ndarray, tree: Tree, level: int) -> tuple[n
     return kids[there], other[there]
 
 
+def _trees(t: pa.Table, share: tuple[int, int], last: bool, out: list) -> pa.Table | None:
+    """Traverse the tree, or pair of trees, of every group of ``t`` (sorted by token, i, j,
+    own, n) into ``out``; but for ``last``, the final group is handed back unfinished.
+
+    Groups of up to ``FAN`` rows are trees of one inner node; the leaf pairs of all of them
+    are tested together."""
+    key = np.stack([t.column(c).to_numpy() for c in ("token", "i", "j")])
+    edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+    start = np.concatenate([[0], edge]).astype(np.int64)
+    end = np.concatenate([edge, [t.num_rows]]).astype(np.int64)
+    rest = None
+    if not last:
+        rest = t.slice(int(start[-1])).combine_chunks()
+        start, end = start[:-1], end[:-1]
+    if not len(start):
+        return rest
+    node, comp, own = (t.column(c).to_numpy() for c in ("node", "comp", "own"))
+    size = t.column("n").to_numpy().astype(np.int64)
+    bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
+    found = []
+    count = end - start
+    alone = key[1][start] == key[2][start]
+    for k in range(2, FAN + 1):
+        first = start[(count == k) & alone]
+        if len(first):
+            x, y = np.triu_indices(k, 1)
+            i, j = (first[:, None] + x).ravel(), (first[:, None] + y).ravel()
+            differ = comp[i] != comp[j]
+            i, j = i[differ], j[differ]
+            for c in range(0, len(i), 32_768):
+                a, b = i[c:c + 32_768], j[c:c + 32_768]
+                ok = _may_link((size[a], size[a], bits[a], size[a] - np.bitwise_count(bits[a]).sum(1, dtype=np.int64)),
+                               (size[b], size[b], bits[b], size[b] - np.bitwise_count(bits[b]).sum(1, dtype=np.int64)), share)
+                found.append((a[ok], b[ok]))
+    for g in np.flatnonzero((count > FAN) | ~alone).tolist():
+        s, e = int(start[g]), int(end[g])
+        _, label = np.unique(comp[s:e], return_inverse=True)
+        if label.max() == 0:
+            continue
+        if alone[g]:
+            tree = Tree(size[s:e], bits[s:e], label)
+            found += [(x + s, y + s) for x, y in dual(tree, tree, share)]
+        elif (cut := int(np.searchsorted(own[s:e], own[s], "right"))) < e - s:
+            m = s + cut
+            one, two = Tree(size[s:m], bits[s:m], label[:cut]), Tree(size[m:e], bits[m:e], label[cut:])
+            found += [(x + s, y + m) for x, y in dual(one, two, share)]
+    if found:
+        x, y = (node[np.concatenate(c)] for c in zip(*found, strict=True))
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+        out.append(pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"]))
+    return rest
+
+
 def candidates(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(a, b) from ``rows`` (token, n_nodes, node, comp, n, bits): the signature trees' pairs.
 
@@ -223,39 +262,15 @@ def candidates(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j", "own", "n", "node")
 
-    def traverse(group: pa.Table):
-        own = group.column("own").to_numpy()
-        node, comp = group.column("node").to_numpy(), group.column("comp").to_numpy()
-        _, label = np.unique(comp, return_inverse=True)
-        if label.max(initial=0) == 0:
-            return None
-        size = group.column("n").to_numpy().astype(np.int64)
-        bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint64).reshape(-1, WORDS)
-        cut = int(np.searchsorted(own, own[0], "right"))
-        a = Tree(size[:cut], bits[:cut], label[:cut])
-        b, shift = (a, 0) if group.column("i")[0].as_py() == group.column("j")[0].as_py() else (Tree(size[cut:], bits[cut:], label[cut:]), cut)
-        if shift and shift == len(own):
-            return None
-        found = [(node[x], node[y + shift]) for x, y in dual(a, b, share)]
-        if not found:
-            return None
-        x, y = (np.concatenate(c) for c in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
     def run(batches):
         held = None  # the last, perhaps unfinished group
         for b in batches:
             t = pa.Table.from_batches([b])
-            t = pa.concat_tables([held, t]) if held is not None else t
-            key = np.stack([t.column(c).to_numpy() for c in ("token", "i", "j")])
-            ends = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
-            starts = [0, *ends.tolist()]
-            for s, e in zip(starts, starts[1:], strict=False):
-                if (out := traverse(t.slice(s, e - s))) is not None:
-                    yield out
-            held = t.slice(starts[-1]).combine_chunks()
-        if held is not None and held.num_rows and (out := traverse(held)) is not None:
-            yield out
+            held = _trees(pa.concat_tables([held, t]) if held is not None else t, share, False, out := [])
+            yield from out
+        if held is not None:
+            _trees(held, share, True, out := [])
+            yield from out
 
     return C.map_batches(dealt, run, "a long, b long").where("a <> b").distinct()
 
@@ -266,7 +281,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     scratch = C.Scratch(spark, "setjoin")
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), C.text_bytes(text_col).alias("text"))
     texts = rows.select(F.col("doc").alias("node"), "text")
-    sets = scratch.table(sets_of(rows, n, share, frequent_tokens(rows, n)), "sets")
+    sets = scratch.table(sets_of(rows, n, share), "sets")
 
     # 1. equal sets
     same = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc").alias("node")).where("node IS NOT NULL")
@@ -285,14 +300,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     first = scratch.table(C.components(spark, links.select("a", "b"), scratch, "comp-1"), "first")
 
     # 3. links between components
-    member = F.col("doc").alias("node")
-    posted = reps.select(member, F.explode("prefix").alias("token"))
-    shared = posted.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")) \
-        .where("least < most").select(F.col("token").alias("t"))
+    C.free_shuffles(spark)  # of the compared texts, before the posted tokens are dealt
+    posts = reps.select(F.col("doc").alias("node"), F.explode("prefix").alias("token"))
+    shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(F.col("token").alias("t"), "times")
+    own = Window.partitionBy("node")
+    sizes = reps.select(F.col("doc").alias("sn"), "n")
+    rarest = posts.join(shared, F.col("token") == F.col("t")).join(sizes, F.col("node") == F.col("sn")) \
+        .select("token", "node", "n", F.count(F.lit(1)).over(own).alias("has"), F.row_number().over(own.orderBy("times", "token")).alias("place")) \
+        .where(F.col("place") <= F.col("has") - least_common(F.col("n"), share) + 1)
     comp = first.select(F.col("node").alias("cn"), "component")
-    met = scratch.table(posted.join(shared, F.col("token") == F.col("t")).select("token", "node")
-                        .join(comp, F.col("node") == F.col("cn"), "left")
+    met = scratch.table(rarest.join(comp, F.col("node") == F.col("cn"), "left")
                         .select("token", "node", F.coalesce("component", "node").alias("comp")), "met")
+    C.free_shuffles(spark)
     mixed = met.groupBy("token").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("n_nodes")) \
         .where("least < most").select(F.col("token").alias("t"), "n_nodes")
     marks = reps.select(F.col("doc").alias("d"), "n", "bits")
