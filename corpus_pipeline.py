@@ -17,8 +17,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs leave the texts; every document stays a row."""
-    return lines.LineRuns(docs).cleaned()
+    """Later copies of repeated lines leave the texts, one line alone too; every document stays a row."""
+    return lines.LineRuns(docs).cleaned(1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
