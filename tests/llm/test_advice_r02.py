@@ -1,6 +1,14 @@
 """What the reviewer found in round 2, each with a case that failed before."""
 
+import random
+
+import duckdb
+
 import corpus_pipeline
+from shoal.llm import common as C
+from shoal.llm import passages, queries
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_pipeline_deletes_a_line_pasted_between_other_text(spark):
@@ -8,3 +16,18 @@ def test_pipeline_deletes_a_line_pasted_between_other_text(spark):
     df = spark.createDataFrame([(1, f"a\n{pasted}\nb"), (2, f"c\n{pasted}\nd")], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, df, "").collect()}
     assert got == {1: f"a\n{pasted}\nb", 2: "c\nd"}
+
+
+def test_a_passage_is_found_wherever_it_stands_in_its_source():
+    rnd = random.Random(5)
+    word = lambda n: [f"u{rnd.randrange(10**7)}".encode() for _ in range(n)]
+    tokens = lambda w: C.window_hashes(C.word_hashes(w), passages.SHINGLE)
+    passage, second = word(60), word(60)
+    for gap in (30, 120):
+        a = word(20) + passage[:9] + word(gap - 9) + passage + word(30)
+        got = passages.repeats(passages.Source(tokens(a)), tokens(word(15) + passage + word(15)))
+        assert [(s, e + 4) for s, e, _, _ in got] == [(15, 75)] and got[0][2:] == (20 + gap, 20 + gap + 56)
+    near = [b"edit" if k == 30 else x for k, x in enumerate(passage)]
+    a = passage[:12] + word(200) + second + word(5) + passage + word(9) + second[:10]
+    got = passages.repeats(passages.Source(tokens(a)), tokens(near + second))
+    assert {p for s, e, _, _ in got for p in range(s, e + 4)} >= set(range(2, 118))
