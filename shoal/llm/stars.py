@@ -24,9 +24,9 @@ def slot(col):
     return F.pmod(F.xxhash64(col), F.lit(1 << BITS)) + 1
 
 
-def bit_table(ids: DataFrame) -> np.ndarray:
-    """Bits of the hashed ``node`` column, as bytes (bit k of byte k // 8)."""
-    x = slot("node")
+def bit_table(ids: DataFrame, x=None) -> np.ndarray:
+    """Bits of the hashed ``node`` column, or of slots ``x``, as bytes (bit k of byte k // 8)."""
+    x = slot("node") if x is None else x
     rows = ids.select(F.bitmap_bucket_number(x).alias("bucket"), F.bitmap_bit_position(x).alias("bit")) \
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()  # at most 2048 rows of 4 KB
     out = np.zeros(1 << (BITS - 3), np.uint8)

@@ -18,6 +18,36 @@ def test_pipeline_deletes_a_line_pasted_between_other_text(spark):
     assert got == {1: f"a\n{pasted}\nb", 2: "c\nd"}
 
 
+def exact_places(words):
+    """{id: word positions in 50-word windows that an earlier document has}."""
+    seen, want = set(), {}
+    for i, w in sorted(words.items()):
+        mine = [tuple(w[k:k + 50]) for k in range(len(w) - 49)]
+        for k, x in enumerate(mine):
+            if x in seen:
+                want.setdefault(i, set()).update(range(k, k + 50))
+        seen.update(mine)
+    return want
+
+
+def test_passages_of_later_documents_are_linked_past_the_first_holder(spark):
+    rnd = random.Random(4)
+    word = lambda n: [f"u{rnd.randrange(10**7)}" for _ in range(n)]
+    words = {}
+    for g in range(60):  # a variant under 0.8, then two exact copies; and near copies of each other alone
+        passage = word(60)
+        variant = [f"e{g}_{k}" if k % 20 == 10 else x for k, x in enumerate(passage)]
+        for k, p in enumerate((variant, passage, passage, passage[:30] + word(1) + passage[31:])):
+            words[10 * g + k] = word(rnd.randint(5, 60)) + p + word(rnd.randint(5, 60))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] or [] for r in passages.per_document(df).collect()}
+    for i, places in exact_places(words).items():
+        assert places <= {p for s in got[i] for p in range(s["start"], s["end"])}
+    assert all(got[10 * g + 2][0]["source"] == 10 * g + 1 for g in range(60))
+    assert sum(bool(got[10 * g + 3]) for g in range(60)) >= 55
+    assert not any(got[10 * g + 1] for g in range(60))
+
+
 def test_a_passage_is_found_wherever_it_stands_in_its_source():
     rnd = random.Random(5)
     word = lambda n: [f"u{rnd.randrange(10**7)}".encode() for _ in range(n)]
@@ -31,3 +61,10 @@ def test_a_passage_is_found_wherever_it_stands_in_its_source():
     a = passage[:12] + word(200) + second + word(5) + passage + word(9) + second[:10]
     got = passages.repeats(passages.Source(tokens(a)), tokens(near + second))
     assert {p for s, e, _, _ in got for p in range(s, e + 4)} >= set(range(2, 118))
+
+
+def test_all_exact_repeats_of_the_documents_are_covered(spark):
+    words = {i: C.lower_words((t or "").encode()) for i, t in duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()}
+    got = {r["doc_id"]: {p for s in r["spans"] or [] for p in range(s["start"], s["end"])} for r in queries.op8_substring_dedup(spark, SF).collect()}
+    want = exact_places(words)
+    assert want and all(p <= got[i] for i, p in want.items())
