@@ -5,9 +5,9 @@ overlapping labellers vote bad, good or nothing: shape heuristics, lexicons of w
 word beginnings, and the ``labels`` table where it covers a document.  Expectation-
 maximisation over all documents' vote patterns estimates how often each labeller is right;
 the posteriors label a bounded sample, and an L1-regularised logistic scorer over hashed
-words, word beginnings and shape levels is trained on it; its weights are 0 or more, so a
-long clean text gathers no evidence.  The scorer then judges every
-document, labelled or not.
+words, word beginnings and shape levels is trained on it; its weights are 0 or more and
+each counts once a document, in training and in scoring, however many words share it.  The
+scorer then judges every document, labelled or not.
 
 Bounds: lexicons and scorer are fitted on at most ``sample_rows`` labelled rows, chosen by
 a hash of their id; vote patterns are counted over all documents, and there are at most
@@ -329,24 +329,24 @@ def score(docs: DataFrame, model: Model, state: str, text_col: str = "text") ->
         weights, bias, lex = cast.value
         strong = set(np.flatnonzero(weights.any(0)).tolist())
         begins = kept("begins", version, lambda s: s in lex.beginnings or _slot(b"\1" + s) in strong)
-        zero = (0.0, 0.0, False, False)
+        zero = ((), False, False)
 
         def say(word: bytes) -> tuple:
-            """The word's weights, one a task, and its marks; nearly all words have none."""
+            """The word's slots of known weight and its marks; nearly all words have none."""
             a, b, c = STEMS
             if not (begins[word[:a]] or begins[word[:b]] or begins[word[:c]] or _slot(word) in strong or word in lex.words):
                 return zero
-            return (*(sum(float(w[i]) for i in slots(word)) for w in weights), *lex.marks(word))
+            return (tuple(i for i in slots(word) if i in strong), *lex.marks(word))
 
-        sums = kept("sums", version, say)
+        said = kept("said", version, say)
         for b in batches:
             made = []
             for raw in b.column(b.num_columns - 1).to_pylist():
-                junk, toxic, known, begun = total([sums[w] for w in set(C.alnum_words(raw))], 4)
-                s = [bias[0] + junk, bias[1] + toxic]
-                for f in Shape(raw).features() + lex.features((known, begun)):
-                    s = [v + float(w[f]) for v, w in zip(s, weights, strict=True)]
-                s = [round(v, 6) for v in s]
+                marks = [m for m in map(said.__getitem__, set(C.alnum_words(raw))) if m != zero]
+                counts = sum(m[1] for m in marks), sum(m[2] for m in marks)
+                # every slot counts once a document, as in training
+                found = sorted({i for m in marks for i in m[0]} | {i for i in Shape(raw).features() + lex.features(counts) if i in strong})
+                s = [round(v + sum(float(w[i]) for i in found), 6) for v, w in zip(bias, weights, strict=True)]
                 made.append({"junk": s[0], "toxic": s[1], "kept": not raw.strip() or max(s) <= 0})
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, arrow)], [*b.schema.names[:-1], state])
 

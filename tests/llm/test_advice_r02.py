@@ -6,7 +6,7 @@ import duckdb
 
 import corpus_pipeline
 from shoal.llm import common as C
-from shoal.llm import passages, queries
+from shoal.llm import classify, passages, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,3 +68,12 @@ def test_all_exact_repeats_of_the_documents_are_covered(spark):
     got = {r["doc_id"]: {p for s in r["spans"] or [] for p in range(s["start"], s["end"])} for r in queries.op8_substring_dedup(spark, SF).collect()}
     want = exact_places(words)
     assert want and all(p <= got[i] for i, p in want.items())
+
+
+def test_a_beginning_counts_once_however_many_words_share_it(spark):
+    model = classify.Model(bias=(-1.0, -1.0))
+    model.weights[:, classify._slot(b"\1comm")] = 0.3
+    text = " ".join("comm" + "".join(chr(97 + (k // 26 ** j) % 26) for j in range(3)) for k in range(130))
+    df = spark.createDataFrame([(1, text), (2, "comma")], "doc_id long, text string")
+    got = {r["doc_id"]: r["v"] for r in classify.score(df, model, "v").collect()}
+    assert got[1]["kept"] and abs(got[1]["junk"] + 0.7) < 1e-5 and got[1]["toxic"] == got[2]["toxic"]
