@@ -49,8 +49,8 @@ BAD, GOOD, NONE = "b", "g", "-"
 class Shape:
     """Shares that describe a text's form, from 0 to 1."""
 
-    NAMES = ("symbols", "marks", "upper", "repeats", "stutter")
-    BOUNDS = ((0.05, 0.15), (0.05, 0.3), (0.2, 0.6), (0.1, 0.4), (0.05, 0.3))  # good below, bad above
+    NAMES = ("symbols", "marks", "upper", "repeats", "stutter", "common")
+    BOUNDS = ((0.05, 0.15), (0.05, 0.3), (0.2, 0.6), (0.1, 0.4), (0.05, 0.3), (0.25, 0.5))  # good below, bad above
 
     def __init__(self, raw: bytes):
         w = raw.split()
@@ -64,6 +64,7 @@ class Shape:
             count("upper") / max(count("letters"), 1),
             1 - len(set(zip(w, w[1:], w[2:], w[3:], strict=False))) / four if four > 0 else 0.0,
             sum(map(bytes.__eq__, w, w[1:])) / n,
+            max(Counter(w).values()) / n if len(w) >= 20 else 0.0,
         )
 
     def votes(self) -> str:
@@ -237,7 +238,7 @@ def em(patterns: dict[str, int], labellers: int, rounds: int = 60) -> tuple[dict
     return dict(zip(keys, post.tolist(), strict=True)), right
 
 
-def train(features: list[np.ndarray], target: np.ndarray, support: float = 5.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def train(features: list[np.ndarray], target: np.ndarray, support: float = 5.0, steps: int = 400) -> tuple[np.ndarray, float]:
     """Logistic regression on 0/1 features with weights of 0 or more under an L1 term, by
     accelerated projected gradient steps.  Both classes weigh the same in sum; a feature
     gets a weight only if more than about ``support`` bad rows speak for it."""

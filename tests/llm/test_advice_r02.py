@@ -77,3 +77,19 @@ def test_a_beginning_counts_once_however_many_words_share_it(spark):
     df = spark.createDataFrame([(1, text), (2, "comma")], "doc_id long, text string")
     got = {r["doc_id"]: r["v"] for r in classify.score(df, model, "v").collect()}
     assert got[1]["kept"] and abs(got[1]["junk"] + 0.7) < 1e-5 and got[1]["toxic"] == got[2]["toxic"]
+
+
+def test_one_word_repeated_between_others_is_judged(spark):
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("aeioulmnrst") for _ in range(9))
+    docs, labels = [], []
+    for i in range(400):
+        top, bad = word(), i % 2 == 0
+        text = " ".join(f"{top} {word()}" if bad else f"{word()} {word()}" for _ in range(40)) + (f" {top}" if bad else "")
+        docs.append((i, text))
+        labels += [(i, 0 if bad else 1, 0)] if i < 300 else []
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r["doc_id"] for r in classify.keep_good(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert {i for i in kept if i >= 300} == set(range(301, 400, 2))
+    shape = classify.Shape(docs[0][1].encode())
+    assert shape.votes()[classify.Shape.NAMES.index("common")] == classify.BAD
