@@ -1,7 +1,8 @@
 """Private data: detection and replacement by keyed surrogates.
 
-Entities (mail addresses, phone, social-security and card numbers, IP addresses, titled
-names) are found in every text; each distinct entity, in its plain form, gets one surrogate
+Entities (mail addresses, phone, social-security, card and bank account numbers, IP
+addresses, titled names, given and family part apart, and their later untitled mentions in
+the text) are found in every text; each distinct entity, in its plain form, gets one surrogate
 of its own from a keyed hash, so a person mentioned twice stays one person (coreference) and
 two stay two (distinctness).  A surrogate has its entity's type and shape: letters for
 letters, digits for digits, a valid check digit if there was one, octets below 256, a name of
@@ -20,6 +21,7 @@ empty table gives an empty result; further columns are returned as they are.
 from __future__ import annotations
 
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable
 from hashlib import sha256
@@ -31,13 +33,21 @@ from pyspark.sql import types as T
 
 from shoal.llm import common as C
 
-KINDS = ("email", "ssn", "phone", "ip", "card", "name")
+KINDS = ("email", "ssn", "phone", "ip", "card", "name", "ipv6", "iban")
 PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    "phone": re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)"),
+    "phone": re.compile(
+        r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)"
+        r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,5}\)|[ .-]\d{1,5})(?:[ .-]?\d{2,8}){1,5}(?![\w-])"  # country code, groups of any size
+        r"|(?<![\w+.-])(?:0\d|\(0\d\))(?:[ .-]\d{2}){4}(?![\w-])"  # groups of two
+        r"|(?<![\w+.-])(?:[67]\d{2}(?:[ .-]\d{2}){3}|[89]\d{2}(?:[ .-]\d{2}){3}|9\d[ .-]\d{3}(?:[ .-]\d{2}){2})(?![\w-])"
+        r"|(?<![\w+.-])(?:8[ .-]?)?(?:\(\d{3,5}\)[ .-]?\d{2,3}|\d{3,5}[ .-]\d{3})[ .-]\d{2}[ .-]\d{2}(?![\w-])"  # 8 (495) 123-45-67
+        r"|(?<![\w+.-])(?:\(0\d{1,5}\)|0\d{1,5})[ /-]\d{4,9}(?![\w-])|(?<![\w+.-])(?:2\d{2,3}|69\d)[ .-]\d{6,7}(?![\w-])"),  # two groups
     "ip": re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"),
     "card": re.compile(r"(?<![\w.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\w-])"),
+    "ipv6": re.compile(r"(?<![\w:.])[0-9A-Fa-f:]{3,39}(?![\w:]|\.\d)"),
+    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "name": re.compile(
         r"(?<!\w)(?P<title>Mr\.?|Mrs\.?|Ms\.?|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?\.|господин|госпожа|г-н|г-жа|κύριος|κυρία|Κύριος|Κυρία|Господин|Госпожа)"
         r" (?P<name>[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][\w'’-]+(?: [A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ][\w'’-]+)?)"),
@@ -57,6 +67,7 @@ SYLLABLES = {
     "cyrillic": "бар вол гор дан зор кар лен мир нов пет рос сал тар".split(),
     "greek": "βαρ γαλ δαν καρ λαμ μαν νικ παπ ρος σαρ ταλ".split(),
 }
+WORD = re.compile(r"(?<![\w@.-])\w[\w'’-]+(?!@)")
 TITLES = tuple(t.encode() for t in "Mr Mrs Ms Miss Herr Frau Monsieur Madame Mme Se Sr господин госпожа г-н г-жа κύριος κυρία Κύριος Κυρία Господин Госпожа".split())
 _NOT_DIGITS = bytes(c for c in range(256) if not 48 <= c <= 57)
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("shown", pa.string()), ("value", pa.string())])
@@ -75,16 +86,45 @@ def script(text: str) -> str:
     return "cyrillic" if re.search("[А-Яа-яЁё]", text) else "greek" if re.search("[Α-Ωα-ωά-ώ]", text) else "latin"
 
 
+def check_digits(iban: str) -> str:
+    """The two check digits that an account number of this country and rest has."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in iban[4:] + iban[:2] + '00')) % 97:02d}"
+
+
+def name_parts(match: re.Match) -> list[tuple[int, int, str]]:
+    """(start, end, plain value) of a titled name's given and family part; a value is the
+    given name's gender or nothing, and the part."""
+    g = "f" if match["title"].rstrip(".").lower() in WOMEN else "m"
+    out, at = [], match.start("name")
+    words = match["name"].split(" ")
+    for k, w in enumerate(words):
+        whole, w = w, re.sub(r"['’]s?$", "", w) or w
+        out.append((at, at + len(w), f"{g if k < len(words) - 1 else ''}:{w.casefold()}"))
+        at += len(whole) + 1
+    return out
+
+
 def plain(kind: str, match: re.Match) -> tuple[int, int, str] | None:
     """(start, end, plain value) of a match, or None if it is none."""
     text = match[0]
+    if kind == "ipv6":
+        try:
+            value = str(ipaddress.IPv6Address(text))
+        except ValueError:
+            return None
+        groups = [x for x in value.split(":") if x]
+        return (*match.span(), value) if len(groups) > 1 and any(map(str.isdigit, value)) and "." not in value else None
+    if kind == "iban":
+        while len(text.replace(" ", "")) >= 15:  # words in capitals may follow it
+            value = text.replace(" ", "")
+            if len(value) <= 34 and check_digits(value) == value[2:4]:
+                return match.start(), match.start() + len(text), value
+            text = text.rpartition(" ")[0]
+        return None
     if kind == "email":
         return *match.span(), text.lower()
     if kind == "ip":
         return (*match.span(), text) if all(int(x) < 256 for x in text.split(".")) else None
-    if kind == "name":
-        g = "f" if match["title"].rstrip(".").lower() in WOMEN else "m"
-        return *match.span("name"), f"{g}:{match['name'].casefold()}"
     digits = re.sub(r"\D", "", text)
     if kind == "phone" and not 8 <= len(digits) <= 15:
         return None
@@ -97,7 +137,9 @@ def detect(raw: bytes) -> list[dict]:
     if b"@" in raw:
         kinds.append("email")
     if len(raw.translate(None, _NOT_DIGITS)) >= 4:
-        kinds += ["ssn", "phone", "ip", "card"]
+        kinds += ["ssn", "phone", "ip", "card", "iban"]
+    if b"::" in raw or raw.count(b":") >= 7:
+        kinds.append("ipv6")
     if any(t in raw for t in TITLES):
         kinds.append("name")
     if not kinds:
@@ -106,10 +148,22 @@ def detect(raw: bytes) -> list[dict]:
     found = []
     for kind in kinds:
         for m in PATTERNS[kind].finditer(text):
+            if kind == "name":
+                found += [(s - e, s, KINDS.index(kind), e, value) for s, e, value in name_parts(m)]
+                continue
             if (p := plain(kind, m)) is not None:
                 found.append((p[0] - p[1], p[0], KINDS.index(kind), p[1], p[2]))
+    names: dict = {}  # a part as written, and where it is named first
+    for _, s, k, e, value in sorted((f for f in found if KINDS[f[2]] == "name"), key=lambda f: f[1]):
+        for word in (text[s:e], text[s:e].upper()):
+            names.setdefault(word, (e, k, value))
+    if names:
+        for m in WORD.finditer(text):
+            w = re.sub(r"['’]s?$", "", m[0])
+            if w in names and m.start() >= names[w][0]:
+                found.append((-len(w), m.start(), *names[w][1:2], m.start() + len(w), names[w][2]))
     out, taken = [], []
-    for _, s, k, e, value in sorted(found):
+    for _, s, k, e, value in sorted(set(found)):
         if all(e <= a or b <= s for a, b in taken):
             taken.append((s, e))
             out.append({"kind": KINDS[k], "start": s, "end": e, "shown": text[s:e], "value": value})
@@ -144,12 +198,22 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return ".".join(str(1 + d.below(254)) for _ in range(4))
     if kind == "name":
         g, _, name = value.partition(":")
-        s, parts = script(name), name.split(" ")
-        family = "".join(SYLLABLES[s][d.below(len(SYLLABLES[s]))] for _ in range(2 + d.below(2) + more))
-        given = GIVEN[s, g][d.below(len(GIVEN[s, g]))]
-        return f"{g}:" + (f"{given} {family}" if len(parts) > 1 else family).casefold()
+        s = script(name)
+        syllables = lambda n: "".join(SYLLABLES[s][d.below(len(SYLLABLES[s]))] for _ in range(n))
+        if not g:
+            return ":" + syllables(2 + d.below(2) + more)
+        # given names are few: drawn again, they grow at once
+        return f"{g}:" + GIVEN[s, g][d.below(len(GIVEN[s, g]))].casefold() + syllables(attempt)
+    if kind == "ipv6":
+        hexes = lambda n: "123456789abcdef"[d.below(15)] + "".join("0123456789abcdef"[d.below(16)] for _ in range(n - 1))
+        return ":".join(hexes(4) for _ in range(8)) if more else re.sub("[0-9a-f]+", lambda m: hexes(len(m[0])), value)
+    if kind == "iban":
+        rest = "".join(str(d.below(10)) if c.isdigit() else letter().upper() for c in value[4:])
+        return value[:2] + check_digits(value[:4] + rest) + rest
     keep = len(value) - 10 if kind == "phone" and len(value) > 10 else 0  # the country code stays
-    digits = value[:keep] + str(1 + d.below(9)) + "".join(str(d.below(10)) for _ in range(len(value) - keep - 1 + more))
+    if kind == "phone" and not keep and value[0] == "0":
+        keep = 1  # so does a leading zero
+    digits = value[:keep] + str(6 + d.below(4) if kind == "phone" and not keep and value[0] in "6789" else 1 + d.below(9)) + "".join(str(d.below(10)) for _ in range(len(value) - keep - 1 + more))
     if kind == "card":
         valid = luhn(value)
         for last in map(str, range(10)):
@@ -161,12 +225,17 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
 def shown(kind: str, was: str, value: str) -> str:
     """A surrogate written as the entity was."""
     if kind == "name":
-        words = [w[:1].upper() + w[1:] for w in value.partition(":")[2].split(" ")]
-        return " ".join(w.upper() if o.isupper() and len(o) > 1 else w for w, o in zip(words, was.split(" "), strict=False))
+        word = value.partition(":")[2]
+        return word.upper() if was.isupper() and len(was) > 1 else word[:1].upper() + word[1:]
     if kind == "email":
         return value.upper() if was.isupper() else "".join(v.upper() if o.isupper() else v for v, o in zip(value, was, strict=False)) + value[len(was):]
     if kind == "ip":
         return value
+    if kind == "ipv6":
+        return value.upper() if was.upper() == was != was.lower() else value
+    if kind == "iban":
+        chars = iter(value)
+        return "".join(next(chars) if c != " " else c for c in was)
     digits = iter(value)
     return "".join(next(digits, c) if c.isdigit() else c for c in was) + "".join(digits)
 

@@ -1,12 +1,13 @@
 """What the reviewer found in round 2, each with a case that failed before."""
 
 import random
+import re
 
 import duckdb
 
 import corpus_pipeline
 from shoal.llm import common as C
-from shoal.llm import classify, passages, queries
+from shoal.llm import classify, passages, private, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +94,23 @@ def test_one_word_repeated_between_others_is_judged(spark):
     assert {i for i in kept if i >= 300} == set(range(301, 400, 2))
     shape = classify.Shape(docs[0][1].encode())
     assert shape.votes()[classify.Shape.NAMES.index("common")] == classify.BAD
+
+
+def test_private_data_of_other_shapes_and_later_mentions(spark):
+    numbers = ["01 23 45 67 89", "+33 1 23 45 67 89", "+49 30 12345678", "030 12345678", "612 34 56 78", "+7 (495) 123-45-67",
+               "2001:db8:85a3::8a2e:370:7334", "FE80::1", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+    texts = [f"call or write {x}, please." for x in numbers]
+    texts += ["Mr John Smith came. Smith said that John's car, SMITH's own, was gone. Mr Smith left. Mary met Mrs. Jones.", "Smith wrote std::vector at 10:30:45 on 2019-12-01.",
+              "Mr Jack Smith came."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in private.replace(df, b"key").collect()}
+    for k, x in enumerate(numbers):
+        assert out[k].startswith("call or write ") and out[k].endswith(", please.") and x not in out[k]
+        new = out[k][len("call or write "):-len(", please.")]
+        assert [c.isalnum() for c in new] == [c.isalnum() for c in x] and private.detect(new.encode())[0]["kind"] == private.detect(x.encode())[0]["kind"]
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. (\w+) said that (\w+)'s car, (\w+)'s own, was gone\. Mr (\w+) left\. Mary met Mrs\. (\w+)\.", out[10])
+    given, family = m[1], m[2]
+    assert given != "John" and family != "Smith" and (m[3], m[4], m[5], m[6]) == (family, given, family.upper(), family) and m[7] not in ("Jones", family)
+    assert out[11] == texts[11]
+    other = re.fullmatch(r"Mr (\w+) (\w+) came\.", out[12])
+    assert other[2] == family and other[1] not in ("Jack", given)
