@@ -41,8 +41,8 @@ PATTERNS = {
         r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)"
         r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,5}\)|[ .-]\d{1,5})(?:[ .-]?\d{2,8}){1,5}(?![\w-])"  # country code, groups of any size
         r"|(?<![\w+.-])(?:0\d|\(0\d\))(?:[ .-]\d{2}){4}(?![\w-])"  # groups of two
-        r"|(?<![\w+.-])(?:[67]\d{2}(?:[ .-]\d{2}){3}|[89]\d{2}(?:[ .-]\d{2}){3}|9\d[ .-]\d{3}(?:[ .-]\d{2}){2})(?![\w-])"
-        r"|(?<![\w+.-])(?:8[ .-]?)?(?:\(\d{3,5}\)[ .-]?\d{2,3}|\d{3,5}[ .-]\d{3})[ .-]\d{2}[ .-]\d{2}(?![\w-])"  # 8 (495) 123-45-67
+        r"|(?<![\w+.-])(?:[67]\d{2}(?:[ -]\d{2}){3}|[89]\d{2}(?:[ -]\d{2}){3}|9\d[ -]\d{3}(?:[ -]\d{2}){2})(?![\w-])"
+        r"|(?<![\w+.-])(?:8[ -]?)?(?:\(\d{3,5}\)[ -]?\d{2,3}|\d{3,5}[ -]\d{3})[ -]\d{2}[ -]\d{2}(?![\w-])"  # 8 (495) 123-45-67
         r"|(?<![\w+.-])(?:\(0\d{1,5}\)|0\d{1,5})[ /-]\d{4,9}(?![\w-])|(?<![\w+.-])(?:2\d{2,3}|69\d)[ .-]\d{6,7}(?![\w-])"),  # two groups
     "ip": re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"),
     "card": re.compile(r"(?<![\w.-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\w-])"),

@@ -114,3 +114,7 @@ def test_private_data_of_other_shapes_and_later_mentions(spark):
     assert out[11] == texts[11]
     other = re.fullmatch(r"Mr (\w+) (\w+) came\.", out[12])
     assert other[2] == family and other[1] not in ("Jack", given)
+
+
+def test_dotted_addresses_stay_addresses():
+    assert [e["kind"] for e in private.detect(b"91.234.56.78 111.222.33.44 212.34.56.78")] == ["ip"] * 3
