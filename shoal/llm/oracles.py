@@ -68,4 +68,35 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(f.kept, '') EN
 FROM documents d LEFT JOIN f USING (doc_id) LEFT JOIN run USING (doc_id)
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op2_quality_rules": OP2, "op6_line_dedup": OP6}
+OP12 = r"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, t, x, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, x)),
+e AS (SELECT *, regexp_replace(text, '([<\[])(\\*(?:/?s>|/?INST\]|/?SYSTEM_PROMPT\]|/?ROLE\]|/TURN\]))', '\1\\\2', 'g') AS body,
+             regexp_replace(role, '([<\[])(\\*(?:/?s>|/?INST\]|/?SYSTEM_PROMPT\]|/?ROLE\]|/TURN\]))', '\1\\\2', 'g') AS name FROM r),
+f AS (SELECT *, CASE role WHEN 'system' THEN '[SYSTEM_PROMPT]' || body || '[/SYSTEM_PROMPT]' WHEN 'user' THEN '[INST]' || body || '[/INST]'
+             WHEN 'assistant' THEN body || '</s>' ELSE '[ROLE]' || name || '[/ROLE]' || body || '[/TURN]' END AS piece FROM e),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+             sum(length(piece)) AS chars FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+       (3 + chars)::BIGINT AS formatted_chars FROM g
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                  sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+             ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, array_to_string(list_slice(u, 1, a), '') AS prefix, array_to_string(list_slice(u, a + 1, b), '') AS middle,
+             array_to_string(list_slice(u, b + 1, n), '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {"op1_decontaminate": OP1, "op2_quality_rules": OP2, "op6_line_dedup": OP6, "op12_chat_format": OP12, "op13_fill_in_middle": OP13}
