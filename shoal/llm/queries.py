@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import chat, classify, decontam, infill, lines, passages, pieces, private, rules, secrets, setjoin, tokens
+from shoal.llm import chat, classify, decontam, infill, lines, passages, pieces, private, rules, secrets, setjoin, tokens, turns
 from shoal.llm.common import Scratch
 
 SURROGATE_KEY = b"replace this key in production"
@@ -96,6 +96,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("decoded") == F.translate("text", pieces.SPACE, " ")).alias("round_trip"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.digests(load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     kinds = {f.name: f.dataType for f in rows.schema.fields}
@@ -112,4 +116,4 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality_rules, op3_private_data, op4_secret_scan, op5_quality_classifier, op6_line_dedup, op7_jaccard_join,
-    op8_substring_dedup, op9_token_files, op10_sentencepiece, op12_chat_format, op13_fill_in_middle)}
+    op8_substring_dedup, op9_token_files, op10_sentencepiece, op11_turn_repair, op12_chat_format, op13_fill_in_middle)}
