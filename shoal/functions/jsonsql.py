@@ -6,9 +6,10 @@ node would be a round trip to the JVM.  All builders take and return SQL text; l
 variables get fresh names so nested walkers never capture each other's.
 
 A walker is unrolled for ``depth`` levels, each a nested higher-order function.  An object
-below them is walked by one ``aggregate`` over a work list (``find_below``,
-``rebuild_below``): slower for that object, but of any depth, and with the same
-result.  ``depth`` is thus only a matter of speed.
+below them is laid out as a flat entry list (``entry_list``), which is searched
+(``find_below``) or written out anew (``rebuild_below``): about twice the work an entry of
+the unrolled levels, but of any depth, and with the same result.  ``depth`` is thus only a
+matter of speed.
 """
 
 from __future__ import annotations
@@ -53,31 +54,55 @@ def to_variant_text(value: str) -> str:
     return f"CAST(CAST({value} AS STRING) AS VARIANT)"
 
 
-ENTRY = "STRUCT<key: STRING, value: VARIANT>"
-
-
 def _names(keys: Iterable[str]) -> str:
     return ", ".join(lit(k) for k in keys)
 
 
-def _steps(doc: str) -> str:
-    """More work-list steps than the object can need: every entry takes up to three, and at
-    least as many characters of its JSON text."""
-    return f"sequence(1, 2 + length(to_json({doc})))"
+# Kinds of an entry list's items: an entry not looked at yet, one that is no object, and the
+# two ends of an object that is.
+_NEW, _VALUE, _BEGIN, _END = (f"{k}Y" for k in range(4))
+
+
+def _item(kind: str, key: str = NULL_STR, value: str = "CAST(NULL AS VARIANT)") -> str:
+    return f"named_struct('kind', {kind}, 'key', {key}, 'value', {value})"
+
+
+def entry_list(doc: str, dropped=None) -> str:
+    """An object of any depth as one flat list of (kind, key, value): its entries in order, depth
+    first, an object's entries between the two items that begin and end it.  Each round puts
+    the entries of all objects met so far in their places, so the work is one visit an entry
+    and level.  ``dropped(key, value)`` leaves entries out."""
+    s, i, x, e, f, g, r, m = (fresh(p) for p in "sixefgrm")
+
+    def inside(obj: str) -> str:
+        entries = f"map_entries({obj})"
+        if dropped:
+            entries = f"filter({entries}, {g} -> NOT ({dropped(f'{g}.key', f'{g}.value')}))"
+        return f"transform({entries}, {e} -> {_item(_NEW, f'{e}.key', f'{e}.value')})"
+
+    def look(sub: str) -> str:
+        opened = f"concat(array({_item(_BEGIN, f'{x}.key')}), {inside(sub)}, array({_item(_END)}))"
+        return f"CASE WHEN {sub} IS NULL THEN array({_item(_VALUE, f'{x}.key', f'{x}.value')}) ELSE {opened} END"
+
+    def state(items: str) -> str:
+        return let(items, lambda v: f"named_struct('items', {v}, 'more', exists({v}, {f} -> {f}.kind = {_NEW}))")
+
+    grown = f"flatten(transform({s}.items, {x} -> CASE WHEN {x}.kind = {_NEW} THEN {let(as_object(f'{x}.value'), look)} ELSE array({x}) END))"
+    def rounds(n: str, start: str) -> str:
+        return f"aggregate(sequence(1, {n}), {start}, ({s}, {i}) -> CASE WHEN {s}.more THEN {state(grown)} ELSE {s} END)"
+
+    # as many rounds as there are levels are needed, at most as many as there are braces; ever
+    # longer runs of rounds keep those that have nothing left to do few
+    braces = let(f"to_json({doc})", lambda t: f"1 + length({t}) - length(replace({t}, '{{', ''))")
+    runs = f"concat(transform(sequence(1, 9), {m} -> CAST(pow(2, {m}) AS INT)), array({braces}))"
+    return f"aggregate({runs}, {state(inside(doc))}, ({r}, {m}) -> CASE WHEN {r}.more THEN {rounds(m, r)} ELSE {r} END, {r} -> {r}.items)"
 
 
 def find_below(doc: str, keys: Iterable[str]) -> str:
-    """The walk of ``find`` through an object of any depth: the work list holds the entries
-    still to visit, in order; an object's entries take its place."""
-    s, i, v, f = fresh("s"), fresh("i"), fresh("x"), fresh("f")
-    sub = as_object(f"{v}.value")
-    rest = f"slice({s}.todo, 2, size({s}.todo))"
-    visit = (f"named_struct('todo', CASE WHEN {sub} IS NOT NULL THEN concat(map_entries({sub}), {rest}) ELSE {rest} END, "
-             f"'hit', CASE WHEN {sub} IS NULL AND {v}.key IN ({_names(keys)}) THEN CAST({v}.value AS STRING) END)")
-    first = f"get(transform(slice({s}.todo, 1, 1), {v} -> {visit}), 0)"
-    step = f"CASE WHEN {s}.hit IS NOT NULL OR size({s}.todo) = 0 THEN {s} ELSE {first} END"
-    zero = f"named_struct('todo', CAST(map_entries({doc}) AS ARRAY<{ENTRY}>), 'hit', {NULL_STR})"
-    return f"aggregate({_steps(doc)}, {zero}, ({s}, {i}) -> {step}, {f} -> {f}.hit)"
+    """``find`` in an object of any depth."""
+    x = fresh("x")
+    wanted = f"{x}.kind = {_VALUE} AND {x}.key IN ({_names(keys)}) AND CAST({x}.value AS STRING) IS NOT NULL"
+    return f"CAST(get(filter({entry_list(doc)}, {x} -> {wanted}), 0).value AS STRING)"
 
 
 def find(doc: str, keys: Iterable[str], depth: int) -> str:
@@ -134,28 +159,19 @@ def clean_key(key: str, scalar: bool, strict: bool = False) -> str:
 
 
 def rebuild_below(doc: str, on_object, on_value, dropped) -> str:
-    """``rebuild`` of an object of any depth, as VARIANT: the work list holds entries still to
-    write and pieces of JSON text between them; clashing keys meet again when parsed."""
-    s, i, v, f, e, k = (fresh(p) for p in "sivfek")
-    sub = as_object(f"{v}.value")
-    new_key, new_value = on_value(f"{v}.key", f"{v}.value")
-    piece = lambda text, key="NULL", value="NULL": (
-        f"named_struct('text', {text}, 'key', CAST({key} AS STRING), 'value', CAST({value} AS VARIANT))")
-
-    def items(entries: str) -> str:
-        kept = f"filter({entries}, {e} -> NOT ({dropped(f'{e}.key', f'{e}.value')}))" if dropped else entries
-        comma = f"CASE WHEN {k} > 0 THEN ',' ELSE '' END"
-        return f"flatten(transform({kept}, ({e}, {k}) -> array({piece(comma)}, {piece(NULL_STR, f'{e}.key', f'{e}.value')})))"
-
-    name = lambda x: f"to_json(CAST({x} AS VARIANT))"
-    rest = f"slice({s}.todo, 2, size({s}.todo))"
-    open_object = f"named_struct('todo', concat({items(f'map_entries({sub})')}, array({piece(lit('}'))}), {rest}), 'out', concat({s}.out, {name(on_object(f'{v}.key'))}, ':{{'))"
-    scalar = f"named_struct('todo', {rest}, 'out', concat({s}.out, {name(new_key)}, ':', coalesce(to_json({new_value}), 'null')))"
-    plain = f"named_struct('todo', {rest}, 'out', concat({s}.out, {v}.text))"
-    visit = f"CASE WHEN {v}.text IS NOT NULL THEN {plain} WHEN {sub} IS NOT NULL THEN {open_object} ELSE {scalar} END"
-    step = f"CASE WHEN size({s}.todo) = 0 THEN {s} ELSE get(transform(slice({s}.todo, 1, 1), {v} -> {visit}), 0) END"
-    zero = f"named_struct('todo', {items(f'map_entries({doc})')}, 'out', '{{')"
-    return f"try_parse_json(aggregate({_steps(doc)}, {zero}, ({s}, {i}) -> {step}, {f} -> concat({f}.out, '}}')))"
+    """``rebuild`` of an object of any depth, as VARIANT: each item of its entry list becomes its
+    piece of JSON text; clashing keys meet again when the whole is parsed."""
+    x, i = fresh("x"), fresh("i")
+    new_key, new_value = on_value(f"{x}.key", f"{x}.value")
+    name = lambda k: f"to_json(CAST({k} AS VARIANT))"
+
+    def text(items: str) -> str:
+        comma = f"CASE WHEN {i} = 0 OR get({items}, {i} - 1).kind = {_BEGIN} THEN '' ELSE ',' END"
+        piece = (f"CASE {x}.kind WHEN {_END} THEN '}}' WHEN {_BEGIN} THEN concat({comma}, {name(on_object(f'{x}.key'))}, ':{{') "
+                 f"ELSE concat({comma}, {name(new_key)}, ':', coalesce(to_json({new_value}), 'null')) END")
+        return f"try_parse_json(concat('{{', array_join(transform({items}, ({x}, {i}) -> {piece}), ''), '}}'))"
+
+    return let(entry_list(doc, dropped), text)
 
 
 def rebuild(doc: str, depth: int, on_object, on_value, dropped=None) -> str:

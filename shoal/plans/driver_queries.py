@@ -192,14 +192,22 @@ def q_epoch_datetime(spark, sf_dir):
     return df.select("event_id", T.epoch_datetime("ms").alias("at"))
 
 
+WIDE_KEYS = 400
+
+
 def _nested(spark, sf_dir) -> DataFrame:
-    """Messages whose fields lie 1 to 40 objects deep."""
+    """Messages whose fields lie 1 to 40 objects deep, every fiftieth beside an object of
+    WIDE_KEYS keys."""
     events = read_table(spark, sf_dir, "events")
     level = (F.col("event_id") % 40 + 1).cast("int")
     ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")).cast("string")
     inner = F.to_json(F.struct(
         F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("mac"), ms.alias("event_time"), F.lit("raw").alias("hw_type"),
         F.col("event_type").alias("odd key-1"), F.array(F.struct(F.lit("x").alias("mac"))).alias("@list")))
+    many = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(WIDE_KEYS - 1)), lambda i: F.concat(
+        F.lit('"w-'), i.cast("string"), F.lit('":'), (F.col("event_id") + i).cast("string"))), ",")
+    wide = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit('"w.x":{'), many, F.lit("},"))).otherwise("")
+    inner = F.concat(F.lit("{"), wide, F.substr(inner, F.lit(2)))
     text = F.concat(F.repeat(F.lit('{"a.b":1,"n-o":'), level), inner, F.repeat(F.lit("}"), level))
     return FL.with_doc(events.select("event_id", text.alias("value")))
 
@@ -208,11 +216,12 @@ def q_deep_documents(spark, sf_dir):
     configure(spark)
     df = FL.filter_on_time(FL.filter_on_device(_nested(spark, sf_dir)), "event_time")
     df = B.copy_key(B.stamp(B.sanitize_keys(df), "v7"), "odd_key_1", "kind")
+    df = J.bind_once(df, {"wide": J.json_find("doc", f"w_{WIDE_KEYS - 1}")})
 
     text = B.to_text(df)
     depth = F.length("value") - F.length(F.replace("value", F.lit('"n-o":{'), F.lit('"n-o":')))
     return text.select("event_id", F.get_json_object("value", "$.kind").alias("kind"), F.col(FL.EPOCH).alias("epoch"),
-                       depth.cast("long").alias("levels"), F.regexp_extract("value", '"mac":"(m[0-9]+)"', 1).alias("mac"),
+                       depth.cast("long").alias("levels"), "wide", F.regexp_extract("value", '"mac":"(m[0-9]+)"', 1).alias("mac"),
                        F.regexp_extract("value", '"hw_type":"([a-z0-9]+)"', 1).alias("hw_type"))
 
 
@@ -392,6 +401,7 @@ def _flatten_sql(key: str) -> str:
 _ORACLES: dict[str, str] = {
     "epoch_datetime": f"{_BASE} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM b WHERE {_KEPT}",
     "deep_documents": """SELECT event_id, event_type AS kind, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS epoch, event_id % 40 + 1 AS levels,
+        CASE WHEN event_id % 50 = 0 THEN CAST(event_id + 399 AS VARCHAR) END AS wide,
         'm' || user_id AS mac, 'v7' AS hw_type FROM events""",
     "case_twins": """SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d') AS thedate,
         CASE WHEN event_id % 3 <> 1 THEN 'upper' || event_id ELSE 'lower' || event_id END AS kind FROM events""",

@@ -102,6 +102,35 @@ def test_any_depth(spark, depth):
     assert json.loads(filled)["hw_type"] == "m" and "hw_type" not in at_bottom(filled)
 
 
+def test_wide_objects_below_the_unrolled_levels_take_linear_time(spark):
+    """4,000 keys six levels down: found, cleaned, and about as fast as at the top."""
+    import time
+
+    def document(level):
+        d = {f"k-{i}.x": {"v-w": i} if i % 7 == 0 else i for i in range(4000)}
+        for _ in range(level - 1):
+            d = {"a-b": 1, "o.p": d}
+        return json.dumps(d)
+
+    def run(level):
+        df = spark.createDataFrame([(document(level),)], "value string").select(J.parse_doc("value").alias("doc"))
+        df = df.select(J.doc_to_json(J.json_sanitize_keys("doc")).alias("clean"), J.json_find("doc", "k-3999.x").alias("found"))
+        best, row = 1e9, None
+        for _ in range(4):
+            start = time.perf_counter()
+            row = df.collect()[0]
+            best = min(best, time.perf_counter() - start)
+        return best, row
+
+    (flat, top), (deep, low) = run(1), run(6)
+    assert top["found"] == low["found"] == "3999"
+    inner = json.loads(low["clean"])
+    for _ in range(5):
+        inner = inner["o_p"]
+    assert inner == json.loads(top["clean"]) and inner["k-7_x"] == {"v_w": 7} and inner["k_1_x"] == 1
+    assert deep < 4 * flat + 0.5  # a walk that is quadratic in the keys takes ten times as long and more
+
+
 def times(spark, texts, expr):
     df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("ms", T.epoch_millis("t"))
     return [r["r"] for r in df.select(expr.alias("r")).collect()]
