@@ -26,8 +26,9 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def prepare(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
-    """Parse once; keep the payload (``VARIANT``) and the root side fields (as text).
+def prepare(df: DataFrame, p: Profile, text: str = "value", size: str | None = None) -> DataFrame:
+    """Parse once; keep the payload (``VARIANT``) and the root side fields (as text), and the
+    text's length in bytes as the column ``size``, if asked for.
     The parse is bound once per row, so the flattened columns and the refine filters
     built on top read attributes instead of re-parsing."""
 
@@ -36,22 +37,23 @@ def prepare(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:
         return f"named_struct({Q.lit(PAYLOAD)}, {d}[{Q.lit(p.payload)}]{side})"
 
     row = F.expr(Q.let(Q.parse_doc(Q.ident(text)), fields))
-    return J.bind_once(df.select(text), row).drop(text)
+    own = df.select(text) if size is None else df.select(text, F.octet_length(text).alias(size))
+    return J.bind_once(own, row).drop(text)
 
 
-def _payload_map() -> Column:
+def payload_map() -> Column:
     return F.col(PAYLOAD).try_cast(J.DOC_TYPE)  # null unless the payload is an object
 
 
-def payload_field(key: str) -> Column:
-    """One payload value as text.  ``VARIANT`` objects keep their fields sorted, so
+def payload_field(key: str, kind: str = "string") -> Column:
+    """One payload value, as text or in another type.  ``VARIANT`` objects keep their fields sorted, so
     ``try_variant_get`` finds a key by binary search — O(log n) per column, where a map
     lookup would scan every entry for every column of a wide payload."""
     if "'" not in key:
-        return F.try_variant_get(F.col(PAYLOAD), f"$['{key}']", "string")
+        return F.try_variant_get(F.col(PAYLOAD), f"$['{key}']", kind)
     if '"' not in key:
-        return F.try_variant_get(F.col(PAYLOAD), f'$["{key}"]', "string")
-    return _payload_map()[key].cast("string")
+        return F.try_variant_get(F.col(PAYLOAD), f'$["{key}"]', kind)
+    return payload_map()[key].try_cast(kind)
 
 
 def discover_keys(prepared: DataFrame) -> list[str]:
@@ -59,7 +61,7 @@ def discover_keys(prepared: DataFrame) -> list[str]:
     every key.  Map-side partial aggregation keeps the shuffle to one row per key and task.
     Where devices choose keys freely (ids as keys), the profile names its columns instead
     (``Profile.columns``), and nothing is discovered or collected."""
-    keys = prepared.select(F.explode(F.map_keys(_payload_map())).alias("k")).distinct()
+    keys = prepared.select(F.explode(F.map_keys(payload_map())).alias("k")).distinct()
     return sorted(r["k"] for r in keys.collect())
 
 
@@ -81,10 +83,10 @@ def flatten(prepared: DataFrame, p: Profile, keys: Sequence[str] | None = None)
     if p.columns is not None:
         wanted = {c.lower() for c in p.columns}
         names = [c for c in sorted(wanted) if c not in side]
-        fields = F.transform_keys(_payload_map(), lambda k, v: F.lower(k))  # the last of case twins, as in sorted order
+        fields = F.transform_keys(payload_map(), lambda k, v: F.lower(k))  # the last of case twins, as in sorted order
         cols = [fields[c].cast("string").alias(c) for c in names]
         if p.rest_column:
-            rest = F.map_filter(_payload_map(), lambda k, v: ~F.lower(k).isin(sorted(wanted | side)))
+            rest = F.map_filter(payload_map(), lambda k, v: ~F.lower(k).isin(sorted(wanted | side)))
             cols.append(F.when(F.size(rest) > 0, F.to_json(rest)).alias(p.rest_column.lower()))
         return prepared.select(*cols, *[_q(s.lower()) for s in p.side_fields])
     groups = _lower_groups(keys if keys is not None else discover_keys(prepared))

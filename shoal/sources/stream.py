@@ -73,6 +73,15 @@ def read_stream(spark: SparkSession, o: SourceOptions) -> DataFrame:
     return reader.load(o.path)
 
 
+def read_file_names(spark: SparkSession, o: SourceOptions) -> DataFrame:
+    """The files of a directory as a stream of their names (``path``), not opened: a batch
+    is a list of files, which its reader may take apart.  In a directory a stream writes,
+    its log decides what counts."""
+    schema = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
+    reader = spark.readStream.format("binaryFile").options(**file_options(o)).schema(f"{schema}, {o.schema}" if o.schema else schema)
+    return reader.load(o.path).select("path")
+
+
 def read_raw_batch(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
     """S3/S6 in batch form: committed stage-1 text (the sink log decides what counts),
     optionally only files modified after a time stamp."""

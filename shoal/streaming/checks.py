@@ -5,6 +5,7 @@ stage-2 table and must equal the batch answer of its profile (same oracle SQL).
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -12,14 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoal.operators import refine as R
+from shoal.operators import typed as TY
 from shoal.plans import driver_queries as DQ
 from shoal.plans.profiles import PROFILES
 from shoal.plans.stages import stage1
 from shoal.session import configure, scratch_root
 from shoal.sources.envelope import device_messages
+from shoal.sources.envelope import read_table as read_source
 from shoal.sources.stream import SourceOptions, read_stream
-from shoal.streaming.jobs import ProfileStream, StreamPaths, finished
-from shoal.streaming.sinks import BATCH_COLUMN, TableWriter, read_table
+from shoal.streaming.jobs import ProfileStream, StreamPaths, finished, request_stop
+from shoal.streaming.ledger import Ledger, file_system
+from shoal.streaming.sinks import BATCH_COLUMN, TableWriter, read_table, read_typed_table
 
 INPUT_FILES = 8
 INPUT_FILES_PER_TRIGGER = 8  # one stage-1 batch per arrival (the catch-up check has two)
@@ -126,33 +131,74 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/table")
 
 
-class _FailOnce(TableWriter):
-    """The first write fails half-way: some files are there, the batch is not."""
+class _Failing(TableWriter):
+    """Every write fails half-way: some files are there, the batch is not."""
 
-    failed = False
+    broken = True
 
     def write(self, batch, tag):
         out = super().write(batch, tag)
-        if not self.failed:
-            self.failed = True
+        if self.broken:
             raise RuntimeError("simulated failure of a write")
         return out
 
 
 def q_stream_quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch fails, goes to quarantine and leaves no files; replayed, the table is whole
-    (T8)."""
+    """A batch fails whatever files it has, is noted in quarantine and leaves no files;
+    replayed, the table is whole (T8)."""
     configure(spark)
     root = _fresh_root(spark, "e6q")
     _write_input(spark, sf_dir, "events", f"{root}/input")
     job = _stream(spark, root, "e6")
-    job.writer = _FailOnce(job.profile, job.paths.table, job.paths.generation, quarantine_path=job.paths.quarantine)
+    job.writer = _Failing(job.profile, job.paths.table, job.paths.generation, quarantine_path=job.paths.quarantine, max_bad_files=1)
     job.run_available_now()
-    if job.writer.replay(spark) != [job.writer.batch_tag(0)] or job.writer.replay(spark):
+    job.writer.broken = False
+    if job.writer.failures != 1 or job.writer.replay(spark) != [job.writer.batch_tag(0)] or job.writer.replay(spark):
         raise AssertionError("one quarantined batch was expected")
     return read_table(spark, f"{root}/table")
 
 
+POISON_FILES = 50
+
+
+def q_stream_poison_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of 50 stage-1 files in one batch one can't be read (a gzip stream cut short).  Its
+    rows are missing, all others are loaded; the file is noted, mended and replayed.  The table
+    is whole, and the counts say how often each step loaded rows."""
+    configure(spark)
+    root = _fresh_root(spark, "poison")
+    job = _stream(spark, root, "e6")
+    clean = stage1(device_messages(spark, sf_dir, "events"), job.profile)
+    clean.select("value").repartition(POISON_FILES).write.option("compression", "gzip").text(f"{root}/clean")
+    fs, folder = file_system(spark, f"{root}/clean")
+    names = sorted(x.getPath().getName() for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-"))
+    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    hour = f"{job.paths.raw}/date=2024-01-01/hour=00"
+    for k, name in enumerate(names):
+        source, target = (file_system(spark, f"{folder}/{name}")[1] for folder in (f"{root}/clean", hour))
+        if k != 17:
+            copy(fs, source, fs, target, False, conf)
+            continue
+        out = fs.create(target, True)  # the first half of the file
+        whole = fs.open(source)
+        spark._jvm.org.apache.commons.io.IOUtils.copyLarge(whole, out, 0, fs.getFileStatus(source).getLen() // 2)
+        whole.close()
+        out.close()
+    job.catch_up()
+    loaded = job.recorder.second.total("rows")
+    bad = [x.getPath().getName() for x in fs.listStatus(file_system(spark, job.paths.quarantine)[1])]
+    lost = spark.read.text(f"{root}/clean/{names[17]}").count()
+    if len(names) != POISON_FILES or bad != [job.writer.batch_tag(0) + ".json"] or loaded != clean.count() - lost or not lost:
+        raise AssertionError(f"{len(names)} files, {bad} in quarantine, {loaded} rows loaded, {lost} lost")
+    mended = file_system(spark, f"{hour}/{names[17]}")[1]
+    fs.delete(mended, False)
+    copy(fs, file_system(spark, f"{root}/clean/{names[17]}")[1], fs, mended, False, conf)
+    if len(job.writer.replay(spark)) != 1:
+        raise AssertionError("one replay was expected")
+    return read_table(spark, f"{root}/table")
+
+
 def q_stream_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without an event type are registered in the null partition by their batch; only
     the first batch repairs the whole table."""
@@ -169,29 +215,100 @@ def q_stream_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop(BATCH_COLUMN)
 
 
+DROP_BATCHES = 104
+
+
 def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: rows in, and why rows drop, summed over more than 100 batches of stage 1 (one file
-    each)."""
+    each); the job is stopped half-way, and another one, which knows nothing but the ledger,
+    goes on."""
     configure(spark)
     root = _fresh_root(spark, "drops")
-    device_messages(spark, sf_dir, "events").select("value").repartition(104).write.text(f"{root}/input")
-    job = _stream(spark, root, "e7")
-    job.source = SourceOptions(format="text", path=f"{root}/input", max_files_per_trigger=1)
-    recorder = job.recorder()
-    spark.streams.addListener(recorder)
-    try:  # stage 1 as it streams, without files: only the counts are asked for
-        rows = stage1(read_stream(spark, job.source), job.profile, observe=job._name("stage1_rows"))
-        finished(rows.writeStream.format("noop").queryName(job._name("stage1")).trigger(availableNow=True)
-                 .option("checkpointLocation", job.paths.checkpoint("counts")).start(), None)
-        name, until = job._name("stage1"), time.time() + 60
-        while recorder.totals.get(name, {}).get("batches", 0) < 104 and time.time() < until:
-            time.sleep(0.2)  # the last events are still on their way
-    finally:
-        spark.streams.removeListener(recorder)
-    counts = recorder.observed(job._name("stage1_rows"))
+    device_messages(spark, sf_dir, "events").select("value").repartition(DROP_BATCHES).write.text(f"{root}/input")
+
+    def run(trigger: dict, until: int | None) -> ProfileStream:
+        job = _stream(spark, root, "e7")
+        job.source = SourceOptions(format="text", path=f"{root}/input", max_files_per_trigger=1)
+        spark.streams.addListener(job.recorder)
+        try:  # stage 1 as it streams, without files: only the counts are asked for
+            rows = stage1(read_stream(spark, job.source), job.profile, observe=job._name("stage1_rows"))
+            q = rows.writeStream.format("noop").queryName(job._name("stage1")).trigger(**trigger) \
+                .option("checkpointLocation", job.paths.checkpoint("counts")).start()
+            if until is None:
+                finished(q, None)
+            while until is not None and q.isActive and job.recorder.batches() < until:
+                time.sleep(0.1)
+            q.stop()  # maybe within a batch, which then runs again
+            job.recorder.add_all(q)
+        finally:
+            spark.streams.removeListener(job.recorder)
+        return job
+
+    half = run({"processingTime": "0 seconds"}, DROP_BATCHES // 2)
+    if half.recorder.batches() >= DROP_BATCHES:
+        raise AssertionError("the first run was meant to be stopped half-way")
+    counts = run({"availableNow": True}, None).recorder.observed()
     return spark.createDataFrame(sorted(counts.items()), "outcome string, n long")
 
 
+def q_stream_stop_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A live job is asked to stop after its first batches; it ends in good order, all that
+    stage 1 had kept is in the table.  Another run goes on to the end."""
+    configure(spark)
+    root = _fresh_root(spark, "stop")
+    _write_input(spark, sf_dir, "events", f"{root}/input")
+    job = _stream(spark, root, "e6")
+    job.source = SourceOptions(format="text", path=f"{root}/input", max_files_per_trigger=1)
+
+    def ask() -> None:
+        while job.recorder.batches() < 2:
+            time.sleep(0.1)
+        request_stop(spark, job.paths)
+
+    asking = threading.Thread(target=ask, daemon=True)
+    asking.start()
+    job.run_forever(trigger_seconds=0, poll=0.2)
+    asking.join()
+    kept, table = job.recorder.observed()["kept"], job.recorder.second.total("rows")
+    if job.recorder.lag or kept != table or spark.streams.active:
+        raise AssertionError(f"stage 1 kept {kept} rows, stage 2 loaded {table}")
+    again = _stream(spark, root, "e6")
+    again.run_available_now()
+    return read_table(spark, f"{root}/table")
+
+
+def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics whose values have types: a whole number, money, a mix of both, of numbers and
+    text, of numbers and doubles, a truth value, an object, and one that is always null."""
+    events = read_source(spark, sf_dir, "events")
+    n, money = F.col("event_id"), F.col("value").cast("decimal(12,2)")
+    pick = lambda k, a, b: F.when(n % k == 0, a.cast("variant")).otherwise(b.cast("variant"))
+    payload = F.struct(
+        n.alias("Whole"), money.alias("money"), pick(2, n, money).alias("mixed"), pick(3, n, F.col("event_type")).alias("text"),
+        pick(4, (n + 1).cast("double") * 1e200, n).alias("wide"), (n % 2 == 0).alias("truth"), F.struct(n.alias("b")).alias("obj"),
+        F.lit(None).cast("string").alias("nothing"))
+    body = F.to_json(F.struct(payload.alias("metrics"), F.date_format("ts", "yyyy-MM-dd").alias("thedate")), {"ignoreNullFields": "false"})
+    return events.select("ts", body.alias("value"))
+
+
+def q_typed_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text table read back in inferred types.  The rows come in two batches, the first
+    with whole numbers only in ``mixed`` and ``text``; the types must be those of one batch."""
+    configure(spark)
+    root = _fresh_root(spark, "typed")
+    p, rows = PROFILES["m7"], typed_messages(spark, sf_dir)
+    ledger = Ledger(spark, f"{root}/types", TY.merge)
+    writer = TableWriter(p, f"{root}/table", types=ledger)
+    whole = F.get_json_object("value", "$.metrics.Whole").cast("long") % 12 == 0
+    for k, part in enumerate((whole, ~whole)):
+        writer(rows.where(part).select("value"), k)
+    one = TY.flatten(R.prepare(rows.select("value"), p), p)[1]
+    if one != TY.types(ledger.read()):
+        raise AssertionError(f"one batch: {one}, two: {TY.types(ledger.read())}")
+    kinds = ",".join(f"{n}:{t}" for n, t in sorted(one.items()))
+    return read_typed_table(spark, f"{root}/table", p, ledger).drop("mac").withColumn("kinds", F.lit(kinds))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_two_stage": q_stream_two_stage,
     "stream_catch_up": q_stream_catch_up,
@@ -201,11 +318,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_quarantine_replay": q_stream_quarantine_replay,
     "stream_null_partition": q_stream_null_partition,
     "stream_drop_counts": q_stream_drop_counts,
+    "stream_poison_file": q_stream_poison_file,
+    "stream_stop_and_resume": q_stream_stop_and_resume,
+    "typed_payload": q_typed_payload,
 }
 
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
             "stream_repair_table": "profile_m5", "stream_restart": "profile_e7",
-            "stream_quarantine_replay": "profile_e6", "stream_null_partition": "profile_e5"}
+            "stream_quarantine_replay": "profile_e6", "stream_null_partition": "profile_e5",
+            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6"}
 
 
 def oracles() -> dict[str, str]:
@@ -214,6 +335,13 @@ def oracles() -> dict[str, str]:
     # before the second arrival the devices sent no viewing_duration
     out["stream_schema_evolution"] = DQ.profile_sql_with(
         "e7", {"viewing_duration": f"CASE WHEN ts >= TIMESTAMP '{SECOND_ARRIVAL}' THEN {{}} END"})
+    out["typed_payload"] = """SELECT event_id AS whole, CAST(m AS DECIMAL(38,2)) AS money,
+        CAST(CASE WHEN event_id % 2 = 0 THEN event_id ELSE m END AS DECIMAL(38,2)) AS mixed,
+        CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS VARCHAR) ELSE event_type END AS text,
+        CASE WHEN event_id % 4 = 0 THEN (event_id + 1)::DOUBLE * 1e200 ELSE event_id::DOUBLE END AS wide, event_id % 2 = 0 AS truth,
+        '{"b":' || event_id || '}' AS obj, CAST(NULL AS VARCHAR) AS nothing, strftime(ts, '%Y-%m-%d') AS thedate,
+        'mixed:decimal(38,2),money:decimal(38,2),nothing:string,obj:string,text:string,truth:boolean,whole:bigint,wide:double' AS kinds
+        FROM (SELECT *, CAST(value AS DECIMAL(12,2)) AS m FROM events)"""
     counted = {"rows_in": "true", "kept": "c IN (2, 6, 7, 8)", "malformed": "c = 5", "no_device": "c = 0",
                "bad_time": "c IN (1, 3, 4)", "missing_key": "c = 9"}
     out["stream_drop_counts"] = " UNION ALL ".join(

@@ -1,8 +1,9 @@
 """The two streaming queries of a profile, their paths, progress and lag.
 
 query 1  raw source → stage 1 → text sink, ``raw/gen=G`` partitioned by date/hour
-query 2  file stream over ``raw/gen=G`` (at most ``max_files_per_trigger`` files per
-         batch) → ``TableWriter`` → Parquet table, catalog repair
+query 2  stream of the names of the files in ``raw/gen=G`` (at most
+         ``max_files_per_trigger`` per batch) → ``TableWriter``, which reads them →
+         Parquet table, catalog repair
 
 Both queries own a checkpoint; a restart resumes where each left off, which also
 covers the backlog at start (T5).  ``clean_start`` opens a new generation — fresh
@@ -11,20 +12,20 @@ checkpoints and a fresh raw directory — and deletes nothing.
 
 from __future__ import annotations
 
-import json
 import logging
-import threading
-from collections import deque
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
 
+from shoal.operators import typed as TY
 from shoal.plans.profiles import Profile
 from shoal.plans.stages import stage1
 from shoal.session import configure, scratch_root
-from shoal.sources.stream import SourceOptions, read_stream
-from shoal.streaming.sinks import TableWriter, file_system, layout_for_sink, start_text_sink
+from shoal.sources.stream import SourceOptions, read_file_names, read_stream
+from shoal.streaming import progress as P
+from shoal.streaming.ledger import Ledger, file_system, write_text
+from shoal.streaming.sinks import TableWriter, layout_for_sink, start_text_sink
 
 log = logging.getLogger(__name__)
 
@@ -34,8 +35,7 @@ log = logging.getLogger(__name__)
 CATCH_UP_LAG = 5
 MAX_LAG = 10
 FILES_PER_BATCH = 1000
-# Stage-1 text as stage 2 reads it: the line and the two partition columns.
-RAW_SCHEMA = "value STRING, date STRING, hour STRING"
+RAW_PARTITIONS = "date STRING, hour STRING"
 
 
 class LagError(RuntimeError):
@@ -83,69 +83,20 @@ class StreamPaths:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
-    def checkpoint(self, stage: str) -> str:
-        return f"{self.root}/checkpoints/gen={self.generation:04d}/{stage}"
-
-
-class ProgressRecorder(StreamingQueryListener):
-    """K4: running totals of every query's rows, batches and observed metrics, and the lag of
-    stage 2 behind stage 1 (T6).
-
-    The lag is counted in stage-1 batches: those whose last kept row stage 2 hasn't read.
-    Both totals start with the live queries, as the backlog is loaded by the catch-up; the
-    batches not read yet are kept, one number each.  Callbacks run on the listener
-    thread; the job loop reads ``lag``."""
-
-    def __init__(self, kept_metric: str | None = None, stage1: str | None = None, stage2: str | None = None):
-        self.kept_metric, self.stage1, self.stage2 = kept_metric, stage1, stage2
-        self.totals: dict[str, dict[str, int]] = {}
-        self.metrics: dict[str, dict[str, int]] = {}
-        self.waiting: deque[int] = deque()  # stage 1's kept rows in sum, after each unread batch
-        self._lock = threading.Lock()
-
-    def onQueryStarted(self, event):  # noqa: N802
-        log.info("query %s started", event.id)
-
-    def onQueryProgress(self, event):  # noqa: N802
-        self.add(json.loads(event.progress.json))
-
-    def add(self, progress: dict) -> None:
-        name = progress.get("name") or progress["id"]
-        with self._lock:
-            own = self.totals.setdefault(name, {"rows": 0, "batches": 0})
-            own["rows"] += int(progress.get("numInputRows", 0))
-            own["batches"] += 1
-            for metric, values in (progress.get("observedMetrics") or {}).items():
-                total = self.metrics.setdefault(metric, {})
-                for k, v in values.items():
-                    if isinstance(v, (int, float)):
-                        total[k] = total.get(k, 0) + int(v)
-            if name == self.stage1 and (progress.get("observedMetrics") or {}).get(self.kept_metric, {}).get("kept"):
-                self.waiting.append(self.metrics[self.kept_metric]["kept"])
-            read = self.totals.get(self.stage2, {}).get("rows", 0)
-            while self.waiting and self.waiting[0] <= read:
-                self.waiting.popleft()
-
-    def onQueryIdle(self, event):  # noqa: N802
-        pass
-
-    def onQueryTerminated(self, event):  # noqa: N802
-        log.info("query %s terminated", event.id)
+    @property
+    def stop_marker(self) -> str:
+        return f"{self.root}/stop"
 
     @property
-    def lag(self) -> int:
-        """Stage-1 batches with rows that stage 2 hasn't read."""
-        with self._lock:
-            return len(self.waiting)
+    def types(self) -> str:
+        return f"{self.root}/ledger/types"
 
-    def observed(self, name: str) -> dict[str, int]:
-        """Totals of the observed metrics (e.g. stage-1 drop reasons)."""
-        with self._lock:
-            return dict(self.metrics.get(name, {}))
+    @property
+    def progress(self) -> str:
+        return f"{self.root}/ledger/gen={self.generation:04d}"
 
-    def rows(self, name: str) -> int:
-        with self._lock:
-            return self.totals.get(name, {}).get("rows", 0)
+    def checkpoint(self, stage: str) -> str:
+        return f"{self.root}/checkpoints/gen={self.generation:04d}/{stage}"
 
 
 def finished(query, timeout: float | None) -> None:
@@ -159,6 +110,11 @@ def finished(query, timeout: float | None) -> None:
         raise TimeoutError(f"{query.name} did not finish in {timeout} s")
 
 
+def request_stop(spark: SparkSession, paths: StreamPaths) -> None:
+    """Ask the job that runs under ``paths`` to stop in good order."""
+    write_text(spark, paths.stop_marker, "stop")
+
+
 @dataclass
 class ProfileStream:
     """Both queries of one profile."""
@@ -172,11 +128,15 @@ class ProfileStream:
     files_per_hour: int | None = None  # of the salted layout; None: the cluster's parallelism
     max_files_per_trigger: int = FILES_PER_BATCH
     max_lag: int = MAX_LAG
+    max_behind: int | None = None  # records of a Kafka source not read yet that stop the job
+    typed: bool = False  # gather the payload's types (see ``read_typed_table``)
 
     def __post_init__(self):
         configure(self.spark)
+        self.recorder = P.recorder(self.spark, self.paths.progress, self._name("stage1_rows"), self._name("stage1"))
+        types = Ledger(self.spark, self.paths.types, TY.merge) if self.typed else None
         self.writer = TableWriter(
-            self.profile, self.paths.table, self.paths.generation, self.table_name, self.paths.quarantine
+            self.profile, self.paths.table, self.paths.generation, self.table_name, self.paths.quarantine, types=types
         )
 
     def _name(self, stage: str) -> str:
@@ -191,11 +151,11 @@ class ProfileStream:
     def start_stage2(self, trigger: dict, stage: str = "stage2"):
         fs, raw_dir = file_system(self.spark, self.paths.raw)
         fs.mkdirs(raw_dir)  # stage 2 may start before stage 1 wrote anything
-        src = SourceOptions(format="text", path=self.paths.raw, max_files_per_trigger=self.max_files_per_trigger,
-                            schema=RAW_SCHEMA)
-        raw = read_stream(self.spark, src)
+        self.writer.loaded = self.recorder.loaded
+        names = read_file_names(self.spark, SourceOptions(format="text", path=self.paths.raw, schema=RAW_PARTITIONS,
+                                                               max_files_per_trigger=self.max_files_per_trigger))
         return (
-            raw.writeStream.foreachBatch(self.writer)
+            names.writeStream.foreachBatch(self.writer)
             .option("checkpointLocation", self.paths.checkpoint("stage2"))
             .queryName(self._name(stage))
             .trigger(**trigger)
@@ -204,28 +164,62 @@ class ProfileStream:
 
     def run_available_now(self, timeout: float | None = None) -> None:
         """Process everything available through both stages, then stop (jobs, tests)."""
-        finished(self.start_stage1({"availableNow": True}), timeout)
-        finished(self.start_stage2({"availableNow": True}), timeout)
+        self.spark.streams.addListener(self.recorder)
+        try:
+            q1 = self.start_stage1({"availableNow": True})
+            finished(q1, timeout)
+            self.recorder.add_all(q1)
+        finally:
+            self.spark.streams.removeListener(self.recorder)
+        self.catch_up(timeout)
 
     def catch_up(self, timeout: float | None = None) -> None:
         """T5: load what stage 1 already wrote and stage 2 has not (no-op if nothing)."""
         finished(self.start_stage2({"availableNow": True}, "catch_up"), timeout)
 
-    def recorder(self) -> ProgressRecorder:
-        return ProgressRecorder(self._name("stage1_rows"), self._name("stage1"), self._name("stage2"))
-
-    def run_forever(self, trigger_seconds: int, recorder: ProgressRecorder | None = None, poll: float = 10.0,
-                    catch_up: bool = True):
-        """Both queries on a processing-time trigger until one ends; stops both
-        and raises ``LagError`` when stage 2 lags more than ``max_lag`` stage-1 batches.
-        Stage 1 reads its source from the start, while the backlog of stage 2 is loaded
-        first (T5): the catch-up takes what is there when it begins."""
-        recorder = recorder or self.recorder()
-        self.spark.streams.addListener(recorder)
+    def _guard(self) -> None:
+        """Too far behind is an error.  The counts outlive a job, so they hold at its start."""
+        lag, behind = self.recorder.lag, self.recorder.behind
+        if lag > self.max_lag:
+            raise LagError(f"{self._name('stage2')} is {lag} batches behind")
+        if self.max_behind is not None and (behind or 0) > self.max_behind:
+            raise LagError(f"{self._name('stage1')} is {behind} records behind its source")
+        if lag > CATCH_UP_LAG:
+            log.warning("%s is %s batches behind", self._name("stage2"), lag)
+
+    def _stop_asked(self) -> bool:
+        fs, marker = file_system(self.spark, self.paths.stop_marker)
+        return fs.exists(marker)
+
+    def _take_stop(self) -> None:
+        fs, marker = file_system(self.spark, self.paths.stop_marker)
+        fs.delete(marker, False)
+
+    def _stop_in_order(self, q1, q2, grace: float) -> None:
+        """Stage 1 ends between two batches (within one, after ``grace`` seconds: it is run
+        again at the next start), stage 2 likewise, then loads what stage 1 has left it."""
+        for q in (q1, q2):
+            until = time.time() + grace
+            while q.isActive and q.status["isTriggerActive"] and time.time() < until:
+                time.sleep(0.02)
+            q.stop()
+        self.recorder.add_all(q1)
+        self.catch_up()
+        log.info("%s stopped as asked, %s batches behind", self.profile.name, self.recorder.lag)
+
+    def run_forever(self, trigger_seconds: int, poll: float = 10.0, catch_up: bool = True, grace: float = 300.0):
+        """Both queries on a processing-time trigger until one ends or a stop is asked for
+        (:func:`request_stop`); stops both and raises ``LagError`` when stage 2 lags more than
+        ``max_lag`` stage-1 batches.  Stage 1 reads its source from the start, while the
+        backlog of stage 2 is loaded first (T5): the catch-up takes what is there when it
+        begins.  Without a catch-up, a job that starts too far behind raises at once."""
+        if not catch_up:
+            self._guard()
+        self._take_stop()  # one asked of an earlier run
+        self.spark.streams.addListener(self.recorder)
         trigger = {"processingTime": f"{trigger_seconds} seconds"}
         queries = []
         try:
-            # under a name of its own: its rows are no part of the live totals
             backlog = self.start_stage2({"availableNow": True}, "catch_up") if catch_up else None
             if backlog is not None:
                 queries.append(backlog)
@@ -236,11 +230,12 @@ class ProfileStream:
             q2 = self.start_stage2(trigger)
             queries.append(q2)
             while q1.isActive and q2.isActive:
+                if self._stop_asked():
+                    self._stop_in_order(q1, q2, grace)
+                    self._take_stop()
+                    return
                 q2.awaitTermination(poll)
-                if recorder.lag > self.max_lag:
-                    raise LagError(f"{self._name('stage2')} is {recorder.lag} batches behind")
-                if recorder.lag > CATCH_UP_LAG:
-                    log.warning("%s is %s batches behind", self._name("stage2"), recorder.lag)
+                self._guard()
             for q in (q1, q2):
                 if q.exception():
                     raise q.exception()
@@ -248,4 +243,4 @@ class ProfileStream:
             for q in queries:
                 if q.isActive:
                     q.stop()
-            self.spark.streams.removeListener(recorder)
+            self.spark.streams.removeListener(self.recorder)

@@ -6,15 +6,20 @@ from __future__ import annotations
 
 import json
 import logging
+import math
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.operators import refine as R
+from shoal.operators import typed as TY
 from shoal.plans.profiles import Profile
 from shoal.streaming import catalog as C
+from shoal.streaming.ledger import Ledger, file_system, read_text, write_text
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +29,8 @@ BATCH_COLUMN = "ingest@batch"
 # included); tolerate six failed batches, fail on the seventh.
 REPAIR_EVERY = 80
 MAX_FAILED_BATCHES = 6
+MAX_BAD_FILES = 16
+ROW_BYTES, SALT = "row@bytes", "salt@writer"
 
 
 def layout_for_sink(df: DataFrame, layout: str = "source", files_per_hour: int | None = None) -> DataFrame:
@@ -68,20 +75,27 @@ def start_text_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict, na
 class TableWriter:
     """``foreachBatch`` body of stage 2.
 
-    Each micro-batch is flattened with its own key set (or the profile's columns) and
-    written with dynamic partition overwrite into
-    ``<partitions>/ingest@batch=<generation>-<batch>``: a batch that is replayed after a
-    crash replaces exactly the files it wrote before, so the table holds every row once.
-    A rebalance on the partition columns lets adaptive execution size the files by bytes:
-    a hot directory is split over several writers, a cold one gets one file.
+    A micro-batch is a list of stage-1 files (a column ``path``) or rows (``value``).  It is
+    flattened with its own key set (or the profile's columns) and written with dynamic
+    partition overwrite into ``<partitions>/ingest@batch=<generation>-<batch>``: a batch that
+    is replayed after a crash replaces exactly the files it wrote before, so the table holds
+    every row once.  The rows of each directory are counted first: a directory of more than a
+    file's worth of bytes is dealt over as many writers as it fills, any other goes to one.
 
     The catalog comes after the write and never undoes it: a catalog step that fails is
     logged and made up for by a repair at the next batch.  The batch's own partitions are
-    observed while it is written; a full repair runs every ``repair_every`` batches.
+    known from the count; a full repair runs every ``repair_every`` batches.
 
-    A batch whose write fails leaves no files, and is written whole to ``quarantine`` with
-    the error; after ``max_failures`` the query fails (the checkpoint keeps the batch open
-    for a restart).  ``replay`` loads quarantined batches into the table.
+    A batch whose write fails leaves no files.  Its files are halved, and the halves that
+    fail halved again, until the failing files stand alone: those are noted in ``quarantine``
+    with the error, all others are loaded, each part under a tag of its own.  When
+    ``max_bad_files`` have been found the fault is no single file's, and what still fails is
+    noted together.  A batch of rows goes to quarantine whole.  After ``max_failures`` such
+    batches the query fails (the checkpoint keeps the batch open for a restart).  ``replay``
+    loads what is in quarantine into the table.
+
+    ``types`` (a ledger) gathers what types the payload's columns have (see
+    :mod:`shoal.operators.typed`); ``loaded`` is told how many rows each batch had.
     """
 
     profile: Profile
@@ -91,10 +105,14 @@ class TableWriter:
     quarantine_path: str | None = None
     repair_every: int = REPAIR_EVERY
     max_failures: int = MAX_FAILED_BATCHES
+    max_bad_files: int = MAX_BAD_FILES
+    types: Ledger | None = None
+    loaded: Callable[[int, int], None] | None = None
     calls: int = 0
     failures: int = 0
     repairs: int = 0
     repair_due: bool = False
+    begun: bool = False
     errors: list = field(default_factory=list)
 
     def batch_tag(self, batch_id: int) -> str:
@@ -104,28 +122,45 @@ class TableWriter:
     def partitions(self) -> list[str]:
         return [*(c.lower() for c in self.profile.partitions), BATCH_COLUMN]
 
-    def write(self, batch: DataFrame, tag: str) -> tuple[list[str], list[dict]]:
-        """Write a batch's files; returns the table's columns and the partitions written."""
-        p, parts = self.profile, self.partitions
-        prepared = R.prepare(batch, p)
-        if p.columns is None:
-            prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)  # read for the keys, then the rows
+    def _keys(self, prepared: DataFrame, tag: str) -> list[str] | None:
+        if self.types is None:
+            return None if self.profile.columns is not None else R.discover_keys(prepared)
+        found = [r.asDict() for r in TY.evidence(prepared).collect()]
+        self.types.put(tag, TY.merge([found]))
+        return [k for r in found for k in r["keys"]]
+
+    def _dealt(self, table: DataFrame, prepared: DataFrame) -> tuple[DataFrame, list[dict], int]:
+        """(the table dealt to its writers, the directories it fills, rows read)."""
+        parts = [F.col(f"`{c}`") for c in self.partitions]
+        rows, size = prepared.agg(F.count("*"), F.sum(ROW_BYTES)).first()
+        dirs = table.groupBy(*parts).agg(F.count("*").alias("_n"), F.xxhash64(*parts).alias("_dir")).collect()
+        target = _bytes(table.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+        files = {r["_dir"]: math.ceil(r["_n"] * (size or 0) / rows / target) for r in dirs}
+        hot = [x for d, n in files.items() if n > 1 for x in (F.lit(d), F.lit(n))]  # at most the batch's bytes / target
+        specs = [{c: r[c] for c in self.partitions} for r in dirs]
+        if not hot:
+            return table.repartition(*parts), specs, rows
+        n = F.coalesce(F.create_map(*hot)[F.xxhash64(*parts)], F.lit(1))
+        # drawn with a fixed seed along the rows' order: a flood of equal rows is dealt, too
+        return table.withColumn(SALT, F.floor(F.rand(7) * n)).repartition(*parts, SALT).drop(SALT), specs, rows
+
+    def write(self, batch: DataFrame, tag: str) -> tuple[list[str], list[dict], int]:
+        """Write a batch's files; returns the table's columns, the partitions written and how many
+        rows the batch had."""
+        p = self.profile
+        prepared = R.prepare(batch, p, size=ROW_BYTES).persist(StorageLevel.MEMORY_AND_DISK)  # read for keys and counts, then the rows
         try:
-            table = R.refine(R.flatten(prepared, p), p).withColumn(BATCH_COLUMN, F.lit(tag))
-            seen = Observation()
-            spec = F.to_json(F.struct(*[F.col(f"`{c}`") for c in parts]), {"ignoreNullFields": "false"})
+            table = R.refine(R.flatten(prepared, p, self._keys(prepared, tag)), p).withColumn(BATCH_COLUMN, F.lit(tag))
+            dealt, specs, rows = self._dealt(table, prepared)
             (
-                table.observe(seen, F.to_json(F.collect_set(spec)).alias("partitions"))  # one entry a directory
-                .hint("rebalance", *[F.col(f"`{c}`") for c in parts])
-                .write.mode("overwrite")
+                dealt.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts)
+                .partitionBy(*self.partitions)
                 .parquet(self.table_path)
             )
-            return table.columns, [json.loads(x) for x in json.loads(seen.get["partitions"] or "[]")]
+            return table.columns, specs, rows
         finally:
-            if p.columns is None:
-                prepared.unpersist()
+            prepared.unpersist()
 
     def register(self, spark: SparkSession, columns: list[str], specs: list[dict]) -> None:
         """The catalog's part of a batch whose files are written."""
@@ -142,25 +177,60 @@ class TableWriter:
             self.repair_due = True
             log.warning("catalog step failed, made up for at the next batch: %r", exc)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        tag = self.batch_tag(batch_id)
+    def _halve(self, spark: SparkSession, files: list[str], tag: str, bad: list[tuple[list[str], str]]) -> int:
+        """Load ``files``, leaving out those that fail (added to ``bad``); returns rows loaded."""
         try:
-            columns, specs = self.write(batch, tag)
-        except Exception as exc:  # noqa: BLE001 — T8: tolerate a few failed batches
-            self.failures += 1
-            self.errors.append((batch_id, repr(exc)))
-            log.warning("stage-2 batch %s failed (%s/%s): %r", batch_id, self.failures, self.max_failures, exc)
-            if self.failures > self.max_failures or not self.quarantine_path:
-                raise
-            self.remove(batch.sparkSession, tag)
-            (
-                batch.select("value", F.lit(repr(exc)[:2000]).alias("error"))
-                .write.mode("overwrite")
-                .parquet(f"{self.quarantine_path}/{tag}")
-            )
-            return
-        self.register(batch.sparkSession, columns, specs)
+            columns, specs, rows = self.write(read_files(spark, files), tag)
+        except Exception as exc:  # noqa: BLE001 — T8: the failing files are found and left out
+            self.remove(spark, tag)
+            log.warning("%s file(s) of batch %s failed: %r", len(files), tag, exc)
+            if len(files) == 1 or len(bad) >= self.max_bad_files:
+                bad.append((files, repr(exc)[:2000]))
+                return 0
+            half = len(files) // 2
+            return self._halve(spark, files[:half], f"{tag}.0", bad) + self._halve(spark, files[half:], f"{tag}.1", bad)
+        self.register(spark, columns, specs)
+        return rows
+
+    def _load_files(self, spark: SparkSession, files: list[str], tag: str) -> int:
+        if not self.begun:  # what a lost driver left of this batch's parts
+            self.remove(spark, f"{tag}.*")
+        bad: list[tuple[list[str], str]] = []
+        rows = self._halve(spark, files, tag, bad) if files else 0
+        if bad:
+            self._failed(tag, RuntimeError(f"{sum(len(f) for f, _ in bad)} bad files: {bad[0][1]}"))
+            note = "\n".join(json.dumps({"file": f, "error": e}) for fs, e in bad for f in fs)
+            write_text(spark, f"{self.quarantine_path}/{tag}.json", note)
+        return rows
+
+    def _failed(self, tag: str, exc: Exception) -> None:
+        self.failures += 1
+        self.errors.append((int(tag[5:17]), repr(exc)))
+        log.warning("stage-2 batch %s failed (%s/%s): %r", tag, self.failures, self.max_failures, exc)
+        if self.failures > self.max_failures or not self.quarantine_path:
+            raise exc
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, tag = batch.sparkSession, self.batch_tag(batch_id)
+        if "path" in batch.columns:
+            rows = self._load_files(spark, sorted(r["path"] for r in batch.select("path").collect()), tag)
+        else:
+            try:
+                columns, specs, rows = self.write(batch, tag)
+            except Exception as exc:  # noqa: BLE001 — T8: tolerate a few failed batches
+                self._failed(tag, exc)
+                self.remove(spark, tag)
+                (
+                    batch.select("value", F.lit(repr(exc)[:2000]).alias("error"))
+                    .write.mode("overwrite")
+                    .parquet(f"{self.quarantine_path}/{tag}")
+                )
+                return
+            self.register(spark, columns, specs)
         self.calls += 1
+        self.begun = True
+        if self.loaded is not None:
+            self.loaded(batch_id, rows)
 
     def remove(self, spark: SparkSession, tag: str) -> None:
         """Delete what a failed write of the batch may have left in the table."""
@@ -169,24 +239,38 @@ class TableWriter:
             fs.delete(found.getPath(), True)
 
     def replay(self, spark: SparkSession) -> list[str]:
-        """Load every quarantined batch into the table, under its own tag; returns the tags.
-        The quarantined copy is deleted only after its rows are written, and a batch
+        """Load what is in quarantine into the table, under tags of its own; returns the tags.
+        A quarantined batch or note is deleted only after its rows are written, and one
         replayed twice replaces its own files."""
         fs, path = file_system(spark, f"{self.quarantine_path}/*")
         done = []
-        for tag in sorted(s.getPath().getName() for s in fs.globStatus(path) or [] if s.isDirectory()):
-            held = f"{self.quarantine_path}/{tag}"
-            columns, specs = self.write(spark.read.parquet(held).select("value"), tag)
+        for status in sorted(fs.globStatus(path) or [], key=lambda s: s.getPath().getName()):
+            held = f"{self.quarantine_path}/{status.getPath().getName()}"
+            tag = status.getPath().getName().removesuffix(".json")
+            if status.isDirectory():
+                rows = spark.read.parquet(held).select("value")
+            elif held.endswith(".json"):
+                files = [json.loads(x)["file"] for x in read_text(spark, held).splitlines()]
+                rows, tag = read_files(spark, files), f"{tag}.r"
+            else:
+                continue
+            columns, specs, _ = self.write(rows, tag)
             self.register(spark, columns, specs)
             fs.delete(file_system(spark, held)[1], True)
-            done.append(tag)
+            done.append(tag.removesuffix(".r"))
         return done
 
 
-def file_system(spark: SparkSession, path: str):
-    """(Hadoop file system, Path) of a path."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The lines of stage-1 files.  A file that cannot be read is an error here."""
+    return spark.read.schema("value STRING").option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false") \
+        .text(files).select("value")
+
+
+def _bytes(text: str) -> int:
+    """A size setting (``64MB``, ``16kb``, ``1024``) in bytes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", text.strip().lower()).groups()
+    return int(number) * 1024 ** "bkmgtp".index(unit[:1] or "b")
 
 
 _INFER_PARTITION_TYPES = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -205,3 +289,14 @@ def read_table(spark: SparkSession, table_path: str, drop_batch: bool = True) ->
     finally:
         spark.conf.set(_INFER_PARTITION_TYPES, old)
     return df.drop(BATCH_COLUMN) if drop_batch else df
+
+
+def read_typed_table(spark: SparkSession, table_path: str, p: Profile, types: Ledger) -> DataFrame:
+    """The stage-2 table in the types its payload has shown in all batches so far; a copied
+    column has its source's type, partition columns stay text."""
+    kinds = TY.types(types.read())
+    for target, source in p.copies:
+        kinds[target.lower()] = kinds.get(source.lower(), "string")
+    kinds |= {c.lower(): R.DECIMAL_TYPE for c in p.decimal_columns}
+    kinds |= {c.lower(): "string" for c in p.partitions}
+    return TY.with_types(read_table(spark, table_path), kinds)

@@ -47,7 +47,7 @@ def test_stage2_only_shuffles_key_names(spark):
     s1 = S.stage1(device_messages(spark, SF_SMALL, p.family), p)
     prepared = R.prepare(s1, p)
     keys_plan = plan_text(prepared.select(__import__("pyspark.sql.functions", fromlist=["F"]).explode(
-        __import__("pyspark.sql.functions", fromlist=["F"]).map_keys(R._payload_map())).alias("k")).distinct())
+        __import__("pyspark.sql.functions", fromlist=["F"]).map_keys(R.payload_map())).alias("k")).distinct())
     assert "HashAggregate" in keys_plan  # partial aggregation before the exchange
     table_plan = plan_text(R.refine(R.flatten(prepared, p, R.discover_keys(prepared)), p))
     assert "hashpartitioning" not in table_plan
