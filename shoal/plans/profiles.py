@@ -145,6 +145,7 @@ class Profile:
     tz: str = "UTC"
     depth: int = 4  # levels the JSON walkers unroll (speed only)
     columns: tuple[str, ...] | None = None  # stage-2 columns; None: one for every payload key
+    seen_within: str | None = None  # drop what a device sent again within this time ("2 hours")
     rest_column: str | None = None  # with ``columns``: where the other keys go, as JSON
 
     def with_options(self, **changes) -> "Profile":

@@ -2,7 +2,7 @@
 
 Stage 1 (raw text → clean JSON text, partitioned by date/hour):
     parse → F2 device → F3 time → P1 date/hour → P2 write back → P3 clean keys
-          → F8 required keys → P4 stamp → text
+          → F8 required keys → P4 stamp → text (→ F9 seen events, if asked for)
 
 Stage 2 (clean JSON text → flat, all-string table):
     parse → payload keys → flatten (P5/P6) → P10 epoch → P7 drops → P8 copies
@@ -43,12 +43,14 @@ STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
 
 def stage1_row(text: str, p: Profile) -> Column:
     """``struct<value, date, hour, status>`` for the text column ``text``: the clean row, or
-    the reason it is dropped.  Built as one SQL expression (see ``jsonsql``)."""
+    the reason it is dropped; with ``p.seen_within`` also ``device`` and the time ``at``.
+    Built as one SQL expression (see ``jsonsql``)."""
     depth = p.depth
     null = Q.NULL_STR
 
-    def row(value: str, date: str, hour: str, status: str) -> str:
-        return f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, 'status', {Q.lit(status)})"
+    def row(value: str, date: str, hour: str, status: str, device: str = null, at: str = "CAST(NULL AS TIMESTAMP)") -> str:
+        event = f", 'device', {device}, 'at', {at}" if p.seen_within else ""
+        return f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, 'status', {Q.lit(status)}{event})"
 
     def dropped(reason: str) -> str:
         return row(null, null, null, reason)
@@ -62,7 +64,7 @@ def stage1_row(text: str, p: Profile) -> Column:
             clean = Q.rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: Q.lit(p.hw_stamp)})
 
             def on_clean(s: str) -> str:
-                kept = row(f"to_json({s})", date, hour, KEPT)
+                kept = row(f"to_json({s})", date, hour, KEPT, Q.find(d, p.device_keys, depth) if p.seen_within else null, f"timestamp_millis({ms})")
                 if not p.require_keys:
                     return kept
                 required = " AND ".join(Q.has(s, [k], depth) for k in p.require_keys)
@@ -91,11 +93,18 @@ def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None) -> Data
     ``observe`` (a name, or a :class:`pyspark.sql.Observation`) reports how many rows
     came in and why each dropped row left (malformed, no device, bad time, missing
     key) — in a stream as the query progress's observed metrics.  The filter on the
-    generated ``status`` stays above the generator, so nothing is evaluated twice."""
+    generated ``status`` stays above the generator, so nothing is evaluated twice.
+
+    With ``p.seen_within`` what was seen before goes (F9), and ``observe`` + ``_new`` reports how
+    many rows are left then."""
     rows = df.select(F.inline(F.array(stage1_row(text, p))))
     if observe is not None:
         rows = rows.observe(observe, *stage1_counts())
-    return rows.filter(F.col("status") == KEPT).drop("status")
+    kept = rows.filter(F.col("status") == KEPT).drop("status")
+    if p.seen_within is None:
+        return kept
+    new = FL.drop_seen(kept, p.seen_within).drop("device", "at")
+    return new if observe is None else new.observe(f"{observe}_new", F.count(F.lit(1)).alias("new"))
 
 
 def stage1_steps(df: DataFrame, p: Profile, text: str = "value") -> DataFrame:

@@ -277,6 +277,27 @@ def q_stream_stop_and_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/table")
 
 
+def q_stream_seen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """two runs of one checkpoint; the second arrival sends the first one's messages again,
+    twice, beside its own.  Every event is in the table once."""
+    configure(spark)
+    root = _fresh_root(spark, "seen")
+    cut = F.lit(SECOND_ARRIVAL).cast("timestamp_ntz")
+    counts = []
+    for arrived in ([F.col("ts") < cut], [F.col("ts") < cut, F.col("ts") < cut, F.col("ts") >= cut]):
+        for part in arrived:
+            _write_input(spark, sf_dir, "events", f"{root}/input", part)
+        job = _stream(spark, root, "e6")
+        job.profile = job.writer.profile = job.profile.with_options(seen_within="40 days")
+        job.source = SourceOptions(format="text", path=f"{root}/input")
+        job.run_available_now()
+        counts.append(job.recorder.observed())
+    first, both = counts
+    if first["seen"] or both["seen"] != 2 * first["kept"] or both["late"] or job.recorder.lag:
+        raise AssertionError(f"{first}, then {both}")
+    return read_table(spark, f"{root}/table")
+
+
 def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics whose values have types: a whole number, money, a mix of both, of numbers and
     text, of numbers and doubles, a truth value, an object, and one that is always null."""
@@ -320,13 +341,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_drop_counts": q_stream_drop_counts,
     "stream_poison_file": q_stream_poison_file,
     "stream_stop_and_resume": q_stream_stop_and_resume,
+    "stream_seen_events": q_stream_seen_events,
     "typed_payload": q_typed_payload,
 }
 
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
             "stream_repair_table": "profile_m5", "stream_restart": "profile_e7",
             "stream_quarantine_replay": "profile_e6", "stream_null_partition": "profile_e5",
-            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6"}
+            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6", "stream_seen_events": "profile_e6"}
 
 
 def oracles() -> dict[str, str]:

@@ -35,6 +35,7 @@ log = logging.getLogger(__name__)
 CATCH_UP_LAG = 5
 MAX_LAG = 10
 FILES_PER_BATCH = 1000
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RAW_PARTITIONS = "date STRING, hour STRING"
 
 
@@ -143,6 +144,8 @@ class ProfileStream:
         return f"{self.profile.name}_{stage}_g{self.paths.generation}"
 
     def start_stage1(self, trigger: dict):
+        if self.profile.seen_within:  # seen events are kept on disk, not in the executors' heap
+            self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         raw = read_stream(self.spark, self.source)
         clean = stage1(raw, self.profile, observe=self._name("stage1_rows"))
         clean = layout_for_sink(clean, self.layout, self.files_per_hour)

@@ -115,12 +115,17 @@ class ProgressRecorder(StreamingQueryListener):
     def add(self, progress: dict) -> None:
         if progress.get("name") != self.stage1:
             return
-        seen = (progress.get("observedMetrics") or {}).get(self.metric)
+        observed = progress.get("observedMetrics") or {}
+        seen, new = observed.get(self.metric), observed.get(f"{self.metric}_new")
         with self._lock:
             behind = records_behind(progress)
             self.behind = self.behind if behind is None else behind
             if seen and progress.get("numInputRows"):  # an idle trigger repeats the last batch's number
-                self.first.put(int(progress["batchId"]), {k: int(v) for k, v in seen.items() if isinstance(v, (int, float))})
+                counts = {k: int(v) for k, v in seen.items() if isinstance(v, (int, float))}
+                if new:  # what is kept is what wasn't seen before
+                    late = sum(int(o.get("numRowsDroppedByWatermark") or 0) for o in progress.get("stateOperators") or [])
+                    counts |= {KEPT: int(new["new"]), "seen": counts[KEPT] - int(new["new"]) - late, "late": late}
+                self.first.put(int(progress["batchId"]), counts)
 
     def add_all(self, query) -> None:
         """The progress a finished query still remembers: the last events may be on their way

@@ -185,7 +185,7 @@ class TableWriter:
             self.remove(spark, tag)
             log.warning("%s file(s) of batch %s failed: %r", len(files), tag, exc)
             if len(files) == 1 or len(bad) >= self.max_bad_files:
-                bad.append((files, repr(exc)[:2000]))
+                bad.append((files, f"{type(exc).__name__}: {exc}"[:2000]))
                 return 0
             half = len(files) // 2
             return self._halve(spark, files[:half], f"{tag}.0", bad) + self._halve(spark, files[half:], f"{tag}.1", bad)

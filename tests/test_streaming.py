@@ -30,7 +30,7 @@ def con():
 
 @pytest.mark.parametrize("name", ["stream_two_stage", "stream_catch_up", "stream_repair_table", "stream_restart",
                                   "stream_schema_evolution", "stream_quarantine_replay", "stream_null_partition",
-                                  "stream_poison_file", "stream_stop_and_resume", "typed_payload"])
+                                  "stream_poison_file", "stream_stop_and_resume", "stream_seen_events", "typed_payload"])
 def test_stream_equals_batch(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
