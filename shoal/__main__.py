@@ -6,6 +6,8 @@
     python -m shoal run m5 --root hdfs:///shoal/m5 --source-format text --source-path /data/in --available-now
     python -m shoal repair events_v7,metrics_v5
     python -m shoal replay e7 --root s3://bucket/shoal/e7 --table-name events_v7
+    python -m shoal stop --root s3://bucket/shoal/e7
+    python -m shoal compact e7 --root s3://bucket/shoal/e7 --table-name events_v7
 
 Every setting of the eight stream entry points is a named option here (start offsets,
 checkpoint/data root, table name, rate limits, poll time, trigger, clean start); the
@@ -23,7 +25,9 @@ from shoal.plans.profiles import PROFILES
 from shoal.session import configure
 from shoal.sources.stream import SourceOptions, read_allow_list
 from shoal.streaming.catalog import repair_tables
-from shoal.streaming.jobs import ProfileStream, StreamPaths
+from shoal.streaming.compaction import Compactor
+from shoal.streaming.jobs import ProfileStream, StreamPaths, request_stop
+from shoal.streaming.keys import KeyRegistry
 from shoal.streaming.sinks import TableWriter
 
 
@@ -61,6 +65,11 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--layout", default="source", choices=["source", "salted"])
     run.add_argument("--files-per-hour", type=int, help="writers of an hour in the salted layout (default: the cluster's parallelism)")
     run.add_argument("--allow-list", help="CSV file whose first line lists the allowed names")
+    run.add_argument("--live-allow-list", help="such a file, or a folder of its versions, read anew for every batch")
+    run.add_argument("--seen-within", help="drop what a device sends again within this time, e.g. '2 hours'")
+    run.add_argument("--typed", action="store_true", help="gather the types of the payload's columns")
+    run.add_argument("--choose-columns", metavar="REST", help="columns for frequent payload keys only, the others in column REST")
+    run.add_argument("--max-behind", type=int, help="stop when a Kafka source has more records waiting")
     run.add_argument("--log-level", default="WARN")
 
     rep = sub.add_parser("repair", help="register the partitions of tables (comma separated)")
@@ -70,6 +79,15 @@ def parser() -> argparse.ArgumentParser:
     rpl.add_argument("profile", choices=sorted(PROFILES))
     rpl.add_argument("--root", required=True, help="the root the stream runs under")
     rpl.add_argument("--table-name")
+
+    stp = sub.add_parser("stop", help="ask the job under a root to stop in good order")
+    stp.add_argument("--root", required=True)
+
+    cmp = sub.add_parser("compact", help="rewrite the small files of a profile's table")
+    cmp.add_argument("profile", choices=sorted(PROFILES))
+    cmp.add_argument("--root", required=True)
+    cmp.add_argument("--table-name")
+    cmp.add_argument("--target-mb", type=int, default=128)
     return ap
 
 
@@ -92,8 +110,13 @@ def build_job(spark: SparkSession, args: argparse.Namespace) -> ProfileStream:
     p = PROFILES[args.profile]
     if args.allow_list:
         p = p.with_options(allow_list=tuple(r["name"] for r in read_allow_list(spark, args.allow_list).collect()))
-    return ProfileStream(spark, p, source, paths, table_name=args.table_name, layout=args.layout,
-                         files_per_hour=args.files_per_hour)
+    p = p.with_options(seen_within=args.seen_within)
+    job = ProfileStream(spark, p, source, paths, table_name=args.table_name, layout=args.layout,
+                        files_per_hour=args.files_per_hour, max_behind=args.max_behind, typed=args.typed)
+    job.writer.allow_list_path = args.live_allow_list
+    if args.choose_columns:
+        job.writer.registry = KeyRegistry(spark, paths.keys, rest_column=args.choose_columns)
+    return job
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -110,6 +133,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for tag in writer.replay(spark):
             print(f"replayed {tag}")
         return 0
+    if args.command == "stop":
+        request_stop(spark, StreamPaths.open(spark, args.root))
+        return 0
+    if args.command == "compact":
+        table = StreamPaths.open(spark, args.root).table
+        n = Compactor(spark, PROFILES[args.profile], table, args.table_name, target=args.target_mb << 20).run()
+        print(f"compacted {n} directories")
+        return 0
     spark.sparkContext.setLogLevel(args.log_level)
     job = build_job(spark, args)
     if args.available_now:

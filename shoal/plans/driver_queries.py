@@ -357,6 +357,11 @@ def profile_sql_with(key: str, wrap: dict[str, str]) -> str:
     return _profile_sql(_EXPECTED[key], wrap)
 
 
+def profile_sql_where(key: str, where: str) -> str:
+    """The profile's SQL with another condition on the rows (``event_type_out`` is the type)."""
+    return _profile_sql({**_EXPECTED[key], "where": where})
+
+
 def _profile_sql(x: dict, wrap: dict[str, str] | None = None) -> str:
     s, events = x["stamp"], x["time"] == "event_time"
     cols: dict[str, str] = {

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.sql import DataFrame
+
 # Event names the V5 and V5c event streams let through (95 names, in
 # their original order).
 DEFAULT_ALLOWED_EVENTS = (
@@ -137,7 +139,7 @@ class Profile:
     drops: tuple[str, ...] = ()  # stage-2 columns dropped if present (taken literally)
     copies: tuple[tuple[str, str], ...] = ()  # (target, source) column copies, in order
     type_hygiene: bool = False  # F7 on event_type
-    allow_list: tuple[str, ...] | None = None  # F5/F6
+    allow_list: tuple[str, ...] | DataFrame | None = None  # F5/F6 (a DataFrame: its first column)
     allow_scope: str = "any_column"  # "any_column" (whole row) | "event_type"
     decimal_columns: tuple[str, ...] = ()  # P9: DECIMAL(18,0) where present
     require_keys: tuple[str, ...] = ()  # F8: stage-1 keys that must be present

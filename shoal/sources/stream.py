@@ -91,6 +91,19 @@ def read_raw_batch(spark: SparkSession, path: str, modified_after: str | None =
     return reader.text(path).select("value")
 
 
+def newest_file(spark: SparkSession, path: str) -> str:
+    """``path``, or the newest file in it if it is a folder (equal times: the last name)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.getFileStatus(p).isDirectory():
+        return path
+    files = [(s.getModificationTime(), s.getPath().toString()) for s in fs.listStatus(p)
+             if s.isFile() and s.getPath().getName()[0] not in "._"]
+    if not files:
+        raise FileNotFoundError(f"no file in {path}")
+    return max(files)[1]
+
+
 def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
     """Names in the first row of a CSV file, one per output row (``name``).
 

@@ -49,6 +49,15 @@ def add_partitions(spark: SparkSession, name: str, specs: Sequence[dict]) -> Non
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
 
 
+def drop_partitions(spark: SparkSession, name: str, specs: Sequence[dict]) -> None:
+    """Forget partitions (the table is external: no file is deleted)."""
+    if specs:
+        parts = ", ".join(
+            "PARTITION (" + ", ".join(f"{_q(k)} = {_lit(v)}" for k, v in spec.items()) + ")" for spec in specs
+        )
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
 def repair_table(spark: SparkSession, name: str) -> None:
     """K5: register partitions written since the last repair."""
     spark.catalog.recoverPartitions(name)

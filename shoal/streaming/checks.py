@@ -22,8 +22,10 @@ from shoal.session import configure, scratch_root
 from shoal.sources.envelope import device_messages
 from shoal.sources.envelope import read_table as read_source
 from shoal.sources.stream import SourceOptions, read_stream
+from shoal.streaming.compaction import Compactor, settled
 from shoal.streaming.jobs import ProfileStream, StreamPaths, finished, request_stop
-from shoal.streaming.ledger import Ledger, file_system
+from shoal.streaming.keys import KeyRegistry
+from shoal.streaming.ledger import Ledger, file_system, write_text
 from shoal.streaming.sinks import BATCH_COLUMN, TableWriter, read_table, read_typed_table
 
 INPUT_FILES = 8
@@ -298,6 +300,96 @@ def q_stream_seen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/table")
 
 
+COMPACTED_BATCHES = 5
+
+
+def q_stream_list_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The allow-list's file gets a new version between two arrivals, while the job and its
+    writer live on; each arrival is filtered by the list that held when it was loaded."""
+    configure(spark)
+    root = _fresh_root(spark, "list")
+    job = _stream(spark, root, "e5")
+    job.writer.allow_list_path = f"{root}/lists"
+    cut = F.lit(SECOND_ARRIVAL).cast("timestamp_ntz")
+    for version, (names, arrived) in enumerate([("HOTKEY", F.col("ts") < cut), ("VOD-VIEW, SYSTEM-ERROR", F.col("ts") >= cut)]):
+        write_text(spark, f"{root}/lists/v{version}.csv", names + "\nignored\n")
+        _write_input(spark, sf_dir, "events", f"{root}/input", arrived)
+        job.run_available_now()
+    return read_table(spark, f"{root}/table")
+
+
+def q_wide_payload_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of a rare key, ``event_type`` and, in the second batch only, ``Hot``, with
+    no column named beforehand: the registry makes columns of the last two."""
+    configure(spark)
+    root = _fresh_root(spark, "keys")
+    events = read_source(spark, sf_dir, "events")
+    n = F.col("event_id")
+    late = n >= 300
+    key = F.concat(F.lit("k"), (n % 7000).cast("string"))
+    payload = F.concat(F.lit('{"'), key, F.lit('":"'), n.cast("string"), F.lit('","event_type":"'), F.col("event_type"),
+                       F.when(late, F.concat(F.lit('","Hot":"h'), n.cast("string"))).otherwise(""), F.lit('"}'))
+    body = F.concat(F.lit('{"metrics":'), payload, F.lit(',"thedate":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"}'))
+    registry = KeyRegistry(spark, f"{root}/keys", rest_column="others", min_share=0.01)
+    writer = TableWriter(PROFILES["m7"].with_options(copies=()), f"{root}/table", registry=registry)
+    for k, part in enumerate((~late, late, late & (n < 0))):
+        writer(events.where(part).select(body.alias("value")), k)
+    if sorted(registry.columns()) != ["event_type", "hot"]:
+        raise AssertionError(f"columns {registry.columns()}")
+    return read_table(spark, f"{root}/table")
+
+
+class _RenameFails(Compactor):
+    """The first directory can't be put in its place; ``halt``: the run ends right after a later
+    one stands, before the catalog and the old files are dealt with."""
+
+    renames = 0
+
+    def rename(self, source, target):
+        if BATCH_COLUMN in target:
+            self.renames += 1
+            if self.renames == 1:
+                raise OSError("simulated failure of a rename")
+        super().rename(source, target)
+
+    def _finish(self, journal):
+        raise InterruptedError("simulated end of the run")
+
+
+def q_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of several batches are compacted.  A first run can't rename one directory and ends
+    half-way through another; nothing is lost or read twice then, nor after a second run."""
+    configure(spark)
+    root = _fresh_root(spark, "compact")
+    name = "shoal_check_" + root.rsplit("-", 1)[-1]
+    job = _stream(spark, root, "e5", table_name=name)
+    job.profile = job.writer.profile = job.profile.with_options(partitions=("event_type",))
+    for k in range(COMPACTED_BATCHES):
+        _write_input(spark, sf_dir, "events", f"{root}/input", F.floor(F.col("event_id") / 10) % COMPACTED_BATCHES == k)
+        job.run_available_now()
+    p, table = job.profile, f"{root}/table"
+
+    def rows() -> tuple[int, int]:
+        df = settled(spark, p, table)
+        return df.count(), df.select(F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()[0]
+
+    before, files = rows(), Compactor(spark, p, table).files().count()
+    broken = _RenameFails(spark, p, table, name, target=1 << 20, min_files=2)
+    try:
+        broken.run()
+    except InterruptedError:
+        pass
+    if rows() != before or broken.renames < 2 or len(broken.open_journals()) != 1:
+        raise AssertionError(f"after a broken run {rows()}, before {before}")
+    done = Compactor(spark, p, table, name, target=1 << 20, min_files=2)
+    switched = done.run()
+    fewer = done.files().count()
+    if rows() != before or not switched or done.open_journals() or fewer * 2 > files:
+        raise AssertionError(f"{switched} switched, {files} files, then {fewer}; {rows()}, before {before}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name).drop(BATCH_COLUMN)
+
+
 def typed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics whose values have types: a whole number, money, a mix of both, of numbers and
     text, of numbers and doubles, a truth value, an object, and one that is always null."""
@@ -341,6 +433,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_drop_counts": q_stream_drop_counts,
     "stream_poison_file": q_stream_poison_file,
     "stream_stop_and_resume": q_stream_stop_and_resume,
+    "stream_list_change": q_stream_list_change,
+    "wide_payload_registry": q_wide_payload_registry,
+    "stream_compacted": q_stream_compacted,
     "stream_seen_events": q_stream_seen_events,
     "typed_payload": q_typed_payload,
 }
@@ -348,7 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
             "stream_repair_table": "profile_m5", "stream_restart": "profile_e7",
             "stream_quarantine_replay": "profile_e6", "stream_null_partition": "profile_e5",
-            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6", "stream_seen_events": "profile_e6"}
+            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6", "stream_seen_events": "profile_e6", "stream_compacted": "profile_e5"}
 
 
 def oracles() -> dict[str, str]:
@@ -357,6 +452,11 @@ def oracles() -> dict[str, str]:
     # before the second arrival the devices sent no viewing_duration
     out["stream_schema_evolution"] = DQ.profile_sql_with(
         "e7", {"viewing_duration": f"CASE WHEN ts >= TIMESTAMP '{SECOND_ARRIVAL}' THEN {{}} END"})
+    early = f"ts < TIMESTAMP '{SECOND_ARRIVAL}'"
+    out["stream_list_change"] = DQ.profile_sql_where(
+        "e5", f"(CASE WHEN {early} THEN event_type_out = 'HOTKEY' ELSE event_type_out IN ('VOD-VIEW', 'SYSTEM-ERROR') END)")
+    out["wide_payload_registry"] = """SELECT event_type, CASE WHEN event_id >= 300 THEN 'h' || event_id END AS hot,
+        '{"k' || (event_id % 7000) || '":"' || event_id || '"}' AS others, strftime(ts, '%Y-%m-%d') AS thedate FROM events"""
     out["typed_payload"] = """SELECT event_id AS whole, CAST(m AS DECIMAL(38,2)) AS money,
         CAST(CASE WHEN event_id % 2 = 0 THEN event_id ELSE m END AS DECIMAL(38,2)) AS mixed,
         CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS VARCHAR) ELSE event_type END AS text,

@@ -92,6 +92,10 @@ class StreamPaths:
     def types(self) -> str:
         return f"{self.root}/ledger/types"
 
+    @property
+    def keys(self) -> str:
+        return f"{self.root}/ledger/keys"
+
     @property
     def progress(self) -> str:
         return f"{self.root}/ledger/gen={self.generation:04d}"

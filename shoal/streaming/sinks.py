@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from shoal.operators import refine as R
 from shoal.operators import typed as TY
 from shoal.plans.profiles import Profile
+from shoal.sources.stream import newest_file, read_allow_list
 from shoal.streaming import catalog as C
+from shoal.streaming.keys import KeyRegistry
 from shoal.streaming.ledger import Ledger, file_system, read_text, write_text
 
 log = logging.getLogger(__name__)
@@ -94,7 +96,9 @@ class TableWriter:
     batches the query fails (the checkpoint keeps the batch open for a restart).  ``replay``
     loads what is in quarantine into the table.
 
-    ``types`` (a ledger) gathers what types the payload's columns have (see
+    ``allow_list_path`` names a file, or a folder of versions of it: each batch takes the newest
+    one in place of the profile's list.  ``registry`` chooses the columns where devices choose
+    keys freely.  ``types`` (a ledger) gathers what types the payload's columns have (see
     :mod:`shoal.operators.typed`); ``loaded`` is told how many rows each batch had.
     """
 
@@ -107,6 +111,8 @@ class TableWriter:
     max_failures: int = MAX_FAILED_BATCHES
     max_bad_files: int = MAX_BAD_FILES
     types: Ledger | None = None
+    allow_list_path: str | None = None
+    registry: KeyRegistry | None = None
     loaded: Callable[[int, int], None] | None = None
     calls: int = 0
     failures: int = 0
@@ -122,9 +128,18 @@ class TableWriter:
     def partitions(self) -> list[str]:
         return [*(c.lower() for c in self.profile.partitions), BATCH_COLUMN]
 
-    def _keys(self, prepared: DataFrame, tag: str) -> list[str] | None:
+    def _profile(self, prepared: DataFrame, tag: str) -> Profile:
+        """The profile as it is for this batch."""
+        p = self.profile
+        if self.allow_list_path:
+            p = p.with_options(allow_list=read_allow_list(prepared.sparkSession, newest_file(prepared.sparkSession, self.allow_list_path)))
+        if self.registry is not None:
+            p = p.with_options(columns=tuple(self.registry.choose(prepared, tag)), rest_column=self.registry.rest_column)
+        return p
+
+    def _keys(self, prepared: DataFrame, p: Profile, tag: str) -> list[str] | None:
         if self.types is None:
-            return None if self.profile.columns is not None else R.discover_keys(prepared)
+            return None if p.columns is not None else R.discover_keys(prepared)
         found = [r.asDict() for r in TY.evidence(prepared).collect()]
         self.types.put(tag, TY.merge([found]))
         return [k for r in found for k in r["keys"]]
@@ -147,10 +162,10 @@ class TableWriter:
     def write(self, batch: DataFrame, tag: str) -> tuple[list[str], list[dict], int]:
         """Write a batch's files; returns the table's columns, the partitions written and how many
         rows the batch had."""
-        p = self.profile
-        prepared = R.prepare(batch, p, size=ROW_BYTES).persist(StorageLevel.MEMORY_AND_DISK)  # read for keys and counts, then the rows
+        prepared = R.prepare(batch, self.profile, size=ROW_BYTES).persist(StorageLevel.MEMORY_AND_DISK)  # read for keys and counts, then the rows
         try:
-            table = R.refine(R.flatten(prepared, p, self._keys(prepared, tag)), p).withColumn(BATCH_COLUMN, F.lit(tag))
+            p = self._profile(prepared, tag)
+            table = R.refine(R.flatten(prepared, p, self._keys(prepared, p, tag)), p).withColumn(BATCH_COLUMN, F.lit(tag))
             dealt, specs, rows = self._dealt(table, prepared)
             (
                 dealt.write.mode("overwrite")
@@ -193,8 +208,8 @@ class TableWriter:
         return rows
 
     def _load_files(self, spark: SparkSession, files: list[str], tag: str) -> int:
-        if not self.begun:  # what a lost driver left of this batch's parts
-            self.remove(spark, f"{tag}.*")
+        if not self.begun:  # what a lost driver left of this batch, perhaps by another list or in parts
+            self.remove(spark, f"{tag}*")
         bad: list[tuple[list[str], str]] = []
         rows = self._halve(spark, files, tag, bad) if files else 0
         if bad:

@@ -30,7 +30,8 @@ def con():
 
 @pytest.mark.parametrize("name", ["stream_two_stage", "stream_catch_up", "stream_repair_table", "stream_restart",
                                   "stream_schema_evolution", "stream_quarantine_replay", "stream_null_partition",
-                                  "stream_poison_file", "stream_stop_and_resume", "stream_seen_events", "typed_payload"])
+                                  "stream_poison_file", "stream_stop_and_resume", "stream_seen_events", "typed_payload", "stream_compacted",
+                                  "stream_list_change", "wide_payload_registry"])
 def test_stream_equals_batch(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
@@ -192,6 +193,35 @@ def test_slow_stage2_raises_lag_error(spark):
         job.run_forever(trigger_seconds=0, poll=0.5, catch_up=False)
 
 
+def test_registry_chooses_alike_when_a_batch_runs_again(spark):
+    from pyspark.sql import functions as F
+
+    from shoal.operators import refine as R
+    from shoal.streaming.keys import KeyRegistry, from_rest
+    from shoal.streaming.sinks import TableWriter, read_table
+
+    root = tempfile.mkdtemp()
+    registry = KeyRegistry(spark, f"{root}/keys", rest_column="others", min_share=0.5, max_columns=2)
+    w = TableWriter(PROFILES["m7"].with_options(copies=()), f"{root}/table", registry=registry)
+    batches = [[({"A": "1", f"r{i}": "x"}, "2024-01-01") for i in range(4)], [({"a": "2", "B": f"b{i}", "C": "c"}, "2024-01-02") for i in range(8)],
+               [({"b": "3"}, "2024-01-03")], [("no object", "2024-01-04")]]
+    seen = []
+    for k, rows in enumerate(batches):
+        w(metrics_batch(spark, *rows), k)
+        seen.append(registry.columns())
+        if k == 1:  # a crash after the state was written
+            w(metrics_batch(spark, *rows), k)
+            assert registry.columns() == seen[-1]
+    assert seen == [["a"], ["a", "b"], ["a", "b"], ["a", "b"]]  # a column stays, and two are all there may be
+    table = read_table(spark, f"{root}/table")
+    assert sorted(table.columns) == ["a", "b", "others", "thedate"] and table.count() == 14
+    whole = from_rest(table, ["a", "c"], "others")
+    got = sorted(tuple(r) for r in whole.select("thedate", "a", "c", "b").distinct().collect() if r["a"] is not None)
+    assert got == sorted([("2024-01-01", "1", None, None)] + [("2024-01-02", "2", "c", f"b{i}") for i in range(8)])
+    empty = R.prepare(metrics_batch(spark, ({"z": "1"}, "d")).where(F.lit(False)), w.profile)
+    assert registry.choose(empty, "0000-000000000009") == ["a", "b"]
+
+
 def test_types_widen_the_same_in_any_grouping():
     import itertools
     import random
@@ -208,6 +238,42 @@ def test_types_widen_the_same_in_any_grouping():
         assert TY.merge([TY.merge([rows[cut:]]), TY.merge([rows[:cut]]), rows[:again]]) == whole
 
 
+def test_stop_and_compact_commands(spark, capsys):
+    from shoal.__main__ import main
+    from shoal.streaming.sinks import TableWriter, read_table
+
+    root = tempfile.mkdtemp()
+    w = TableWriter(PROFILES["m7"], f"{root}/table")
+    for k in range(6):
+        w(metrics_batch(spark, ({"a": str(k)}, "2024-01-01"), ({"b": str(k)}, None)), k)
+    assert main(["compact", "m7", "--root", root], spark=spark) == 0
+    assert "compacted 2 directories" in capsys.readouterr().out
+    table = read_table(spark, f"{root}/table")
+    assert table.count() == 12 and sorted(r["a"] for r in table.where("a IS NOT NULL").collect()) == list("012345")
+    assert len(glob.glob(f"{root}/table/*/*/*.parquet")) == 4  # a compacted file and the newest batch's, in each
+    assert main(["compact", "m7", "--root", root], spark=spark) == 0 and table.count() == 12
+    assert main(["stop", "--root", root], spark=spark) == 0 and os.path.exists(f"{root}/stop")
+
+
+def test_compaction_leaves_a_directory_whose_count_is_off(spark):
+    from shoal.streaming.compaction import Compactor, settled
+    from shoal.streaming.sinks import TableWriter
+
+    root = tempfile.mkdtemp()
+    w = TableWriter(PROFILES["m7"], f"{root}/table")
+    for k in range(5):
+        w(metrics_batch(spark, ({"a": str(k)}, "2024-01-01")), k)
+
+    class Off(Compactor):
+        def _rewrite(self, work, stage):
+            return {k: n + 1 for k, n in super()._rewrite(work, stage).items()}
+
+    before = sorted(glob.glob(f"{root}/table/*/*/*.parquet"))
+    assert Off(spark, w.profile, f"{root}/table").run() == 0
+    assert sorted(glob.glob(f"{root}/table/*/*/*.parquet")) == before
+    assert settled(spark, w.profile, f"{root}/table").count() == 5
+
+
 def test_clean_start_opens_new_generation(spark):
     root = tempfile.mkdtemp()
     p0 = StreamPaths.open(spark, root)
