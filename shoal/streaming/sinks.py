@@ -198,7 +198,7 @@ class TableWriter:
             columns, specs, rows = self.write(read_files(spark, files), tag)
         except Exception as exc:  # noqa: BLE001 — T8: the failing files are found and left out
             self.remove(spark, tag)
-            log.warning("%s file(s) of batch %s failed: %r", len(files), tag, exc)
+            log.warning("%s file(s) of batch %s failed: %s", len(files), tag, str(exc).partition("\n")[0])
             if len(files) == 1 or len(bad) >= self.max_bad_files:
                 bad.append((files, f"{type(exc).__name__}: {exc}"[:2000]))
                 return 0
@@ -213,7 +213,7 @@ class TableWriter:
         bad: list[tuple[list[str], str]] = []
         rows = self._halve(spark, files, tag, bad) if files else 0
         if bad:
-            self._failed(tag, RuntimeError(f"{sum(len(f) for f, _ in bad)} bad files: {bad[0][1]}"))
+            self._failed(tag, RuntimeError(f"{sum(len(f) for f, _ in bad)} bad files: {bad[0][1].splitlines()[0]}"))
             note = "\n".join(json.dumps({"file": f, "error": e}) for fs, e in bad for f in fs)
             write_text(spark, f"{self.quarantine_path}/{tag}.json", note)
         return rows
@@ -276,10 +276,19 @@ class TableWriter:
         return done
 
 
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
 def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
-    """The lines of stage-1 files.  A file that cannot be read is an error here."""
-    return spark.read.schema("value STRING").option("ignoreCorruptFiles", "false").option("ignoreMissingFiles", "false") \
-        .text(files).select("value")
+    """The lines of stage-1 files.  A file that cannot be read is an error here.  The files are
+    looked up here and now, by a task a core: by default it would be a task a file."""
+    old = spark.conf.get(_LISTING_TASKS)
+    spark.conf.set(_LISTING_TASKS, str(spark.sparkContext.defaultParallelism))
+    try:
+        return spark.read.schema("value STRING").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false") \
+            .option("ignoreMissingFiles", "false").text(files).select("value")
+    finally:
+        spark.conf.set(_LISTING_TASKS, old)
 
 
 def _bytes(text: str) -> int:
