@@ -26,9 +26,9 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def prepare(df: DataFrame, p: Profile, text: str = "value", size: str | None = None) -> DataFrame:
-    """Parse once; keep the payload (``VARIANT``) and the root side fields (as text), and the
-    text's length in bytes as the column ``size``, if asked for.
+def prepare(df: DataFrame, p: Profile, text: str = "value", size: str | None = None, parsed: bool = False) -> DataFrame:
+    """Parse once (unless the column is ``parsed``); keep the payload (``VARIANT``) and the root
+    side fields (as text), and the text's length in bytes as the column ``size``, if asked for.
     The parse is bound once per row, so the flattened columns and the refine filters
     built on top read attributes instead of re-parsing."""
 
@@ -36,7 +36,7 @@ def prepare(df: DataFrame, p: Profile, text: str = "value", size: str | None = N
         side = "".join(f", {Q.lit(s.lower())}, CAST({d}[{Q.lit(s)}] AS STRING)" for s in p.side_fields)
         return f"named_struct({Q.lit(PAYLOAD)}, {d}[{Q.lit(p.payload)}]{side})"
 
-    row = F.expr(Q.let(Q.parse_doc(Q.ident(text)), fields))
+    row = F.expr(fields(Q.ident(text)) if parsed else Q.let(Q.parse_doc(Q.ident(text)), fields))
     own = df.select(text) if size is None else df.select(text, F.octet_length(text).alias(size))
     return J.bind_once(own, row).drop(text)
 

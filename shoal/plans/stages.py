@@ -41,19 +41,21 @@ KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY = "kept", "malformed", "no_dev
 STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
 
 
-def stage1_row(text: str, p: Profile) -> Column:
+def stage1_row(text: str, p: Profile, parsed: bool = False) -> Column:
     """``struct<value, date, hour, status>`` for the text column ``text``: the clean row, or
-    the reason it is dropped; with ``p.seen_within`` also ``device`` and the time ``at``.
-    Built as one SQL expression (see ``jsonsql``)."""
+    the reason it is dropped; with ``p.seen_within`` also ``device`` and the time ``at``;
+    ``parsed`` leaves ``value`` the clean document, not its text.  Built as one SQL
+    expression (see ``jsonsql``)."""
     depth = p.depth
     null = Q.NULL_STR
+    no_value = f"CAST(NULL AS {Q.DOC_TYPE})" if parsed else null
 
     def row(value: str, date: str, hour: str, status: str, device: str = null, at: str = "CAST(NULL AS TIMESTAMP)") -> str:
         event = f", 'device', {device}, 'at', {at}" if p.seen_within else ""
         return f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, 'status', {Q.lit(status)}{event})"
 
     def dropped(reason: str) -> str:
-        return row(null, null, null, reason)
+        return row(no_value, null, null, reason)
 
     def on_doc(d: str) -> str:
         def on_epoch(t: str) -> str:
@@ -64,7 +66,7 @@ def stage1_row(text: str, p: Profile) -> Column:
             clean = Q.rewrite(written, depth, clean_keys=True, replace={STAMP_KEY: Q.lit(p.hw_stamp)})
 
             def on_clean(s: str) -> str:
-                kept = row(f"to_json({s})", date, hour, KEPT, Q.find(d, p.device_keys, depth) if p.seen_within else null, f"timestamp_millis({ms})")
+                kept = row(s if parsed else f"to_json({s})", date, hour, KEPT, Q.find(d, p.device_keys, depth) if p.seen_within else null, f"timestamp_millis({ms})")
                 if not p.require_keys:
                     return kept
                 required = " AND ".join(Q.has(s, [k], depth) for k in p.require_keys)
@@ -87,8 +89,9 @@ def stage1_counts() -> list[Column]:
     ]
 
 
-def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None) -> DataFrame:
-    """Raw JSON text → ``value`` (clean JSON), ``date``, ``hour`` of the kept rows.
+def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None, parsed: bool = False) -> DataFrame:
+    """Raw JSON text → ``value`` (clean JSON), ``date``, ``hour`` of the kept rows.  ``parsed``:
+    ``value`` is the clean document itself, for a stage 2 that follows without files between.
 
     ``observe`` (a name, or a :class:`pyspark.sql.Observation`) reports how many rows
     came in and why each dropped row left (malformed, no device, bad time, missing
@@ -97,7 +100,7 @@ def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None) -> Data
 
     With ``p.seen_within`` what was seen before goes (F9), and ``observe`` + ``_new`` reports how
     many rows are left then."""
-    rows = df.select(F.inline(F.array(stage1_row(text, p))))
+    rows = df.select(F.inline(F.array(stage1_row(text, p, parsed))))
     if observe is not None:
         rows = rows.observe(observe, *stage1_counts())
     kept = rows.filter(F.col("status") == KEPT).drop("status")
@@ -149,7 +152,9 @@ def payload_keys(df: DataFrame, p: Profile, text: str = "value") -> list[str]:
 
 
 def run_batch(df: DataFrame, p: Profile, text: str = "value", keys: Sequence[str] | None = None) -> DataFrame:
-    """Both stages over a batch DataFrame of raw JSON text (no files in between)."""
+    """Both stages over a batch DataFrame of raw JSON text, without files or text in between:
+    stage 2 reads the documents that stage 1 has cleaned."""
     if keys is None and p.columns is None:
         keys = payload_keys(df, p, text)
-    return stage2(stage1(df, p, text), p, keys)
+    prepared = R.prepare(stage1(df, p, text, parsed=True), p, parsed=True)
+    return R.refine(R.flatten(prepared, p, keys), p)
