@@ -246,6 +246,16 @@ def q_drop_duplicate_columns(spark, sf_dir):
     return R.drop_duplicate_columns(left.join(right, left["event_id"] == right["event_id"]), right)
 
 
+def q_column_paths(spark, sf_dir):
+    """Columns read only where their path is in the schema, nested ones too."""
+    events = read_table(spark, sf_dir, "events")
+    user = F.struct(F.col("user_id").alias("Id"), F.struct(F.col("event_type").alias("Kind")).alias("last"))
+    df = events.select("event_id", user.alias("user"))
+    paths = ("user.id", "USER.Last.kind", "user.last.kind.more", "user.mail", "event_ID", "nothing")
+    there = [F.col(p).cast("string") if R.has_column(df, p) else F.lit(None).cast("string") for p in paths]
+    return df.select("event_id", *[c.alias(f"p{k}") for k, c in enumerate(there)])
+
+
 def q_wide_payload(spark, sf_dir):
     """Thousands of payload keys under a profile that names its columns."""
     configure(spark)
@@ -283,6 +293,7 @@ QUERIES: dict[str, Query] = {
     "case_twins": q_case_twins,
     "drop_duplicate_columns": q_drop_duplicate_columns,
     "wide_payload": q_wide_payload,
+    "column_paths": q_column_paths,
     "allow_list_table": q_allow_list_table,
     "allow_list_csv": q_allow_list_csv,
     "device_filter": q_device_filter,
@@ -411,6 +422,8 @@ _ORACLES: dict[str, str] = {
     "case_twins": """SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d') AS thedate,
         CASE WHEN event_id % 3 <> 1 THEN 'upper' || event_id ELSE 'lower' || event_id END AS kind FROM events""",
     "drop_duplicate_columns": "SELECT event_id, user_id, event_type FROM events",
+    "column_paths": """SELECT event_id, CAST(user_id AS VARCHAR) AS p0, event_type AS p1, CAST(NULL AS VARCHAR) AS p2,
+        CAST(NULL AS VARCHAR) AS p3, CAST(event_id AS VARCHAR) AS p4, CAST(NULL AS VARCHAR) AS p5 FROM events""",
     "wide_payload": """SELECT event_type, CASE WHEN event_id % 7000 = 7 THEN CAST(event_id AS VARCHAR) END AS k7,
         CASE WHEN event_id % 7000 <> 7 THEN '{"k' || (event_id % 7000) || '":"' || event_id || '"}' END AS others,
         strftime(ts, '%Y-%m-%d') AS thedate FROM events""",

@@ -22,8 +22,9 @@ from shoal.session import configure, scratch_root
 from shoal.sources.envelope import device_messages
 from shoal.sources.envelope import read_table as read_source
 from shoal.sources.stream import SourceOptions, read_stream
+from shoal.streaming import catalog as C
 from shoal.streaming.compaction import Compactor, settled
-from shoal.streaming.jobs import ProfileStream, StreamPaths, finished, request_stop
+from shoal.streaming.jobs import LagError, ProfileStream, StreamPaths, finished, request_stop
 from shoal.streaming.keys import KeyRegistry
 from shoal.streaming.ledger import Ledger, file_system, write_text
 from shoal.streaming.sinks import BATCH_COLUMN, TableWriter, read_table, read_typed_table
@@ -300,6 +301,63 @@ def q_stream_seen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/table")
 
 
+def q_stream_lag_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that starts eleven stage-1 batches behind ends at once with ``LagError``; after
+    a catch-up nothing is behind and the table is whole."""
+    configure(spark)
+    root = _fresh_root(spark, "behind")
+    device_messages(spark, sf_dir, "events").select("value").repartition(11).write.text(f"{root}/input")
+    job = _stream(spark, root, "e6")
+    job.source = SourceOptions(format="text", path=f"{root}/input", max_files_per_trigger=1)
+    q = job.start_stage1({"availableNow": True})
+    finished(q, None)
+    job.recorder.add_all(q)
+    new = _stream(spark, root, "e6")
+    if new.recorder.lag != 11:
+        raise AssertionError(f"{new.recorder.lag} batches behind")
+    try:
+        new.run_forever(trigger_seconds=1, catch_up=False)
+        raise AssertionError("the job should not have started")
+    except LagError:
+        new.catch_up()
+    if new.recorder.lag or spark.streams.active:
+        raise AssertionError(f"{new.recorder.lag} batches behind after the catch-up")
+    return read_table(spark, f"{root}/table")
+
+
+def q_stream_clean_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean start reads another source from its beginning under checkpoints of its own;
+    what the first generation wrote stays."""
+    configure(spark)
+    root = _fresh_root(spark, "clean")
+    cut = F.lit(SECOND_ARRIVAL).cast("timestamp_ntz")
+    for k, arrived in enumerate((F.col("ts") < cut, F.col("ts") >= cut)):
+        _write_input(spark, sf_dir, "metrics", f"{root}/input{k}", arrived)
+        paths = StreamPaths.open(spark, root, clean_start=k > 0)
+        source = SourceOptions(format="text", path=f"{root}/input{k}")
+        job = ProfileStream(spark, PROFILES["m7"], source, paths, layout=LAYOUT, files_per_hour=FILES_PER_HOUR)
+        job.run_available_now()
+        if paths.generation != k:
+            raise AssertionError(f"generation {paths.generation}, {k} was expected")
+    return read_table(spark, f"{root}/table")
+
+
+def q_stream_repair_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the repair job registers the partitions of a table that no writer told the catalog of."""
+    configure(spark)
+    root = _fresh_root(spark, "job")
+    name = "shoal_check_" + root.rsplit("-", 1)[-1]
+    _write_input(spark, sf_dir, "metrics", f"{root}/input")
+    job = _stream(spark, root, "m5")
+    job.run_available_now()
+    columns = read_table(spark, f"{root}/table", drop_batch=False).columns
+    C.ensure_table(spark, name, f"{root}/table", columns, job.writer.partitions)
+    if spark.table(name).count():
+        raise AssertionError("no partition was expected yet")
+    C.repair_tables(spark, f"{name}, ")
+    return spark.table(name).drop(BATCH_COLUMN)
+
+
 COMPACTED_BATCHES = 5
 
 
@@ -433,6 +491,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_drop_counts": q_stream_drop_counts,
     "stream_poison_file": q_stream_poison_file,
     "stream_stop_and_resume": q_stream_stop_and_resume,
+    "stream_lag_guard": q_stream_lag_guard,
+    "stream_clean_start": q_stream_clean_start,
+    "stream_repair_job": q_stream_repair_job,
     "stream_list_change": q_stream_list_change,
     "wide_payload_registry": q_wide_payload_registry,
     "stream_compacted": q_stream_compacted,
@@ -443,7 +504,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _SAME_AS = {"stream_two_stage": "profile_e6", "stream_catch_up": "profile_m7",
             "stream_repair_table": "profile_m5", "stream_restart": "profile_e7",
             "stream_quarantine_replay": "profile_e6", "stream_null_partition": "profile_e5",
-            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6", "stream_seen_events": "profile_e6", "stream_compacted": "profile_e5"}
+            "stream_poison_file": "profile_e6", "stream_stop_and_resume": "profile_e6", "stream_seen_events": "profile_e6", "stream_compacted": "profile_e5",
+            "stream_lag_guard": "profile_e6", "stream_clean_start": "profile_m7", "stream_repair_job": "profile_m5"}
 
 
 def oracles() -> dict[str, str]:

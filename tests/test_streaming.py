@@ -31,7 +31,8 @@ def con():
 @pytest.mark.parametrize("name", ["stream_two_stage", "stream_catch_up", "stream_repair_table", "stream_restart",
                                   "stream_schema_evolution", "stream_quarantine_replay", "stream_null_partition",
                                   "stream_poison_file", "stream_stop_and_resume", "stream_seen_events", "typed_payload", "stream_compacted",
-                                  "stream_list_change", "wide_payload_registry"])
+                                  "stream_list_change", "wide_payload_registry",
+                                  "stream_lag_guard", "stream_clean_start", "stream_repair_job"])
 def test_stream_equals_batch(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
@@ -148,29 +149,6 @@ def test_ledger_keeps_totals_through_rolls_and_replays(spark):
     assert Counts(Ledger(spark, path, summed)).total() == again.total()
 
 
-def test_job_restarted_far_behind_raises_at_once(spark):
-    """Eleven stage-1 batches are waiting when a new job starts; with a catch-up it loads them."""
-    from shoal.streaming import checks as SC
-
-    root = SC._fresh_root(spark, "behind")
-    device_messages(spark, SF_SMALL, "events").select("value").repartition(11).write.text(f"{root}/input")
-    job = SC._stream(spark, root, "e6")
-    job.source = SourceOptions(format="text", path=f"{root}/input", max_files_per_trigger=1)
-    job.layout = "source"
-    spark.streams.addListener(job.recorder)
-    q = job.start_stage1({"availableNow": True})
-    q.awaitTermination()
-    spark.streams.removeListener(job.recorder)
-    job.recorder.add_all(q)
-    new = SC._stream(spark, root, "e6")
-    assert new.recorder.lag == 11
-    with pytest.raises(LagError):
-        new.run_forever(trigger_seconds=1, poll=0.5, catch_up=False)
-    assert not spark.streams.active
-    new.catch_up()
-    assert new.recorder.lag == 0 and SC._stream(spark, root, "e6").recorder.lag == 0
-
-
 def test_slow_stage2_raises_lag_error(spark):
     """Real progress events: stage 1 takes a file a batch, stage 2 sleeps."""
     import time
