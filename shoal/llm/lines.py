@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from shoal.llm import common as C
 
-MIN_LINES = 2
+MIN_LINES = 1  # a repeated line alone is a run, too
 KEY = ["doc", "th", "pos"]
 
 

@@ -50,10 +50,10 @@ WITH l AS (SELECT doc_id, i AS line_no, x FROM (SELECT doc_id, unnest(l) AS x, u
            FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
 s AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY line_no))::BIGINT - 1 AS pos FROM l
       WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
-w AS (SELECT a.doc_id, a.pos, first_value(a.doc_id) OVER g AS fd, first_value(a.pos) OVER g AS fp
-      FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WINDOW g AS (PARTITION BY a.x, b.x ORDER BY a.doc_id, a.pos)),
+w AS (SELECT doc_id, pos, first_value(doc_id) OVER g AS fd, first_value(pos) OVER g AS fp
+      FROM s WINDOW g AS (PARTITION BY x ORDER BY doc_id, pos)),
 late AS (SELECT * FROM w WHERE (doc_id, pos) <> (fd, fp)),
-gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM late),
+gone AS (SELECT DISTINCT doc_id, pos FROM late),
 start AS (SELECT a.* FROM late a ANTI JOIN late b ON a.doc_id = b.doc_id AND a.pos = b.pos + 1 AND a.fd = b.fd AND a.fp = b.fp + 1),
 lens AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 lcp AS (SELECT t.doc_id, t.pos, min(a.pos - t.pos) FILTER (WHERE b.x IS NULL OR a.x <> b.x) AS cut, max(a.pos - t.pos) + 1 AS whole
