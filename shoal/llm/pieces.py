@@ -37,7 +37,7 @@ from shoal.llm import common as C
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the file format
 UNIGRAM, BPE = 1, 2
-WORDS = 400_000  # words a worker remembers
+WORDS = 100_000  # words a worker remembers, twice
 PAIRS = 1_000_000  # and pairs of pieces
 
 
@@ -108,13 +108,16 @@ class Transducer:
         self.bpe, self.prefix = kind == BPE, bool(norm.get(3, 1))
         self.trie: dict = {}
         for p, i in self.ids.items():
+            if self.bpe and self.merged(p) != [p]:
+                continue  # merging its characters never gives this piece: no arc has it
             node = self.trie
             for ch in p:
                 node = node.setdefault(ch, {})
             node[""] = i
         self.longest = max(map(len, self.ids), default=1)
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # -- arcs ---------------------------------------------------------------------------
     def merged(self, text: str) -> list[str]:
@@ -132,42 +135,67 @@ class Transducer:
         return parts
 
     def may_follow(self, a: int, b: int) -> bool:
-        """Whether piece b may follow piece a on a path (a = -1: at the start)."""
-        got = self.follows.get((a, b))
-        if got is None:
-            p, q = self.pieces[a] if a >= 0 else "", self.pieces[b]
-            got = self.merged(p + q) == ([p, q] if a >= 0 else [q])
-            if len(self.follows) >= PAIRS:
-                self.follows.clear()
-            self.follows[a, b] = got
+        """Whether piece b may follow piece a on a path."""
+        p, q = self.pieces[a], self.pieces[b]
+        got = self.merged(p + q) == [p, q]
+        if len(self.follows) >= PAIRS:
+            self.follows.clear()
+        self.follows[a * len(self.pieces) + b] = got
         return got
 
     # -- shortest paths -----------------------------------------------------------------
     def path(self, text: str) -> list[int]:
         """Ids of the shortest path through characters that all are pieces."""
-        n, trie, follow = len(text), self.trie, self.may_follow
+        return self.merge_path(text) if self.bpe else self.score_path(text)
+
+    def merge_path(self, text: str) -> list[int]:
+        """The one path whose pieces may follow each other: its weight is 0, so a state that is
+        reached is final, and the search ends where the text does."""
+        n, trie, follows, size = len(text), self.trie, self.follows, len(self.pieces)
         last: list[int | None] = [None] * (n + 1)  # the piece that ends here
         back = [0] * (n + 1)
-        dist = [float("inf")] * (n + 1)
-        last[0], dist[0] = -1, 0.0
+        last[0] = -1
         for i in range(n):
             here = last[i]
             if here is None:
                 continue
+            node, j = trie, i
+            while j < n and (node := node.get(text[j])) is not None:
+                j += 1
+                p = node.get("")
+                if p is None or last[j] is not None:
+                    continue
+                if here >= 0:
+                    ok = follows.get(here * size + p)
+                    if not (self.may_follow(here, p) if ok is None else ok):
+                        continue
+                last[j], back[j] = p, i
+            if last[n] is not None:
+                break
+        return self.stitched(last, back)
+
+    def score_path(self, text: str) -> list[int]:
+        n, trie = len(text), self.trie
+        last: list[int | None] = [None] * (n + 1)
+        back = [0] * (n + 1)
+        dist = [float("inf")] * (n + 1)
+        last[0], dist[0] = -1, 0.0
+        for i in range(n):
+            if last[i] is None:
+                continue
             node = trie
             for j in range(i, n):
                 node = node.get(text[j])
                 if node is None:
                     break
                 p = node.get("")
-                if p is None:
-                    continue
-                if self.bpe:  # weight 0 or no arc: a state that is reached is final
-                    if last[j + 1] is None and (here < 0 or follow(here, p)) and follow(-1, p):
-                        last[j + 1], back[j + 1] = p, i
-                elif dist[i] + self.cost[p] < dist[j + 1]:
+                if p is not None and dist[i] + self.cost[p] < dist[j + 1]:
                     dist[j + 1], last[j + 1], back[j + 1] = dist[i] + self.cost[p], p, i
-        ids, i = [], n
+        return self.stitched(last, back)
+
+    @staticmethod
+    def stitched(last: list[int | None], back: list[int]) -> list[int]:
+        ids, i = [], len(last) - 1
         while i:
             ids.append(last[i])
             i = back[i]
@@ -218,11 +246,12 @@ class Transducer:
         for w in WORD.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE)):
             ids = get(w)
             if ids is None:
-                ids = np.array(self.word(w), "<i4").tobytes()
-                if len(self.words) >= WORDS:
-                    self.words.clear()
+                ids = self.older.get(w) or pack(self.word(w))
                 if len(w) < 200:
                     self.words[w] = ids
+                    if len(self.words) >= WORDS:  # of the words before, those met again are taken over
+                        self.words, self.older = {}, self.words
+                        get = self.words.get
             out.append(ids)
         return b"".join(out)
 
@@ -244,6 +273,10 @@ def transducer(model: bytes) -> Transducer:
     return _COMPILED[key]
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -254,7 +287,9 @@ def compiled(model_file: str) -> bytes:
 
 
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with ``ids_col``: array of piece ids (null for a null text)."""
+    """``docs`` with ``ids_col``: array of piece ids (null for a null text), in the place of a
+    column of that name."""
+    docs = docs.drop(ids_col)
     model = docs.sparkSession.sparkContext.broadcast(compiled(model_file))
     (raw,) = C.fresh(docs, "raw_text")
 
@@ -273,7 +308,9 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: st
 
 
 def decode(coded: DataFrame, model_file: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``coded`` with ``text_col``: the text of its ids (null for null ids)."""
+    """``coded`` with ``text_col``: the text of its ids (null for null ids), in the place of a
+    column of that name."""
+    coded = coded.drop(text_col)
     model = coded.sparkSession.sparkContext.broadcast(compiled(model_file))
 
     def run(batches):
