@@ -11,7 +11,8 @@ scorer then judges every document, labelled or not.
 
 Bounds: lexicons and scorer are fitted on at most ``sample_rows`` labelled rows, chosen by
 a hash of their id; vote patterns are counted over all documents, and there are at most
-3 to the number of labellers of them.
+3 to the number of labellers of them.  The sample's words and slots are counted on Spark;
+the driver holds the lexicons and, of each sampled row, the slots that training looks at.
 
 Cases: a null or empty text has no words, no votes but its label's, and is kept; repeated
 rows are scored alike; very long texts are scored whole; documents named several times in
@@ -37,7 +38,7 @@ from pyspark.sql import types as T
 from shoal.llm import common as C
 
 SAMPLE_ROWS = 12_000
-BITS = 18
+SUPPORT = 5.0  # bad rows that must speak for a feature
 STEMS = (4, 5, 6)  # bytes of a word's beginning
 LEVELS = 10
 TASKS = ("junk", "toxic")
@@ -80,7 +81,9 @@ class Shape:
 
 
 def _slot(feature: bytes) -> int:
-    return crc32(feature) & ((1 << BITS) - 1)
+    """32 bits: a text of 100,000 words meets the few thousand slots of weight by chance about
+    once in ten times, where a table of 2^18 would meet a third of them."""
+    return crc32(feature)
 
 
 def stems(word: bytes) -> list[bytes]:
@@ -90,7 +93,7 @@ def stems(word: bytes) -> list[bytes]:
 class Kept(dict):
     """What ``make`` says of a word, remembered up to a bound."""
 
-    LIMIT = 250_000
+    LIMIT = 150_000
 
     def __init__(self, make):
         self.make = make
@@ -144,7 +147,7 @@ def total(rows: list[tuple], width: int) -> tuple:
 
 @dataclass
 class Model:
-    weights: np.ndarray = field(default_factory=lambda: np.zeros((len(TASKS), 1 << BITS), np.float32))
+    weights: dict = field(default_factory=dict)  # slot -> weight for each task, of slots that have any
     bias: tuple[float, ...] = (-1.0,) * len(TASKS)
     lexicon: Lexicon = field(default_factory=Lexicon)
     accuracy: dict = field(default_factory=dict)  # (task, labeller) -> share of its votes that are right
@@ -162,8 +165,9 @@ def label_votes(labels: DataFrame) -> DataFrame:
     return one.select(F.col("doc_id").alias("doc"), vote("j").alias("junk_label"), vote("t").alias("toxic_label"))
 
 
-def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows: int) -> list:
-    """Votes and features of at most ``rows`` labelled documents (the bounded fitting sample)."""
+def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows: int, scratch: C.Scratch) -> DataFrame:
+    """Votes, words (as Latin-1 text) and slots of at most ``rows`` labelled documents (the bounded
+    fitting sample), as a table.  Of several rows of one id the one with the least hash counts."""
     few = votes.orderBy(F.xxhash64("doc"), "doc").limit(rows)  # proven bound: safe to broadcast
 
     def read(batches):
@@ -171,39 +175,39 @@ def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows:
         for b in batches:
             made = []
             for raw in b.column(2).to_pylist():
-                words = set(C.alnum_words(raw))
+                words = sorted(set(C.alnum_words(raw)))
                 shape = Shape(raw)
                 ids = shape.features()
                 for w in words:
                     ids.extend(cache[w])
-                made.append((shape.votes(), np.unique(np.array(ids, "<i4")).tobytes(), b" ".join(words)))
+                made.append((shape.votes(), np.unique(np.array(ids, np.int64)).tolist(), [w.decode("latin-1") for w in words]))
             v, f, w = zip(*made, strict=True) if made else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(v, pa.string()), pa.array(f, pa.binary()), pa.array(w, pa.binary())],
-                                             ["junk_label", "toxic_label", "shape", "features", "words"])
-
-    rows_df = docs.select(F.col(id_col).alias("d"), C.text_bytes(text_col).alias("text")) \
-        .join(F.broadcast(few), F.col("d") == F.col("doc")).select("junk_label", "toxic_label", "text")
-    made = C.map_batches(rows_df, read, "junk_label string, toxic_label string, shape string, features binary, words binary")
-    return made.limit(2 * rows).collect()  # ids are near unique; repeated rows can't swell it
-
-
-def lexicon(rows: list) -> Lexicon:
-    """Words and word beginnings that toxic rows have and others don't."""
-    has, lacks = (Counter(), Counter()), (Counter(), Counter())
-    n = [0, 0]
-    for r in rows:
-        if r.toxic_label == NONE:
-            continue
-        bad = r.toxic_label == BAD
-        n[bad] += 1
-        words = set(bytes(r.words).split())
-        for counter, found in zip(has if bad else lacks, (words, {s for w in words for s in stems(w)}), strict=True):
-            counter.update(found)
-    if not all(n):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(v, pa.string()), pa.array(f, pa.list_(pa.int64())),
+                                              pa.array(w, pa.list_(pa.string()))], ["junk_label", "toxic_label", "shape", "slots", "words"])
+
+    one = docs.select(F.col(id_col).alias("d"), C.text_bytes(text_col).alias("text")).join(F.broadcast(few), F.col("d") == F.col("doc")) \
+        .groupBy("doc", "junk_label", "toxic_label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    made = C.map_batches(one.select("junk_label", "toxic_label", "text"), read,
+                         "junk_label string, toxic_label string, shape string, slots array<long>, words array<string>")
+    return scratch.table(made, "sample")
+
+
+def lexicon(rows: DataFrame) -> Lexicon:
+    """Words and word beginnings that toxic rows have and others don't, counted on Spark: those
+    alone that speak come back."""
+    known = rows.where(F.col("toxic_label") != NONE).withColumn("bad", (F.col("toxic_label") == BAD).cast("int"))
+    bad, n = known.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.count("*")).first()
+    if not 0 < bad < n:
         return Lexicon()
-    odds = lambda a, b: math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
-    pick = lambda k, least: frozenset(x for x, a in has[k].items() if a >= least and odds(a, lacks[k][x]) >= 4)
-    return Lexicon(pick(0, 4), pick(1, 8))
+    begin = lambda w: F.transform(F.filter(F.array(*map(F.lit, STEMS)), lambda k: F.length(w) > k), lambda k: F.substring(w, F.lit(1), k))
+    beginnings = F.array_distinct(F.flatten(F.transform("words", begin)))
+
+    def picked(found, least: int) -> frozenset:
+        counts = known.select("bad", F.explode(found).alias("x")).groupBy("x").agg(F.sum("bad").alias("a"), F.sum(1 - F.col("bad")).alias("b"))
+        odds = F.log((F.col("a") + 0.5) / (bad + 1)) - F.log((F.col("b") + 0.5) / (n - bad + 1))
+        return frozenset(r["x"].encode("latin-1") for r in counts.where((F.col("a") >= least) & (odds >= 4)).select("x").collect())
+
+    return Lexicon(picked(F.col("words"), 4), picked(beginnings, 8))
 
 
 def em(patterns: dict[str, int], labellers: int, rounds: int = 60) -> tuple[dict[str, float], list[float]]:
@@ -238,20 +242,26 @@ def em(patterns: dict[str, int], labellers: int, rounds: int = 60) -> tuple[dict
     return dict(zip(keys, post.tolist(), strict=True)), right
 
 
-def train(features: list[np.ndarray], target: np.ndarray, support: float = 5.0, steps: int = 400) -> tuple[np.ndarray, float]:
+def row_weights(target: np.ndarray) -> tuple[np.ndarray, float]:
+    """(what each row weighs, the L1 term): both classes weigh the same in sum; a feature gets a
+    weight only if more than about SUPPORT bad rows speak for it."""
+    bad = max(target.sum(), 1.0)
+    return np.where(target > 0.5, 0.5 / bad, 0.5 / max((1 - target).sum(), 1.0)), 0.25 * SUPPORT / bad
+
+
+def train(features: list[np.ndarray], target: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
     """Logistic regression on 0/1 features with weights of 0 or more under an L1 term, by
-    accelerated projected gradient steps.  Both classes weigh the same in sum; a feature
-    gets a weight only if more than about ``support`` bad rows speak for it."""
-    out = np.zeros(1 << BITS, np.float32)
-    if not len(features) or not 0 < target.mean() < 1:
+    accelerated projected gradient steps.  ``features`` are each row's numbers from 0 up; they
+    need only hold what speaks at zero weights (:func:`speaking`): no other would leave zero."""
+    out = np.zeros(max((int(f.max()) + 1 for f in features if len(f)), default=0), np.float32)
+    if not len(out) or not 0 < target.mean() < 1:
         return out, -1.0
-    m, bad = len(features), max(target.sum(), 1.0)
-    weight = np.where(target > 0.5, 0.5 / bad, 0.5 / max((1 - target).sum(), 1.0))
-    l1 = 0.25 * support / bad
-    rows = np.repeat(np.arange(m), [len(f) for f in features])
-    cols = np.concatenate(features).astype(np.int64)
-    pull = np.bincount(cols, (weight * (target - 0.5))[rows], 1 << BITS)
-    speaks = pull > l1  # at zero weights, no other feature would leave zero
+    m = len(features)
+    weight, l1 = row_weights(target)
+    rows = np.repeat(np.arange(m, dtype=np.int32), [len(f) for f in features])
+    cols = np.concatenate(features)
+    pull = np.bincount(cols, (weight * (target - 0.5))[rows], len(out))
+    speaks = pull > l1
     rows, cols = rows[speaks[cols]], cols[speaks[cols]]
     used, cols = np.unique(cols, return_inverse=True)
     if not len(used):
@@ -275,9 +285,26 @@ def train(features: list[np.ndarray], target: np.ndarray, support: float = 5.0,
     return out, float(b)
 
 
+def speaking(voted: DataFrame, key: str, post: dict[str, float]) -> np.ndarray:
+    """Slots whose pull at zero weights is above the L1 term: of a row's slots the only ones that
+    training looks at.  Each row pulls by its posterior; summed exactly, on Spark."""
+    counts = {r[key]: r["count"] for r in voted.groupBy(key).count().collect()}  # at most 3 to the labellers
+    keys = sorted(counts)
+    target = np.repeat([post.get(k, 0.0) for k in keys], [counts[k] for k in keys])
+    if not len(target) or not 0 < target.mean() < 1:
+        return np.empty(0, np.int64)
+    weight, l1 = row_weights(target)
+    first = np.cumsum([0, *(counts[k] for k in keys)])[:-1]
+    pulls = voted.sparkSession.createDataFrame([(k, float(weight[i] * (target[i] - 0.5))) for k, i in zip(keys, first, strict=True)], f"{key} string, pull double")
+    each = voted.select(key, F.explode("slots").alias("slot")).groupBy("slot", key).count().join(F.broadcast(pulls), key)
+    found = each.groupBy("slot").agg(F.sum((F.col("pull") * F.col("count")).cast("decimal(38,24)")).alias("pull")).where(F.col("pull") > 0.999 * l1)
+    return np.array(sorted(r["slot"] for r in found.select("slot").collect()), np.int64)  # each in several bad rows of the sample
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
+    scratch = C.Scratch(docs.sparkSession, "classifier")
     votes = label_votes(labels)
-    rows = sample(docs, votes, id_col, text_col, sample_rows)
+    rows = sample(docs, votes, id_col, text_col, sample_rows, scratch)
     lex = lexicon(rows)
     version = uuid.uuid4().hex
 
@@ -305,21 +332,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         post, right = em(counts, len(labellers))
         posts.append(post)
         accuracy.update({(task, name): r for name, r in zip(labellers, right, strict=True)})
-    counts = [total([lex.marks(w) for w in set(bytes(r.words).split())], 2) for r in rows]
-    features = [np.unique(np.append(np.frombuffer(bytes(r.features), "<i4"), lex.features(c)).astype(np.int64)) for r, c in zip(rows, counts, strict=True)]
-    weights, bias = [], []
-    for task, post in enumerate(posts):
-        keys = [r.shape + r.junk_label if task == 0 else lex.votes(c) + r.toxic_label for r, c in zip(rows, counts, strict=True)]
-        target = np.array([post.get(k, 0.0) for k in keys])
-        w, b = train(features, target)
-        weights.append(w)
+
+    def keyed(batches):
+        """A row's pattern for each task, and its slots with those of its lexicon counts."""
+        marks = kept("marks", version, lex.marks)
+        for b in batches:
+            made = []
+            for j, t, shape, own, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                counts = total([marks[w.encode("latin-1")] for w in words], 2)
+                made.append((shape + j, lex.votes(counts) + t, sorted({*own, *lex.features(counts)})))
+            cols = zip(*made, strict=True) if made else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.list_(pa.int64())), strict=True)],
+                                             ["junk", "toxic", "slots"])
+
+    voted = scratch.table(C.map_batches(rows, keyed, "junk string, toxic string, slots array<long>"), "voted")
+    weights, bias = {}, []
+    for task, post in zip(TASKS, posts, strict=True):
+        speaks = speaking(voted, task, post)
+
+        def chosen(batches, speaks=speaks):
+            """Each row's speaking slots, by their number."""
+            for b in batches:
+                lists, out = b.column(1), []
+                ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+                flat = lists.flatten().to_numpy()
+                at = np.minimum(np.searchsorted(speaks, flat), len(speaks) - 1)
+                hit = speaks[at] == flat if len(speaks) else np.zeros(len(flat), bool)
+                for i, j in zip(ends, ends[1:], strict=False):
+                    out.append(at[i:j][hit[i:j]].astype("<i4").tobytes())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["key", "slots"])
+
+        got = sorted((r["key"], bytes(r["slots"])) for r in C.map_batches(voted.select(task, "slots"), chosen, "key string, slots binary").collect())
+        w, b = train([np.frombuffer(x, "<i4") for _, x in got], np.array([post.get(k, 0.0) for k, _ in got]))
+        for k in np.flatnonzero(w).tolist():
+            own = weights.setdefault(int(speaks[k]), [0.0] * len(TASKS))
+            own[TASKS.index(task)] = float(w[k])
         bias.append(b)
-    return Model(np.array(weights, np.float32), tuple(bias), lex, accuracy)
+    return Model(weights, tuple(bias), lex, accuracy)
 
 
 def score(docs: DataFrame, model: Model, state: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``state``: struct(junk, toxic, kept); a score above 0 rejects."""
-    cast = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.lexicon))  # 2 x 2^18 floats, words of the sample
+    cast = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.lexicon))  # slots and words of the sample that speak
     (raw_col,) = C.fresh(docs, "raw_text")
     kind = T.StructType([T.StructField("junk", T.DoubleType()), T.StructField("toxic", T.DoubleType()), T.StructField("kept", T.BooleanType())])
     arrow = pa.struct([("junk", pa.float64()), ("toxic", pa.float64()), ("kept", pa.bool_())])
@@ -328,7 +382,7 @@ def score(docs: DataFrame, model: Model, state: str, text_col: str = "text") ->
 
     def run(batches):
         weights, bias, lex = cast.value
-        strong = set(np.flatnonzero(weights.any(0)).tolist())
+        strong = weights
         begins = kept("begins", version, lambda s: s in lex.beginnings or _slot(b"\1" + s) in strong)
         zero = ((), False, False)
 
@@ -347,7 +401,7 @@ def score(docs: DataFrame, model: Model, state: str, text_col: str = "text") ->
                 counts = sum(m[1] for m in marks), sum(m[2] for m in marks)
                 # every slot counts once a document, as in training
                 found = sorted({i for m in marks for i in m[0]} | {i for i in Shape(raw).features() + lex.features(counts) if i in strong})
-                s = [round(v + sum(float(w[i]) for i in found), 6) for v, w in zip(bias, weights, strict=True)]
+                s = [round(v + sum(weights[i][k] for i in found), 6) for k, v in enumerate(bias)]
                 made.append({"junk": s[0], "toxic": s[1], "kept": not raw.strip() or max(s) <= 0})
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, arrow)], [*b.schema.names[:-1], state])
 

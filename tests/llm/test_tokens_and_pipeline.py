@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shoal.llm import pieces, queries, tokens
 
@@ -157,4 +158,34 @@ def test_pipeline_is_a_query():
     import __spark_entry__ as E
 
     assert E.queries()["pipeline"] is E.CP.run and "pipeline" not in E.oracle_sql()
-    assert [n for n in E.queries() if n.startswith("op")] == list(queries.QUERIES) and len(queries.QUERIES) == 10
+    assert [n for n in E.queries() if n.startswith("op")] == list(queries.QUERIES)
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
+
+
+def test_pipeline_query_on_odd_documents(spark, tmp_path):
+    """The registered query over documents with nulls, empty, very long and repeated texts, ties,
+    repeated rows and columns named as the operators name theirs; then over an empty table."""
+    import __spark_entry__ as E
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    long = " ".join(f"q{i}x{i * 7919 % 1013}" for i in range(60_000))
+    fresh = "one plain line about nothing much that no other text in here has\nand a second line of plain words"
+    odd = [(90_001, None), (90_002, ""), (90_003, " \n "), (90_004, long), (90_005, fresh), (90_005, fresh), (90_006, fresh), (None, fresh + " end")]
+    more = spark.createDataFrame([(i, t, None, None, None) for i, t in odd], docs.schema)
+    both = docs.union(more)
+    for c in ("ids", "verdict", "gone", "node", "component", "decontam", "h1"):
+        both = both.withColumn(c, F.lit("mine"))
+    for name, df in (("some", both), ("none", both.limit(0))):
+        df.write.parquet(str(tmp_path / name / "documents.parquet"))
+        for t in ("labels", "benchmark"):
+            spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / name / f"{t}.parquet"))
+    out = E.queries()["pipeline"](spark, str(tmp_path / "some"))
+    assert out.columns == [*docs.columns, "verdict", "gone", "node", "component", "decontam", "h1", "ids"]
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert {r["gone"] for r in rows.values()} == {"mine"} and len(rows) <= both.count()
+    assert rows[90_001]["ids"] is None and rows[90_002]["ids"] == [] and {90_003, 90_004} <= set(rows)
+    assert rows[90_004]["text"] == long and len(rows[90_004]["ids"]) > 60_000
+    assert {90_005, 90_006, None} & set(rows)  # the first of the copies stays, whichever its id
+    clean = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 AND toxic = 0").collect()}
+    assert len(clean & set(rows)) >= 0.6 * len(clean)  # copies and contaminated ones aside
+    assert E.queries()["pipeline"](spark, str(tmp_path / "none")).count() == 0
