@@ -1,6 +1,12 @@
 """The corpus pipeline: quality classifier, line dedup, near duplicates, decontamination,
 SentencePiece.  Every stage is one operator over all the documents its predecessor kept;
-all but the last return the columns of ``documents``."""
+all but the last return the columns of ``documents``.
+
+Cases, in every stage: a null, empty or blank text is kept as it is; very long texts are
+worked on whole; ties go by the smallest id; repeated rows are treated alike, and of equal
+texts one stays after the near-duplicate stage; a null id is an id; an empty table gives an
+empty result; further columns are returned as they are, whatever their names (but for
+``ids``, which the last stage writes)."""
 
 from __future__ import annotations
 
