@@ -435,14 +435,17 @@ def q_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.count(), df.select(F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()[0]
 
     before, files = rows(), Compactor(spark, p, table).files().count()
-    broken = _RenameFails(spark, p, table, name, target=1 << 20, min_files=2)
+    # a file of every batch fits into the target, however large the table is
+    largest = Compactor(spark, p, table).files().agg(F.max("length")).first()[0]
+    target = max(1 << 20, COMPACTED_BATCHES * largest)
+    broken = _RenameFails(spark, p, table, name, target=target, min_files=2)
     try:
         broken.run()
     except InterruptedError:
         pass
     if rows() != before or broken.renames < 2 or len(broken.open_journals()) != 1:
         raise AssertionError(f"after a broken run {rows()}, before {before}")
-    done = Compactor(spark, p, table, name, target=1 << 20, min_files=2)
+    done = Compactor(spark, p, table, name, target=target, min_files=2)
     switched = done.run()
     fewer = done.files().count()
     if rows() != before or not switched or done.open_journals() or fewer * 2 > files:
