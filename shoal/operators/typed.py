@@ -42,11 +42,14 @@ def column_type(kinds: int, digits: int, scale: int) -> str:
 
 def evidence(prepared: DataFrame) -> DataFrame:
     """(name, kinds, digits, scale, keys) of every payload column, by lower-case name; ``keys``
-    are its spellings.  One aggregation, pre-aggregated in the tasks: a row a column is
-    shuffled from each."""
-    value = F.schema_of_variant("value")
-    entries = prepared.select(F.explode(R.payload_map()).alias("key", "value"))
-    known = entries.select("key", F.lower("key").alias("name"), value.alias("kind"))
+    are its spellings.  Two aggregations, pre-aggregated in the tasks: the distinct types of each
+    key, then, of these few rows, what they mean."""
+    types_of = F.transform(F.map_entries(R.payload_map()), lambda e: F.struct(e["key"].alias("key"), F.schema_of_variant(e["value"]).alias("kind")))
+    entries = prepared.select(F.inline(types_of))  # a generated column is computed once, however often it is read
+    plain = F.col("kind").isin("VOID", "BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | F.col("kind").startswith("DECIMAL")
+    # counted, as a mere distinct below bit_or and max would be left out of the plan
+    known = entries.select("key", F.when(plain, F.col("kind")).otherwise("TEXT").alias("kind")) \
+        .groupBy("key", "kind").agg(F.count("*").alias("n")).where("n > 0").withColumn("name", F.lower("key"))
     decimal = r"DECIMAL\((\d+),(\d+)\)"
     part = lambda i: F.regexp_extract("kind", decimal, i).try_cast("int")
     kinds = F.when(F.col("kind") == "VOID", 0).when(F.col("kind") == "BIGINT", WHOLE).when(F.col("kind").startswith("DECIMAL"), DECIMAL) \
