@@ -195,7 +195,8 @@ def q_stream_poison_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = job.recorder.second.total("rows")
     bad = [x.getPath().getName() for x in fs.listStatus(file_system(spark, job.paths.quarantine)[1])]
     lost = spark.read.text(f"{root}/clean/{names[17]}").count()
-    if len(names) != POISON_FILES or bad != [job.writer.batch_tag(0) + ".json"] or loaded != clean.count() - lost or not lost:
+    every = spark.read.text(f"{root}/clean").count()  # as written: stage 1 isn't run again for it
+    if len(names) != POISON_FILES or bad != [job.writer.batch_tag(0) + ".json"] or loaded != every - lost or not lost:
         raise AssertionError(f"{len(names)} files, {bad} in quarantine, {loaded} rows loaded, {lost} lost")
     mended = file_system(spark, f"{hour}/{names[17]}")[1]
     fs.delete(mended, False)
