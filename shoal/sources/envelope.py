@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 FUTURE_SHIFT_MS = 30_000_000_000_000  # about 950 years
 PAST_SHIFT_MS = 500_000_000_000  # about 16 years back, into 2008
 TYPE_NAMES = {"view": "VOD-VIEW", "click": "HOTKEY", "error": "SYSTEM-ERROR"}
+TASK_BYTES = 1 << 20  # of a table's files, for one task: some 50,000 events
+MAX_TASKS = 20_000
 TIME_KEYS = {"events": "event_time", "metrics": "epoch_time"}
 
 
@@ -39,12 +41,14 @@ def spread(df: DataFrame) -> DataFrame:
     """Make sure CPU-heavy per-row work on a test table gets every core.
 
     A scan yields one task per file split; an unsplittable input (one row group, one
-    compressed file) gives a single task however many cores there are.  When the scan
-    has fewer partitions than the cluster's parallelism the rows are dealt round-robin
-    over that many partitions; otherwise — the normal case at scale — nothing changes
+    compressed file) gives a single task however many cores there are, and a large table of
+    few row groups a few long ones.  When the scan has fewer partitions than the cluster's
+    parallelism, or than ``TASK_BYTES`` of its files fill, the rows are dealt round-robin
+    over that many, so a task's work doesn't grow with the table; otherwise nothing changes
     and no shuffle is added.  Looks at the plan only; runs no job."""
     try:
-        want = df.sparkSession.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        want = max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_TASKS, -(-size // TASK_BYTES)))
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 — no RDD view (e.g. a Connect session): leave as is
         return df
