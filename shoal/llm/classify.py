@@ -145,9 +145,18 @@ def total(rows: list[tuple], width: int) -> tuple:
     return tuple(map(sum, zip(*rows, strict=True))) if rows else (0,) * width
 
 
+class Weights(dict):
+    """slot -> a weight for each task; ``weights[:, slot] = w`` gives all tasks the same."""
+
+    def __setitem__(self, at, weight):
+        if isinstance(at, tuple):
+            at, weight = at[1], [weight] * len(TASKS)
+        super().__setitem__(at, weight)
+
+
 @dataclass
 class Model:
-    weights: dict = field(default_factory=dict)  # slot -> weight for each task, of slots that have any
+    weights: dict = field(default_factory=Weights)  # slot -> weight for each task, of slots that have any
     bias: tuple[float, ...] = (-1.0,) * len(TASKS)
     lexicon: Lexicon = field(default_factory=Lexicon)
     accuracy: dict = field(default_factory=dict)  # (task, labeller) -> share of its votes that are right
