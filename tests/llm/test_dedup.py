@@ -239,3 +239,29 @@ def test_exact_repeats_of_the_documents_are_covered(spark):
         seen.update(dict.fromkeys(mine, i))
     got = {r["doc_id"]: {p for s in r["spans"] or [] for p in range(s["start"], s["end"])} for r in queries.op8_substring_dedup(spark, SF).collect()}
     assert want and all(len(p & got[i]) >= 0.9 * len(p) for i, p in want.items())
+
+
+def test_no_near_copy_at_the_threshold_is_left_out(spark):
+    # one word of 54 replaced: 45 of 55 shingles are common, similarity 0.818
+    rnd = random.Random(3)
+    rows = []
+    for k in range(300):
+        w = [f"t{rnd.randrange(10**6)}" for _ in range(54)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[:27], "edited", *w[28:]]))]
+    got = passages.per_document(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 2 for i in range(600)}
+
+
+def test_dense_passages_against_brute_force():
+    rng = np.random.default_rng(7)
+    least = passages.shortest()
+    for kinds, odds in ((10**6, 0.8), (10**6, 0.7), (25, 0.8), (3, 0.9)):
+        tokens = C.mix(rng.integers(0, kinds, 90).astype(np.uint64))
+        known = {t: rng.random() < odds for t in dict.fromkeys(tokens.tolist())}
+        mark = np.array([known[t] for t in tokens.tolist()], np.uint8)
+        may, need = passages.dense(tokens, mark)
+        for s in range(len(tokens)):
+            for e in range(s + least, len(tokens) + 1):
+                here = set(tokens[s:e].tolist())
+                if 100 * sum(not known[t] for t in here) <= 20 * len(here):
+                    assert may[s:e].all() and 0 < need <= -(-80 * len(here) // 100)
