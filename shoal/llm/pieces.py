@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +75,7 @@ class Transducer:
         self.cost: list[float] = []
         self.byte: dict[int, int] = {}
         self.out: list[bytes] = []
+        self.table: pa.Array | None = None  # ``out`` as a column
         self.unk, kind, norm = 0, UNIGRAM, {}
         for number, value in _fields(model):
             if number == 1:
@@ -106,6 +108,7 @@ class Transducer:
         if any(SPACE in p.lstrip(SPACE) or p.startswith(SPACE * 2) and p.strip(SPACE) for p in self.ids):
             raise ValueError("pieces that span words are not supported")
         self.bpe, self.prefix = kind == BPE, bool(norm.get(3, 1))
+        self.score = {p: self.cost[i] for p, i in self.ids.items()}
         self.trie: dict = {}
         for p, i in self.ids.items():
             if self.bpe and self.merged(p) != [p]:
@@ -114,30 +117,37 @@ class Transducer:
             for ch in p:
                 node = node.setdefault(ch, {})
             node[""] = i
+        self.single = {p for p in self.ids if len(p) == 1}
         self.longest = max(map(len, self.ids), default=1)
         self.follows: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     # -- arcs ---------------------------------------------------------------------------
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging leaves of a short string: best score first, then leftmost."""
-        parts, ids, cost = list(text), self.ids, self.cost
-        while len(parts) > 1:
-            best, where = None, -1
-            for k in range(len(parts) - 1):
-                i = ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or cost[i] < best):
-                    best, where = cost[i], k
-            if best is None:
-                break
-            parts[where:where + 2] = [parts[where] + parts[where + 1]]
+    def merged(self, text: str, border: int = 0) -> list[str]:
+        """The pieces that merging leaves of a short string: best score first, then leftmost.
+        With a ``border``, merging stops (with the pieces so far) where it would cross it."""
+        parts, get, none = list(text), self.score.get, float("inf")
+        costs = [get(x + y, none) for x, y in zip(parts, parts[1:], strict=False)]
+        while costs and (best := min(costs)) < none:
+            k = costs.index(best)
+            if border:
+                if k == border - 1:
+                    break
+                if k < border:
+                    border -= 1
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del costs[k]
+            if k:
+                costs[k - 1] = get(parts[k - 1] + parts[k], none)
+            if k < len(costs):
+                costs[k] = get(parts[k] + parts[k + 1], none)
         return parts
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether piece b may follow piece a on a path."""
         p, q = self.pieces[a], self.pieces[b]
-        got = self.merged(p + q) == [p, q]
+        got = self.merged(p + q, len(p)) == [p, q] and p + q not in self.score
         if len(self.follows) >= PAIRS:
             self.follows.clear()
         self.follows[a * len(self.pieces) + b] = got
@@ -150,16 +160,14 @@ class Transducer:
 
     def merge_path(self, text: str) -> list[int]:
         """The one path whose pieces may follow each other: its weight is 0, so a state that is
-        reached is final, and the search ends where the text does."""
+        reached is final; the furthest is left first, and the search ends where the text does."""
         n, trie, follows, size = len(text), self.trie, self.follows, len(self.pieces)
         last: list[int | None] = [None] * (n + 1)  # the piece that ends here
         back = [0] * (n + 1)
-        last[0] = -1
-        for i in range(n):
-            here = last[i]
-            if here is None:
-                continue
-            node, j = trie, i
+        last[0], todo = -1, [0]
+        while todo and last[n] is None:
+            i = todo.pop()
+            here, node, j = last[i], trie, i
             while j < n and (node := node.get(text[j])) is not None:
                 j += 1
                 p = node.get("")
@@ -170,8 +178,7 @@ class Transducer:
                     if not (self.may_follow(here, p) if ok is None else ok):
                         continue
                 last[j], back[j] = p, i
-            if last[n] is not None:
-                break
+                todo.append(j)
         return self.stitched(last, back)
 
     def score_path(self, text: str) -> list[int]:
@@ -219,6 +226,9 @@ class Transducer:
         if not body:
             return self.spaces(n)
         ids, known = [], SPACE if n else ""
+        if self.single.issuperset(body):
+            known += body
+            body = ""
         for ch in body:
             if ch in self.ids:
                 known += ch
@@ -257,8 +267,18 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> bytes:
         """The inverse composition: UTF-8 of the ids' pieces and bytes."""
-        text = b"".join([self.out[i] for i in ids])
-        return text[1:] if self.prefix and ids and text[:1] == b" " else text
+        return self.unprefixed(b"".join([self.out[i] for i in ids]))
+
+    def decode_all(self, ids: pa.ListArray) -> list[bytes | None]:
+        """``decode`` of every list; no id becomes a Python object."""
+        if self.table is None:
+            self.table = pa.array(self.out, pa.binary())
+        offsets = pc.subtract(ids.offsets, ids.offsets[0])
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, self.table.take(ids.values.slice(ids.offsets[0].as_py(), offsets[-1].as_py()))), b"")
+        return [self.unprefixed(x) if there else None for x, there in zip(joined.to_pylist(), ids.is_valid().to_pylist(), strict=True)]
+
+    def unprefixed(self, text: bytes) -> bytes:
+        return text[1:] if self.prefix and text[:1] == b" " else text
 
 
 _COMPILED: dict[int, Transducer] = {}
@@ -317,7 +337,7 @@ def decode(coded: DataFrame, model_file: str, ids_col: str = "ids", text_col: st
         t = transducer(model.value)
         for b in batches:
             col = b.column(b.schema.get_field_index(ids_col))
-            texts = [None if x is None else t.decode(x).decode("utf-8", "replace") for x in col.to_pylist()]
+            texts = [None if x is None else x.decode("utf-8", "replace") for x in t.decode_all(col)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text_col])
 
     schema = T.StructType([*coded.schema.fields, T.StructField(text_col, T.StringType())])

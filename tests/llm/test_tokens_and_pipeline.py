@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,14 @@ def test_pieces_cases(spark):
     assert pieces.encode(df.limit(0), path).count() == 0
 
 
+def test_pieces_of_a_column_are_decoded_as_one_by_one():
+    t = pieces.Transducer(pieces.compiled(queries.tokenizer_file("piece_bpe_32k.model")))
+    lists = [None, [], *(np.frombuffer(t.encode(x), "<i4").tolist() for x in ("one", "", " two  é", "\U0001f600 x\n"))]
+    col = pa.array([[5, 6], *lists, None, [7]], pa.list_(pa.int32()))
+    for part in (col, col[1:], col[1:-1], col[:0]):
+        assert t.decode_all(part) == [None if x is None else t.decode(x) for x in part.to_pylist()]
+
+
 def test_pieces_query_round_trips(spark):
     import sentencepiece
 
