@@ -79,6 +79,27 @@ def test_jaccard_join_in_blocks_without_cheap_links(spark, monkeypatch):
     assert {tuple(r) for r in got} == brute_components(rows)
 
 
+@pytest.mark.parametrize("words", [1500, 4000])
+def test_unlinked_pairs_are_named_once_at_most(spark, monkeypatch, words):
+    # texts that have three quarters in common meet under hundreds of tokens
+    rnd = random.Random(words)
+    base = [f"b{k}" for k in range(3 * words // 4)]
+    rows = [(i, " ".join([*base, *(f"w{rnd.randrange(10**9)}" for _ in range(words - len(base)))])) for i in range(24)]
+    rows += [(50, rows[3][1].replace("b700 ", "c ")), (51, rows[9][1] + " tail")]
+    real, made = C.map_batches, []
+
+    def counted(df, fn, schema):
+        out = real(df, fn, schema)
+        if schema == "a long, b long" and "token" in df.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "map_batches", counted)
+    got = setjoin.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == brute_components(rows)
+    assert len(made) == 1 and made[0] <= 26 * 25 // 2
+
+
 def test_jaccard_join_cases(spark):
     long = " ".join(f"z{k}" for k in range(30_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "One  TWO"), (6, "one two three"), (7, long), (8, long + " tail"),
