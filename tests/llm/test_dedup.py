@@ -273,6 +273,36 @@ def test_no_near_copy_at_the_threshold_is_left_out(spark):
     assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 2 for i in range(600)}
 
 
+def test_tokens_are_dealt_in_blocks_and_repeated_ones_marked(spark, monkeypatch):
+    rnd = random.Random(11)
+    docs = [[f"u{rnd.randrange(10**9)}" for _ in range(5000)] for _ in range(30)]
+    for k in range(1, 30, 2):
+        docs[k][100:160] = docs[k - 1][300:360]
+    docs.append(["same"] * 90)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(4).persist()
+    tokens = [set(C.window_hashes(C.word_hashes(C.lower_words(" ".join(w).encode())), 5).tolist()) for w in docs]
+    seen = {}
+    for t in tokens:
+        for x in t:
+            seen[x] = seen.get(x, 0) + 1
+    every = np.array(list(seen), np.uint64)
+    bits = passages.repeated_tokens(df.select(C.text_bytes().alias("text")))
+    mark = passages.marked(every, bits) > 0
+    often = np.array([seen[x] > 1 for x in every.tolist()])
+    assert often.sum() == 15 * 56 and mark[often].all() and mark.sum() <= often.sum() + 20
+    real, made = C.map_batches, []
+
+    def counted(df, fn, schema):
+        out = real(df, fn, schema)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "map_batches", counted)
+    got = {r["doc_id"]: r["class_id"] for r in passages.per_document(df).collect()}
+    assert got == {i: min(i - i % 2, 30) for i in range(31)}
+    assert sum(made) < sum(len(t) for t in tokens)
+
+
 def test_dense_passages_against_brute_force():
     rng = np.random.default_rng(7)
     least = passages.shortest()
