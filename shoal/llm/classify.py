@@ -105,17 +105,15 @@ class Kept(dict):
         return v
 
 
-_CACHES: dict = {}
+SLOTS = "slots"  # the version of what holds for every model
 
 
 def kept(name: str, version, make) -> Kept:
     """A worker's cache of that name, from task to task; a new version drops all others."""
-    if version != _CACHES.get("version"):
-        _CACHES.clear()
-        _CACHES["version"] = version
-    if name not in _CACHES:
-        _CACHES[name] = Kept(make)
-    return _CACHES[name]
+    held = C.hold(version)
+    if name not in held:
+        held[name] = Kept(make)
+    return held[name]
 
 
 def slots(word: bytes) -> tuple[int, ...]:
@@ -180,7 +178,7 @@ def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows:
     few = votes.orderBy(F.xxhash64("doc"), "doc").limit(rows)  # proven bound: safe to broadcast
 
     def read(batches):
-        cache = kept("slots", 0, slots)
+        cache = kept("slots", SLOTS, slots)
         for b in batches:
             made = []
             for raw in b.column(2).to_pylist():
@@ -197,7 +195,7 @@ def sample(docs: DataFrame, votes: DataFrame, id_col: str, text_col: str, rows:
     one = docs.select(F.col(id_col).alias("d"), C.text_bytes(text_col).alias("text")).join(F.broadcast(few), F.col("d") == F.col("doc")) \
         .groupBy("doc", "junk_label", "toxic_label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     made = C.map_batches(one.select("junk_label", "toxic_label", "text"), read,
-                         "junk_label string, toxic_label string, shape string, slots array<long>, words array<string>")
+                         "junk_label string, toxic_label string, shape string, slots array<long>, words array<string>", SLOTS)
     return scratch.table(made, "sample")
 
 
@@ -328,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.string()), pa.array(t, pa.string())], ["d", "shape", "lex"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    cast = C.map_batches(docs.select(F.col(id_col).alias("d"), C.text_bytes(text_col).alias("text")), vote, f"d {kind}, shape string, lex string")
+    cast = C.map_batches(docs.select(F.col(id_col).alias("d"), C.text_bytes(text_col).alias("text")), vote, f"d {kind}, shape string, lex string", version)
     seen = cast.join(votes, F.col("d") == F.col("doc"), "left").groupBy(
         "shape", "lex", F.coalesce("junk_label", F.lit(NONE)).alias("j"), F.coalesce("toxic_label", F.lit(NONE)).alias("t")).count().collect()
     junk, toxic = Counter(), Counter()
@@ -354,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.list_(pa.int64())), strict=True)],
                                              ["junk", "toxic", "slots"])
 
-    voted = scratch.table(C.map_batches(rows, keyed, "junk string, toxic string, slots array<long>"), "voted")
+    voted = scratch.table(C.map_batches(rows, keyed, "junk string, toxic string, slots array<long>", version), "voted")
     weights, bias = {}, []
     for task, post in zip(TASKS, posts, strict=True):
         speaks = speaking(voted, task, post)
@@ -414,7 +412,7 @@ def score(docs: DataFrame, model: Model, state: str, text_col: str = "text") ->
                 made.append({"junk": s[0], "toxic": s[1], "kept": not raw.strip() or max(s) <= 0})
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, arrow)], [*b.schema.names[:-1], state])
 
-    return C.map_batches(docs.withColumn(raw_col, C.text_bytes(text_col)), run, T.StructType([*docs.schema.fields, T.StructField(state, kind)]))
+    return C.map_batches(docs.withColumn(raw_col, C.text_bytes(text_col)), run, T.StructType([*docs.schema.fields, T.StructField(state, kind)]), version)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -281,16 +282,16 @@ class Transducer:
         return text[1:] if self.prefix and text[:1] == b" " else text
 
 
-_COMPILED: dict[int, Transducer] = {}
+def version_of(model: bytes) -> str:
+    return f"pieces {crc32(model)}"
 
 
 def transducer(model: bytes) -> Transducer:
     """The model's transducer; a worker keeps it, with the words met, from task to task."""
-    key = hash(model)
-    if key not in _COMPILED:
-        _COMPILED.clear()
-        _COMPILED[key] = Transducer(model)
-    return _COMPILED[key]
+    held = C.hold(version_of(model))
+    if "transducer" not in held:
+        held["transducer"] = Transducer(model)
+    return held["transducer"]
 
 
 def pack(ids: list[int]) -> bytes:
@@ -324,7 +325,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: st
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], ids], [*b.schema.names[:-1], ids_col])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
-    return C.map_batches(docs.withColumn(raw, F.col(text_col)), run, schema)
+    return C.map_batches(docs.withColumn(raw, F.col(text_col)), run, schema, version_of(model.value))
 
 
 def decode(coded: DataFrame, model_file: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -341,4 +342,4 @@ def decode(coded: DataFrame, model_file: str, ids_col: str = "ids", text_col: st
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text_col])
 
     schema = T.StructType([*coded.schema.fields, T.StructField(text_col, T.StringType())])
-    return C.map_batches(coded, run, schema)
+    return C.map_batches(coded, run, schema, version_of(model.value))
