@@ -43,7 +43,8 @@ STATUSES = (KEPT, MALFORMED, NO_DEVICE, BAD_TIME, MISSING_KEY)
 
 def stage1_row(text: str, p: Profile, parsed: bool = False) -> Column:
     """``struct<value, date, hour, status>`` for the text column ``text``: the clean row, or
-    the reason it is dropped; with ``p.seen_within`` also ``device`` and the time ``at``;
+    the reason it is dropped; with ``p.seen_within`` also ``device``, the time ``at`` and a hash
+    of the ``message``;
     ``parsed`` leaves ``value`` the clean document, not its text.  Built as one SQL
     expression (see ``jsonsql``)."""
     depth = p.depth
@@ -51,7 +52,7 @@ def stage1_row(text: str, p: Profile, parsed: bool = False) -> Column:
     no_value = f"CAST(NULL AS {Q.DOC_TYPE})" if parsed else null
 
     def row(value: str, date: str, hour: str, status: str, device: str = null, at: str = "CAST(NULL AS TIMESTAMP)") -> str:
-        event = f", 'device', {device}, 'at', {at}" if p.seen_within else ""
+        event = f", 'device', {device}, 'at', {at}, 'message', xxhash64({Q.ident(text)})" if p.seen_within else ""
         return f"named_struct('value', {value}, 'date', {date}, 'hour', {hour}, 'status', {Q.lit(status)}{event})"
 
     def dropped(reason: str) -> str:
@@ -106,7 +107,7 @@ def stage1(df: DataFrame, p: Profile, text: str = "value", observe=None, parsed:
     kept = rows.filter(F.col("status") == KEPT).drop("status")
     if p.seen_within is None:
         return kept
-    new = FL.drop_seen(kept, p.seen_within).drop("device", "at")
+    new = FL.drop_seen(kept, p.seen_within).drop("device", "at", "message")
     return new if observe is None else new.observe(f"{observe}_new", F.count(F.lit(1)).alias("new"))
 
 

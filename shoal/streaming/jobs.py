@@ -36,6 +36,7 @@ CATCH_UP_LAG = 5
 MAX_LAG = 10
 FILES_PER_BATCH = 1000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
 RAW_PARTITIONS = "date STRING, hour STRING"
 
 
@@ -150,6 +151,8 @@ class ProfileStream:
     def start_stage1(self, trigger: dict):
         if self.profile.seen_within:  # seen events are kept on disk, not in the executors' heap
             self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+            if self.spark.conf.get(BOUNDED, None) is None:  # one pool for all partitions' buffers, however many there are
+                self.spark.conf.set(BOUNDED, "true")
         raw = read_stream(self.spark, self.source)
         clean = stage1(raw, self.profile, observe=self._name("stage1_rows"))
         clean = layout_for_sink(clean, self.layout, self.files_per_hour)
